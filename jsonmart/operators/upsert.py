@@ -11,17 +11,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+# Bucket sizing of a first load: enough buckets to keep each below a few hundred MB of documents.
+ROWS_PER_BUCKET = 250_000
+MIN_BUCKETS = 8
+
 
 class KeyedTable:
     """A parquet table with unique keys, hash-bucketed by key.
 
-    Choose ``n_buckets`` so that a bucket of one partition holds a few hundred MB: an upsert
-    rewrites the buckets it touches and no others.
+    An upsert rewrites the buckets it touches and no others. Without ``n_buckets`` the first load
+    decides their number by its row count, and the table keeps it until the next full refresh.
     """
 
     def __init__(
@@ -30,7 +36,7 @@ class KeyedTable:
         path: str,
         schema: StructType | str,
         keys: Sequence[str],
-        n_buckets: int = 16,
+        n_buckets: int | None = None,
         partition_by: Sequence[str] = (),
     ):
         self.spark = spark
@@ -41,9 +47,8 @@ class KeyedTable:
         self.partition_by = list(partition_by)
         self._slots = [*self.partition_by, "key_bucket"]
         slot_fields = [self.schema[p] for p in self.partition_by] + [StructField("key_bucket", IntegerType())]
-        self._commit_schema = StructType(
-            [StructField("commit", LongType()), StructField("version", LongType()), *slot_fields]
-        )
+        heading = [StructField(n, LongType()) for n in ("commit", "n_buckets", "version")]
+        self._commit_schema = StructType([*heading, *slot_fields])
         # An explicit schema for the partition columns too: inference would turn '001' into 1.
         body = [f for f in self.schema if f.name not in self.partition_by]
         self._file_schema = StructType([*body, StructField("version", LongType()), *slot_fields])
@@ -60,21 +65,19 @@ class KeyedTable:
         Two updates for one key stop the run, as there is no rule for which one wins.
         """
         live = self._live()
-        commit = max((r["commit"] for r in live), default=0) + 1
-        # Written once: the updates are read twice below, and a lost executor must not redo them.
-        staged_path = f"{self.path}/staged/commit={commit}"
-        self._bucketed(updates).write.mode("overwrite").parquet(staged_path)
-        staged = self.spark.read.schema(self._staged_schema()).parquet(staged_path)
+        commit = self._next_commit(live)
+        staged = self._stage(updates, commit)
+        n_buckets = live[0]["n_buckets"] if live else self._bucket_count(staged)
+        new = self._bucketed(staged, n_buckets).withColumn("_update", F.lit(1))
 
         # At most one row per partition and bucket, whatever the number of updates.
-        touched = {tuple(r) for r in staged.select(*self._slots).distinct().collect()}
+        touched = {tuple(r) for r in new.select(*self._slots).distinct().collect()}
         if not touched:
             return commit - 1
         replaced = [r for r in live if self._slot(r) in touched]
-        kept = [r for r in live if self._slot(r) not in touched]
+        kept = [(r["version"], *self._slot(r)) for r in live if r["version"] and self._slot(r) not in touched]
 
         old = self._rows(replaced).withColumn("_update", F.lit(0))
-        new = staged.withColumn("_update", F.lit(1))
         by_key = Window.partitionBy(*self._slots, *self.keys).orderBy(F.col("_update").desc())
         duplicate = F.raise_error(F.concat_ws(" ", F.lit("two updates for key"), *[F.col(k) for k in self.keys]))
         wins = (
@@ -91,45 +94,69 @@ class KeyedTable:
             .drop("_rank", "_update")
         )
         self._write(merged, commit)
-        self._publish(commit, [(commit, r["version"], *self._slot(r)) for r in kept] + [
-            (commit, commit, *slot) for slot in touched
-        ])
+        self._publish(commit, n_buckets, kept + [(commit, *slot) for slot in touched])
         return commit
 
     def replace(self, df: DataFrame) -> int:
         """Full refresh: the new rows become the whole table."""
-        commit = max((r["commit"] for r in self._live()), default=0) + 1
-        self._write(self._bucketed(df).repartition(*self._slots), commit)
-        written = self.spark.read.schema(self._file_schema).parquet(f"{self.path}/data").where(F.col("version") == commit)
-        slots = written.select(*self._slots).distinct().collect()
-        self._publish(commit, [(commit, commit, *s) for s in slots])
+        commit = self._next_commit(self._live())
+        staged = self._stage(df, commit)
+        n_buckets = self._bucket_count(staged)
+        rows = self._bucketed(staged, n_buckets)
+        slots = rows.select(*self._slots).distinct().collect()
+        self._write(rows.repartition(*self._slots).sortWithinPartitions(*self._slots, *self.keys), commit)
+        self._publish(commit, n_buckets, [(commit, *s) for s in slots])
         return commit
 
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.n_buckets)).cast("int")
+    def vacuum(self) -> None:
+        """Delete versions that are no longer live; readers of older states must be done."""
+        live = {f"version={r['version']}" for r in self._live()}
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        data, staged = hadoop(f"{self.path}/data"), hadoop(f"{self.path}/staged")
+        fs = data.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if fs.exists(data):
+            for status in fs.listStatus(data):
+                if status.getPath().getName() not in live:
+                    fs.delete(status.getPath(), True)
+        fs.delete(staged, True)
+
+    def _stage(self, df: DataFrame, commit: int) -> DataFrame:
+        # Written once: the rows are read several times, and a lost executor must not redo them.
+        path = f"{self.path}/staged/commit={commit}"
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
-        return df.select(*typed).withColumn("key_bucket", bucket)
+        df.select(*typed).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(self.schema).parquet(path)
+
+    def _bucket_count(self, staged: DataFrame) -> int:
+        if self.n_buckets is not None:
+            return self.n_buckets
+        return max(MIN_BUCKETS, -(-staged.count() // ROWS_PER_BUCKET))
 
-    def _staged_schema(self) -> StructType:
-        return StructType([*self.schema, StructField("key_bucket", IntegerType())])
+    def _bucketed(self, df: DataFrame, n_buckets: int) -> DataFrame:
+        return df.withColumn("key_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(n_buckets)).cast("int"))
 
     def _slot(self, row) -> tuple:
         return tuple(row[s] for s in self._slots)
 
+    @staticmethod
+    def _next_commit(live: list) -> int:
+        return live[0]["commit"] + 1 if live else 1
+
     def _live(self) -> list:
-        """Live version per bucket; as many rows as the table has partitions times buckets."""
+        """Rows of the last commit; as many as the table has partitions times buckets."""
         try:
             commits = self.spark.read.schema(self._commit_schema).json(f"{self.path}/commits")
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return []
             raise
-        last = commits.agg(F.max("commit")).first()[0]
-        return [] if last is None else commits.where(F.col("commit") == last).collect()
+        return commits.where(F.col("commit") == commits.agg(F.max("commit")).scalar()).collect()
 
     def _rows(self, live: list) -> DataFrame:
+        live = [r for r in live if r["version"]]
         if not live:
-            return self.spark.createDataFrame([], self._staged_schema())
+            empty = StructType([*self.schema, StructField("key_bucket", IntegerType())])
+            return self.spark.createDataFrame([], empty)
         return (
             self.spark.read.schema(self._file_schema)
             .parquet(f"{self.path}/data")
@@ -151,7 +178,11 @@ class KeyedTable:
     def _write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").partitionBy(*self._slots).parquet(f"{self.path}/data/version={version}")
 
-    def _publish(self, commit: int, rows: list[tuple]) -> None:
+    def _publish(self, commit: int, n_buckets: int, slots: list[tuple]) -> None:
         # An empty table still needs a commit, else the one before it would stay live.
-        df = self.spark.createDataFrame(rows or [(commit, None, *[None] * len(self._slots))], self._commit_schema)
-        df.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        slots = slots or [(None,) * (1 + len(self._slots))]
+        rows = [dict(zip(self._commit_schema.names, (commit, n_buckets, *s), strict=True)) for s in slots]
+        arrow = pa.Table.from_pylist(rows, to_arrow_schema(self._commit_schema))
+        self.spark.createDataFrame(arrow, self._commit_schema).coalesce(1).write.mode("append").json(
+            f"{self.path}/commits"
+        )

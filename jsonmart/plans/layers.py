@@ -76,11 +76,17 @@ class Layers:
         with ThreadPoolExecutor(max_workers=4) as pool:
             return dict(zip(names, pool.map(read, names), strict=True))
 
+    def build_silver(self) -> dict[str, DataFrame]:
+        return self._build(SILVER, self.silver)
+
+    def build_gold(self) -> dict[str, DataFrame]:
+        return self._build(GOLD, self.gold)
+
     def silver_report(self) -> DataFrame:
-        return dq_report(self._build(SILVER, self.silver), SILVER_CHECKS)
+        return dq_report(self.build_silver(), SILVER_CHECKS)
 
     def gold_report(self) -> DataFrame:
-        return dq_report(self._build(GOLD, self.gold), GOLD_CHECKS)
+        return dq_report(self.build_gold(), GOLD_CHECKS)
 
     def build(self) -> None:
         """Build everything; gold is only started when the silver checks pass."""

@@ -150,7 +150,7 @@ def _events(spark, sf):
 def _upsert_events(spark, sf):
     """First half of the month, then the second two thirds with doubled values, then that again."""
     events = _events(spark, sf)
-    target = KeyedTable(spark, fresh_dir(spark, "events"), _EVENT_SCHEMA, ["event_id"], n_buckets=8)
+    target = KeyedTable(spark, fresh_dir(spark, "events"), _EVENT_SCHEMA, ["event_id"])
     target.upsert(events.where(F.dayofmonth("ts") <= 15))
     later = events.where(F.dayofmonth("ts") >= 10).withColumn("value", col("value") * 2)
     target.upsert(later)
@@ -162,7 +162,7 @@ def _replace_events(spark, sf):
     """A full refresh leaves nothing of the rows before it."""
     events = _events(spark, sf)
     target = KeyedTable(
-        spark, fresh_dir(spark, "events"), _EVENT_SCHEMA, ["event_id"], n_buckets=4, partition_by=["event_type"]
+        spark, fresh_dir(spark, "events"), _EVENT_SCHEMA, ["event_id"], partition_by=["event_type"]
     )
     target.upsert(events.withColumn("value", F.lit(-1.0)))
     target.replace(events.where(col("value") > 1))
@@ -190,7 +190,7 @@ def _incremental_movie(spark, sf):
     """Movies snapshot by snapshot through the watermark; equal to the full build."""
     staged = layers(spark, sf).staged("movie")
     schema = silver.movie(staged).schema
-    target = KeyedTable(spark, fresh_dir(spark, "movie"), schema, ["movie_id"], n_buckets=8)
+    target = KeyedTable(spark, fresh_dir(spark, "movie"), schema, ["movie_id"])
     first = F.lit(star_tables.FIRST_SNAPSHOT).cast("timestamp")
     refresh_latest(staged.where(col("extracted_at") <= first), target, silver.movie)
     refresh_latest(staged, target, silver.movie)
@@ -200,7 +200,7 @@ def _incremental_movie(spark, sf):
 def _incremental_person(spark, sf):
     """People are recomputed in full and merged by id."""
     full = layers(spark, sf).plan_silver("person")
-    target = KeyedTable(spark, fresh_dir(spark, "person"), full.schema, ["person_id"], n_buckets=8)
+    target = KeyedTable(spark, fresh_dir(spark, "person"), full.schema, ["person_id"])
     target.upsert(full.withColumn("name", F.lit("stale")))
     target.upsert(full)
     return present(target.read())
@@ -259,7 +259,7 @@ def _key_roundtrip(spark, sf):
 def _stream_catalog(spark, sf):
     """The catalog built by a file stream, twice over the same checkpoint."""
     root, work = landing_root(spark, sf), fresh_dir(spark, "stream")
-    cat = catalog.Catalog(spark, f"{work}/catalog", n_buckets=4)
+    cat = catalog.Catalog(spark, f"{work}/catalog")
     for _ in range(2):
         stream = landing.read_landing_stream(spark, root)
         run_incremental(stream, cat, f"{work}/checkpoint", _run_ts)
@@ -328,9 +328,9 @@ def _page_names(spark, sf):
 
 
 def _payload_keywords(spark, sf):
-    """Array expansion alone: one row per keyword entry of every document."""
+    """Array expansion alone: the distinct keyword entries of every movie."""
     items = explode_array(layers(spark, sf).staged("keywords"), "keywords", [col("id").alias("movie_key")])
-    return items.groupBy("movie_key").agg(F.count(F.lit(1)).alias("entries"), F.max("name").alias("last_name"))
+    return items.distinct().groupBy("movie_key").agg(F.count(F.lit(1)).alias("entries"), F.max("name").alias("last_name"))
 
 
 QUERIES: dict[str, Query] = {

@@ -158,10 +158,14 @@ def keyword(keywords: DataFrame, lenient: bool = False) -> DataFrame:
 
 def _links(staged: DataFrame, array: str, child: str, value, current_only: bool) -> DataFrame:
     docs = staged.where(col("id").isNotNull())
-    if current_only:
-        docs = latest_by(docs, ["id"], "extracted_at", [col("source_key").desc()])
-    items = docs.select(col("id").alias("movie_key"), F.explode(array).alias("item"))
-    return bridge(items.select(as_bigint(col("movie_key")).alias("movie_id"), value.alias(child)), "movie_id", child)
+    items = docs.select(col("id").alias("movie_key"), "extracted_at", F.explode(array).alias("item"))
+    links = items.select(as_bigint(col("movie_key")).alias("movie_id"), value.alias(child), "extracted_at")
+    if not current_only:
+        return bridge(links, "movie_id", child)
+    # Both sides are folded to their latest time before the join, so a hot id is one row there.
+    latest = docs.groupBy(as_bigint(col("id")).alias("movie_id")).agg(F.max("extracted_at").alias("latest"))
+    seen = links.groupBy("movie_id", child).agg(F.max("extracted_at").alias("seen"))
+    return bridge(seen.join(latest, "movie_id").where(col("seen") == col("latest")), "movie_id", child)
 
 
 def movie_genre(movies: DataFrame, current_only: bool = False) -> DataFrame:

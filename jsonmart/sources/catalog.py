@@ -125,7 +125,7 @@ def run_manifests(landing: DataFrame, run_ts: Column, extra: dict[str, Column] |
 class Catalog:
     """The two catalog tables, upserted by key."""
 
-    def __init__(self, spark: SparkSession, root: str, bucket: str = "landing", n_buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str, bucket: str = "landing", n_buckets: int | None = None):
         self.bucket = bucket
         self.ingest_objects = KeyedTable(
             spark, f"{root}/ingest_objects", REGISTRY_SCHEMA, REGISTRY_KEYS, n_buckets=n_buckets

@@ -23,8 +23,8 @@ def write_landing(df: DataFrame, root: str, mode: str = "append") -> None:
     """Land documents: columns resource, ingest_date, run_id, name, payload.
 
     A struct payload is rendered as compact JSON with its nulls; a string is kept as it is.
-    Rows are spread by document, not by resource, so a resource with most of the rows is written
-    by many tasks.
+    The rows are rebalanced by directory: small directories get one file, and a directory with
+    most of the rows is split over many tasks.
     """
     payload: Column = F.col("payload")
     if df.schema["payload"].dataType.typeName() == "struct":
@@ -35,7 +35,7 @@ def write_landing(df: DataFrame, root: str, mode: str = "append") -> None:
         "resource",
         F.col("ingest_date").cast("date").alias("ingest_date"),
         keys.safe_run_id(F.col("run_id")).alias("run_id"),
-    ).write.partitionBy(*_PARTITIONS).mode(mode).json(root)
+    ).hint("rebalance", *[F.col(c) for c in _PARTITIONS]).write.partitionBy(*_PARTITIONS).mode(mode).json(root)
 
 
 def _restrict(df: DataFrame, ingest_date: str | None, run_id: str | None) -> DataFrame:

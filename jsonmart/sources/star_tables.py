@@ -2,7 +2,8 @@
 
 The documents hold the order lines in arrays. An order with very many lines is split into pages,
 each a document of its own with the same id and time, so that no task has to gather it whole; the
-conforming jobs collect arrays over all documents of an id, so they see no difference.
+conforming jobs collect arrays over all documents of an id, so they see no difference. Exact copies
+of a line are one array entry, folded before the shuffle.
 """
 
 from __future__ import annotations
@@ -41,17 +42,32 @@ def _document_key(snapshot: Column) -> Column:
     return F.when(col("page") == 0, base).otherwise(F.concat(base, F.lit("-p"), col("page").cast("string")))
 
 
+def _long_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with more lines than a document takes, and their number of documents."""
+    counts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(col("n") > DOCUMENT_LINES).select(
+        "l_orderkey", F.ceil(col("n") / DOCUMENT_LINES).alias("pages")
+    )
+
+
 def _paged_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Order lines with the page of the document they belong to; 0 but for very long orders."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *columns)
-    long_orders = (
-        lines.groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(col("n") > DOCUMENT_LINES)
-        .select("l_orderkey", F.ceil(col("n") / DOCUMENT_LINES).alias("pages"))
-    )
     page = F.pmod(F.xxhash64("l_linenumber", *columns), F.coalesce("pages", F.lit(1)))
-    return lines.join(long_orders, "l_orderkey", "left").withColumn("page", page.cast("int")).drop("pages")
+    long_orders = _long_orders(spark, sf_dir)
+    return lines.join(long_orders, "l_orderkey", "left").withColumn("page", page).drop("pages")
+
+
+def _paged_orders(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """One row per order and page. The numbers are made in two steps to keep each array short."""
+    long_orders = _long_orders(spark, sf_dir).withColumnRenamed("l_orderkey", "o_orderkey")
+    last = F.coalesce("pages", F.lit(1)) - 1
+    return (
+        orders.join(long_orders, "o_orderkey", "left")
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.floor(last / 1000))))
+        .withColumn("page", F.explode(F.sequence(col("block") * 1000, F.least(last, col("block") * 1000 + 999))))
+        .drop("pages", "block")
+    )
 
 
 def _parts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -104,10 +120,11 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     key = col("o_orderkey")
     snapshots = F.when(key % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    # Joined by order and page, as the arrays were grouped: they are not shuffled again, and the
+    # pages of a long order stay apart.
     docs = (
-        orders.join(per_document, "o_orderkey", "left")
-        .join(buyers, "o_custkey")
-        .withColumn("page", F.coalesce("page", F.lit(0)))
+        _paged_orders(spark, sf_dir, orders.join(buyers, "o_custkey"))
+        .join(per_document, ["o_orderkey", "page"], "left")
         .withColumn("s", F.explode(snapshots))
     )
     title = F.concat(F.lit("Order "), key.cast("string"))
@@ -161,8 +178,8 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     actor = F.struct(*who, col("p_name").alias("character"), (col("l_linenumber") - 1).alias("order"))
     helper = F.struct(*who, col("p_type").alias("department"), col("l_returnflag").alias("job"))
     docs = lines.groupBy("l_orderkey", "page").agg(
-        F.array_sort(F.collect_list(F.when(col("l_linestatus") == "F", actor))).alias("cast"),
-        F.array_sort(F.collect_list(F.when(col("l_linestatus") == "O", helper))).alias("crew"),
+        F.array_sort(F.collect_set(F.when(col("l_linestatus") == "F", actor))).alias("cast"),
+        F.array_sort(F.collect_set(F.when(col("l_linestatus") == "O", helper))).alias("crew"),
     )
     key = col("l_orderkey")
     fields = [key.alias("id"), col("cast"), col("crew")]
