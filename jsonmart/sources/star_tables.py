@@ -3,7 +3,7 @@
 The documents hold the order lines in arrays. An order with very many lines is split into pages,
 each a document of its own with the same id and time, so that no task has to gather it whole; the
 conforming jobs collect arrays over all documents of an id, so they see no difference. Exact copies
-of a line are one array entry, folded before the shuffle.
+of a line are one array entry.
 """
 
 from __future__ import annotations
@@ -51,9 +51,13 @@ def _long_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _paged_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Order lines with the page of the document they belong to; 0 but for very long orders."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *columns)
-    page = F.pmod(F.xxhash64("l_linenumber", *columns), F.coalesce("pages", F.lit(1)))
+    """Distinct order lines with the page of the document they belong to; 0 but for long orders.
+
+    Lines go to pages by their content. Copies would all go to one page, so they are folded
+    first, before and after the shuffle.
+    """
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *columns).distinct()
+    page = F.pmod(F.xxhash64(*columns), F.coalesce("pages", F.lit(1)))
     long_orders = _long_orders(spark, sf_dir)
     return lines.join(long_orders, "l_orderkey", "left").withColumn("page", page).drop("pages")
 
@@ -103,9 +107,9 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("C"), col("s_nationkey").cast("string")).alias("iso_3166_1"), col("maker_nation").alias("name")
     )
     per_document = lines.groupBy(col("l_orderkey").alias("o_orderkey"), "page").agg(
-        F.array_sort(F.collect_set(genre)).alias("genres"),
-        F.array_sort(F.collect_set(maker_item)).alias("production_companies"),
-        F.array_sort(F.collect_set(place)).alias("production_countries"),
+        F.sort_array(F.collect_set(genre)).alias("genres"),
+        F.sort_array(F.collect_set(maker_item)).alias("production_companies"),
+        F.sort_array(F.collect_set(place)).alias("production_countries"),
     )
     home = nation.join(table(spark, sf_dir, "region"), col("n_regionkey") == col("r_regionkey")).select(
         col("n_nationkey").alias("c_nationkey"), "r_regionkey", "r_name"
@@ -162,7 +166,7 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that are done are the cast, open ones the crew; both are suppliers."""
     lines = (
-        _paged_lines(spark, sf_dir, "l_partkey", "l_suppkey", "l_linestatus", "l_returnflag")
+        _paged_lines(spark, sf_dir, "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus", "l_returnflag")
         .join(_parts(spark, sf_dir, "p_name", "p_type"), "l_partkey")
         .join(_suppliers(spark, sf_dir, "s_name", "s_acctbal"), "l_suppkey")
     )
@@ -178,8 +182,8 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     actor = F.struct(*who, col("p_name").alias("character"), (col("l_linenumber") - 1).alias("order"))
     helper = F.struct(*who, col("p_type").alias("department"), col("l_returnflag").alias("job"))
     docs = lines.groupBy("l_orderkey", "page").agg(
-        F.array_sort(F.collect_set(F.when(col("l_linestatus") == "F", actor))).alias("cast"),
-        F.array_sort(F.collect_set(F.when(col("l_linestatus") == "O", helper))).alias("crew"),
+        F.sort_array(F.collect_list(F.when(col("l_linestatus") == "F", actor))).alias("cast"),
+        F.sort_array(F.collect_list(F.when(col("l_linestatus") == "O", helper))).alias("crew"),
     )
     key = col("l_orderkey")
     fields = [key.alias("id"), col("cast"), col("crew")]
@@ -190,7 +194,7 @@ def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part sizes as keywords; a size goes by several names."""
     lines = _paged_lines(spark, sf_dir, "l_partkey").join(_parts(spark, sf_dir, "p_size", "p_type"), "l_partkey")
     item = F.struct(col("p_size").alias("id"), col("p_type").alias("name"))
-    docs = lines.groupBy("l_orderkey", "page").agg(F.array_sort(F.collect_set(item)).alias("keywords"))
+    docs = lines.groupBy("l_orderkey", "page").agg(F.sort_array(F.collect_set(item)).alias("keywords"))
     key = col("l_orderkey")
     return _payload_rows(
         docs, "keywords", key, [key.alias("id"), col("keywords")], _document_key(F.lit(0)), F.lit(0)
@@ -221,14 +225,14 @@ def genre_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = _brand_number(col("p_brand"))
     brands = table(spark, sf_dir, "part").select("p_brand").distinct().where(number % 5 != 0)
     padded = F.concat(F.lit("  "), col("p_brand"), F.lit(" "))
-    docs = brands.agg(F.array_sort(F.collect_list(F.struct(number.alias("id"), padded.alias("name")))).alias("genres"))
+    docs = brands.agg(F.sort_array(F.collect_list(F.struct(number.alias("id"), padded.alias("name")))).alias("genres"))
     return _payload_rows(docs, "genre", F.lit(0), [col("genres")], F.lit("k0"), F.lit(0))
 
 
 def _listing(spark: SparkSession, sf_dir: str, resource: str, orders: DataFrame) -> DataFrame:
     ids = orders.select(col("o_orderkey").alias("id")).distinct()
     page = F.floor(col("id") / LISTING_PAGE_SIZE) + 1
-    pages = ids.groupBy(page.alias("page")).agg(F.array_sort(F.collect_list(F.struct("id"))).alias("results"))
+    pages = ids.groupBy(page.alias("page")).agg(F.sort_array(F.collect_list(F.struct("id"))).alias("results"))
     last = table(spark, sf_dir, "orders").agg(F.floor(F.max("o_orderkey") / LISTING_PAGE_SIZE) + 1).scalar()
     docs = pages.withColumn("total_pages", last)
     fields = [col("page"), col("total_pages"), col("results")]
