@@ -17,12 +17,6 @@ def _struct(*names: str) -> str:
     return "STRUCT<" + ", ".join(f"`{n}`: STRING" for n in names) + ">"
 
 
-def _columns(scalars: tuple[str, ...], arrays: dict[str, str] | None = None) -> str:
-    parts = [f"`{s}` STRING" for s in scalars]
-    parts += [f"`{a}` ARRAY<{t}>" for a, t in (arrays or {}).items()]
-    return ", ".join(parts)
-
-
 # Cast and crew share one element type, so that the two arrays can be concatenated.
 CREDIT_FIELDS = (
     "id", "name", "gender", "known_for_department", "popularity", "credit_id",
@@ -39,8 +33,9 @@ PERSON_SCALARS = (
     "birthday", "deathday", "place_of_birth", "biography",
 )
 
-PAYLOAD_SCHEMAS = {
-    "movie": _columns(
+# Resource -> (scalar fields, array fields with their element types).
+PAYLOAD_FIELDS: dict[str, tuple[tuple[str, ...], dict[str, str]]] = {
+    "movie": (
         MOVIE_SCALARS,
         {
             "genres": _struct("id", "name"),
@@ -49,15 +44,46 @@ PAYLOAD_SCHEMAS = {
             "spoken_languages": _struct("iso_639_1", "english_name", "name"),
         },
     ),
-    "credits": _columns(("id",), {"cast": _struct(*CREDIT_FIELDS), "crew": _struct(*CREDIT_FIELDS)}),
-    "keywords": _columns(("id",), {"keywords": _struct("id", "name")}),
-    "person": _columns(PERSON_SCALARS),
-    "genre": _columns((), {"genres": _struct("id", "name")}),
-    "movie_popular": _columns(("page", "total_pages"), {"results": _struct("id")}),
-    "movie_top_rated": _columns(("page", "total_pages"), {"results": _struct("id")}),
+    "credits": (("id",), {"cast": _struct(*CREDIT_FIELDS), "crew": _struct(*CREDIT_FIELDS)}),
+    "keywords": (("id",), {"keywords": _struct("id", "name")}),
+    "person": (PERSON_SCALARS, {}),
+    "genre": ((), {"genres": _struct("id", "name")}),
+    "movie_popular": (("page", "total_pages"), {"results": _struct("id")}),
+    "movie_top_rated": (("page", "total_pages"), {"results": _struct("id")}),
 }
 
 
+def _array_objects(payload: Column, name: str, element: str) -> Column:
+    texts = F.from_json(payload, f"`{name}` ARRAY<STRING>")[name]
+    objects = F.filter(texts, lambda t: F.json_object_keys(t).isNotNull())
+    return F.transform(objects, lambda t: F.from_json(t, element))
+
+
+CORRUPT = "_corrupt_record"
+
+
+def parse_document(payload: Column, resource: str) -> Column:
+    """A document as one struct; the text itself is in ``CORRUPT`` if its shape is not the expected one."""
+    scalars, arrays = PAYLOAD_FIELDS[resource]
+    types = [f"`{s}` STRING" for s in scalars] + [f"`{a}` ARRAY<{t}>" for a, t in arrays.items()]
+    return F.from_json(payload, ", ".join([*types, f"{CORRUPT} STRING"]), {"columnNameOfCorruptRecord": CORRUPT})
+
+
+def document_fields(doc: Column, resource: str) -> dict[str, Column]:
+    """The fields of a parsed document, and whether it had another shape (``malformed``).
+
+    from_json gives up an array as a whole when one element is no object. Such documents, and no
+    others, are read a second time element by element, and their objects are kept. Something that
+    is no array gives no elements.
+    """
+    scalars, arrays = PAYLOAD_FIELDS[resource]
+    malformed = doc[CORRUPT].isNotNull()
+    fields = {s: doc[s] for s in scalars}
+    for name, element in arrays.items():
+        fields[name] = F.when(malformed, _array_objects(doc[CORRUPT], name, element)).otherwise(doc[name])
+    return {**fields, "malformed": malformed}
+
+
 def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 

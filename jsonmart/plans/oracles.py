@@ -362,8 +362,8 @@ def _listing(status: str) -> str:
 
 
 _REJECT_FIELDS = {
-    "movie": "id release_date runtime popularity vote_average vote_count budget revenue adult",
-    "person": "id gender popularity birthday deathday",
+    "movie": "id release_date runtime popularity vote_average vote_count budget revenue adult malformed",
+    "person": "id gender popularity birthday deathday malformed",
 }
 
 ORACLES: dict[str, str] = {

@@ -265,13 +265,13 @@ _CAST_FIELDS = {
 
 
 def cast_rejects(staged: DataFrame, resource: str) -> DataFrame:
-    """How many non-blank values of each scalar field a lenient build would turn into null."""
+    """How many non-blank values of each scalar field a lenient build would turn into null.
+
+    The row ``malformed`` counts documents that had another shape than expected.
+    """
     fields = _CAST_FIELDS[resource]
-    counts = staged.agg(
-        *[
-            F.count_if(clean(col(f)).isNotNull() & cast(col(f), True).isNull()).alias(f)
-            for f, cast in fields.items()
-        ]
-    )
-    rows = F.array(*[F.struct(F.lit(f).alias("field"), col(f).alias("rejected")) for f in fields])
+    rejected = {f: clean(col(f)).isNotNull() & cast(col(f), True).isNull() for f, cast in fields.items()}
+    rejected["malformed"] = col("malformed")
+    counts = staged.agg(*[F.count_if(c).alias(f) for f, c in rejected.items()])
+    rows = F.array(*[F.struct(F.lit(f).alias("field"), col(f).alias("rejected")) for f in rejected])
     return counts.select(F.lit(resource).alias("resource"), F.inline(rows))

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import PAYLOAD_SCHEMAS
+from ..functions.jsonx import document_fields, parse_document
 
 
 def stage(raw: DataFrame, resource: str) -> DataFrame:
-    """Payloads of one resource as columns, with source_key and extracted_at.
+    """Payloads of one resource as columns, with malformed, source_key and extracted_at.
 
     The resource filter prunes directories; the schema is fixed, so no pass infers it.
     """
-    doc = F.from_json("payload", PAYLOAD_SCHEMAS[resource]).alias("doc")
-    return (
-        raw.where(F.col("resource") == resource)
-        .select(doc, "source_key", "extracted_at")
-        .select("doc.*", "source_key", "extracted_at")
+    # Two steps, so that a document is parsed once and not once per field.
+    parsed = raw.where(F.col("resource") == resource).select(
+        parse_document(F.col("payload"), resource).alias("doc"), "source_key", "extracted_at"
     )
+    fields = document_fields(F.col("doc"), resource)
+    return parsed.select(*[c.alias(name) for name, c in fields.items()], "source_key", "extracted_at")

@@ -1,0 +1,187 @@
+"""Conformed tables on hand-made payloads: one test per rule that is easy to get wrong."""
+
+import datetime
+from decimal import Decimal
+
+import pytest
+from payloads import staged, tuples
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from jsonmart.plans import silver
+
+
+def test_missing_null_and_empty_arrays_give_no_rows(spark):
+    df = staged(spark, "movie", {"id": 1, "genres": None}, {"id": 2}, {"id": 3, "genres": []}, {"id": 4, "genres": [{"id": 9}]})
+    assert tuples(silver.movie_genre(df)) == [(4, 9)]
+    assert silver.movie(df).count() == 4
+
+
+def test_no_array_gives_no_rows_and_is_counted(spark):
+    df = staged(spark, "movie", {"id": 1, "genres": {"id": 5, "name": "A"}}, {"id": 2, "genres": "x"}, {"id": 3})
+    assert tuples(silver.movie_genre(df)) == []
+    assert tuples(silver.movie(df), "movie_id") == [(1,), (2,), (3,)]
+    rejects = {r.field: r.rejected for r in silver.cast_rejects(df, "movie").collect()}
+    assert rejects["malformed"] == 2
+
+
+def test_objects_of_a_mixed_array_are_kept(spark):
+    df = staged(
+        spark,
+        "movie",
+        {"id": 1, "genres": [{"id": 5, "name": "A"}, 3, None, "x", [1]], "production_companies": [{"id": 7, "name": "c"}]},
+    )
+    assert tuples(silver.movie_genre(df)) == [(1, 5)]
+    assert tuples(silver.company(df)) == [(7, "c", None)]
+
+
+def test_quoted_numbers_and_blanks(spark):
+    df = staged(spark, "movie", {"id": "12", "runtime": "", "budget": "7", "popularity": "", "release_date": " "})
+    row = silver.movie(df).first()
+    assert (row.movie_id, row.runtime, row.budget, row.revenue) == (12, None, 7, 0)
+    assert (row.popularity, row.release_date, row.adult) == (None, None, False)
+
+
+def test_only_spaces_are_trimmed(spark):
+    df = staged(spark, "movie", {"id": 1, "title": "  ", "original_title": " a ", "status": "\t", "overview": "  "})
+    row = silver.movie(df).first()
+    assert (row.title, row.original_title, row.status, row.overview) == (None, "a", "\t", "  ")
+
+
+def test_duplicate_json_keys_last_wins(spark):
+    df = staged(spark, "movie", '{"id":1,"id":2,"title":"a","title":"b"}')
+    assert tuples(silver.movie(df), "movie_id", "title") == [(2, "b")]
+
+
+def test_bad_value_stops_or_is_counted(spark):
+    df = staged(spark, "movie", {"id": 1, "runtime": "12.5", "budget": "x"}, {"id": 2, "runtime": "12"})
+    with pytest.raises(PySparkException):
+        silver.movie(df).collect()
+    assert tuples(silver.movie(df, lenient=True), "movie_id", "runtime", "budget") == [(1, None, 0), (2, 12, 0)]
+    rejects = {r.field: r.rejected for r in silver.cast_rejects(df, "movie").collect()}
+    assert (rejects["runtime"], rejects["budget"], rejects["id"]) == (1, 1, 0)
+
+
+def test_latest_snapshot_and_tie(spark):
+    df = staged(
+        spark,
+        "movie",
+        ({"id": 1, "title": "new"}, 2, "a"),
+        ({"id": 1, "title": "old"}, 1, "b"),
+        ({"id": 2, "title": "first"}, 1, "a"),
+        ({"id": 2, "title": "last"}, 1, "b"),
+        ({"title": "no id"}, 3, "c"),
+    )
+    assert tuples(silver.movie(df), "movie_id", "title") == [(1, "new"), (2, "last")]
+
+
+def test_links_persist_over_snapshots(spark):
+    df = staged(
+        spark,
+        "movie",
+        ({"id": 1, "genres": [{"id": 1}, {"id": 2}, {"id": 2}]}, 1),
+        ({"id": 1, "genres": [{"id": 2}, {"name": "no id"}]}, 2),
+        ({"id": 2, "genres": [{"id": 3}]}, 1),
+        ({"id": 2, "genres": []}, 2),
+    )
+    assert tuples(silver.movie_genre(df)) == [(1, 1), (1, 2), (2, 3)]
+    assert tuples(silver.movie_genre(df, current_only=True)) == [(1, 2)]
+
+
+def test_genre_joins_list_and_usage(spark):
+    listed = staged(spark, "genre", {"genres": [{"id": 1, "name": " Drama "}, {"id": 2, "name": "Action"}, {"name": "x"}]})
+    used = staged(spark, "movie", {"id": 1, "genres": [{"id": 1, "name": "Drama"}, {"id": 2, "name": "Zaction"}, {"id": 3, "name": " "}]})
+    assert tuples(silver.genre(listed, used)) == [(1, "Drama"), (2, "Zaction"), (3, None)]
+
+
+def test_dimension_columns_take_their_maximum_apart(spark):
+    df = staged(
+        spark,
+        "movie",
+        ({"id": 1, "production_companies": [{"id": 7, "name": "B", "origin_country": "AA"}]}, 1),
+        ({"id": 1, "production_companies": [{"id": 7, "name": "A", "origin_country": "ZZ"}, {"name": "no id"}]}, 2),
+    )
+    assert tuples(silver.company(df)) == [(7, "B", "ZZ")]
+
+
+def test_text_maximum_is_binary(spark):
+    df = staged(spark, "movie", {"id": 1, "production_companies": [{"id": 1, "name": "B"}, {"id": 1, "name": "a"}]})
+    assert tuples(silver.company(df), "name") == [("a",)]
+
+
+def test_blank_codes_are_dropped(spark):
+    df = staged(
+        spark,
+        "movie",
+        {
+            "id": 1,
+            "production_countries": [{"iso_3166_1": " ", "name": "x"}, {"iso_3166_1": " US ", "name": " "}],
+            "spoken_languages": [{"iso_639_1": "", "name": "x"}, {"iso_639_1": "en", "english_name": "E", "name": "n"}],
+        },
+    )
+    assert tuples(silver.country(df)) == [("US", None)]
+    assert tuples(silver.language(df)) == [("en", "E", "n")]
+    assert tuples(silver.movie_country(df)) == [(1, "US")]
+
+
+def test_keywords(spark):
+    df = staged(spark, "keywords", {"id": 1, "keywords": [{"id": 5, "name": "a"}, {"id": 5, "name": "b"}, {"name": "c"}]}, {"keywords": [{"id": 6}]})
+    assert tuples(silver.keyword(df)) == [(5, "b"), (6, None)]
+    assert tuples(silver.movie_keyword(df)) == [(1, 5)]
+
+
+def test_credit_ties_snapshots_and_blanks(spark):
+    def cast(i, person, character, order="0"):
+        return {"credit_id": i, "id": person, "character": character, "order": order}
+
+    df = staged(
+        spark,
+        "credits",
+        ({"id": 1, "cast": [cast("a", 2, "y"), cast("a", 1, "x"), cast("", 3, "blank"), cast("c", None, "null")]}, 1),
+        ({"id": 1, "cast": [cast("b", 5, " B ", ""), cast("b", 4, None, 3)]}, 1),
+        ({"id": 1, "cast": [cast("b", 6, " late ", 1)]}, 2),
+        ({"cast": [cast("d", 7, "no movie")]}, 1),
+    )
+    assert tuples(silver.credit_cast(df)) == [(1, 1, "a", "x", 0), (1, 6, "b", " late ", 1)]
+
+
+def test_crew_texts_are_cleaned(spark):
+    crew = [{"credit_id": "a", "id": 1, "department": " ", "job": " Editor "}]
+    assert tuples(silver.credit_crew(staged(spark, "credits", {"id": 1, "crew": crew}))) == [(1, 1, "a", None, "Editor")]
+
+
+def credit(person, popularity, name):
+    return {"id": person, "popularity": popularity, "name": name, "credit_id": f"{person}{name}"}
+
+
+def test_person_detail_beats_newer_credit(spark):
+    details = staged(
+        spark,
+        "person",
+        ({"id": 1, "name": "old", "birthday": "1970-01-02", "deathday": "", "biography": " raw "}, 1),
+        ({"id": 1, "name": "detail", "birthday": "1970-01-02", "gender": "2", "biography": " raw "}, 2),
+    )
+    credits = staged(
+        spark,
+        "credits",
+        ({"id": 9, "cast": [credit(1, 99, "credit"), credit(2, 1, "low")], "crew": [credit(2, 5, "high")]}, 3),
+        ({"id": 9, "cast": [credit(2, 2, "latest")], "crew": None}, 5),
+    )
+    got = tuples(silver.person(details, credits), "person_id", "name", "gender", "birthday", "biography")
+    assert got == [(1, "detail", 2, datetime.date(1970, 1, 2), " raw "), (2, "high", None, None, None)]
+
+
+def test_person_null_and_equal_popularity(spark):
+    none = staged(spark, "person", {"name": "no id"})
+    credits = staged(spark, "credits", {"cast": [credit(3, None, "none"), credit(3, "", "blank"), credit(3, "0.10", "b"), credit(3, 0.1, "a")]})
+    assert tuples(silver.person(none, credits), "person_id", "name", "popularity") == [(3, "a", Decimal("0.1"))]
+
+
+def test_result_does_not_depend_on_row_order_or_partitions(spark):
+    cast = [credit(p, p % 3, f"n{i}") | {"order": i} for i, p in enumerate([1, 2, 3, 1, 2, 3, 4] * 5)]
+    payloads = [({"id": m, "cast": cast[m : m + 20], "crew": cast[m + 5 :]}, 1 + m % 2, f"k{m}") for m in range(12)]
+    none = staged(spark, "person", {"name": "no id"})
+    a = staged(spark, "credits", *payloads)
+    b = staged(spark, "credits", *reversed(payloads)).repartition(7, F.rand(3))
+    for build in (silver.credit_cast, silver.credit_crew, lambda c: silver.person(none, c)):
+        assert tuples(build(a).select(F.to_json(F.struct("*")))) == tuples(build(b).select(F.to_json(F.struct("*"))))
