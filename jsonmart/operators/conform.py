@@ -8,12 +8,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def explode_array(df: DataFrame, array: Column | str, keep: Sequence[Column | str] = ()) -> DataFrame:
-    """One row per array element, element fields as columns prefixed by nothing.
+def explode_array(
+    df: DataFrame, arrays: str | Sequence[str], fields: Sequence[str], keep: Sequence[Column | str] = ()
+) -> DataFrame:
+    """One row per element of an array of structs: the kept columns, then the named element fields.
 
-    Rows whose array is missing, null or empty vanish. The kept columns come first.
+    Several arrays are read one after the other. Missing, null and empty arrays give no rows. The
+    fields are zipped from one array each, as Spark prunes the scan to them only in this form;
+    an explode of the whole array reads all fields of its elements.
     """
-    exploded = df.select(*keep, F.explode(array).alias("_item"))
+    names = [arrays] if isinstance(arrays, str) else list(arrays)
+
+    def values(field: str) -> Column:
+        if len(names) == 1:
+            return F.col(f"{names[0]}.{field}")
+        none = F.array().cast(df.select(f"{names[0]}.{field}").schema[0].dataType)
+        return F.concat(*[F.coalesce(F.col(f"{n}.{field}"), none) for n in names])
+
+    zipped = F.arrays_zip(*[values(f).alias(f) for f in fields])
+    exploded = df.select(*keep, F.explode(zipped).alias("_item"))
     kept = exploded.columns[:-1]
     return exploded.select(*kept, "_item.*")
 

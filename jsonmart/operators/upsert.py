@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from ..functions.values import COMPRESSION
+
 # Bucket sizing of a first load: enough buckets to keep each below a few hundred MB of documents.
 ROWS_PER_BUCKET = 250_000
 MIN_BUCKETS = 8
@@ -124,7 +126,7 @@ class KeyedTable:
         # Written once: the rows are read several times, and a lost executor must not redo them.
         path = f"{self.path}/staged/commit={commit}"
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
-        df.select(*typed).write.mode("overwrite").parquet(path)
+        df.select(*typed).write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
         return self.spark.read.schema(self.schema).parquet(path)
 
     def _bucket_count(self, staged: DataFrame) -> int:
@@ -176,7 +178,9 @@ class KeyedTable:
         return reduce(lambda a, b: a | b, terms)
 
     def _write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").partitionBy(*self._slots).parquet(f"{self.path}/data/version={version}")
+        df.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*self._slots).parquet(
+            f"{self.path}/data/version={version}"
+        )
 
     def _publish(self, commit: int, n_buckets: int, slots: list[tuple]) -> None:
         # An empty table still needs a commit, else the one before it would stay live.

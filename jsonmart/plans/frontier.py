@@ -23,7 +23,7 @@ def within_pages(listing: DataFrame, max_pages: int | None) -> DataFrame:
 
 def listing_ids(listing: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Distinct ids of one listing, ascending."""
-    items = explode_array(within_pages(listing, max_pages), "results").where(col("id").isNotNull())
+    items = explode_array(within_pages(listing, max_pages), "results", ["id"]).where(col("id").isNotNull())
     return items.select(as_bigint(col("id")).alias("movie_id")).distinct().orderBy("movie_id")
 
 
@@ -35,9 +35,7 @@ def movie_ids(popular: DataFrame, top_rated: DataFrame, max_pages: int | None =
 
 def people_ids(credits: DataFrame) -> DataFrame:
     """Distinct people over cast and crew, ascending."""
-    none = F.array().cast(credits.schema["cast"].dataType)
-    everyone = F.concat(F.coalesce("cast", none), F.coalesce("crew", none))
-    items = explode_array(credits, everyone).where(col("id").isNotNull())
+    items = explode_array(credits, ["cast", "crew"], ["id"]).where(col("id").isNotNull())
     return items.select(as_bigint(col("id")).alias("person_id")).distinct().orderBy("person_id")
 
 

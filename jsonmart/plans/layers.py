@@ -8,6 +8,7 @@ from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.values import COMPRESSION
 from ..operators.quality import dq_report, gate
 from .checks import GOLD_CHECKS, SILVER_CHECKS
 from .gold import GOLD
@@ -39,7 +40,7 @@ class Layers:
             if name not in self._written:
                 df = plan()
                 path = f"{self.root}/{name}"
-                df.write.mode("overwrite").parquet(path)
+                df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
                 self._written[name] = self.spark.read.schema(df.schema).parquet(path)
             return self._written[name]
 

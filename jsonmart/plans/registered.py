@@ -329,7 +329,8 @@ def _page_names(spark, sf):
 
 def _payload_keywords(spark, sf):
     """Array expansion alone: the distinct keyword entries of every movie."""
-    items = explode_array(layers(spark, sf).staged("keywords"), "keywords", [col("id").alias("movie_key")])
+    staged = layers(spark, sf).staged("keywords")
+    items = explode_array(staged, "keywords", ["id", "name"], [col("id").alias("movie_key")])
     return items.distinct().groupBy("movie_key").agg(F.count(F.lit(1)).alias("entries"), F.max("name").alias("last_name"))
 
 

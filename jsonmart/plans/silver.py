@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import (
@@ -85,10 +85,8 @@ def person(details: DataFrame, credits: DataFrame, lenient: bool = False) -> Dat
         recency=col("extracted_at"),
         tie=col("source_key"),
     )
-    none = F.array().cast(credits.schema["cast"].dataType)
-    everyone = F.concat(F.coalesce("cast", none), F.coalesce("crew", none))
     from_credits = select(
-        explode_array(credits, everyone),
+        explode_array(credits, ["cast", "crew"], ["id", "name", "gender", "known_for_department", "popularity"]),
         "credit",
         birthday=no_date,
         deathday=no_date,
@@ -118,7 +116,7 @@ def genre(genre_list: DataFrame, movies: DataFrame, lenient: bool = False) -> Da
     """Reference list and movie genres together; the largest name per id."""
 
     def items(staged: DataFrame) -> DataFrame:
-        return explode_array(staged, "genres").select(
+        return explode_array(staged, "genres", ["id", "name"]).select(
             as_int(col("id"), lenient).alias("genre_id"), clean(col("name")).alias("name")
         )
 
@@ -127,7 +125,7 @@ def genre(genre_list: DataFrame, movies: DataFrame, lenient: bool = False) -> Da
 
 
 def company(movies: DataFrame, lenient: bool = False) -> DataFrame:
-    items = explode_array(movies, "production_companies").where(col("id").isNotNull())
+    items = explode_array(movies, "production_companies", ["id", "name", "origin_country"]).where(col("id").isNotNull())
     typed = items.select(
         as_bigint(col("id"), lenient).alias("company_id"),
         clean(col("name")).alias("name"),
@@ -137,61 +135,62 @@ def company(movies: DataFrame, lenient: bool = False) -> DataFrame:
 
 
 def country(movies: DataFrame) -> DataFrame:
-    items = explode_array(movies, "production_countries").select(
+    items = explode_array(movies, "production_countries", ["iso_3166_1", "name"]).select(
         clean(col("iso_3166_1")).alias("iso_3166_1"), clean(col("name")).alias("name")
     )
     return conform_dim(items.where(col("iso_3166_1").isNotNull()), "iso_3166_1", ["name"])
 
 
 def language(movies: DataFrame) -> DataFrame:
-    items = explode_array(movies, "spoken_languages").select(
-        *[clean(col(c)).alias(c) for c in ("iso_639_1", "english_name", "name")]
-    )
+    fields = ["iso_639_1", "english_name", "name"]
+    items = explode_array(movies, "spoken_languages", fields).select(*[clean(col(c)).alias(c) for c in fields])
     return conform_dim(items.where(col("iso_639_1").isNotNull()), "iso_639_1", ["english_name", "name"])
 
 
 def keyword(keywords: DataFrame, lenient: bool = False) -> DataFrame:
-    items = explode_array(keywords, "keywords").where(col("id").isNotNull())
+    items = explode_array(keywords, "keywords", ["id", "name"]).where(col("id").isNotNull())
     typed = items.select(as_bigint(col("id"), lenient).alias("keyword_id"), clean(col("name")).alias("name"))
     return conform_dim(typed, "keyword_id", ["name"])
 
 
-def _links(staged: DataFrame, array: str, child: str, value, current_only: bool) -> DataFrame:
-    docs = staged.where(col("id").isNotNull())
-    items = docs.select(col("id").alias("movie_key"), "extracted_at", F.explode(array).alias("item"))
-    links = items.select(as_bigint(col("movie_key")).alias("movie_id"), value.alias(child), "extracted_at")
+def _links(
+    staged: DataFrame, array: str, field: str, child: str, convert: Callable[[Column], Column], current_only: bool
+) -> DataFrame:
+    docs = staged.where(col("id").isNotNull()).withColumnRenamed("id", "movie_key")
+    items = explode_array(docs, array, [field], ["movie_key", "extracted_at"])
+    movie_id = as_bigint(col("movie_key")).alias("movie_id")
+    links = items.select(movie_id, convert(col(field)).alias(child), "extracted_at")
     if not current_only:
         return bridge(links, "movie_id", child)
     # Both sides are folded to their latest time before the join, so a hot id is one row there.
-    latest = docs.groupBy(as_bigint(col("id")).alias("movie_id")).agg(F.max("extracted_at").alias("latest"))
+    latest = docs.groupBy(movie_id).agg(F.max("extracted_at").alias("latest"))
     seen = links.groupBy("movie_id", child).agg(F.max("extracted_at").alias("seen"))
     return bridge(seen.join(latest, "movie_id").where(col("seen") == col("latest")), "movie_id", child)
 
 
 def movie_genre(movies: DataFrame, current_only: bool = False) -> DataFrame:
-    return _links(movies, "genres", "genre_id", as_int(col("item.id")), current_only)
+    return _links(movies, "genres", "id", "genre_id", as_int, current_only)
 
 
 def movie_company(movies: DataFrame, current_only: bool = False) -> DataFrame:
-    return _links(movies, "production_companies", "company_id", as_bigint(col("item.id")), current_only)
+    return _links(movies, "production_companies", "id", "company_id", as_bigint, current_only)
 
 
 def movie_country(movies: DataFrame, current_only: bool = False) -> DataFrame:
-    return _links(movies, "production_countries", "iso_3166_1", clean(col("item.iso_3166_1")), current_only)
+    return _links(movies, "production_countries", "iso_3166_1", "iso_3166_1", clean, current_only)
 
 
 def movie_keyword(keywords: DataFrame, current_only: bool = False) -> DataFrame:
-    return _links(keywords, "keywords", "keyword_id", as_bigint(col("item.id")), current_only)
+    return _links(keywords, "keywords", "id", "keyword_id", as_bigint, current_only)
 
 
-def _credits(credits: DataFrame, array: str, columns: dict) -> DataFrame:
+def _credits(credits: DataFrame, array: str, fields: list[str], columns: dict[str, Column]) -> DataFrame:
     """Latest row per credit id; rows without a movie, person or credit id are dropped."""
-    items = (
-        credits.where(col("id").isNotNull())
-        .select(col("id").alias("movie_key"), "extracted_at", F.explode(array).alias("item"))
-        .where(col("item.id").isNotNull() & blank_to_null(col("item.credit_id")).isNotNull())
+    docs = credits.where(col("id").isNotNull()).withColumnRenamed("id", "movie_key")
+    items = explode_array(docs, array, ["id", "credit_id", *fields], ["movie_key", "extracted_at"])
+    typed = items.where(col("id").isNotNull() & blank_to_null(col("credit_id")).isNotNull()).select(
+        *[c.alias(n) for n, c in columns.items()], "extracted_at"
     )
-    typed = items.select(*[c.alias(n) for n, c in columns.items()], "extracted_at")
     rest = [col(n).asc_nulls_last() for n in columns if n != "credit_id"]
     return latest_by(typed, ["credit_id"], "extracted_at", rest).drop("extracted_at")
 
@@ -200,12 +199,13 @@ def credit_cast(credits: DataFrame, lenient: bool = False) -> DataFrame:
     return _credits(
         credits,
         "cast",
+        ["character", "order"],
         {
             "movie_id": as_bigint(col("movie_key"), lenient),
-            "person_id": as_bigint(col("item.id"), lenient),
-            "credit_id": col("item.credit_id"),
-            "character": col("item.character"),
-            "cast_order": as_int(blank_to_null(col("item.order")), lenient),
+            "person_id": as_bigint(col("id"), lenient),
+            "credit_id": col("credit_id"),
+            "character": col("character"),
+            "cast_order": as_int(blank_to_null(col("order")), lenient),
         },
     )
 
@@ -214,12 +214,13 @@ def credit_crew(credits: DataFrame, lenient: bool = False) -> DataFrame:
     return _credits(
         credits,
         "crew",
+        ["department", "job"],
         {
             "movie_id": as_bigint(col("movie_key"), lenient),
-            "person_id": as_bigint(col("item.id"), lenient),
-            "credit_id": col("item.credit_id"),
-            "department": clean(col("item.department")),
-            "job": clean(col("item.job")),
+            "person_id": as_bigint(col("id"), lenient),
+            "credit_id": col("credit_id"),
+            "department": clean(col("department")),
+            "job": clean(col("job")),
         },
     )
 

@@ -3,18 +3,22 @@
 Two layouts are read. ``objects`` has one JSON document per file under the object key.
 ``batches`` is what ``write_landing`` makes: many documents per file, partitioned by resource,
 ingest date and run, so that a run scan prunes directories and there are no tiny files.
-Both give the columns of ``LANDING``.
+Both give the same columns.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys
 from ..functions.values import KEY_ROOT
 
-LANDING = ("key", "resource", "ingest_date", "run_id", "filename", "payload", "bytes", "etag", "last_modified")
+_LANDING_SCHEMA = (
+    "key STRING, resource STRING, ingest_date DATE, run_id STRING, filename STRING, payload STRING, "
+    "bytes BIGINT, etag STRING, last_modified TIMESTAMP"
+)
 _BATCH_SCHEMA = "filename STRING, payload STRING, resource STRING, ingest_date DATE, run_id STRING"
 _PARTITIONS = ("resource", "ingest_date", "run_id")
 
@@ -73,8 +77,9 @@ def _batch_columns(df: DataFrame) -> DataFrame:
 
 
 def _object_source(reader, path: str) -> DataFrame:
-    # The lookup option keeps Spark from reading types or conflicts into the directory names.
-    return reader.schema("value STRING").option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    # The lookup option keeps Spark from reading types or conflicts into the directory names. Paths
+    # end in a glob, as Spark would not list the folder of run manifests, '_run', by itself.
+    return reader.schema("value STRING").option("recursiveFileLookup", True).text(path, wholetext=True)
 
 
 def _object_columns(df: DataFrame, key_root: str) -> DataFrame:
@@ -117,15 +122,20 @@ def read_objects(
     """
     base = f"{root.rstrip('/')}/{key_root}"
     if ingest_date is None and run_id is None:
-        return _object_columns(_object_source(spark.read, base), key_root)
+        return _object_columns(_object_source(spark.read, f"{base}/*"), key_root)
     run = "*" if run_id is None else spark.range(1).select(keys.safe_run_id(F.lit(run_id))).first()[0]
     path = f"{base}/*/ingest_date={ingest_date or '*'}/run_id={run}"
-    return _object_columns(_object_source(spark.read, path), key_root)
+    try:
+        return _object_columns(_object_source(spark.read, path), key_root)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _LANDING_SCHEMA)  # a run without objects
 
 
 def read_objects_stream(spark: SparkSession, root: str, key_root: str = KEY_ROOT, **options) -> DataFrame:
     reader = spark.readStream.options(**options)
-    return _object_columns(_object_source(reader, f"{root.rstrip('/')}/{key_root}"), key_root)
+    return _object_columns(_object_source(reader, f"{root.rstrip('/')}/{key_root}/*"), key_root)
 
 
 def bad_keys(landing: DataFrame) -> DataFrame:

@@ -1,0 +1,156 @@
+"""Landing zone and catalog on real files."""
+
+import datetime
+import json
+import os
+
+import pytest
+from payloads import tuples
+from pyspark.sql import functions as F
+
+from jsonmart.operators.quality import dq_report
+from jsonmart.sources import catalog, landing
+
+def ts():
+    return F.lit("2024-05-01 12:00:00").cast("timestamp")
+
+
+
+def put(root, key, body):
+    path = os.path.join(root, key)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(body)
+
+
+def objects(root):
+    base = "tmdb/{}/ingest_date=2024-01-0{}/run_id={}/{}"
+    put(root, base.format("movie", 1, "001", "550.json"), '{"id":550,"title":"Ünï\\n"}')
+    put(root, base.format("movie", 1, "001", "550.manifest.json"), "{}")
+    put(root, base.format("movie", 1, "001", "7.json"), '{"title":\n"no id"}')
+    put(root, base.format("credits", 1, "001", "550.json"), '{"id":550,"cast":[{"id":1}],"crew":[]}')
+    put(root, base.format("movie", 1, "001", "bad.json"), '{"title":"neither"}')
+    put(root, base.format("genre", 1, "001", "list.json"), '{"genres":[{"id":1},{"id":2}]}')
+    put(root, base.format("person", 2, "x=y", "9.json"), "[1,2]")
+    put(root, base.format("person", 2, "x=y", "10.json"), '{"id":')
+    put(root, base.format("configuration", 2, "x=y", "c.json"), "{}")
+    put(root, base.format("_run", 1, "001", "manifest.json"), "{}")
+    put(root, "tmdb/stray.json", "{}")
+    return str(root)
+
+
+@pytest.fixture
+def landed(spark, tmp_path):
+    return landing.read_objects(spark, objects(tmp_path))
+
+
+def test_objects_are_read_whole(landed):
+    got = {r.key.rsplit("/", 3)[-1]: r.payload for r in landed.where("resource = 'movie'").collect()}
+    assert json.loads(got["550.json"])["title"] == "Ünï\n"
+    assert json.loads(got["7.json"]) == {"title": "no id"}
+
+
+def test_key_columns(landed):
+    row = landed.where("filename = '9.json'").first()
+    assert (row.resource, row.ingest_date, row.run_id, row.bytes) == ("person", datetime.date(2024, 1, 2), "x=y", 5)
+    assert row.key == "tmdb/person/ingest_date=2024-01-02/run_id=x=y/9.json"
+    assert tuples(landed.where("run_id = '001' AND resource = 'genre'"), "filename") == [("list.json",)]
+
+
+def test_stray_keys_are_set_aside(landed):
+    assert tuples(landing.bad_keys(landed), "key") == [("tmdb/stray.json",)]
+
+
+def test_run_scan_reads_one_run(spark, tmp_path):
+    root = objects(tmp_path)
+    # The scan asks for the safe form of a run id, as the writer uses it.
+    assert landing.read_objects(spark, root, "2024-01-02", "x=y").count() == 0
+    first = landing.read_objects(spark, root, "2024-01-01", "001")
+    assert {r.run_id for r in first.collect()} == {"001"} and first.count() == 7
+    assert landing.read_objects(spark, root, run_id="001").count() == 7
+    assert landing.read_objects(spark, root, "2024-01-02").count() == 3
+    assert landing.read_objects(spark, root, "2031-01-01").dtypes == first.dtypes
+
+
+def test_catalog_of_a_run(spark, landed):
+    rows = catalog.raw_payloads(landed, ts())
+    assert tuples(rows, "resource", "tmdb_id") == [("credits", 550), ("genre", 0), ("movie", 7), ("movie", 550)]
+    assert {r.extracted_at for r in rows.collect()} == {datetime.datetime(2024, 5, 1, 12)}
+    assert tuples(catalog.quarantine(landed), "resource", "reason") == [
+        ("movie", "no natural id"),
+        ("person", "not a JSON object"),
+        ("person", "not a JSON object"),
+    ]
+    registry = catalog.registry(landed, "b", ts())
+    assert registry.count() == 8 and registry.where("resource = 'configuration'").count() == 1
+    report = dq_report({"ingest_objects": registry, "raw_payloads": rows}, catalog.CATALOG_CHECKS)
+    assert report.where("failures > 0").count() == 0 and report.count() == 14
+
+
+def test_counts_and_manifest(landed):
+    counts = tuples(
+        catalog.run_counts(landed), "run_id", "ingest_objects", "raw_payloads", "skipped_manifests", "listed"
+    )
+    assert counts == [("001", 5, 4, 2, 7), ("x=y", 3, 0, 0, 3)]
+    manifest = catalog.run_manifests(landed, ts(), {"dag": F.lit("d")}).where("run_id = '001'").first()
+    assert manifest.counts["raw_payloads"] == 4 and manifest.dag == "d"
+
+
+def test_audit(landed):
+    audit = landing.audit(landed.withColumn("request_path", F.concat(F.lit("/"), "resource")), ts())
+    got = {r.data_key.split("/", 1)[1]: r for r in audit.collect()}
+    credits = got["credits/ingest_date=2024-01-01/run_id=001/550.json"]
+    assert (credits.record_count, credits.http_status, credits.request_path) == (1, 200, "/credits")
+    assert got["genre/ingest_date=2024-01-01/run_id=001/list.json"].record_count == 2
+    movie = got["movie/ingest_date=2024-01-01/run_id=001/550.json"]
+    assert movie.bytes == len('{"id":550,"title":"Ünï\\n"}'.encode())
+    assert len(got) == 8
+
+
+def batch(spark, *rows):
+    return spark.createDataFrame(list(rows), "resource STRING, ingest_date STRING, run_id STRING, name STRING, payload STRING")
+
+
+def test_batches_round_trip(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    text = '{"id":1,"t":"é\\n \\"q\\" 12.50"}'
+    landing.write_landing(
+        batch(spark, ("movie", "2024-01-01", "manual__T12:00", "1", text), ("genre", "2024-01-02", "001", "g.json", "{}")),
+        root,
+    )
+    df = landing.read_landing(spark, root)
+    assert tuples(df, "key", "payload") == [
+        ("tmdb/genre/ingest_date=2024-01-02/run_id=001/g.json", "{}"),
+        ("tmdb/movie/ingest_date=2024-01-01/run_id=manual__T12-00/1.json", text),
+    ]
+    assert landing.read_landing(spark, root, "2024-01-01", "manual__T12:00").count() == 1
+    assert landing.read_landing(spark, root, "2024-01-01", "001").count() == 0
+
+
+def test_struct_payloads_keep_nulls(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    df = spark.sql(
+        "SELECT 'movie' AS resource, '2024-01-01' AS ingest_date, 'r' AS run_id, '1' AS name, "
+        "named_struct('id', 1, 'title', CAST(NULL AS STRING), 'name', 'ü') AS payload"
+    )
+    landing.write_landing(df, root)
+    assert landing.read_landing(spark, root).first().payload == '{"id":1,"title":null,"name":"ü"}'
+
+
+def test_run_scan_prunes_directories(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    landing.write_landing(batch(spark, ("movie", "2024-01-01", "a", "1", "{}"), ("movie", "2024-01-02", "b", "1", "{}")), root)
+    plan = landing.read_landing(spark, root, "2024-01-02", "b")._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "ingest_date" in filters and "run_id" in filters
+
+
+def test_catalog_tables_converge(spark, tmp_path, landed):
+    cat = catalog.Catalog(spark, str(tmp_path / "catalog"), bucket="b")
+    cat.add(landed, ts())
+    later = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    cat.add(landed.where("run_id = '001'"), later)
+    assert cat.ingest_objects.read().count() == 8
+    assert cat.raw_payloads.read().count() == 4
+    times = tuples(cat.ingest_objects.read().groupBy("loaded_at").count(), "count")
+    assert times == [(3,), (5,)]
