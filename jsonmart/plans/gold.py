@@ -79,7 +79,7 @@ def bridge_movie_company(movie_company: DataFrame) -> DataFrame:
 def genre_lists(movie_genre: DataFrame, genre: DataFrame) -> DataFrame:
     """Genre names per movie, alphabetical. Pairs are distinct, so a list is at most the dimension."""
     named = movie_genre.join(genre, "genre_id")
-    return ordered_list(named, "movie_id", "name", ["name", "genre_id"], "genre_list")
+    return ordered_list(named, "movie_id", "name", ["name"], "genre_list")
 
 
 def top_cast(credit_cast: DataFrame, person: DataFrame) -> DataFrame:

@@ -351,6 +351,28 @@ _COUNTS = """
     FROM landed GROUP BY ingest_date, run_id
 """
 
+_REGISTRY = """
+    SELECT 'landing' AS bucket, key, resource, ingest_date, run_id AS dag_run_id,
+           CAST(strlen(payload) AS BIGINT) AS bytes, sha256(payload) AS etag, TIMESTAMP '2024-02-01' AS loaded_at
+    FROM landed WHERE NOT manifest
+"""
+
+_PAYLOADS = """
+    SELECT resource, tmdb_id, payload, key AS source_key, TIMESTAMP '2024-02-01' AS extracted_at,
+           run_id AS dag_run_id
+    FROM landed WHERE NOT manifest AND known AND is_object
+"""
+
+_CATALOG_CHECKS = [
+    ("ingest_objects", "bucket key resource ingest_date dag_run_id loaded_at", "bucket key", {}),
+    (
+        "raw_payloads",
+        "resource tmdb_id payload source_key extracted_at dag_run_id",
+        "resource tmdb_id source_key",
+        {},
+    ),
+]
+
 _EVENTS_LATEST = """
     SELECT user_id, ts, event_id, event_type, value FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
@@ -408,25 +430,32 @@ ORACLES: dict[str, str] = {
     "replace_events": "SELECT event_id, ts, user_id, event_type, value FROM events WHERE value > 1",
     "incremental_equals_full": f"SELECT user_id, ts AS loaded_at, event_id FROM ({_EVENTS_LATEST})",
     "incremental_movie": SILVER["movie"],
+    "reprocessed_movie": SILVER["movie"],
     "incremental_person": SILVER["person"],
-    "catalog_registry": _LANDED
-    + """
-        SELECT 'landing' AS bucket, key, resource, ingest_date, run_id AS dag_run_id,
-               CAST(strlen(payload) AS BIGINT) AS bytes, sha256(payload) AS etag,
-               TIMESTAMP '2024-02-01' AS loaded_at
-        FROM landed WHERE NOT manifest
+    "catalog_registry": _LANDED + _REGISTRY,
+    "stream_registry": _LANDED + _REGISTRY,
+    "catalog_dq_report": _LANDED
+    + f", ingest_objects AS ({_REGISTRY}), raw_payloads AS ({_PAYLOADS}) "
+    + _checks(_CATALOG_CHECKS),
+    "key_rejects": """
+        SELECT CASE doc_id % 5
+                   WHEN 1 THEN 'other/tmdb/movie/ingest_date=2024-01-01/run_id=r/' || doc_id || '.json'
+                   WHEN 2 THEN 'tmdb/movie/ingest_date=2024-01-01/run=r/' || doc_id || '.json'
+                   WHEN 3 THEN 'tmdb/movie/ingest_date=2024-01-01/run_id=r'
+                   ELSE 'tmdb/movie/ingest_date=2024-01-01/run_id=r/' || doc_id || '.json' END AS key,
+               doc_id % 5 IN (1, 2, 3) AS rejected
+        FROM documents
     """,
-    "raw_payload_ids": _LANDED
-    + """
-        SELECT resource, tmdb_id, key AS source_key, sha256(payload) AS payload_hash,
-               TIMESTAMP '2024-02-01' AS extracted_at, run_id AS dag_run_id
-        FROM landed WHERE NOT manifest AND known AND is_object
-    """,
-    "stream_catalog": _LANDED
-    + """
-        SELECT resource, tmdb_id, key AS source_key, TIMESTAMP '2024-02-01' AS extracted_at, run_id AS dag_run_id
-        FROM landed WHERE NOT manifest AND known AND is_object
+    "json_sink": """
+        SELECT key, payload, CAST(strlen(payload) AS BIGINT) AS bytes FROM (
+            SELECT 'tmdb/person/ingest_date=2024-01-01/run_id=run-1/' || c_custkey || '.json' AS key,
+                   '{"id":' || c_custkey || ',"name":"' || c_name || '","nation":'
+                       || CASE WHEN c_nationkey > 4 THEN CAST(c_nationkey AS VARCHAR) ELSE 'null' END || '}' AS payload
+            FROM customer)
     """,
+    "raw_payload_ids": _LANDED
+    + f"SELECT * EXCLUDE (payload), sha256(payload) AS payload_hash FROM ({_PAYLOADS})",
+    "stream_catalog": _LANDED + f"SELECT * EXCLUDE (payload) FROM ({_PAYLOADS})",
     "quarantine": _LANDED
     + """
         SELECT key, resource, payload, 'not a JSON object' AS reason

@@ -35,6 +35,7 @@ table = star_tables.table
 
 _layers: dict[tuple[str, str], Layers] = {}
 _landings: dict[tuple[str, str], str] = {}
+_streams: dict[tuple[str, str], catalog.Catalog] = {}
 
 RUN_TS = "2024-02-01 00:00:00"
 
@@ -197,6 +198,17 @@ def _incremental_movie(spark, sf):
     return present(target.read())
 
 
+def _reprocessed_movie(spark, sf):
+    """The older snapshot arrives after the newer one; its ids are conformed again."""
+    staged = layers(spark, sf).staged("movie")
+    target = KeyedTable(spark, fresh_dir(spark, "movie"), silver.movie(staged).schema, ["movie_id"])
+    first = F.lit(star_tables.FIRST_SNAPSHOT).cast("timestamp")
+    refresh_latest(staged.where(col("extracted_at") > first), target, silver.movie)
+    late = staged.where(col("extracted_at") <= first)
+    refresh_latest(staged, target, silver.movie, late="reprocess", arrived=late)
+    return present(target.read())
+
+
 def _incremental_person(spark, sf):
     """People are recomputed in full and merged by id."""
     full = layers(spark, sf).plan_silver("person")
@@ -256,14 +268,61 @@ def _key_roundtrip(spark, sf):
     )
 
 
-def _stream_catalog(spark, sf):
+def _key_rejects(spark, sf):
+    """Keys of other shapes among good ones: the parser gives no parts for them."""
+    doc = col("doc_id")
+    key = keys.object_key(F.lit("movie"), F.lit("2024-01-01"), F.lit("r"), doc.cast("string"))
+    broken = (
+        F.when(doc % 5 == 1, F.concat(F.lit("other/"), key))
+        .when(doc % 5 == 2, F.replace(key, F.lit("run_id="), F.lit("run=")))
+        .when(doc % 5 == 3, F.substring_index(key, "/", 4))
+        .otherwise(key)
+    )
+    documents = table(spark, sf, "documents").select(broken.alias("key"))
+    rejected = keys.key_parts(col("key")).isNull().alias("rejected")
+    return documents.select("key", rejected)
+
+
+def _json_sink(spark, sf):
+    """Customers landed as structs and read back as the text in the files."""
+    customer = table(spark, sf, "customer")
+    payload = F.struct(
+        col("c_custkey").alias("id"),
+        col("c_name").alias("name"),
+        F.when(col("c_nationkey") > 4, col("c_nationkey")).alias("nation"),
+    )
+    rows = customer.select(
+        F.lit("person").alias("resource"),
+        F.lit("2024-01-01").alias("ingest_date"),
+        F.lit("run 1").alias("run_id"),
+        col("c_custkey").cast("string").alias("name"),
+        payload.alias("payload"),
+    )
+    root = fresh_dir(spark, "sink")
+    landing.write_landing(rows, root)
+    return landing.read_landing(spark, root).select("key", "payload", "bytes")
+
+
+def _stream(spark, sf) -> catalog.Catalog:
     """The catalog built by a file stream, twice over the same checkpoint."""
-    root, work = landing_root(spark, sf), fresh_dir(spark, "stream")
-    cat = catalog.Catalog(spark, f"{work}/catalog")
-    for _ in range(2):
-        stream = landing.read_landing_stream(spark, root)
-        run_incremental(stream, cat, f"{work}/checkpoint", _run_ts)
-    return present(cat.raw_payloads.read().select("resource", "tmdb_id", "source_key", "extracted_at", "dag_run_id"))
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _streams:
+        root, work = landing_root(spark, sf), fresh_dir(spark, "stream")
+        cat = catalog.Catalog(spark, f"{work}/catalog")
+        for _ in range(2):
+            stream = landing.read_landing_stream(spark, root)
+            run_incremental(stream, cat, f"{work}/checkpoint", _run_ts)
+        _streams[key] = cat
+    return _streams[key]
+
+
+def _stream_catalog(spark, sf):
+    rows = _stream(spark, sf).raw_payloads.read()
+    return present(rows.select("resource", "tmdb_id", "source_key", "extracted_at", "dag_run_id"))
+
+
+def _stream_registry(spark, sf):
+    return present(_stream(spark, sf).ingest_objects.read())
 
 
 # ---- checks ----------------------------------------------------------------------------------
@@ -291,6 +350,15 @@ def _dq_report(spark, sf):
     return dq_report({n: table(spark, sf, n) for n in names}, STAR_CHECKS)
 
 
+def _catalog_dq_report(spark, sf):
+    landed = _landed(spark, sf)
+    tables = {
+        "ingest_objects": catalog.registry(landed, "landing", _run_ts()),
+        "raw_payloads": catalog.raw_payloads(landed, _run_ts()),
+    }
+    return dq_report(tables, catalog.CATALOG_CHECKS)
+
+
 def _orphan_keys(spark, sf):
     """Documents without a label, through the operator behind the relationship check."""
     return orphan_keys(table(spark, sf, "documents"), "doc_id", table(spark, sf, "labels"), "doc_id")
@@ -351,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "replace_events": _replace_events,
     "incremental_equals_full": _incremental_equals_full,
     "incremental_movie": _incremental_movie,
+    "reprocessed_movie": _reprocessed_movie,
     "incremental_person": _incremental_person,
     "catalog_registry": _catalog_registry,
     "raw_payload_ids": _raw_payload_ids,
@@ -360,8 +429,12 @@ QUERIES: dict[str, Query] = {
     "run_manifests": _run_manifests,
     "run_scan": _run_scan,
     "key_roundtrip": _key_roundtrip,
+    "key_rejects": _key_rejects,
+    "json_sink": _json_sink,
     "stream_catalog": _stream_catalog,
+    "stream_registry": _stream_registry,
     "dq_report": _dq_report,
+    "catalog_dq_report": _catalog_dq_report,
     "orphan_keys": _orphan_keys,
     "silver_dq_report": lambda spark, sf: layers(spark, sf).silver_report(),
     "gold_dq_report": lambda spark, sf: layers(spark, sf).gold_report(),

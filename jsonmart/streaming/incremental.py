@@ -57,18 +57,18 @@ def refresh_latest(
     conform: Callable[[DataFrame], DataFrame],
     id_col: str = "id",
     late: str = "drop",
-    seen_before: DataFrame | None = None,
+    arrived: DataFrame | None = None,
 ) -> None:
     """Upsert the latest snapshot per key from payloads newer than the table's watermark.
 
     The watermark is table-wide: with ``late="drop"`` an older snapshot that arrives late is
-    never looked at. With ``late="reprocess"`` every id of ``seen_before`` (the payloads of this
-    batch) is conformed again from all its snapshots.
+    never looked at. With ``late="reprocess"`` every id among the ``arrived`` payloads (all, if not
+    given) is conformed again from all its snapshots in ``staged``.
     """
     if late == "drop":
         target.upsert(conform(since_watermark(staged, target.read())))
     elif late == "reprocess":
-        touched = (staged if seen_before is None else seen_before).select(id_col).distinct()
+        touched = (staged if arrived is None else arrived).select(id_col).distinct()
         target.upsert(conform(staged.join(touched, id_col, "left_semi")))
     else:
         raise ValueError(f"late must be 'drop' or 'reprocess', not {late!r}")

@@ -96,7 +96,7 @@ def test_late_snapshot_is_dropped_or_reprocessed(spark, tmp_path, snapshots):
     refresh_latest(snapshots, target, silver.movie)
     refresh_latest(everything, target, silver.movie)
     assert target.read().where("movie_id = 9").count() == 0
-    refresh_latest(everything, target, silver.movie, late="reprocess", seen_before=late)
+    refresh_latest(everything, target, silver.movie, late="reprocess", arrived=late)
     assert tuples(target.read(), "movie_id", "title") == [(1, "a2"), (2, "b3"), (3, "c2"), (9, "late")]
     with pytest.raises(ValueError):
         refresh_latest(everything, target, silver.movie, late="sometimes")
