@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -20,16 +21,18 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..functions.values import COMPRESSION
 
-# Bucket sizing of a first load: enough buckets to keep each below a few hundred MB of documents.
-ROWS_PER_BUCKET = 250_000
+# A bucket is sized for one task. When buckets have grown past GROWTH times that, the next upsert
+# spreads the table over GROWTH times as many.
+BUCKET_BYTES = 256 * 1024 * 1024
 MIN_BUCKETS = 8
+GROWTH = 4
 
 
 class KeyedTable:
     """A parquet table with unique keys, hash-bucketed by key.
 
-    An upsert rewrites the buckets it touches and no others. Without ``n_buckets`` the first load
-    decides their number by its row count, and the table keeps it until the next full refresh.
+    An upsert rewrites the buckets it touches and no others. Without ``n_buckets`` their number
+    follows the size of the table.
     """
 
     def __init__(
@@ -49,7 +52,7 @@ class KeyedTable:
         self.partition_by = list(partition_by)
         self._slots = [*self.partition_by, "key_bucket"]
         slot_fields = [self.schema[p] for p in self.partition_by] + [StructField("key_bucket", IntegerType())]
-        heading = [StructField(n, LongType()) for n in ("commit", "n_buckets", "version")]
+        heading = [StructField(n, LongType()) for n in ("commit", "n_buckets", "version", "bytes")]
         self._commit_schema = StructType([*heading, *slot_fields])
         # An explicit schema for the partition columns too: inference would turn '001' into 1.
         body = [f for f in self.schema if f.name not in self.partition_by]
@@ -69,17 +72,21 @@ class KeyedTable:
         live = self._live()
         commit = self._next_commit(live)
         staged = self._stage(updates, commit)
-        n_buckets = live[0]["n_buckets"] if live else self._bucket_count(staged)
+        grown = self._is_grown(live)
+        if not live:
+            n_buckets = self._bucket_count(staged, commit)
+        else:
+            n_buckets = live[0]["n_buckets"] * (GROWTH if grown else 1)
         new = self._bucketed(staged, n_buckets).withColumn("_update", F.lit(1))
 
         # At most one row per partition and bucket, whatever the number of updates.
-        touched = {tuple(r) for r in new.select(*self._slots).distinct().collect()}
+        touched = self._slots_of(new)
         if not touched:
             return commit - 1
-        replaced = [r for r in live if self._slot(r) in touched]
-        kept = [(r["version"], *self._slot(r)) for r in live if r["version"] and self._slot(r) not in touched]
+        replaced = [r for r in live if grown or self._slot(r) in touched]
+        kept = [r for r in live if r["version"] and not grown and self._slot(r) not in touched]
 
-        old = self._rows(replaced).withColumn("_update", F.lit(0))
+        old = self._bucketed(self._rows(replaced), n_buckets).withColumn("_update", F.lit(0))
         by_key = Window.partitionBy(*self._slots, *self.keys).orderBy(F.col("_update").desc())
         duplicate = F.raise_error(F.concat_ws(" ", F.lit("two updates for key"), *[F.col(k) for k in self.keys]))
         wins = (
@@ -96,30 +103,27 @@ class KeyedTable:
             .drop("_rank", "_update")
         )
         self._write(merged, commit)
-        self._publish(commit, n_buckets, kept + [(commit, *slot) for slot in touched])
+        self._publish(commit, n_buckets, self._slots_of(self._version(commit)) if grown else touched, kept)
         return commit
 
     def replace(self, df: DataFrame) -> int:
         """Full refresh: the new rows become the whole table."""
         commit = self._next_commit(self._live())
         staged = self._stage(df, commit)
-        n_buckets = self._bucket_count(staged)
+        n_buckets = self._bucket_count(staged, commit)
         rows = self._bucketed(staged, n_buckets)
-        slots = rows.select(*self._slots).distinct().collect()
         self._write(rows.repartition(*self._slots).sortWithinPartitions(*self._slots, *self.keys), commit)
-        self._publish(commit, n_buckets, [(commit, *s) for s in slots])
+        self._publish(commit, n_buckets, self._slots_of(rows))
         return commit
 
     def vacuum(self) -> None:
         """Delete versions that are no longer live; readers of older states must be done."""
         live = {f"version={r['version']}" for r in self._live()}
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        data, staged = hadoop(f"{self.path}/data"), hadoop(f"{self.path}/staged")
-        fs = data.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if fs.exists(data):
-            for status in fs.listStatus(data):
-                if status.getPath().getName() not in live:
-                    fs.delete(status.getPath(), True)
+        data, fs = self._file_system(f"{self.path}/data")
+        for status in fs.listStatus(data) if fs.exists(data) else ():
+            if status.getPath().getName() not in live:
+                fs.delete(status.getPath(), True)
+        staged, fs = self._file_system(f"{self.path}/staged")
         fs.delete(staged, True)
 
     def _stage(self, df: DataFrame, commit: int) -> DataFrame:
@@ -129,14 +133,33 @@ class KeyedTable:
         df.select(*typed).write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
         return self.spark.read.schema(self.schema).parquet(path)
 
-    def _bucket_count(self, staged: DataFrame) -> int:
+    def _file_system(self, path: str):
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop_path, hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _bytes(self, path: str) -> int:
+        folder, fs = self._file_system(path)
+        return fs.getContentSummary(folder).getLength() if fs.exists(folder) else 0
+
+    def _bucket_count(self, staged: DataFrame, commit: int) -> int:
+        """Buckets per partition, so that those of the largest one have the wanted size."""
         if self.n_buckets is not None:
             return self.n_buckets
-        return max(MIN_BUCKETS, -(-staged.count() // ROWS_PER_BUCKET))
+        size = self._bytes(f"{self.path}/staged/commit={commit}")
+        if self.partition_by:
+            sizes = staged.groupBy(*self.partition_by).count().agg(F.max("count"), F.sum("count")).first()
+            size *= (sizes[0] or 0) / (sizes[1] or 1)
+        return max(MIN_BUCKETS, ceil(size / BUCKET_BYTES))
+
+    def _is_grown(self, live: list) -> bool:
+        return self.n_buckets is None and max((r["bytes"] or 0 for r in live), default=0) > GROWTH * BUCKET_BYTES
 
     def _bucketed(self, df: DataFrame, n_buckets: int) -> DataFrame:
         return df.withColumn("key_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(n_buckets)).cast("int"))
 
+    def _slots_of(self, df: DataFrame) -> set[tuple]:
+        return {tuple(r) for r in df.select(*self._slots).distinct().collect()}
+
     def _slot(self, row) -> tuple:
         return tuple(row[s] for s in self._slots)
 
@@ -159,12 +182,13 @@ class KeyedTable:
         if not live:
             empty = StructType([*self.schema, StructField("key_bucket", IntegerType())])
             return self.spark.createDataFrame([], empty)
-        return (
-            self.spark.read.schema(self._file_schema)
-            .parquet(f"{self.path}/data")
-            .where(self._live_filter(live))
-            .drop("version")
-        )
+        return self._data().where(self._live_filter(live)).drop("version")
+
+    def _data(self) -> DataFrame:
+        return self.spark.read.schema(self._file_schema).parquet(f"{self.path}/data")
+
+    def _version(self, version: int) -> DataFrame:
+        return self._data().where(F.col("version") == version)
 
     def _live_filter(self, live: list) -> Column:
         """Static filter on directory columns only, so that the scan prunes to live buckets."""
@@ -182,9 +206,13 @@ class KeyedTable:
             f"{self.path}/data/version={version}"
         )
 
-    def _publish(self, commit: int, n_buckets: int, slots: list[tuple]) -> None:
+    def _publish(self, commit: int, n_buckets: int, written: set[tuple], kept: Sequence = ()) -> None:
+        # The size of a bucket is the mean of its version.
+        size = self._bytes(f"{self.path}/data/version={commit}") // max(len(written), 1)
+        slots = [(r["version"], r["bytes"], *self._slot(r)) for r in kept]
+        slots += [(commit, size, *slot) for slot in written]
         # An empty table still needs a commit, else the one before it would stay live.
-        slots = slots or [(None,) * (1 + len(self._slots))]
+        slots = slots or [(None,) * (2 + len(self._slots))]
         rows = [dict(zip(self._commit_schema.names, (commit, n_buckets, *s), strict=True)) for s in slots]
         arrow = pa.Table.from_pylist(rows, to_arrow_schema(self._commit_schema))
         self.spark.createDataFrame(arrow, self._commit_schema).coalesce(1).write.mode("append").json(

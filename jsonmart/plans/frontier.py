@@ -21,15 +21,19 @@ def within_pages(listing: DataFrame, max_pages: int | None) -> DataFrame:
     return listing.where(page <= last)
 
 
+def _listed(listing: DataFrame, max_pages: int | None) -> DataFrame:
+    items = explode_array(within_pages(listing, max_pages), "results", ["id"]).where(col("id").isNotNull())
+    return items.select(as_bigint(col("id")).alias("movie_id"))
+
+
 def listing_ids(listing: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Distinct ids of one listing, ascending."""
-    items = explode_array(within_pages(listing, max_pages), "results", ["id"]).where(col("id").isNotNull())
-    return items.select(as_bigint(col("id")).alias("movie_id")).distinct().orderBy("movie_id")
+    return _listed(listing, max_pages).distinct().orderBy("movie_id")
 
 
 def movie_ids(popular: DataFrame, top_rated: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Ids of both listings, ascending."""
-    both = listing_ids(popular, max_pages).union(listing_ids(top_rated, max_pages))
+    both = _listed(popular, max_pages).union(_listed(top_rated, max_pages))
     return both.distinct().orderBy("movie_id")
 
 

@@ -109,11 +109,31 @@ def test_vacuum_keeps_live_rows(spark, tmp_path):
     assert sorted(d for d in os.listdir(tmp_path / "data") if d.startswith("version")) == ["version=1", "version=3"]
 
 
+def letters(spark, n, v):
+    return spark.range(n).select(F.concat(F.lit("p"), F.col("id") % 2).alias("part"), F.col("id").alias("k"), F.lit(v).alias("v"))
+
+
 def test_bucket_count_follows_the_first_load(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("jsonmart.operators.upsert.ROWS_PER_BUCKET", 10)
+    monkeypatch.setattr("jsonmart.operators.upsert.BUCKET_BYTES", 500)
+    monkeypatch.setattr("jsonmart.operators.upsert.MIN_BUCKETS", 1)
+    t = table(spark, tmp_path)
+    t.upsert(letters(spark, 2000, "a").coalesce(1))
+    (first,) = {r["n_buckets"] for r in t._live()}
+    assert first > 4
+    monkeypatch.setattr("jsonmart.operators.upsert.BUCKET_BYTES", 10**9)
+    t.upsert(letters(spark, 10, "b"))
+    assert {r["n_buckets"] for r in t._live()} == {first}
+    assert t.read().count() == 2000 and t.read().where("v = 'b'").count() == 10
+
+
+def test_a_grown_table_gets_more_buckets(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("jsonmart.operators.upsert.MIN_BUCKETS", 2)
     t = table(spark, tmp_path)
-    t.upsert(spark.range(95).select(F.lit("p").alias("part"), F.col("id").alias("k"), F.lit("a").alias("v")))
-    assert {r["n_buckets"] for r in t._live()} == {10}
-    t.upsert(rows(spark, ("p", 1, "b")))
-    assert {r["n_buckets"] for r in t._live()} == {10} and t.read().count() == 95
+    t.upsert(letters(spark, 5000, "a"))
+    assert {r["n_buckets"] for r in t._live()} == {2}
+    monkeypatch.setattr("jsonmart.operators.upsert.BUCKET_BYTES", 500)
+    t.upsert(letters(spark, 10, "b"))
+    assert {r["n_buckets"] for r in t._live()} == {8}
+    assert len(t._live()) == 16  # the untouched buckets have moved too
+    assert t.read().count() == 5000 and t.read().where("v = 'b'").count() == 10
+    assert t.read().select("part", "k").distinct().count() == 5000
