@@ -8,7 +8,7 @@ from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.values import COMPRESSION
+from ..functions.values import COMPRESSION, PAYLOAD_RESOURCES
 from ..operators.quality import dq_report, gate
 from .checks import GOLD_CHECKS, SILVER_CHECKS
 from .gold import GOLD
@@ -77,6 +77,9 @@ class Layers:
         with ThreadPoolExecutor(max_workers=4) as pool:
             return dict(zip(names, pool.map(read, names), strict=True))
 
+    def build_staged(self) -> dict[str, DataFrame]:
+        return self._build(PAYLOAD_RESOURCES, self.staged)
+
     def build_silver(self) -> dict[str, DataFrame]:
         return self._build(SILVER, self.silver)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,11 +13,13 @@ from ..operators.upsert import KeyedTable
 from ..sources.catalog import Catalog
 
 
+def _now() -> Column:
+    # A literal: current_timestamp() would differ between the two tables of one batch.
+    return F.lit(datetime.now(timezone.utc))
+
+
 def run_incremental(
-    landing_stream: DataFrame,
-    catalog: Catalog,
-    checkpoint: str,
-    run_ts: Callable[[], Column] = F.current_timestamp,
+    landing_stream: DataFrame, catalog: Catalog, checkpoint: str, run_ts: Callable[[], Column] = _now
 ) -> StreamingQuery:
     """Catalog every landed file that the checkpoint has not seen, then stop.
 

@@ -52,6 +52,8 @@ def test_object_files_stream(spark, tmp_path):
     assert tuples(cat.raw_payloads.read(), "resource", "tmdb_id") == [
         ("credits", 550), ("genre", 0), ("movie", 7), ("movie", 550),
     ]
+    times = cat.raw_payloads.read().select("extracted_at").union(cat.ingest_objects.read().select("loaded_at"))
+    assert times.distinct().count() == 1
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
