@@ -58,11 +58,12 @@ def ordered_list(
 ) -> DataFrame:
     """One string per key: the values in order; nulls are skipped, an all-null group gives null.
 
-    ``chunk`` names leading order columns, or columns that rise with the order. With it, the list
-    is built in two steps: one string per (key, chunk), then the strings of a key. A hot key is
+    ``chunk`` names leading order columns, or columns that rise with the order; the order must
+    name at least one column more. With it, the list is built in two steps: one string per (key, chunk), then the strings of a key. A hot key is
     then spread over many tasks, and the last step only holds the text it has to return.
     """
     if not chunk:
         return df.groupBy(key).agg(_listagg(value, order, sep).alias(alias))
-    parts = df.groupBy(key, *chunk).agg(_listagg(value, order, sep).alias("_part"))
+    within = [o for o in order if o not in chunk]  # a chunk column is constant inside its part
+    parts = df.groupBy(key, *chunk).agg(_listagg(value, within, sep).alias("_part"))
     return parts.groupBy(key).agg(_listagg("_part", chunk, sep).alias(alias))
