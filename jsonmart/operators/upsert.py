@@ -64,14 +64,16 @@ class KeyedTable:
     def exists(self) -> bool:
         return bool(self._live())
 
-    def upsert(self, updates: DataFrame) -> int:
+    def upsert(self, updates: DataFrame, latest_by: Sequence[str] = ()) -> int:
         """Insert new keys, replace rows of known keys; returns the commit number.
 
-        Two updates for one key stop the run, as there is no rule for which one wins.
+        Of several updates for one key the largest by ``latest_by`` wins; these columns need not be
+        columns of the table. Without it, there is no such rule and two updates stop the run.
         """
         live = self._live()
         commit = self._next_commit(live)
-        staged = self._stage(updates, commit)
+        extra = [c for c in latest_by if c not in self.schema.names]
+        staged = self._stage(updates, commit, extra)
         grown = self._is_grown(live)
         if not live:
             n_buckets = self._bucket_count(staged, commit)
@@ -87,20 +89,19 @@ class KeyedTable:
         kept = [r for r in live if r["version"] and not grown and self._slot(r) not in touched]
 
         old = self._bucketed(self._rows(replaced), n_buckets).withColumn("_update", F.lit(0))
-        by_key = Window.partitionBy(*self._slots, *self.keys).orderBy(F.col("_update").desc())
+        order = [F.col(c).desc_nulls_last() for c in ("_update", *latest_by)]
+        by_key = Window.partitionBy(*self._slots, *self.keys).orderBy(*order, F.xxhash64(*self.schema.names))
         duplicate = F.raise_error(F.concat_ws(" ", F.lit("two updates for key"), *[F.col(k) for k in self.keys]))
-        wins = (
-            F.when(F.col("_rank") == 1, F.lit(True))
-            .when(F.col("_update") == 1, duplicate.cast("boolean"))
-            .otherwise(F.lit(False))
-        )
+        first = F.col("_rank") == 1
+        stop = F.when(F.col("_update") == 1, duplicate.cast("boolean")).otherwise(F.lit(False))
+        wins = first if latest_by else F.when(first, F.lit(True)).otherwise(stop)
         # One shuffle: the window and the partitioned write both reuse this distribution and order.
         merged = (
-            old.unionByName(new)
+            old.unionByName(new, allowMissingColumns=True)
             .repartition(*self._slots)
             .withColumn("_rank", F.row_number().over(by_key))
             .where(wins)
-            .drop("_rank", "_update")
+            .drop("_rank", "_update", *extra)
         )
         self._write(merged, commit)
         self._publish(commit, n_buckets, self._slots_of(self._version(commit)) if grown else touched, kept)
@@ -126,12 +127,12 @@ class KeyedTable:
         staged, fs = self._file_system(f"{self.path}/staged")
         fs.delete(staged, True)
 
-    def _stage(self, df: DataFrame, commit: int) -> DataFrame:
+    def _stage(self, df: DataFrame, commit: int, extra: Sequence[str] = ()) -> DataFrame:
         # Written once: the rows are read several times, and a lost executor must not redo them.
         path = f"{self.path}/staged/commit={commit}"
-        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
-        df.select(*typed).write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
-        return self.spark.read.schema(self.schema).parquet(path)
+        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema], *extra)
+        typed.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+        return self.spark.read.schema(typed.schema).parquet(path)
 
     def _file_system(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -202,7 +203,9 @@ class KeyedTable:
         return reduce(lambda a, b: a | b, terms)
 
     def _write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*self._slots).parquet(
+        # Static, whatever the session says: what a dead run left under this version has to go.
+        options = {"compression": COMPRESSION, "partitionOverwriteMode": "static"}
+        df.write.mode("overwrite").options(**options).partitionBy(*self._slots).parquet(
             f"{self.path}/data/version={version}"
         )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ CATALOG_CHECKS = (
 )
 
 
-def registry(landing: DataFrame, bucket: str, run_ts: Column) -> DataFrame:
+def registry(landing: DataFrame, bucket: str, run_ts: Column, keep: Sequence[str] = ()) -> DataFrame:
     """One registry row per document. ``run_ts`` is fixed once for a catalog run."""
     return documents(landing).select(
         F.lit(bucket).alias("bucket"),
@@ -47,10 +49,11 @@ def registry(landing: DataFrame, bucket: str, run_ts: Column) -> DataFrame:
         "bytes",
         "etag",
         run_ts.cast("timestamp").alias("loaded_at"),
+        *keep,
     )
 
 
-def _candidates(landing: DataFrame) -> DataFrame:
+def _candidates(landing: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     payload = F.col("payload")
     return (
         documents(landing)
@@ -62,19 +65,19 @@ def _candidates(landing: DataFrame) -> DataFrame:
             F.col("key").alias("source_key"),
             F.col("run_id").alias("dag_run_id"),
             F.when(~keys.is_json_object(payload), F.lit("not a JSON object")).alias("_reason"),
+            *keep,
         )
         .withColumn("_reason", F.coalesce("_reason", F.when(F.col("tmdb_id").isNull(), F.lit("no natural id"))))
     )
 
 
-def raw_payloads(landing: DataFrame, run_ts: Column) -> DataFrame:
+def raw_payloads(landing: DataFrame, run_ts: Column, keep: Sequence[str] = ()) -> DataFrame:
     """One payload row per JSON object of a known resource."""
+    extracted_at = run_ts.cast("timestamp").alias("extracted_at")
     return (
-        _candidates(landing)
+        _candidates(landing, keep)
         .where("_reason IS NULL")
-        .select(
-            "resource", "tmdb_id", "payload", "source_key", run_ts.cast("timestamp").alias("extracted_at"), "dag_run_id"
-        )
+        .select("resource", "tmdb_id", "payload", "source_key", extracted_at, "dag_run_id", *keep)
     )
 
 
@@ -140,6 +143,10 @@ class Catalog:
         )
 
     def add(self, landing: DataFrame, run_ts: Column) -> None:
-        """Register a scan. Both writes are keyed, so a repeat of the same scan changes nothing."""
-        self.ingest_objects.upsert(registry(landing, self.bucket, run_ts))
-        self.raw_payloads.upsert(raw_payloads(landing, run_ts))
+        """Register a scan. Both writes are keyed, so a repeat of the same scan changes nothing.
+
+        Of a document that was landed more than once, the last file wins.
+        """
+        last = ("last_modified",)
+        self.ingest_objects.upsert(registry(landing, self.bucket, run_ts, last), latest_by=last)
+        self.raw_payloads.upsert(raw_payloads(landing, run_ts, last), latest_by=last)

@@ -1,6 +1,7 @@
 """Incremental runs."""
 
 import datetime
+import time
 
 import pytest
 from payloads import day, staged, tuples
@@ -56,6 +57,19 @@ def test_object_files_stream(spark, tmp_path):
     assert times.distinct().count() == 1
 
 
+def test_a_document_landed_twice_counts_once(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    cat = catalog.Catalog(spark, str(tmp_path / "catalog"))
+    land(spark, root, "r1", (1, "first"), (2, "b"))
+    time.sleep(1.1)  # file times may be whole seconds
+    land(spark, root, "r1", (1, "second"))
+    run_incremental(landing.read_landing_stream(spark, root), cat, str(tmp_path / "checkpoint"))
+    assert cat.ingest_objects.read().count() == 2
+    assert tuples(cat.raw_payloads.read(), "tmdb_id", "payload") == [
+        (1, '{"id":1,"title":"second"}'), (2, '{"id":2,"title":"b"}'),
+    ]
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     root = str(tmp_path / "landing")
     cat = catalog.Catalog(spark, str(tmp_path / "catalog"))

@@ -62,6 +62,16 @@ def test_two_updates_for_one_key_stop(spark, tmp_path):
     assert tuples(t.read()) == [("p", 1, "d")]
 
 
+def test_latest_of_several_updates_wins(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.upsert(rows(spark, ("p", 1, "old"), ("p", 3, "kept")))
+    updates = spark.createDataFrame(
+        [("p", 1, "z", 1), ("p", 1, "b", 2), ("p", 2, "x", None), ("p", 2, "y", 5)], SCHEMA + ", seen INT"
+    )
+    t.upsert(updates, latest_by=["seen"])
+    assert tuples(t.read()) == [("p", 1, "b"), ("p", 2, "y"), ("p", 3, "kept")]
+
+
 def test_a_run_that_dies_before_its_commit_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
     t = table(spark, tmp_path)
     t.upsert(rows(spark, ("p", 1, "a"), ("p", 2, "b")))
