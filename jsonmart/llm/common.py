@@ -34,3 +34,12 @@ def free_name(df: DataFrame, base: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+#: A side of a join is broadcast only if it was counted and has at most so many narrow rows (ids and hashes).
+BROADCAST_ROWS = 1_000_000
+
+
+def checked_broadcast(df: DataFrame) -> DataFrame:
+    """``df``, a written table of few narrow columns, with a broadcast hint if it is small enough; else as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import ngram_join, quality_rules
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,8 +19,15 @@ def _quality_rules(spark, sf):
     )
 
 
+def _ngram_join(spark, sf):
+    spec = ngram_join.JaccardJoin(n=3, percent=90)
+    linked = ngram_join.linked_documents(table(spark, sf, "documents"), spec)
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op7_quality_rules": _quality_rules,
+    "op9_ngram_join": _ngram_join,
 }
 
 ORACLES: dict[str, str] = {}

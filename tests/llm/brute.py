@@ -41,3 +41,31 @@ def js_distance(counts, shares):
         out += p * math.log2(p / m) if p else 0.0
         out += q * math.log2(q / m) if q else 0.0
     return math.sqrt(max(0.0, out / 2))
+
+
+def shingles(text, n):
+    w = [x.encode().lower() for x in words(text)]
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1)))
+
+
+def components(rows, n, percent):
+    """{(id, text): smallest id} over all pairs."""
+    nodes = sorted(set(rows), key=lambda r: (r[0], r[1] or ""))
+    sets = [shingles(t, n) for _, t in nodes]
+    parent = list(range(len(nodes)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i] = parent[parent[i]]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
+                shared = len(a & b)
+                if 100 * shared >= percent * (len(a) + len(b) - shared):
+                    parent[max(find(i), find(j))] = min(find(i), find(j))
+    return {node: nodes[find(i)][0] for i, node in enumerate(nodes)}
