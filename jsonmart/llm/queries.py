@@ -5,13 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ngram_join, quality_rules
+from . import decontaminate, mixing, ngram_join, oracles, quality_rules, sharding
 from .common import table
+from .recipes import MIX
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _decontaminate(spark, sf):
+    found = decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "shared", "item_size")
+
+
+def _sharding(spark, sf):
+    return sharding.with_shard(table(spark, sf, "documents").select("doc_id"))
+
+
 def _quality_rules(spark, sf):
     judged = quality_rules.with_rules(table(spark, sf, "documents").select("doc_id", "text", "lang"))
     return judged.select(
@@ -19,6 +30,11 @@ def _quality_rules(spark, sf):
     )
 
 
+def _mixing(spark, sf):
+    taken = mixing.selection(table(spark, sf, "documents"), MIX)
+    return taken.select(F.col("id").cast("long").alias("doc_id"), *mixing.LEVELS, "n_tokens", "copies")
+
+
 def _ngram_join(spark, sf):
     spec = ngram_join.JaccardJoin(n=3, percent=90)
     linked = ngram_join.linked_documents(table(spark, sf, "documents"), spec)
@@ -26,8 +42,15 @@ def _ngram_join(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "op3_decontamination": _decontaminate,
+    "op4_sharding": _sharding,
     "op7_quality_rules": _quality_rules,
+    "op8_mixing": _mixing,
     "op9_ngram_join": _ngram_join,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_sharding": oracles.sharding(),
+    "op7_quality_rules": oracles.quality_rules(),
+    "op8_mixing": oracles.mixing(MIX),
+}
