@@ -7,13 +7,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, ngram_join, oracles, quality_rules, sharding
+from ..scratch import fresh_dir
+from . import decontaminate, html_extract, lm_scoring, mixing, ngram_join, oracles, quality_rules, secrets_scan, sharding
+from . import token_counts as tokens
+from . import warc
 from .common import table
 from .recipes import MIX
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _secrets(spark, sf):
+    return secrets_scan.secrets(table(spark, sf, "documents"))
+
+
+def _token_counts(spark, sf):
+    return tokens.token_counts(table(spark, sf, "documents"))
+
+
+def _lm_scoring(spark, sf):
+    return lm_scoring.scores(table(spark, sf, "documents"))
+
+
+def _html_extraction(spark, sf):
+    return html_extract.main_text(table(spark, sf, "pages"))
+
+
+def _warc(spark, sf):
+    archive = fresh_dir(spark, "llm-warc")
+    warc.write_archive(table(spark, sf, "pages"), archive)
+    number = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1).try_cast("long")
+    return warc.read_records(spark, archive).select(
+        number(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def _decontaminate(spark, sf):
     found = decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "item_id", "shared", "item_size")
@@ -42,11 +74,16 @@ def _ngram_join(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_scan": _secrets,
+    "op2_token_counts": _token_counts,
     "op3_decontamination": _decontaminate,
     "op4_sharding": _sharding,
+    "op5_lm_scoring": _lm_scoring,
+    "op6_html_extraction": _html_extraction,
     "op7_quality_rules": _quality_rules,
     "op8_mixing": _mixing,
     "op9_ngram_join": _ngram_join,
+    "op10_warc": _warc,
 }
 
 ORACLES: dict[str, str] = {
