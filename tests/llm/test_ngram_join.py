@@ -1,0 +1,95 @@
+import random
+
+import brute
+import pytest
+
+from jsonmart.llm import ngram_join as g
+from llm_fixtures import *  # noqa: F403
+
+SPECS = [g.JaccardJoin(n=3, percent=90), g.JaccardJoin()]
+
+
+def near_copies(seed=1):
+    """Chains and stars of near copies, lookalikes just under the bound, and a passage that many share."""
+    rnd = random.Random(seed)
+    rows, doc_id = [], 0
+    shared = [f"s{i}" for i in range(60)]
+    for family in range(6):
+        base = [f"f{family}w{i}" for i in range(150)]
+        for copy in range(14):
+            text = list(base)
+            for _ in range(rnd.choice([0, 1, 2, 3, 5, 8])):
+                text[rnd.randrange(len(text))] = f"c{family}.{copy}.{rnd.randrange(999)}"
+            rows.append((doc_id, " ".join(text)))
+            doc_id += 1
+    for k in range(20):
+        rows.append((doc_id, " ".join([f"u{k}.{i}" for i in range(40)] + shared)))
+        doc_id += 1
+    drift = [f"d{i}" for i in range(200)]
+    for k in range(12):
+        drift[k * 15] = f"drift{k}"
+        rows.append((doc_id, " ".join(drift)))
+        doc_id += 1
+    return rows
+
+
+@pytest.mark.parametrize("spec", SPECS)
+def test_components(spark, spec):
+    rows = near_copies()
+    want = {i: c for (i, _), c in brute.components(rows, spec.n, spec.percent).items()}
+    got = g.linked_documents(spark.createDataFrame(rows, "doc_id long, text string"), spec).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert {r.doc_id: r.n_shingles for r in got} == {i: len(brute.shingles(t, spec.n)) for i, t in rows}
+    assert len(set(want.values())) < len(rows)
+
+
+@pytest.mark.parametrize("spec", SPECS)
+def test_documents(documents, spec):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    want = {i: c for (i, _), c in brute.components(rows, spec.n, spec.percent).items()}
+    got = g.linked_documents(documents, spec).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted(want.items())
+
+
+def test_odd_rows(odd):
+    got = sorted(g.linked_documents(odd, SPECS[0]).collect(), key=str)
+    of = {}
+    for r in got:
+        of.setdefault(r.doc_id, set()).add((r.n_shingles, r.component_id))
+    assert len(got) == odd.count()
+    assert of[1] == of[2] and {c for _, c in of[2]} == {1}
+    assert of[3] == {(0, 3)} and of[4] == {(0, 4)} and of[5] == {(0, 5)}
+    assert {c for _, c in of[6]} == {6} and {c for _, c in of[7]} == {6}
+    assert {c for _, c in of[None]} == {6, None}
+    assert of[8] == {(1, 8)} and of[9] == {(1, 8)}
+
+
+def test_one_of_each_group_stays(clashing):
+    kept = g.keep_one(clashing)
+    assert kept.columns == clashing.columns
+    ids = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())
+    assert [i for i, _ in ids].count(2) == 0 and [i for i, _ in ids].count(1) == 1
+    assert [i for i, _ in ids].count(6) == 1 and 7 not in dict(ids) and 9 not in dict(ids)
+    assert {3, 4, 5, 8, 10, 11} <= {i for i, _ in ids}
+
+
+def test_empty_table(nothing):
+    assert g.linked_documents(nothing).count() == 0 == g.keep_one(nothing).count()
+
+
+def test_large_group_is_not_paired_in_full(spark, monkeypatch):
+    rnd = random.Random(3)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for k in range(300):
+        text = list(base)
+        for _ in range(5):
+            text[rnd.randrange(150)] = f"n{k}.{rnd.randrange(9999)}"
+        rows.append((k, " ".join(text)))
+    counted = []
+    real = g._overlaps
+    monkeypatch.setattr(g, "_overlaps", lambda pairs, *a, **b: counted.append(pairs.count()) or real(pairs, *a, **b))
+    spec = SPECS[0]
+    got = {r.doc_id: r.component_id for r in g.linked_documents(spark.createDataFrame(rows, "doc_id long, text string"), spec).collect()}
+    assert got == {i: c for (i, _), c in brute.components(rows, spec.n, spec.percent).items()}
+    assert sum(counted) < 300 * 299 / 4
