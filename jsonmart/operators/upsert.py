@@ -1,38 +1,37 @@
-"""Keyed tables on plain parquet: upsert and full refresh with an atomic switch.
+"""Keyed tables on plain parquet: the merge is a DataFrame, the write Spark's dynamic partition overwrite.
 
-Rows live under ``data/version=V/<partitions>/key_bucket=B``. A commit row set under ``commits`` says
-which version of each bucket is live. Writers only add directories and then append one commit
-file, so a reader, or a run that dies half-way, always sees the last complete state. One writer
-at a time.
+Rows lie in directories that follow from their key, so a key never moves and an upsert reads and
+writes only the directories of its updates. One writer at a time. Updates are written to a folder of
+their own first; a run that dies before its commit leaves the table as it was, and the same upsert can
+be run again, also after one that died while Spark was exchanging directories.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
-from math import ceil
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..functions.values import COMPRESSION
+from .pick import pick_first
 
-# A bucket is sized for one task. When buckets have grown past GROWTH times that, the next upsert
-# spreads the table over GROWTH times as many.
-BUCKET_BYTES = 256 * 1024 * 1024
-MIN_BUCKETS = 8
-GROWTH = 4
+#: Directories of a table that names none; fixed for the life of the table.
+KEY_PARTS = 8
+
+
+def merge(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``old`` without the keys of ``new``, and ``new``. Both have unique keys without nulls."""
+    return old.join(new.select(*keys), list(keys), "left_anti").select(*old.columns).unionByName(new)
 
 
 class KeyedTable:
-    """A parquet table with unique keys, hash-bucketed by key.
+    """A parquet table with unique keys.
 
-    An upsert rewrites the buckets it touches and no others. Without ``n_buckets`` their number
-    follows the size of the table.
+    ``directories`` maps names to expressions over the key columns; by default they are hash parts.
     """
 
     def __init__(
@@ -41,183 +40,69 @@ class KeyedTable:
         path: str,
         schema: StructType | str,
         keys: Sequence[str],
-        n_buckets: int | None = None,
-        partition_by: Sequence[str] = (),
+        directories: Mapping[str, Column] | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self.keys = list(keys)
-        self.n_buckets = n_buckets
-        self.partition_by = list(partition_by)
-        self._slots = [*self.partition_by, "key_bucket"]
-        slot_fields = [self.schema[p] for p in self.partition_by] + [StructField("key_bucket", IntegerType())]
-        heading = [StructField(n, LongType()) for n in ("commit", "n_buckets", "version", "bytes")]
-        self._commit_schema = StructType([*heading, *slot_fields])
-        # An explicit schema for the partition columns too: inference would turn '001' into 1.
-        body = [f for f in self.schema if f.name not in self.partition_by]
-        self._file_schema = StructType([*body, StructField("version", LongType()), *slot_fields])
+        part = F.pmod(F.xxhash64(*self.keys), F.lit(KEY_PARTS)).cast("int")
+        self.directories = dict(directories or {"key_part": part})
+        placed = spark.createDataFrame([], self.schema).withColumns(self.directories)
+        self._file_schema = placed.schema  # explicit, as inference would turn a directory '001' into 1
 
     def read(self) -> DataFrame:
-        return self._rows(self._live()).select(*self.schema.names)
+        return self._rows().select(*self.schema.names)
 
     def exists(self) -> bool:
-        return bool(self._live())
+        return not self._rows().isEmpty()
 
-    def upsert(self, updates: DataFrame, latest_by: Sequence[str] = ()) -> int:
-        """Insert new keys, replace rows of known keys; returns the commit number.
+    def upsert(self, updates: DataFrame, latest_by: Sequence[str] = ()) -> None:
+        """Insert new keys, replace rows of known keys.
 
         Of several updates for one key the largest by ``latest_by`` wins; these columns need not be
         columns of the table. Without it, there is no such rule and two updates stop the run.
         """
-        live = self._live()
-        commit = self._next_commit(live)
-        extra = [c for c in latest_by if c not in self.schema.names]
-        staged = self._stage(updates, commit, extra)
-        grown = self._is_grown(live)
-        if not live:
-            n_buckets = self._bucket_count(staged, commit)
-        else:
-            n_buckets = live[0]["n_buckets"] * (GROWTH if grown else 1)
-        new = self._bucketed(staged, n_buckets).withColumn("_update", F.lit(1))
-
-        # At most one row per partition and bucket, whatever the number of updates.
-        touched = self._slots_of(new)
-        if not touched:
-            return commit - 1
-        replaced = [r for r in live if grown or self._slot(r) in touched]
-        kept = [r for r in live if r["version"] and not grown and self._slot(r) not in touched]
-
-        old = self._bucketed(self._rows(replaced), n_buckets).withColumn("_update", F.lit(0))
-        order = [F.col(c).desc_nulls_last() for c in ("_update", *latest_by)]
-        by_key = Window.partitionBy(*self._slots, *self.keys).orderBy(*order, F.xxhash64(*self.schema.names))
-        duplicate = F.raise_error(F.concat_ws(" ", F.lit("two updates for key"), *[F.col(k) for k in self.keys]))
-        first = F.col("_rank") == 1
-        stop = F.when(F.col("_update") == 1, duplicate.cast("boolean")).otherwise(F.lit(False))
-        wins = first if latest_by else F.when(first, F.lit(True)).otherwise(stop)
-        # One shuffle: the window and the partitioned write both reuse this distribution and order.
-        merged = (
-            old.unionByName(new, allowMissingColumns=True)
-            .repartition(*self._slots)
-            .withColumn("_rank", F.row_number().over(by_key))
-            .where(wins)
-            .drop("_rank", "_update", *extra)
-        )
-        self._write(merged, commit)
-        self._publish(commit, n_buckets, self._slots_of(self._version(commit)) if grown else touched, kept)
-        return commit
-
-    def replace(self, df: DataFrame) -> int:
+        new = self._stage(self._latest(updates, latest_by))
+        touched = new.select(*self.directories).distinct()
+        same = [F.col(f"o.{d}").eqNullSafe(F.col(f"t.{d}")) for d in self.directories]
+        old = self._rows().alias("o").join(touched.alias("t"), reduce(lambda a, b: a & b, same), "left_semi")
+        self._write(merge(old, new, self.keys), "dynamic")
+
+    def replace(self, df: DataFrame) -> None:
         """Full refresh: the new rows become the whole table."""
-        commit = self._next_commit(self._live())
-        staged = self._stage(df, commit)
-        n_buckets = self._bucket_count(staged, commit)
-        rows = self._bucketed(staged, n_buckets)
-        self._write(rows.repartition(*self._slots).sortWithinPartitions(*self._slots, *self.keys), commit)
-        self._publish(commit, n_buckets, self._slots_of(rows))
-        return commit
-
-    def vacuum(self) -> None:
-        """Delete versions that are no longer live; readers of older states must be done."""
-        live = {f"version={r['version']}" for r in self._live()}
-        data, fs = self._file_system(f"{self.path}/data")
-        for status in fs.listStatus(data) if fs.exists(data) else ():
-            if status.getPath().getName() not in live:
-                fs.delete(status.getPath(), True)
-        staged, fs = self._file_system(f"{self.path}/staged")
-        fs.delete(staged, True)
-
-    def _stage(self, df: DataFrame, commit: int, extra: Sequence[str] = ()) -> DataFrame:
-        # Written once: the rows are read several times, and a lost executor must not redo them.
-        path = f"{self.path}/staged/commit={commit}"
-        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema], *extra)
-        typed.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
-        return self.spark.read.schema(typed.schema).parquet(path)
-
-    def _file_system(self, path: str):
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path, hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _bytes(self, path: str) -> int:
-        folder, fs = self._file_system(path)
-        return fs.getContentSummary(folder).getLength() if fs.exists(folder) else 0
-
-    def _bucket_count(self, staged: DataFrame, commit: int) -> int:
-        """Buckets per partition, so that those of the largest one have the wanted size."""
-        if self.n_buckets is not None:
-            return self.n_buckets
-        size = self._bytes(f"{self.path}/staged/commit={commit}")
-        if self.partition_by:
-            sizes = staged.groupBy(*self.partition_by).count().agg(F.max("count"), F.sum("count")).first()
-            size *= (sizes[0] or 0) / (sizes[1] or 1)
-        return max(MIN_BUCKETS, ceil(size / BUCKET_BYTES))
-
-    def _is_grown(self, live: list) -> bool:
-        return self.n_buckets is None and max((r["bytes"] or 0 for r in live), default=0) > GROWTH * BUCKET_BYTES
-
-    def _bucketed(self, df: DataFrame, n_buckets: int) -> DataFrame:
-        return df.withColumn("key_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(n_buckets)).cast("int"))
-
-    def _slots_of(self, df: DataFrame) -> set[tuple]:
-        return {tuple(r) for r in df.select(*self._slots).distinct().collect()}
-
-    def _slot(self, row) -> tuple:
-        return tuple(row[s] for s in self._slots)
-
-    @staticmethod
-    def _next_commit(live: list) -> int:
-        return live[0]["commit"] + 1 if live else 1
-
-    def _live(self) -> list:
-        """Rows of the last commit; as many as the table has partitions times buckets."""
+        self._write(self._stage(self._typed(df)), "static")
+
+    def _latest(self, updates: DataFrame, latest_by: Sequence[str]) -> DataFrame:
+        extra = [c for c in latest_by if c not in self.schema.names]
+        rows = self._typed(updates, extra)
+        if latest_by:
+            # cut to one row per key and task before the shuffle; equal rows by all columns are one row
+            order = [F.col(c).desc_nulls_last() for c in (*latest_by, *self.schema.names) if c not in self.keys]
+            return pick_first(rows, self.keys, order or [F.lit(1)]).drop(*extra)
+        rank = F.row_number().over(Window.partitionBy(*self.keys).orderBy(F.lit(1)))
+        stop = F.raise_error(F.concat_ws(" ", F.lit("two updates for key"), *[F.col(k) for k in self.keys]))
+        return rows.withColumn("_rank", rank).where(F.when(F.col("_rank") == 1, True).otherwise(stop.cast("boolean"))).drop("_rank")
+
+    def _typed(self, df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema], *extra)
+
+    def _stage(self, df: DataFrame) -> DataFrame:
+        # Written once: the rows are read several times, and the source may be the table itself.
+        path = f"{self.path}/staged"
+        placed = df.withColumns(self.directories)
+        placed.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+        return self.spark.read.schema(self._file_schema).parquet(path)
+
+    def _rows(self) -> DataFrame:
         try:
-            commits = self.spark.read.schema(self._commit_schema).json(f"{self.path}/commits")
+            return self.spark.read.schema(self._file_schema).parquet(f"{self.path}/data")
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
-                return []
+                return self.spark.createDataFrame([], self._file_schema)
             raise
-        return commits.where(F.col("commit") == commits.agg(F.max("commit")).scalar()).collect()
-
-    def _rows(self, live: list) -> DataFrame:
-        live = [r for r in live if r["version"]]
-        if not live:
-            empty = StructType([*self.schema, StructField("key_bucket", IntegerType())])
-            return self.spark.createDataFrame([], empty)
-        return self._data().where(self._live_filter(live)).drop("version")
-
-    def _data(self) -> DataFrame:
-        return self.spark.read.schema(self._file_schema).parquet(f"{self.path}/data")
-
-    def _version(self, version: int) -> DataFrame:
-        return self._data().where(F.col("version") == version)
-
-    def _live_filter(self, live: list) -> Column:
-        """Static filter on directory columns only, so that the scan prunes to live buckets."""
-        groups: dict[tuple, list[int]] = {}
-        for r in live:
-            groups.setdefault((r["version"], *(r[p] for p in self.partition_by)), []).append(r["key_bucket"])
-        terms = []
-        for group, buckets in groups.items():
-            fixed = [F.col(c) == F.lit(v) for c, v in zip(["version", *self.partition_by], group, strict=True)]
-            terms.append(reduce(lambda a, b: a & b, fixed) & F.col("key_bucket").isin(buckets))
-        return reduce(lambda a, b: a | b, terms)
-
-    def _write(self, df: DataFrame, version: int) -> None:
-        # Static, whatever the session says: what a dead run left under this version has to go.
-        options = {"compression": COMPRESSION, "partitionOverwriteMode": "static"}
-        df.write.mode("overwrite").options(**options).partitionBy(*self._slots).parquet(
-            f"{self.path}/data/version={version}"
-        )
-
-    def _publish(self, commit: int, n_buckets: int, written: set[tuple], kept: Sequence = ()) -> None:
-        # The size of a bucket is the mean of its version.
-        size = self._bytes(f"{self.path}/data/version={commit}") // max(len(written), 1)
-        slots = [(r["version"], r["bytes"], *self._slot(r)) for r in kept]
-        slots += [(commit, size, *slot) for slot in written]
-        # An empty table still needs a commit, else the one before it would stay live.
-        slots = slots or [(None,) * (2 + len(self._slots))]
-        rows = [dict(zip(self._commit_schema.names, (commit, n_buckets, *s), strict=True)) for s in slots]
-        arrow = pa.Table.from_pylist(rows, to_arrow_schema(self._commit_schema))
-        self.spark.createDataFrame(arrow, self._commit_schema).coalesce(1).write.mode("append").json(
-            f"{self.path}/commits"
-        )
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        options = {"compression": COMPRESSION, "partitionOverwriteMode": mode}
+        spread = df.hint("rebalance", *[F.col(d) for d in self.directories])
+        spread.write.mode("overwrite").options(**options).partitionBy(*self.directories).parquet(f"{self.path}/data")

@@ -125,28 +125,34 @@ def run_manifests(landing: DataFrame, run_ts: Column, extra: dict[str, Column] |
     )
 
 
+def append_manifests(manifests: DataFrame, path: str) -> None:
+    """Append manifest rows to the audit table at ``path``, one JSON document per run."""
+    manifests.write.mode("append").option("ignoreNullFields", False).json(path)
+
+
+def _key_directories(column: str) -> dict[str, Column]:
+    parts = keys.key_parts(F.col(column))
+    return {"key_resource": parts["resource"], "key_date": parts["ingest_date"]}
+
+
 class Catalog:
     """The two catalog tables, upserted by key."""
 
-    def __init__(self, spark: SparkSession, root: str, bucket: str = "landing", n_buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, bucket: str = "landing"):
         self.bucket = bucket
+        # an object key names its resource and day, so a run touches the directories of its day only
         self.ingest_objects = KeyedTable(
-            spark, f"{root}/ingest_objects", REGISTRY_SCHEMA, REGISTRY_KEYS, n_buckets=n_buckets
+            spark, f"{root}/ingest_objects", REGISTRY_SCHEMA, REGISTRY_KEYS, _key_directories("key")
         )
         self.raw_payloads = KeyedTable(
-            spark,
-            f"{root}/raw_payloads",
-            PAYLOAD_SCHEMA,
-            PAYLOAD_KEYS,
-            n_buckets=n_buckets,
-            partition_by=("resource",),
+            spark, f"{root}/raw_payloads", PAYLOAD_SCHEMA, PAYLOAD_KEYS, _key_directories("source_key")
         )
 
     def add(self, landing: DataFrame, run_ts: Column) -> None:
         """Register a scan. Both writes are keyed, so a repeat of the same scan changes nothing.
 
-        Of a document that was landed more than once, the last file wins.
+        Of a document that was landed more than once, the last landing wins.
         """
-        last = ("last_modified",)
+        last = ("last_modified", "position")
         self.ingest_objects.upsert(registry(landing, self.bucket, run_ts, last), latest_by=last)
         self.raw_payloads.upsert(raw_payloads(landing, run_ts, last), latest_by=last)

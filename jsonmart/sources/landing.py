@@ -8,6 +8,8 @@ Both give the same columns.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,31 +19,45 @@ from ..functions.values import KEY_ROOT
 
 _LANDING_SCHEMA = (
     "key STRING, resource STRING, ingest_date DATE, run_id STRING, filename STRING, payload STRING, "
-    "bytes BIGINT, etag STRING, last_modified TIMESTAMP"
+    "bytes BIGINT, etag STRING, last_modified TIMESTAMP, position BIGINT, request_path STRING, http_status INT"
+)
+_BATCH_SCHEMA = (
+    "filename STRING, payload STRING, request_path STRING, http_status INT, landed_at BIGINT, position BIGINT, "
+    "resource STRING, ingest_date DATE, run_id STRING"
 )
-_BATCH_SCHEMA = "filename STRING, payload STRING, resource STRING, ingest_date DATE, run_id STRING"
 _PARTITIONS = ("resource", "ingest_date", "run_id")
 
 
 def write_landing(df: DataFrame, root: str, mode: str = "append") -> None:
-    """Land documents: columns resource, ingest_date, run_id, name, payload.
+    """Land documents: columns resource, ingest_date, run_id, name, payload; request_path and http_status if known.
 
-    A struct payload is rendered as compact JSON with its nulls; a string is kept as it is.
+    A struct payload is rendered as compact JSON with its nulls; a string is kept as it is. Each row
+    keeps the time of this call and its position in ``df``: of two rows for one key the later is the newer.
     The rows are rebalanced by directory: small directories get one file, and a directory with
     most of the rows is split over many tasks.
     """
     payload: Column = F.col("payload")
+    landed_at = int(datetime.now(timezone.utc).timestamp() * 1_000_000)
     if df.schema["payload"].dataType.typeName() == "struct":
         payload = F.to_json(payload, {"ignoreNullFields": "false"})
     df.select(
         keys.with_json_suffix(F.col("name")).alias("filename"),
         payload.alias("payload"),
+        *_known_response(df),
+        F.lit(landed_at).alias("landed_at"),
+        F.monotonically_increasing_id().alias("position"),
         "resource",
         F.col("ingest_date").cast("date").alias("ingest_date"),
         keys.safe_run_id(F.col("run_id")).alias("run_id"),
     ).hint("rebalance", *[F.col(c) for c in _PARTITIONS]).write.partitionBy(*_PARTITIONS).mode(mode).json(root)
 
 
+def _known_response(df: DataFrame) -> list[Column]:
+    """request_path and http_status of the rows; null where they are not known."""
+    kinds = {"request_path": "string", "http_status": "int"}
+    return [(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()]
+
+
 def _restrict(df: DataFrame, ingest_date: str | None, run_id: str | None) -> DataFrame:
     if ingest_date is not None:
         df = df.where(F.col("ingest_date") == F.lit(ingest_date).cast("date"))
@@ -72,7 +88,10 @@ def _batch_columns(df: DataFrame) -> DataFrame:
         "payload",
         F.octet_length("payload").cast("bigint").alias("bytes"),
         F.sha2("payload", 256).alias("etag"),
-        F.col("_metadata.file_modification_time").alias("last_modified"),
+        F.timestamp_micros("landed_at").alias("last_modified"),
+        "position",
+        "request_path",
+        "http_status",
     )
 
 
@@ -104,6 +123,9 @@ def _object_columns(df: DataFrame, key_root: str) -> DataFrame:
             "bytes",
             F.sha2("payload", 256).alias("etag"),
             "last_modified",
+            F.lit(0).cast("bigint").alias("position"),
+            F.lit(None).cast("string").alias("request_path"),
+            F.lit(None).cast("int").alias("http_status"),
         )
     )
 
@@ -150,13 +172,10 @@ def documents(landing: DataFrame) -> DataFrame:
 def audit(landing: DataFrame, extracted_at: Column | None = None) -> DataFrame:
     """One audit row per document: where it came from, when, how many records and bytes.
 
-    Uses the columns request_path and http_status if the landing has them.
+    The path of the request and its status are null where the landing does not know them.
     """
-    request_path = F.col("request_path") if "request_path" in landing.columns else F.lit(None).cast("string")
-    status = F.col("http_status") if "http_status" in landing.columns else F.lit(200)
     return documents(landing).select(
-        request_path.alias("request_path"),
-        status.cast("int").alias("http_status"),
+        *_known_response(landing),
         (F.current_timestamp() if extracted_at is None else extracted_at).alias("extracted_at"),
         keys.record_count(F.col("resource"), F.col("payload")).alias("record_count"),
         "resource",

@@ -70,20 +70,10 @@ def test_wide_mart_shuffles_each_list_once_for_the_joins(spark):
     assert len(by_movie) == 4
 
 
-def test_upsert_shuffles_once(spark, tmp_path, monkeypatch):
-    plans = []
-    monkeypatch.setattr(KeyedTable, "_write", lambda self, df, v: plans.append(plan(df)))
-    monkeypatch.setattr(KeyedTable, "_publish", lambda *a: None)
-    t = KeyedTable(spark, str(tmp_path), "k BIGINT, v STRING", ["k"])
-    t.upsert(spark.range(5).select(F.col("id").alias("k"), F.lit("a").alias("v")))
-    assert plans[0].count("Exchange") == 1
-    assert plans[0].count("Sort [") == 1
-
-
-def test_table_scan_prunes_to_live_buckets(spark, tmp_path):
+def test_upsert_scans_only_touched_directories(spark, tmp_path):
     t = KeyedTable(spark, str(tmp_path), "k BIGINT, v STRING", ["k"])
     t.upsert(spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("v")))
-    t.upsert(spark.range(3).select(F.col("id").alias("k"), F.lit("b").alias("v")))
-    text = plan(t.read().where("v = 'b'"))
-    assert re.search(r"PartitionFilters: \[[^\]]*version[^\]]*key_bucket", text)
-    assert "EqualTo(v,b)" in text
+    touched = spark.createDataFrame([(3,)], "d INT")
+    text = plan(t._rows().join(F.broadcast(touched), F.col("key_part") == F.col("d"), "left_semi"))
+    assert re.search(r"PartitionFilters: \[[^\]]*key_part[^\]]*dynamicpruning", text)
+    assert "EqualTo(v,b)" in plan(t.read().where("v = 'b'"))

@@ -13,8 +13,8 @@ from jsonmart.operators.upsert import KeyedTable
 SCHEMA = "part STRING, k BIGINT, v STRING"
 
 
-def table(spark, path, **options):
-    return KeyedTable(spark, str(path), SCHEMA, ["part", "k"], partition_by=["part"], **options)
+def table(spark, path):
+    return KeyedTable(spark, str(path), SCHEMA, ["part", "k"], {"dir": F.col("part")})
 
 
 def rows(spark, *data):
@@ -34,7 +34,7 @@ def test_insert_update_and_repeat(spark, tmp_path):
 
 def test_matches_a_dict_over_random_batches(spark, tmp_path):
     rnd = random.Random(5)
-    t, expected = table(spark, tmp_path, n_buckets=3), {}
+    t, expected = table(spark, tmp_path), {}
     for batch in range(4):
         keys = rnd.sample(range(40), 15)
         data = [(f"p{k % 3}", k, f"{batch}-{k}") for k in keys]
@@ -43,15 +43,41 @@ def test_matches_a_dict_over_random_batches(spark, tmp_path):
     assert tuples(t.read()) == sorted(expected.values())
 
 
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    t = table(spark, tmp_path, n_buckets=8)
-    t.upsert(spark.range(400).select(F.lit("p").alias("part"), F.col("id").alias("k"), F.lit("a").alias("v")))
-    t.upsert(rows(spark, ("p", 5, "b")))
-    assert len(os.listdir(tmp_path / "data/version=1/part=p")) == 8
-    assert len([d for d in os.listdir(tmp_path / "data/version=2/part=p") if not d.startswith(".")]) == 1
+def test_only_touched_directories_are_rewritten(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.upsert(spark.range(400).select(F.concat(F.lit("p"), F.col("id") % 8).alias("part"), F.col("id").alias("k"), F.lit("a").alias("v")))
+    before = {d: sorted(os.listdir(tmp_path / "data" / d)) for d in os.listdir(tmp_path / "data") if d.startswith("dir=")}
+    t.upsert(rows(spark, ("p5", 5, "b")))
+    after = {d: sorted(os.listdir(tmp_path / "data" / d)) for d in os.listdir(tmp_path / "data") if d.startswith("dir=")}
+    assert len(before) == 8 and [d for d in before if before[d] != after[d]] == ["dir=p5"]
     assert t.read().where("v = 'b'").count() == 1 and t.read().count() == 400
 
 
+def test_hash_parts_are_the_default(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path), "k BIGINT, v STRING", ["k"])
+    t.upsert(spark.range(300).select(F.col("id").alias("k"), F.lit("a").alias("v")))
+    t.upsert(spark.range(250, 350).select(F.col("id").alias("k"), F.lit("b").alias("v")))
+    assert t.read().groupBy("v").count().orderBy("v").collect() == [("a", 250), ("b", 100)]
+    assert len([d for d in os.listdir(tmp_path / "data") if d.startswith("key_part=")]) == 8
+
+
+def test_a_hot_key_is_cut_before_the_shuffle(spark, tmp_path, monkeypatch):
+    """A third of the updates are versions of one key; the newest wins, and one row per task is shuffled."""
+    plans, real = [], KeyedTable._stage
+    monkeypatch.setattr(KeyedTable, "_stage", lambda self, df: plans.append(df) or real(self, df))
+    updates = spark.range(3000).select(
+        F.lit("p").alias("part"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+        F.col("id").cast("string").alias("v"),
+        F.col("id").alias("seen"),
+    )
+    t = table(spark, tmp_path)
+    t.upsert(updates, latest_by=["seen"])
+    assert t.read().count() == 2001 and t.read().where("k = 0").first().v == "2997"
+    text = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert text.count("WindowGroupLimit") == 2 and text.count("Exchange") == 1
+
+
 def test_two_updates_for_one_key_stop(spark, tmp_path):
     t = table(spark, tmp_path)
     t.upsert(rows(spark, ("p", 1, "a")))
@@ -80,7 +106,7 @@ def test_a_run_that_dies_before_its_commit_leaves_the_table_as_it_was(spark, tmp
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as m:
-        m.setattr(KeyedTable, "_publish", die)
+        m.setattr(KeyedTable, "_write", die)
         with pytest.raises(RuntimeError):
             t.upsert(rows(spark, ("p", 1, "lost")))
     assert tuples(t.read()) == [("p", 1, "a"), ("p", 2, "b")]
@@ -106,44 +132,3 @@ def test_refresh_may_read_the_table_itself(spark, tmp_path):
     t.upsert(rows(spark, ("p", 1, "a"), ("p", 2, "b")))
     t.replace(t.read().withColumn("v", F.upper("v")))
     assert tuples(t.read()) == [("p", 1, "A"), ("p", 2, "B")]
-
-
-def test_vacuum_keeps_live_rows(spark, tmp_path):
-    t = table(spark, tmp_path, n_buckets=4)
-    t.upsert(spark.range(50).select(F.lit("p").alias("part"), F.col("id").alias("k"), F.lit("a").alias("v")))
-    t.upsert(rows(spark, ("p", 1, "b")))
-    t.upsert(rows(spark, ("p", 1, "c")))
-    before = tuples(t.read())
-    t.vacuum()
-    assert tuples(t.read()) == before
-    assert sorted(d for d in os.listdir(tmp_path / "data") if d.startswith("version")) == ["version=1", "version=3"]
-
-
-def letters(spark, n, v):
-    return spark.range(n).select(F.concat(F.lit("p"), F.col("id") % 2).alias("part"), F.col("id").alias("k"), F.lit(v).alias("v"))
-
-
-def test_bucket_count_follows_the_first_load(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("jsonmart.operators.upsert.BUCKET_BYTES", 500)
-    monkeypatch.setattr("jsonmart.operators.upsert.MIN_BUCKETS", 1)
-    t = table(spark, tmp_path)
-    t.upsert(letters(spark, 2000, "a").coalesce(1))
-    (first,) = {r["n_buckets"] for r in t._live()}
-    assert first > 4
-    monkeypatch.setattr("jsonmart.operators.upsert.BUCKET_BYTES", 10**9)
-    t.upsert(letters(spark, 10, "b"))
-    assert {r["n_buckets"] for r in t._live()} == {first}
-    assert t.read().count() == 2000 and t.read().where("v = 'b'").count() == 10
-
-
-def test_a_grown_table_gets_more_buckets(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("jsonmart.operators.upsert.MIN_BUCKETS", 2)
-    t = table(spark, tmp_path)
-    t.upsert(letters(spark, 5000, "a"))
-    assert {r["n_buckets"] for r in t._live()} == {2}
-    monkeypatch.setattr("jsonmart.operators.upsert.BUCKET_BYTES", 500)
-    t.upsert(letters(spark, 10, "b"))
-    assert {r["n_buckets"] for r in t._live()} == {8}
-    assert len(t._live()) == 16  # the untouched buckets have moved too
-    assert t.read().count() == 5000 and t.read().where("v = 'b'").count() == 10
-    assert t.read().select("part", "k").distinct().count() == 5000
