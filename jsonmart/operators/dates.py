@@ -17,7 +17,13 @@ def date_dim(df: DataFrame, date_col: str) -> DataFrame:
         F.coalesce(F.max(date_col), fallback).alias("last"),
     )
     day = F.col("date_day")
-    return bounds.select(F.explode(F.expr("sequence(first, last, interval 1 day)")).alias("date_day")).select(
+    # years first, then the days of each: no array is longer than a year, and tasks share the years
+    years = bounds.select("first", "last", F.explode(F.sequence(F.year("first"), F.year("last"))).alias("y"))
+    years = years.repartition("y").select(
+        F.greatest("first", F.make_date("y", F.lit(1), F.lit(1))).alias("first"),
+        F.least("last", F.make_date("y", F.lit(12), F.lit(31))).alias("last"),
+    )
+    return years.select(F.explode(F.expr("sequence(first, last, interval 1 day)")).alias("date_day")).select(
         day,
         F.year(day).alias("year"),
         F.month(day).alias("month"),

@@ -85,16 +85,81 @@ def relationship(child: DataFrame, model: str, column: str, parent: DataFrame, p
     )
 
 
+def _entry(space: int, key, slot: int):
+    return F.struct(F.lit(space).alias("space"), key.alias("key"), F.lit(slot).alias("slot"))
+
+
+def _key_text(columns: Sequence[str]):
+    """The key as text; null if any part of it is."""
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    return known, F.concat_ws("\x1f", *[F.col(c).cast("string") for c in columns])
+
+
 def dq_report(tables: Mapping[str, DataFrame], checks: Iterable[ModelChecks]) -> DataFrame:
-    """One row per declared check with its number of failures."""
-    parts = []
+    """One row per declared check with its number of failures.
+
+    Every table is read once and every key shuffled once: a table's rows become entries (key space, key,
+    role), for its own key, for each parent it points to and for each null. One aggregate over all entries, with
+    partial counts before the shuffle, then knows how often each key has an owner and how many children.
+    """
+    declared: list[tuple[str, str, str]] = []
+    spaces: dict[tuple[str, tuple[str, ...]], int] = {}
+    entries: dict[str, list] = {}
+    duplicate: dict[int, int] = {}  # key space -> its unique check
+    children: dict[int, list[int]] = {}  # key space -> its relationship checks, by slot
+
+    def space_of(model: str, columns: tuple[str, ...]) -> int:
+        if (model, columns) not in spaces:
+            spaces[model, columns] = len(spaces)
+            known, key = _key_text(columns)
+            entries.setdefault(model, []).append(F.when(known, _entry(spaces[model, columns], key, -1)))
+        return spaces[model, columns]
+
     for c in checks:
-        df = tables[c.model]
-        if c.not_null or c.unique:
-            parts.append(column_checks(df, c.model, c.not_null, c.unique))
+        for column in c.not_null:
+            entries.setdefault(c.model, []).append(
+                F.when(F.col(column).isNull(), _entry(-1, F.lit(str(len(declared))), -1))
+            )
+            declared.append((c.model, "not_null", column))
+        if c.unique:
+            duplicate[space_of(c.model, tuple(c.unique))] = len(declared)
+            declared.append((c.model, "unique", "-".join(c.unique)))
         for column, parent, parent_column in c.parents:
-            parts.append(relationship(df, c.model, column, tables[parent], parent_column))
-    return reduce(DataFrame.unionByName, parts)
+            space = space_of(parent, (parent_column,))
+            known, key = _key_text((column,))
+            slots = children.setdefault(space, [])
+            entries.setdefault(c.model, []).append(F.when(known, _entry(space, key, len(slots))))
+            slots.append(len(declared))
+            declared.append((c.model, "relationships", column))
+
+    rows = [
+        tables[model].select(F.explode(F.array_compact(F.array(*parts))).alias("e")).select("e.*")
+        for model, parts in entries.items()
+    ]
+    width = max((len(x) for x in children.values()), default=0)
+    counted = reduce(DataFrame.unionByName, rows).groupBy("space", "key").agg(
+        F.count_if(F.col("slot") == -1).alias("owners"),
+        F.array(*[F.count_if(F.col("slot") == k) for k in range(width)]).cast("array<bigint>").alias("children"),
+    )
+
+    def failure(check: int, n):
+        return F.struct(F.lit(check).alias("check"), n.alias("failures"))
+
+    space, owners = F.col("space"), F.col("owners")
+    found = [F.when(space == -1, F.struct(F.when(space == -1, F.col("key")).try_cast("int").alias("check"), owners.alias("failures")))]
+    found += [F.when((space == k) & (owners > 1), failure(check, F.lit(1).cast("bigint"))) for k, check in duplicate.items()]
+    for k, slots in children.items():
+        for slot, check in enumerate(slots):
+            lost = (space == k) & (owners == 0) & (F.col("children")[slot] > 0)
+            found.append(F.when(lost, failure(check, F.col("children")[slot])))
+    failed = counted.select(F.explode(F.array_compact(F.array(*found))).alias("f")).select("f.*")
+    failed = failed.groupBy("check").agg(F.sum("failures").alias("failures"))
+    listed = F.array(*[F.struct(F.lit(k).alias("check"), F.lit(m).alias("model"), F.lit(t).alias("test"), F.lit(c).alias("target"))
+                       for k, (m, t, c) in enumerate(declared)])
+    report = failed.sparkSession.range(1).select(F.inline(listed))
+    return report.join(failed, "check", "left").select(
+        "model", "test", "target", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")
+    )
 
 
 def gate(report: DataFrame) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import as_bigint, blank_to_null
-from ..functions.values import PEOPLE_CAP
+from ..functions.values import LISTING_PAGES, PEOPLE_CAP
 from ..operators.conform import explode_array
 
 col = F.col
@@ -18,7 +18,7 @@ def within_pages(listing: DataFrame, max_pages: int | None) -> DataFrame:
     last = F.coalesce(F.nullif(total, F.lit(0)), F.lit(1))
     if max_pages is not None:
         last = F.least(last, F.lit(max_pages))
-    return listing.where(page <= last)
+    return listing.where(F.coalesce(page, F.lit(0)) <= last)  # a page without a number counts as page 0
 
 
 def _listed(listing: DataFrame, max_pages: int | None) -> DataFrame:
@@ -31,7 +31,7 @@ def listing_ids(listing: DataFrame, max_pages: int | None = None) -> DataFrame:
     return _listed(listing, max_pages).distinct().orderBy("movie_id")
 
 
-def movie_ids(popular: DataFrame, top_rated: DataFrame, max_pages: int | None = None) -> DataFrame:
+def movie_ids(popular: DataFrame, top_rated: DataFrame, max_pages: int | None = LISTING_PAGES) -> DataFrame:
     """Ids of both listings, ascending."""
     both = _listed(popular, max_pages).union(_listed(top_rated, max_pages))
     return both.distinct().orderBy("movie_id")

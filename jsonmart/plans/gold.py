@@ -14,8 +14,8 @@ from ..operators.dates import date_dim
 
 col = F.col
 
-# Names listed at one cast position are spread over this many partial strings.
-_LIST_PARTS = 64
+# People at one cast position are gathered in parts by so many first characters of their credit ids.
+_PART_CHARACTERS = 4
 
 
 def dim_movie(movie: DataFrame) -> DataFrame:
@@ -85,14 +85,14 @@ def genre_lists(movie_genre: DataFrame, genre: DataFrame) -> DataFrame:
 def top_cast(credit_cast: DataFrame, person: DataFrame) -> DataFrame:
     """Names at the first cast positions, by position. Positions may repeat or be missing.
 
-    People at the same position are listed by a hash part and then by credit id, so that a
-    position shared by very many people is gathered in parts.
+    The order is position, then credit id. The list is gathered in parts along that order, so that a
+    position shared by very many people does not meet in one task.
     """
     first = credit_cast.where(col("cast_order") < TOP_CAST_POSITIONS).select(
         "movie_id",
         "person_id",
         "cast_order",
-        F.pmod(F.xxhash64("credit_id"), F.lit(_LIST_PARTS)).alias("part"),
+        F.substring("credit_id", 1, _PART_CHARACTERS).alias("part"),
         "credit_id",
     )
     named = first.join(person.select("person_id", "name"), "person_id")

@@ -5,33 +5,48 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
+from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.values import COMPRESSION, PAYLOAD_RESOURCES
 from ..operators.quality import dq_report, gate
+from ..operators.upsert import merge
+from ..streaming.incremental import since_watermark
 from .checks import GOLD_CHECKS, SILVER_CHECKS
 from .gold import GOLD
 from .questions import QUESTIONS
 from .silver import SILVER
 from .staging import stage
 
+#: Conformed tables that a later build merges into those of the published one, with their keys.
+INCREMENTAL = {"movie": "movie_id", "person": "person_id"}
+
 
 class Layers:
-    """Lazy tables of one warehouse root.
+    """The tables of one warehouse root, build by build.
 
-    ``raw`` gives the raw payload rows of a resource. A staged, silver or gold table is written
-    when it is first read as an input, so payload text is parsed once, and a lost executor costs
-    a re-read and not a rebuild. ``plan_*`` give the unwritten plans.
+    ``raw`` gives the raw payload rows of a resource. A staged, silver or gold table is written when it is
+    first read as an input, so payload text is parsed once, and a lost executor costs a re-read and not a
+    rebuild. ``plan_*`` give the unwritten plans. Every build has a folder of its own; readers of
+    ``published`` see the last build whose checks all passed, whatever a later one does.
     """
 
     def __init__(self, spark: SparkSession, root: str, raw: Callable[[str], DataFrame]):
         self.spark = spark
         self.root = root.rstrip("/")
         self._raw = raw
+        self._guard = Lock()
+        self._begin(None)
+
+    def _begin(self, before: str | None) -> None:
+        """A new, empty build; ``before`` is the build that its incremental tables go on from."""
+        self.build_id = uuid4().hex
+        self._before = before
         self._written: dict[str, DataFrame] = {}
         self._locks: dict[str, Lock] = {}
-        self._guard = Lock()
 
     def _table(self, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
         with self._guard:
@@ -39,13 +54,13 @@ class Layers:
         with lock:
             if name not in self._written:
                 df = plan()
-                path = f"{self.root}/{name}"
-                df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+                path = f"{self.root}/builds/{self.build_id}/{name}"
+                df.write.option("compression", COMPRESSION).parquet(path)
                 self._written[name] = self.spark.read.schema(df.schema).parquet(path)
             return self._written[name]
 
     def raw(self, resource: str) -> DataFrame:
-        return self._table(f"raw/{resource}", lambda: self._raw(resource))
+        return self._raw(resource)
 
     def plan_staged(self, resource: str) -> DataFrame:
         return stage(self.raw(resource), resource)
@@ -55,7 +70,14 @@ class Layers:
 
     def plan_silver(self, name: str) -> DataFrame:
         inputs, build = SILVER[name]
-        return build(*[self.staged(r) for r in inputs])
+        staged = [self.staged(r) for r in inputs]
+        key = INCREMENTAL.get(name)
+        if key is None or self._before is None:
+            return build(*staged)
+        old = self.spark.read.parquet(f"{self.root}/builds/{self._before}/silver/{name}")
+        # movies load by time; people have two sources and are conformed in full, then merged by id
+        new = build(since_watermark(staged[0], old)) if name == "movie" else build(*staged)
+        return merge(old, new, [key])
 
     def silver(self, name: str) -> DataFrame:
         return self._table(f"silver/{name}", lambda: self.plan_silver(name))
@@ -93,6 +115,28 @@ class Layers:
         return dq_report(self.build_gold(), GOLD_CHECKS)
 
     def build(self) -> None:
-        """Build everything; gold is only started when the silver checks pass."""
+        """Build everything anew, incremental tables from the published build; publish if all checks pass.
+
+        Gold is only started when the silver checks pass.
+        """
+        self._begin(self._published())
         gate(self.silver_report())
         gate(self.gold_report())
+        pointer = self.spark.range(1).select(F.lit(self.build_id).alias("value"), F.current_timestamp().alias("at"))
+        pointer.coalesce(1).write.mode("append").json(f"{self.root}/published")
+
+    def _published(self) -> str | None:
+        try:
+            pointers = self.spark.read.schema("value STRING, at TIMESTAMP").json(f"{self.root}/published")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return pointers.agg(F.max_by("value", "at")).first()[0]
+
+    def published(self, name: str) -> DataFrame:
+        """A table, such as ``gold/fact_movie``, of the last build that passed its checks."""
+        build = self._published()
+        if build is None:
+            raise LookupError("no build has been published yet")
+        return self.spark.read.parquet(f"{self.root}/builds/{build}/{name}")

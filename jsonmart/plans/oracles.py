@@ -15,6 +15,9 @@ _LINES = """
     JOIN nation ON n_nationkey = s_nationkey
 """
 
+# The later snapshot of a credit, where there is one.
+_CHANGED = "CASE WHEN l_orderkey % 4 = 0 AND l_linenumber % 3 <> 0 THEN ' II' ELSE '' END"
+
 SILVER = {
     "movie": """
     SELECT o_orderkey AS movie_id,
@@ -22,7 +25,7 @@ SILVER = {
            CASE WHEN o_orderkey % 7 <> 0 THEN 'Order ' || o_orderkey END AS original_title,
            CAST(NULL AS VARCHAR) AS overview,
            CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS release_date,
-           CAST(o_orderkey % 200 AS INT) AS runtime,
+           CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderkey % 200 AS INT) END AS runtime,
            o_orderstatus AS status,
            lower(c_mktsegment) AS original_language,
            (o_orderkey % 1000) / 10 AS popularity,
@@ -30,33 +33,45 @@ SILVER = {
            CAST(o_orderkey * 13 % 2000 AS INT) AS vote_count,
            CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE o_orderkey * 37 % 500000 END AS budget,
            CAST(floor(o_totalprice) AS BIGINT) + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS revenue,
-           false AS adult,
+           o_orderkey % 5 = 0 AS adult,
            CAST(NULL AS VARCHAR) AS poster_path,
            CAST(NULL AS VARCHAR) AS backdrop_path,
            CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END AS loaded_at
     FROM orders JOIN customer ON c_custkey = o_custkey
     """,
     "person": """
-    SELECT s_suppkey AS person_id, s_name AS name, CAST(s_suppkey % 3 AS INT) AS gender,
+    SELECT s_suppkey AS person_id,
+           CASE WHEN s_suppkey % 4 = 0 THEN s_name || ' New' WHEN s_suppkey % 2 = 0 THEN s_name ELSE credit.name END AS name,
+           CAST(s_suppkey % 3 AS INT) AS gender,
            CAST(NULL AS VARCHAR) AS known_for_department,
-           s_acctbal AS popularity,
-           CASE WHEN s_suppkey % 2 = 0 THEN DATE '1950-01-01' + CAST(s_suppkey % 20000 AS INT) END AS birthday,
+           CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal ELSE credit.popularity END AS popularity,
+           CASE WHEN s_suppkey % 4 = 2 THEN DATE '1950-01-01' + CAST(s_suppkey % 20000 AS INT) END AS birthday,
            CAST(NULL AS DATE) AS deathday,
            CASE WHEN s_suppkey % 2 = 0 THEN n_name END AS place_of_birth,
            CAST(NULL AS VARCHAR) AS biography
     FROM supplier JOIN nation ON n_nationkey = s_nationkey
-    WHERE s_suppkey % 2 = 0 OR s_suppkey IN (SELECT l_suppkey FROM lineitem)
+    LEFT JOIN (
+        SELECT l_suppkey, CASE WHEN l_linenumber % 3 = 1 THEN s_name || ' ' || l_linenumber ELSE s_name END AS name,
+               CASE l_linenumber % 3 WHEN 1 THEN s_acctbal + l_linenumber WHEN 2 THEN s_acctbal END AS popularity
+        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
+        QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY popularity DESC NULLS LAST, name) = 1
+    ) credit ON l_suppkey = s_suppkey
+    WHERE s_suppkey % 2 = 0 OR l_suppkey IS NOT NULL
     """,
     "genre": f"""
     SELECT brand AS genre_id, max(p_brand) AS name FROM (
         SELECT brand, p_brand FROM ({_LINES})
         UNION ALL
-        SELECT CAST(split_part(p_brand, '#', 2) AS INT), p_brand FROM part
-        WHERE CAST(split_part(p_brand, '#', 2) AS INT) % 5 <> 0
+        SELECT CAST(split_part(p_brand, '#', 2) AS INT) AS number, p_brand || CASE WHEN number % 5 = 1 THEN ' Z' ELSE '' END
+        FROM part WHERE number % 5 <> 0
+        UNION ALL
+        SELECT DISTINCT 1000 + number // 10, 'Unused'
+        FROM (SELECT CAST(split_part(p_brand, '#', 2) AS INT) AS number FROM part) WHERE number % 5 <> 0
     ) GROUP BY brand
     """,
     "company": f"""
-    SELECT l_suppkey AS company_id, max(s_name) AS name, max(n_name) AS origin_country
+    SELECT l_suppkey AS company_id, max(s_name || CASE WHEN l_orderkey % 3 = 0 THEN ' B' ELSE '' END) AS name,
+           max(n_name) || ' B' AS origin_country
     FROM ({_LINES}) GROUP BY l_suppkey
     """,
     "country": f"""
@@ -78,15 +93,16 @@ SILVER = {
     SELECT DISTINCT l_orderkey AS movie_id, CAST(p_size AS BIGINT) AS keyword_id FROM ({_LINES})
     """,
     "credit_cast": f"""
-    SELECT l_orderkey AS movie_id, l_suppkey AS person_id, credit_id, p_name AS character,
+    SELECT l_orderkey AS movie_id, l_suppkey AS person_id, credit_id, p_name || {_CHANGED} AS character,
            l_linenumber - 1 AS cast_order
     FROM ({_LINES}) WHERE l_linestatus = 'F'
-    QUALIFY row_number() OVER (PARTITION BY credit_id ORDER BY l_suppkey, p_name) = 1
+    QUALIFY row_number() OVER (PARTITION BY credit_id ORDER BY l_suppkey, character) = 1
     """,
     "credit_crew": f"""
-    SELECT l_orderkey AS movie_id, l_suppkey AS person_id, credit_id, p_type AS department, l_returnflag AS job
+    SELECT l_orderkey AS movie_id, l_suppkey AS person_id, credit_id, p_type AS department,
+           l_returnflag || {_CHANGED} AS job
     FROM ({_LINES}) WHERE l_linestatus = 'O'
-    QUALIFY row_number() OVER (PARTITION BY credit_id ORDER BY l_suppkey, p_type, l_returnflag) = 1
+    QUALIFY row_number() OVER (PARTITION BY credit_id ORDER BY l_suppkey, p_type, job) = 1
     """,
 }
 
@@ -231,7 +247,7 @@ QUESTIONS = {
     ),
     "q5_departments_approx": (
         "fact_movie_crew",
-        "SELECT department, count(*) AS credits FROM fact_movie_crew GROUP BY department",
+        "SELECT department, count(*) AS credits, true AS movies_close, true AS people_close FROM fact_movie_crew GROUP BY department",
     ),
 }
 
@@ -320,33 +336,39 @@ _GOLD_CHECKS = [
 
 _LANDED = """
 WITH docs AS (
-    SELECT doc_id,
+    SELECT doc_id, text,
            ['genre', 'movie_popular', 'movie_top_rated', 'movie', 'credits', 'keywords', 'person',
             'configuration'][CAST(doc_id % 8 + 1 AS INT)] AS resource,
            DATE '2024-01-01' + CAST(doc_id % 10 AS INT) AS ingest_date,
-           array_to_string(list_transform(range(0, doc_id % 4 + 1), lambda i: '{"id":' || i || '}'), ',') AS items,
-           doc_id || CASE WHEN doc_id % 9 = 0 THEN '.manifest' ELSE '' END || '.json' AS filename,
-           md5(text) AS hash
+           array_to_string(list_transform(range(0, doc_id % 4 + 1), lambda i: '{"id":' || i || '}'), ',') AS items
     FROM documents
-), landed AS (
-    SELECT *, 'manual__' || ingest_date || 'T00-00-00-00-00' AS run_id,
-           doc_id % 9 = 0 AS manifest, doc_id % 6 <> 0 AS is_object, resource <> 'configuration' AS known,
-           CASE WHEN doc_id % 6 = 0 THEN '[1,2]' ELSE
-               '{"id":' || CASE WHEN doc_id % 7 = 0 THEN 'null' ELSE CAST(doc_id AS VARCHAR) END
-               || ',"page":' || doc_id % 50 || ',"title":"' || hash || '"'
+), kinds AS (
+    SELECT *, 'document' AS kind, doc_id || '.json' AS filename,
+           '{"id":' || CASE WHEN doc_id % 7 = 0 THEN 'null' ELSE CAST(doc_id AS VARCHAR) END
+               || ',"page":' || doc_id % 50 || ',"title":' || CAST(to_json(text) AS VARCHAR)
                || ',"genres":[' || items || '],"results":[' || items || '],"cast":[' || items
-               || '],"keywords":[' || items || '],"crew":[]}' END AS payload,
+               || '],"keywords":[' || items || '],"crew":[]}' AS payload
+    FROM docs
+    UNION ALL SELECT *, 'manifest', doc_id || '.manifest.json', '{}' FROM docs WHERE doc_id % 9 = 0
+    UNION ALL SELECT *, 'list', doc_id || '-list.json', '[1,2]' FROM docs WHERE doc_id % 6 = 0
+    UNION ALL SELECT *, 'no id', 'x' || doc_id || '.json', '{"id":null,"page":' || doc_id % 50 || '}'
+              FROM docs WHERE doc_id % 5 = 0
+), landed AS (
+    SELECT *, 'manual__' || ingest_date || 'T00-00-00-00-00' AS run_id, '/' || resource || '/' || doc_id AS request_path,
+           CAST([200, 404, NULL, 503][CAST(doc_id % 4 + 1 AS INT)] AS INT) AS http_status,
+           kind = 'manifest' AS manifest, kind <> 'list' AS is_object, resource <> 'configuration' AS known,
            'tmdb/' || resource || '/ingest_date=' || ingest_date || '/run_id=manual__' || ingest_date
                || 'T00-00-00-00-00/' || filename AS key,
-           CASE WHEN resource IN ('movie', 'credits', 'keywords', 'person') THEN doc_id
+           CASE WHEN resource IN ('movie', 'credits', 'keywords', 'person')
+                THEN CASE WHEN kind = 'document' THEN doc_id END
                 WHEN resource IN ('movie_popular', 'movie_top_rated') THEN doc_id % 50 ELSE 0 END AS tmdb_id
-    FROM docs
+    FROM kinds
 )
 """
 
 _COUNTS = """
     SELECT ingest_date, run_id, count(*) FILTER (NOT manifest) AS ingest_objects,
-           count(*) FILTER (NOT manifest AND known AND is_object) AS raw_payloads,
+           count(*) FILTER (NOT manifest AND known AND is_object AND tmdb_id IS NOT NULL) AS raw_payloads,
            count(*) FILTER (manifest) AS skipped_manifests, count(*) AS listed
     FROM landed GROUP BY ingest_date, run_id
 """
@@ -360,7 +382,17 @@ _REGISTRY = """
 _PAYLOADS = """
     SELECT resource, tmdb_id, payload, key AS source_key, TIMESTAMP '2024-02-01' AS extracted_at,
            run_id AS dag_run_id
-    FROM landed WHERE NOT manifest AND known AND is_object
+    FROM landed WHERE NOT manifest AND known AND is_object AND tmdb_id IS NOT NULL
+"""
+
+_AUDIT = """
+    SELECT request_path, http_status, TIMESTAMP '2024-02-01' AS extracted_at,
+           CAST(CASE WHEN kind = 'document' AND resource IN ('genre', 'movie_popular', 'movie_top_rated', 'credits', 'keywords')
+                     THEN doc_id % 4 + 1
+                     WHEN kind = 'no id' AND resource IN ('genre', 'movie_popular', 'movie_top_rated', 'credits', 'keywords')
+                     THEN 0 ELSE 1 END AS BIGINT) AS record_count,
+           resource, key AS data_key, CAST(strlen(payload) AS BIGINT) AS bytes
+    FROM landed WHERE NOT manifest
 """
 
 _CATALOG_CHECKS = [
@@ -388,11 +420,39 @@ _REJECT_FIELDS = {
     "person": "id gender popularity birthday deathday malformed",
 }
 
+_PLANTED = """
+    WITH orders_p AS (
+        SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey,
+               CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS o_custkey FROM orders
+        UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 5 = 0
+    ), customer_p AS (SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey % 3 <> 0
+    ), nation_p AS (SELECT n_nationkey, nullif(n_name, 'JAPAN') AS n_name FROM nation WHERE n_nationkey > 4)
+    SELECT replace(model, '_p', '') AS model, * EXCLUDE (model) FROM (
+"""
+
+_PLANTED_CHECKS = [
+    ("orders_p", "o_orderkey o_custkey", "o_orderkey", {"o_custkey": "customer_p.c_custkey"}),
+    ("customer_p", "c_custkey", "c_custkey", {"c_nationkey": "nation_p.n_nationkey"}),
+    ("nation_p", "n_nationkey n_name", "n_nationkey", {}),
+]
+
+_BAD_TEXTS = {
+    "id": 29, "release_date": 3, "runtime": 5, "popularity": 7, "vote_average": 11, "vote_count": 13, "budget": 17,
+    "revenue": 19, "adult": 23, "malformed": 31,
+}
+
 ORACLES: dict[str, str] = {
+    "planted_dq_report": _PLANTED + _checks(_PLANTED_CHECKS) + ")",
+    "gate_failures": _PLANTED + _checks(_PLANTED_CHECKS) + ") WHERE failures > 0",
+    "planted_cast_rejects": " UNION ALL ".join(
+        f"SELECT 'movie' AS resource, '{f}' AS field, count(*) AS rejected FROM orders WHERE o_orderkey % {n} = 0"
+        for f, n in _BAD_TEXTS.items()
+    ),
+    "rebuilt_movie_analytics": GOLD["movie_analytics"],
     **{f"silver_{n}": sql for n, sql in SILVER.items()},
     "silver_movie_genre_current": f"""
         SELECT DISTINCT l_orderkey AS movie_id, brand AS genre_id FROM ({_LINES})
-        QUALIFY l_orderkey % 3 <> 0 OR brand > min(brand) OVER (PARTITION BY l_orderkey)
+        WHERE l_orderkey % 3 <> 0 OR (brand + l_orderkey) % 4 <> 0
     """,
     "cast_rejects": " UNION ALL ".join(
         f"SELECT '{r}' AS resource, '{f}' AS field, CAST(0 AS BIGINT) AS rejected"
@@ -427,7 +487,7 @@ ORACLES: dict[str, str] = {
         SELECT event_id, ts, user_id, event_type, CASE WHEN day(ts) >= 10 THEN value * 2 ELSE value END AS value
         FROM events
     """,
-    "replace_events": "SELECT event_id, ts, user_id, event_type, value FROM events WHERE value > 1",
+    "replace_events": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "incremental_equals_full": f"SELECT user_id, ts AS loaded_at, event_id FROM ({_EVENTS_LATEST})",
     "incremental_movie": SILVER["movie"],
     "reprocessed_movie": SILVER["movie"],
@@ -458,21 +518,25 @@ ORACLES: dict[str, str] = {
     "stream_catalog": _LANDED + f"SELECT * EXCLUDE (payload) FROM ({_PAYLOADS})",
     "quarantine": _LANDED
     + """
-        SELECT key, resource, payload, 'not a JSON object' AS reason
-        FROM landed WHERE NOT manifest AND known AND NOT is_object
+        SELECT key, resource, payload, CASE WHEN is_object THEN 'no natural id' ELSE 'not a JSON object' END AS reason
+        FROM landed WHERE NOT manifest AND known AND (NOT is_object OR tmdb_id IS NULL)
     """,
-    "record_counts": _LANDED
+    "record_counts": _LANDED + f"SELECT data_key, resource, record_count, bytes FROM ({_AUDIT})",
+    "audit": _LANDED + _AUDIT,
+    "landed_texts": _LANDED
     + """
-        SELECT key AS data_key, resource,
-               CASE WHEN is_object AND resource IN ('genre', 'movie_popular', 'movie_top_rated', 'credits', 'keywords')
-                    THEN doc_id % 4 + 1 ELSE 1 END AS record_count,
-               CAST(strlen(payload) AS BIGINT) AS bytes
-        FROM landed WHERE NOT manifest
+        SELECT key, sha256(text) AS text_hash, CAST(length(text) AS INT) AS chars, CAST(strlen(text) AS INT) AS utf8_bytes
+        FROM landed WHERE kind = 'document'
+    """,
+    "object_files": """
+        SELECT 'person' AS resource, DATE '2024-01-01' + CAST(s_suppkey % 3 AS INT) AS ingest_date,
+               'run-' || s_suppkey % 2 AS run_id, payload, CAST(strlen(payload) AS BIGINT) AS bytes, sha256(payload) AS etag
+        FROM (SELECT s_suppkey, '{"id":' || s_suppkey || ',"name":"' || s_name || ' é"}' || chr(10) AS payload FROM supplier)
     """,
     "run_counts": _LANDED + _COUNTS,
     "run_manifests": _LANDED
     + f"""
-        SELECT run_id, name, n FROM (SELECT * EXCLUDE (ingest_date) FROM ({_COUNTS}))
+        SELECT ingest_date, run_id, TIMESTAMP '2024-02-01' AS extracted_at, name, n FROM ({_COUNTS})
         UNPIVOT (n FOR name IN (ingest_objects, raw_payloads, skipped_manifests, listed))
     """,
     "run_scan": _LANDED
@@ -497,6 +561,7 @@ ORACLES: dict[str, str] = {
     "frontier_first_pages": "SELECT DISTINCT o_orderkey AS movie_id FROM orders WHERE o_orderkey < 100",
     "frontier_people": "SELECT DISTINCT l_suppkey AS person_id FROM lineitem",
     "frontier_people_cap": "SELECT DISTINCT l_suppkey AS person_id FROM lineitem ORDER BY person_id LIMIT 200",
+    "frontier_people_first": "SELECT DISTINCT l_suppkey AS person_id FROM lineitem ORDER BY person_id LIMIT 7",
     "page_names": f"""
         SELECT format('page_{{:03d}}', movie_id // 20 + 1) AS name, CAST(count(*) AS INT) AS results
         FROM ({_listing("O")}) GROUP BY 1

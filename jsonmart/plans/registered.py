@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from ..functions import keys
 from ..functions.jsonx import as_int
-from ..functions.values import PEOPLE_CAP
+from ..functions.values import LISTING_PAGES, PEOPLE_CAP
 from ..operators.conform import bridge, explode_array, ordered_list
 from ..operators.dates import date_dim
 from ..operators.pick import latest_by
-from ..operators.quality import ModelChecks, dq_report, orphan_keys
+from ..operators.quality import CheckFailed, ModelChecks, dq_report, gate, orphan_keys
 from ..operators.upsert import KeyedTable
 from ..scratch import fresh_dir
 from ..sources import catalog, landing, star_tables
@@ -28,6 +28,7 @@ from .gold import GOLD
 from .layers import Layers
 from .questions import QUESTIONS
 from .silver import SILVER
+from .staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 col = F.col
@@ -84,9 +85,32 @@ def _question(name: str) -> Query:
 
 
 def _departments_approx(spark, sf):
-    # Sketch estimates differ by engine; only the exact columns are returned for the comparison.
-    df = questions.departments(layers(spark, sf).gold("fact_movie_crew"), approximate=True)
-    return df.select("department", "credits")
+    """Sketch estimates differ by engine, so the row says whether each is within a fifth of the exact count."""
+    crew = layers(spark, sf).gold("fact_movie_crew")
+    exact = questions.departments(crew).toDF("department", "credits", "exact_movies", "exact_people")
+    both = questions.departments(crew, approximate=True).drop("credits").withColumnRenamed("department", "named")
+    both = exact.join(both, col("department").eqNullSafe(col("named")))
+
+    def close(name: str):
+        return (F.abs(col(name) - col(f"exact_{name}")) <= 0.2 * col(f"exact_{name}")).alias(f"{name}_close")
+
+    return both.select("department", "credits", close("movies"), close("people"))
+
+
+def _rebuilt_movie_analytics(spark, sf):
+    """Built from the first snapshots, then again when the later ones have come; equal to the full build."""
+    seen = {"days": 0}
+    last = F.lit(star_tables.FIRST_SNAPSHOT).cast("timestamp")
+
+    def raw(resource):
+        rows = star_tables.RAW[resource](spark, sf)
+        return rows.where(col("extracted_at") <= last + F.make_dt_interval(F.lit(seen["days"])))
+
+    warehouse = Layers(spark, fresh_dir(spark, "rebuilt"), raw)
+    warehouse.build()
+    seen["days"] = 1
+    warehouse.build()
+    return present(warehouse.published("gold/movie_analytics"))
 
 
 def _movie_genre_current(spark, sf):
@@ -162,11 +186,9 @@ def _upsert_events(spark, sf):
 def _replace_events(spark, sf):
     """A full refresh leaves nothing of the rows before it."""
     events = _events(spark, sf)
-    target = KeyedTable(
-        spark, fresh_dir(spark, "events"), _EVENT_SCHEMA, ["event_id"], partition_by=["event_type"]
-    )
-    target.upsert(events.withColumn("value", F.lit(-1.0)))
-    target.replace(events.where(col("value") > 1))
+    target = KeyedTable(spark, fresh_dir(spark, "events"), _EVENT_SCHEMA, ["event_id"])
+    target.upsert(events.withColumns({"event_id": col("event_id") - 1, "value": F.lit(-1.0)}))
+    target.replace(events)
     return target.read()
 
 
@@ -251,9 +273,42 @@ def _run_counts(spark, sf):
     return catalog.run_counts(_landed(spark, sf))
 
 
+def _audit(spark, sf):
+    return present(landing.audit(_landed(spark, sf), _run_ts()))
+
+
 def _run_manifests(spark, sf):
-    counts = catalog.run_manifests(_landed(spark, sf), _run_ts())
-    return counts.select("run_id", F.explode("counts").alias("name", "n"))
+    """Appended to the audit table, one half of the days after the other, and read back."""
+    manifests, path = catalog.run_manifests(_landed(spark, sf), _run_ts()), fresh_dir(spark, "manifests")
+    even = F.dayofmonth("ingest_date") % 2 == 0
+    catalog.append_manifests(manifests.where(even), path)
+    catalog.append_manifests(manifests.where(~even), path)
+    stored = spark.read.schema(manifests.schema).json(path)
+    return present(stored.select("ingest_date", "run_id", "extracted_at", F.explode("counts").alias("name", "n")))
+
+
+def _landed_texts(spark, sf):
+    """The texts inside the payloads are those of the table, in every character and byte."""
+    title = F.get_json_object("payload", "$.title")
+    return _landed(spark, sf).where(title.isNotNull()).select(
+        "key", F.sha2(title, 256).alias("text_hash"), F.length(title).alias("chars"), F.octet_length(title).alias("utf8_bytes")
+    )
+
+
+def _object_files(spark, sf):
+    """Suppliers as one JSON document per file, read back whole."""
+    key = col("s_suppkey")
+    rows = table(spark, sf, "supplier").select(
+        key.alias("id"),
+        F.concat("s_name", F.lit(" é")).alias("name"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (key % 3).cast("int")).alias("ingest_date"),
+        F.concat(F.lit("run-"), key % 2).alias("run_id"),
+    )
+    root = fresh_dir(spark, "objects")
+    one_each = rows.write.option("maxRecordsPerFile", 1).partitionBy("ingest_date", "run_id")
+    one_each.json(f"{root}/tmdb/person")
+    objects = landing.read_objects(spark, root).where(col("filename").startswith("part-"))
+    return objects.select("resource", "ingest_date", "run_id", "payload", "bytes", "etag")
 
 
 def _run_scan(spark, sf):
@@ -359,6 +414,56 @@ def _catalog_dq_report(spark, sf):
     return dq_report(tables, catalog.CATALOG_CHECKS)
 
 
+def _planted(spark, sf):
+    """Orders, customers and nations with missing, repeated and dangling keys, for checks that have to fire."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    key = col("o_orderkey")
+    orders = orders.select(
+        F.when(key % 7 != 0, key).alias("o_orderkey"), F.when(key % 11 != 0, col("o_custkey")).alias("o_custkey")
+    ).union(orders.where(key % 5 == 0))
+    customers = table(spark, sf, "customer").where("c_custkey % 3 != 0").select("c_custkey", "c_nationkey")
+    nations = table(spark, sf, "nation").where("n_nationkey > 4").select("n_nationkey", F.nullif("n_name", F.lit("JAPAN")).alias("n_name"))
+    return {"orders": orders, "customer": customers, "nation": nations}
+
+
+PLANTED_CHECKS = (
+    ModelChecks("orders", ("o_orderkey", "o_custkey"), ("o_orderkey",), (("o_custkey", "customer", "c_custkey"),)),
+    ModelChecks("customer", ("c_custkey",), ("c_custkey",), (("c_nationkey", "nation", "n_nationkey"),)),
+    ModelChecks("nation", ("n_nationkey", "n_name"), ("n_nationkey",)),
+)
+
+
+def _planted_dq_report(spark, sf):
+    return dq_report(_planted(spark, sf), PLANTED_CHECKS)
+
+
+def _gate_failures(spark, sf):
+    """What the gate reports when it stops a run."""
+    try:
+        gate(_planted_dq_report(spark, sf))
+    except CheckFailed as e:
+        return spark.createDataFrame([tuple(r) for r in e.rows], "model STRING, test STRING, target STRING, failures BIGINT")
+    raise AssertionError("the gate let a failing report pass")
+
+
+def _planted_cast_rejects(spark, sf):
+    """Orders as documents with texts that no cast can read, and some of another shape."""
+    key = col("o_orderkey")
+    bad = {"release_date": 3, "runtime": 5, "popularity": 7, "vote_average": 11, "vote_count": 13, "budget": 17, "revenue": 19, "adult": 23}
+    fields = [F.when(key % 29 == 0, "no number").otherwise(key.cast("string")).alias("id")]
+    fields += [F.when(key % n == 0, "unreadable").otherwise("").alias(name) for name, n in bad.items()]
+    shape = F.when(key % 31 == 0, F.array(F.lit("text"))).alias("genres")
+    docs = table(spark, sf, "orders").select(
+        F.lit("movie").alias("resource"),
+        key.alias("tmdb_id"),
+        F.to_json(F.struct(*fields, shape)).alias("payload"),
+        F.lit("k").alias("source_key"),
+        _run_ts().alias("extracted_at"),
+        F.lit("planted").alias("dag_run_id"),
+    )
+    return silver.cast_rejects(stage(docs, "movie"), "movie")
+
+
 def _orphan_keys(spark, sf):
     """Documents without a label, through the operator behind the relationship check."""
     return orphan_keys(table(spark, sf, "documents"), "doc_id", table(spark, sf, "labels"), "doc_id")
@@ -377,7 +482,7 @@ def _frontier_ids(spark, sf, max_pages=None):
 
 
 def _frontier_first_pages(spark, sf):
-    return _frontier_ids(spark, sf, max_pages=5)
+    return _frontier_ids(spark, sf, max_pages=LISTING_PAGES)
 
 
 def _frontier_people(spark, sf):
@@ -388,6 +493,11 @@ def _frontier_people_cap(spark, sf):
     return frontier.cap(_frontier_people(spark, sf), PEOPLE_CAP)
 
 
+def _frontier_people_first(spark, sf):
+    """A cap below the number of people at any size."""
+    return frontier.cap(_frontier_people(spark, sf), 7)
+
+
 def _page_names(spark, sf):
     staged = layers(spark, sf).staged("movie_popular")
     return staged.select(
@@ -425,6 +535,9 @@ QUERIES: dict[str, Query] = {
     "raw_payload_ids": _raw_payload_ids,
     "quarantine": _quarantine,
     "record_counts": _record_counts,
+    "audit": _audit,
+    "landed_texts": _landed_texts,
+    "object_files": _object_files,
     "run_counts": _run_counts,
     "run_manifests": _run_manifests,
     "run_scan": _run_scan,
@@ -435,6 +548,10 @@ QUERIES: dict[str, Query] = {
     "stream_registry": _stream_registry,
     "dq_report": _dq_report,
     "catalog_dq_report": _catalog_dq_report,
+    "planted_dq_report": _planted_dq_report,
+    "gate_failures": _gate_failures,
+    "planted_cast_rejects": _planted_cast_rejects,
+    "rebuilt_movie_analytics": _rebuilt_movie_analytics,
     "orphan_keys": _orphan_keys,
     "silver_dq_report": lambda spark, sf: layers(spark, sf).silver_report(),
     "gold_dq_report": lambda spark, sf: layers(spark, sf).gold_report(),
@@ -444,5 +561,6 @@ QUERIES: dict[str, Query] = {
     "frontier_first_pages": _frontier_first_pages,
     "frontier_people": _frontier_people,
     "frontier_people_cap": _frontier_people_cap,
+    "frontier_people_first": _frontier_people_first,
     "page_names": _page_names,
 }

@@ -2,8 +2,11 @@
 
 The documents hold the order lines in arrays. An order with very many lines is split into pages,
 each a document of its own with the same id and time, so that no task has to gather it whole; the
-conforming jobs collect arrays over all documents of an id, so they see no difference. Exact copies
-of a line are one array entry.
+conforming jobs collect arrays over all documents of an id, so they see no difference, and nothing in
+a document depends on its place among the pages.
+
+The payloads hold what real ones hold: later snapshots that differ, credits that were dropped or changed,
+people known under several names, blank and quoted numbers, missing ids, and copies of a line.
 """
 
 from __future__ import annotations
@@ -51,15 +54,15 @@ def _long_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _paged_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Distinct order lines with the page of the document they belong to; 0 but for long orders.
+    """Order lines, copies too, with the page of the document they belong to; 0 but for long orders.
 
-    Lines go to pages by their content. Copies would all go to one page, so they are folded
-    first, before and after the shuffle.
+    Lines go to pages by their place in the table, so copies of one line spread like any others.
     """
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *columns).distinct()
-    page = F.pmod(F.xxhash64(*columns), F.coalesce("pages", F.lit(1)))
+    place = F.monotonically_increasing_id().alias("place")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *columns, place)
+    page = F.pmod(F.xxhash64("place"), F.coalesce("pages", F.lit(1)))
     long_orders = _long_orders(spark, sf_dir)
-    return lines.join(long_orders, "l_orderkey", "left").withColumn("page", page).drop("pages")
+    return lines.join(long_orders, "l_orderkey", "left").withColumn("page", page).drop("pages", "place")
 
 
 def _paged_orders(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
@@ -87,7 +90,10 @@ def _brand_number(brand: Column) -> Column:
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two snapshots: one of every order, and a later one of every third with fewer genres."""
+    """Two snapshots: one of every order, and a later one of every third with fewer genres and other makers.
+
+    Every fiftieth order has a document without an id besides.
+    """
     nation = table(spark, sf_dir, "nation")
     maker = nation.select(
         col("n_nationkey").alias("s_nationkey"),
@@ -130,6 +136,7 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         _paged_orders(spark, sf_dir, orders.join(buyers, "o_custkey"))
         .join(per_document, ["o_orderkey", "page"], "left")
         .withColumn("s", F.explode(snapshots))
+        .withColumn("no_id", F.explode(F.when(key % 50 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     )
     title = F.concat(F.lit("Order "), key.cast("string"))
     language = F.struct(
@@ -138,16 +145,25 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         col("r_name").alias("name"),
     )
     no_budget = F.lit(None).cast("bigint")
-    # A later snapshot has lost the first genre of the document.
-    kept_genres = F.when(col("s") == 0, col("genres")).otherwise(
-        F.slice("genres", F.lit(2), F.greatest(F.size("genres") - 1, F.lit(0)))
+    # A later snapshot has lost some genres, by genre and order; it names makers longer and their origin shorter.
+    kept_genres = F.when(col("s") == 0, col("genres")).otherwise(F.filter("genres", lambda g: (g["id"] + key) % 4 != 0))
+    first_only, later_only = F.when(col("s") == 0, " B").otherwise(""), F.when(col("s") == 1, " B").otherwise("")
+    makers = F.transform(
+        "production_companies",
+        lambda m: F.struct(
+            m["id"].alias("id"),
+            F.concat(m["name"], later_only).alias("name"),
+            F.concat(m["origin_country"], first_only).alias("origin_country"),
+        ),
     )
+    adult = F.when(key % 5 == 0, "true").when(key % 5 == 1, "false")
     fields = [
-        key.alias("id"),
+        F.when(~col("no_id"), key).alias("id"),
         title.alias("title"),
         F.when(key % 7 == 0, F.lit("  ")).otherwise(title).alias("original_title"),
         F.when(key % 11 == 0, F.lit("")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("release_date"),
-        (key % 200).alias("runtime"),
+        F.when(key % 13 == 0, F.lit("")).otherwise((key % 200).cast("string")).alias("runtime"),
+        adult.alias("adult"),
         col("o_orderstatus").alias("status"),
         F.lower("c_mktsegment").alias("original_language"),
         ((key % 1000).cast("decimal(10,0)") / 10).cast("decimal(10,1)").alias("popularity"),
@@ -156,38 +172,52 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor("o_totalprice") + col("s")).alias("revenue"),
         F.when(key % 10 == 0, no_budget).otherwise(key * 37 % 500000).alias("budget"),
         kept_genres.alias("genres"),
-        col("production_companies"),
+        makers.alias("production_companies"),
         col("production_countries"),
         F.array(language).alias("spoken_languages"),
     ]
-    return _payload_rows(docs, "movie", key, fields, _document_key(col("s")), col("s"))
+    source_key = F.concat(_document_key(col("s")), F.when(col("no_id"), "-no-id").otherwise(""))
+    return _payload_rows(docs, "movie", key, fields, source_key, col("s"))
 
 
 def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that are done are the cast, open ones the crew; both are suppliers."""
+    """Lines that are done are the cast, open ones the crew; both are suppliers.
+
+    Every fourth order has a later snapshot without every third line, and with other roles. A supplier goes by
+    several names of different popularity. The first line of every fifth order comes twice more, without a
+    credit id and without a person.
+    """
     lines = (
         _paged_lines(spark, sf_dir, "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus", "l_returnflag")
         .join(_parts(spark, sf_dir, "p_name", "p_type"), "l_partkey")
         .join(_suppliers(spark, sf_dir, "s_name", "s_acctbal"), "l_suppkey")
     )
-    credit_id = F.concat_ws("-", col("l_orderkey").cast("string"), col("l_linenumber").cast("string"))
+    number = col("l_linenumber")
+    odd = F.when((col("l_orderkey") % 5 == 0) & (number == 1), F.array(F.lit(0), F.lit(1), F.lit(2)))
+    seen = F.when((col("l_orderkey") % 4 == 0) & (number % 3 != 0), F.array(F.lit(0), F.lit(1)))
+    lines = lines.withColumn("odd", F.explode(F.coalesce(odd, F.array(F.lit(0)))))
+    lines = lines.withColumn("s", F.explode(F.coalesce(seen, F.array(F.lit(0)))))
+    credit_id = F.concat_ws("-", col("l_orderkey").cast("string"), number.cast("string"))
+    alias = F.concat("s_name", F.lit(" "), number.cast("string"))
+    fame = F.when(number % 3 == 1, col("s_acctbal") + number).when(number % 3 == 2, col("s_acctbal"))
     who = [
-        credit_id.alias("credit_id"),
-        col("l_suppkey").alias("id"),
-        col("s_name").alias("name"),
+        F.when(col("odd") == 1, "").otherwise(credit_id).alias("credit_id"),
+        F.when(col("odd") != 2, col("l_suppkey")).alias("id"),
+        F.when(number % 3 == 1, alias).otherwise(col("s_name")).alias("name"),
         (col("l_suppkey") % 3).alias("gender"),
         F.lit("").alias("known_for_department"),
-        col("s_acctbal").cast("decimal(12,2)").alias("popularity"),
+        F.coalesce(fame.cast("decimal(12,2)").cast("string"), F.lit("")).alias("popularity"),
     ]
-    actor = F.struct(*who, col("p_name").alias("character"), (col("l_linenumber") - 1).alias("order"))
-    helper = F.struct(*who, col("p_type").alias("department"), col("l_returnflag").alias("job"))
-    docs = lines.groupBy("l_orderkey", "page").agg(
+    changed = F.when(col("s") == 1, " II").otherwise("")
+    actor = F.struct(*who, F.concat("p_name", changed).alias("character"), (number - 1).alias("order"))
+    helper = F.struct(*who, col("p_type").alias("department"), F.concat("l_returnflag", changed).alias("job"))
+    docs = lines.groupBy("l_orderkey", "page", "s").agg(
         F.sort_array(F.collect_list(F.when(col("l_linestatus") == "F", actor))).alias("cast"),
         F.sort_array(F.collect_list(F.when(col("l_linestatus") == "O", helper))).alias("crew"),
     )
     key = col("l_orderkey")
     fields = [key.alias("id"), col("cast"), col("crew")]
-    return _payload_rows(docs, "credits", key, fields, _document_key(F.lit(0)), F.lit(0))
+    return _payload_rows(docs, "credits", key, fields, _document_key(col("s")), col("s"))
 
 
 def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,31 +232,42 @@ def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detail documents of every second supplier."""
+    """Detail documents of every second supplier; every fourth has a later one, renamed and without a birthday."""
     nation = table(spark, sf_dir, "nation").select(col("n_nationkey").alias("s_nationkey"), "n_name")
     detailed = table(spark, sf_dir, "supplier").where(col("s_suppkey") % 2 == 0).join(nation, "s_nationkey")
     key = col("s_suppkey")
+    snapshots = F.when(key % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    detailed = detailed.withColumn("s", F.explode(snapshots))
     born = F.date_add(F.lit("1950-01-01").cast("date"), (key % 20000).cast("int"))
+    later = col("s") == 1
     fields = [
         key.alias("id"),
-        col("s_name").alias("name"),
+        F.when(later, F.concat("s_name", F.lit(" New"))).otherwise(col("s_name")).alias("name"),
         (key % 3).alias("gender"),
         col("s_acctbal").cast("decimal(12,2)").alias("popularity"),
-        F.date_format(born, "yyyy-MM-dd").alias("birthday"),
+        F.when(later, "").otherwise(F.date_format(born, "yyyy-MM-dd")).alias("birthday"),
         F.lit("").alias("deathday"),
         col("n_name").alias("place_of_birth"),
         F.lit(None).cast("string").alias("biography"),
     ]
-    return _payload_rows(detailed, "person", key, fields, F.lit("k0"), F.lit(0))
+    return _payload_rows(detailed, "person", key, fields, F.concat(F.lit("k"), col("s").cast("string")), col("s"))
 
 
 def genre_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference list: one document with the brands, without those divisible by five."""
+    """The reference list, ten numbers to a document: the brands without those divisible by five.
+
+    Some have a larger name here than in the movies, and each document lists one that no movie has.
+    """
     number = _brand_number(col("p_brand"))
-    brands = table(spark, sf_dir, "part").select("p_brand").distinct().where(number % 5 != 0)
-    padded = F.concat(F.lit("  "), col("p_brand"), F.lit(" "))
-    docs = brands.agg(F.sort_array(F.collect_list(F.struct(number.alias("id"), padded.alias("name")))).alias("genres"))
-    return _payload_rows(docs, "genre", F.lit(0), [col("genres")], F.lit("k0"), F.lit(0))
+    brands = table(spark, sf_dir, "part").select("p_brand", number.alias("number")).distinct().where("number % 5 != 0")
+    longer = F.when(col("number") % 5 == 1, " Z").otherwise("")
+    padded = F.concat(F.lit("  "), col("p_brand"), longer, F.lit(" "))
+    page = F.floor(col("number") / 10)
+    listed = F.collect_list(F.struct(col("number").alias("id"), padded.alias("name")))
+    unused = F.struct((page + 1000).cast("int").alias("id"), F.lit(" Unused").alias("name"))
+    docs = brands.groupBy(page.alias("list")).agg(F.sort_array(listed).alias("genres"), F.first(unused).alias("unused"))
+    docs = docs.withColumn("genres", F.concat("genres", F.array("unused")))
+    return _payload_rows(docs, "genre", F.lit(0), [col("genres")], F.concat(F.lit("k"), col("list").cast("string")), F.lit(0))
 
 
 def _listing(spark: SparkSession, sf_dir: str, resource: str, orders: DataFrame) -> DataFrame:
@@ -264,10 +305,10 @@ RAW = {
 
 
 def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text documents as landing rows (resource, ingest_date, run_id, name, payload).
+    """Text documents as landing rows (resource, ingest_date, run_id, name, payload, request_path, http_status).
 
-    The resources take turns, one of them unknown to the catalog. Every ninth name is a manifest,
-    every sixth payload is an array, every seventh has no id of its own.
+    The resources take turns, one of them unknown to the catalog. Every text is landed whole; every
+    seventh has no id of its own. Beside them come manifests, arrays, and objects without a usable id.
     """
     key = col("doc_id")
     resources = ["genre", "movie_popular", "movie_top_rated", "movie", "credits", "keywords", "person", "configuration"]
@@ -278,17 +319,37 @@ def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ",",
     )
     own_id = F.when(key % 7 == 0, F.lit("null")).otherwise(key.cast("string"))
+    wrapped = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("t")))  # {"t":"..."}
+    title = F.substring(wrapped, 6, F.length(wrapped) - 6)
+    page = F.concat(F.lit(',"page":'), (key % 50).cast("string"))
     body = F.concat(
-        F.lit('{"id":'), own_id, F.lit(',"page":'), (key % 50).cast("string"),
-        F.lit(',"title":"'), F.md5("text"), F.lit('"'),
+        F.lit('{"id":'), own_id, page, F.lit(',"title":'), title,
         *[F.concat(F.lit(f',"{a}":['), items, F.lit("]")) for a in ("genres", "results", "cast", "keywords")],
         F.lit(',"crew":[]}'),
     )
-    name = F.when(key % 9 == 0, F.concat(key.cast("string"), F.lit(".manifest"))).otherwise(key.cast("string"))
-    return table(spark, sf_dir, "documents").select(
-        resource.alias("resource"),
-        day.alias("ingest_date"),
-        F.concat(F.lit("manual__"), day.cast("string"), F.lit("T00:00:00+00:00")).alias("run_id"),
-        name.alias("name"),
-        F.when(key % 6 == 0, F.lit("[1,2]")).otherwise(body).alias("payload"),
+    number = key.cast("string")
+
+    def row(name: Column, payload: Column) -> Column:
+        return F.struct(name.alias("name"), payload.alias("payload"))
+
+    no_id = F.concat(F.lit('{"id":null'), page, F.lit("}"))
+    rows = F.array_compact(
+        F.array(
+            row(number, body),
+            F.when(key % 9 == 0, row(F.concat(number, F.lit(".manifest")), F.lit("{}"))),
+            F.when(key % 6 == 0, row(F.concat(number, F.lit("-list")), F.lit("[1,2]"))),
+            F.when(key % 5 == 0, row(F.concat(F.lit("x"), number), no_id)),
+        )
+    )
+    return (
+        table(spark, sf_dir, "documents")
+        .select(
+            resource.alias("resource"),
+            day.alias("ingest_date"),
+            F.concat(F.lit("manual__"), day.cast("string"), F.lit("T00:00:00+00:00")).alias("run_id"),
+            F.concat(F.lit("/"), resource, F.lit("/"), number).alias("request_path"),
+            F.element_at(F.array(F.lit(200), F.lit(404), F.lit(None).cast("int"), F.lit(503)), (key % 4 + 1).cast("int")).alias("http_status"),
+            F.explode(rows).alias("row"),
+        )
+        .select("resource", "ingest_date", "run_id", "row.name", "row.payload", "request_path", "http_status")
     )
