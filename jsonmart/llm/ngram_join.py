@@ -7,8 +7,11 @@ on its own, and the partial counts are summed per pair and compared with the exa
 
 Groups of copies stay small: equal sets are one class from the start. In a group of near copies pairs are
 proposed only against a few pivots per round, and only between documents that earlier rounds have not
-connected; what is still apart after that is proposed in full. So no link between components is lost, and a
-group of m near copies costs some m pairs instead of m * m / 2.
+connected; what is still apart after that is proposed in full, and no pair is counted twice. So no link between
+components is lost, and a group of m near copies costs some m pairs instead of m * m / 2.
+
+Counting. Only the documents of a round's pairs are cut into segments. Within a fragment 32 bits stand for an
+n-gram; a pair that reaches the bound by so little that equal bits could matter is counted again with all 63.
 
 Order. N-grams are counted over all documents in 65,536 hash buckets; a bucket's rank by count, then
 the hash, is the place of an n-gram. Any fixed order gives the same links; this one keeps common passages
@@ -43,8 +46,8 @@ class JaccardJoin:
 
     n: int = 5
     percent: int = 80
-    fragments: int = 8
-    pivot_rounds: int = 3
+    fragments: int = 16
+    pivot_rounds: int = 2
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -80,10 +83,10 @@ def _places(text: bytes | None, n: int, ranks: np.ndarray) -> np.ndarray:
     return np.sort(((ranks[low.astype(np.int64)] << np.uint64(47)) | (hashes >> np.uint64(17))).astype(np.int64))
 
 
-def _list_array(parts: list[np.ndarray]) -> pa.Array:
+def _list_array(parts: list[np.ndarray], width=np.int64) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
-    values = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))
+    values = np.concatenate(parts) if parts else np.empty(0, dtype=width)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
 def _members(texts: DataFrame, spec: JaccardJoin, ranks) -> DataFrame:
@@ -109,8 +112,13 @@ def _members(texts: DataFrame, spec: JaccardJoin, ranks) -> DataFrame:
     return texts.mapInArrow(describe, schema)
 
 
-def _segments(texts: DataFrame, wanted: DataFrame, spec: JaccardJoin, ranks) -> DataFrame:
-    """(cid, fragment, places) of the wanted classes; ``wanted`` has cid, print, doc_id of one copy."""
+def _segments(texts: DataFrame, wanted: DataFrame, spec: JaccardJoin, ranks, wide: bool) -> DataFrame:
+    """(cid, fragment, places) of the wanted classes; ``wanted`` has cid, print, doc_id of one copy.
+
+    A class may come more than once, if its text does.
+    """
+    borders = np.array([(k << 63) // spec.fragments for k in range(1, spec.fragments)], dtype=np.int64)
+    width = np.int64 if wide else np.int32
 
     def cut(batches):
         for batch in batches:
@@ -121,19 +129,18 @@ def _segments(texts: DataFrame, wanted: DataFrame, spec: JaccardJoin, ranks) ->
                 if xxhash.xxh3_128_digest(places.tobytes()) != fingerprint:
                     continue  # another text under the same id
                 edges = np.searchsorted(places, borders)
-                for fragment, part in enumerate(np.split(places, edges)):
+                for fragment, part in enumerate(np.split(places.astype(width), edges)):
                     if len(part):
                         ids.append(cid)
                         fragments.append(fragment)
                         parts.append(part)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(fragments, pa.int32()), _list_array(parts)],
+                [pa.array(ids, pa.int64()), pa.array(fragments, pa.int32()), _list_array(parts, width)],
                 ["cid", "fragment", "places"],
             )
 
-    borders = np.array([(k << 63) // spec.fragments for k in range(1, spec.fragments)], dtype=np.int64)
     found = texts.join(checked_broadcast(wanted), "doc_id").select("cid", "print", "text")
-    return found.mapInArrow(cut, "cid long, fragment int, places array<long>")
+    return found.mapInArrow(cut, f"cid long, fragment int, places array<{'long' if wide else 'int'}>")
 
 
 def _compatible(percent: int):
@@ -159,16 +166,48 @@ def _apart(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link: partial overlaps of each fragment, summed per pair."""
-    one = segments.select(F.col("cid").alias("a"), "fragment", F.col("places").alias("places_a"))
-    two = segments.select(F.col("cid").alias("b"), "fragment", F.col("places").alias("places_b"))
-    partial = pairs.join(one, "a").join(two, ["b", "fragment"])
-    partial = partial.select("a", "b", "n_a", "n_b", "fragment", F.size(F.array_intersect("places_a", "places_b")).alias("shared"))
+def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, spec: JaccardJoin, ranks, wide: bool) -> DataFrame:
+    """``pairs`` (a, b, n_a, n_b) with ``spare``: by how much 100 * shared exceeds the bound.
+
+    Partial overlaps are counted in each fragment and summed per pair. The side that comes in more pairs is
+    fetched last, as it is the smaller table.
+    """
+    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid")))
+    times = saved(ends.groupBy("cid").count(), "ends")
+    wanted = saved(classes.join(times, "cid").select("cid", "print", "doc_id"), "wanted")
+    segments = saved(_segments(texts, wanted, spec, ranks, wide), "segments")
+    times = checked_broadcast(times)
+    known = pairs
+    for end in ("a", "b"):
+        known = known.join(times.select(F.col("cid").alias(end), F.col("count").alias(f"times_{end}")), end)
+    swap = F.col("times_a") < F.col("times_b")
+    known = known.select(
+        "a", "b", "n_a", "n_b",
+        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("often"),
+        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("rare"),
+    )
+    hubs = checked_broadcast(saved(known.select(F.col("often").alias("cid")).distinct(), "hubs"))
+    one = segments.select(F.col("cid").alias("rare"), "fragment", F.col("places").alias("places_r"))
+    two = segments.join(hubs, "cid", "left_semi").select(F.col("cid").alias("often"), "fragment", F.col("places").alias("places_o"))
+    partial = known.join(one, "rare").join(two, ["often", "fragment"])
+    shared = F.size(F.array_intersect("places_r", "places_o")).alias("shared")
+    partial = partial.select("a", "b", "n_a", "n_b", "fragment", shared)
     partial = partial.groupBy("a", "b", "n_a", "n_b", "fragment").agg(F.max("shared").alias("shared"))  # copies of a text
     total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
     union = F.col("n_a") + F.col("n_b") - F.col("shared")
-    return total.where(100 * F.col("shared") >= percent * union).select("a", "b")
+    return total.select("a", "b", "n_a", "n_b", (100 * F.col("shared") - spec.percent * union).alias("spare"))
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, spec: JaccardJoin, ranks) -> DataFrame:
+    """The pairs that link."""
+    near = saved(_overlaps(pairs, texts, classes, spec, ranks, wide=False).where("spare >= 0"), "near")
+    # equal bits of different n-grams can add to a count, never take from it; each adds 100 + percent
+    sure, close = near.where(f"spare >= {2 * (100 + spec.percent)}"), near.where(f"spare < {2 * (100 + spec.percent)}")
+    links = sure.select("a", "b")
+    if not close.isEmpty():
+        again = _overlaps(close.drop("spare"), texts, classes, spec, ranks, wide=True)
+        links = links.union(again.where("spare >= 0").select("a", "b"))
+    return saved(links, "links")
 
 
 def _still_open(rows: DataFrame) -> DataFrame:
@@ -220,10 +259,8 @@ def linked_documents(docs: DataFrame, spec: JaccardJoin = JaccardJoin()) -> Data
     groups = postings.groupBy("grp").agg(F.min("cid").alias("low"), F.max("cid").alias("high"))
     postings = saved(postings.join(groups.where("low != high").select("grp"), "grp"), "postings")
 
-    wanted = saved(classes.join(postings.select("cid").distinct(), "cid").select("cid", "print", "doc_id"), "wanted")
-    segments = saved(_segments(texts, wanted, spec, ranks), "segments")
-
     roots: DataFrame | None = None
+    tested: DataFrame | None = None
     rows = postings
     for turn in range(spec.pivot_rounds + 1):
         rows = rows.select("grp", "cid", "n")
@@ -231,18 +268,19 @@ def linked_documents(docs: DataFrame, spec: JaccardJoin = JaccardJoin()) -> Data
             rows = rows.withColumn("root", F.col("cid"))
         else:
             rows = rows.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-        rows = saved(_still_open(rows), "open")
-        if rows.isEmpty():
-            break
+            rows = saved(_still_open(rows), "open")
+        others = rows
         if turn < spec.pivot_rounds:
             order = F.xxhash64("cid", F.lit(turn))
             chosen = rows.groupBy("grp").agg(F.min(order).alias("order"))
-            pivots = rows.withColumn("order", order).join(chosen, ["grp", "order"])
-            pairs = _apart(pivots, rows, spec.percent)
-        else:
-            ordered = rows.select("grp", "cid", "n", "root")
-            pairs = _apart(ordered, ordered, spec.percent)
-        roots = _merge(roots, saved(_linked(saved(pairs, "pairs"), segments, spec.percent), "links"))
+            others = rows.withColumn("order", order).join(chosen, ["grp", "order"]).drop("order")
+        pairs = _apart(others, rows, spec.percent)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = saved(pairs, "pairs")
+        if not pairs.isEmpty():
+            roots = _merge(roots, _linked(pairs, texts, classes, spec, ranks))
+            tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
 
     grouped = classes.select("print", "cid")
     if roots is not None:
