@@ -54,7 +54,7 @@ _HIDDEN_ATTRIBUTE = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 WORD_SCORE, OUTSIDE_SCORE, FURNITURE_SCORE = 1.0, -1.0, -3.0
-#: What closing tags cost, and all tags inside an article that the page names.
+#: What closing tags cost, and all tags and furniture inside an article that the page names.
 INSIDE_COST = 0.1
 
 
@@ -169,7 +169,7 @@ def extract(page: str | None, weights: Weights | None = None) -> str:
             if hidden_at is None:
                 if value not in VOID and weights.is_furniture(value, attributes, article > 0):
                     hidden_at = len(stack.names) - 1
-                    score = FURNITURE_SCORE
+                    score = -INSIDE_COST if named and article else FURNITURE_SCORE
                 else:
                     score = -INSIDE_COST if named and article else -weights.cost.get(value, 0.25)
         elif kind == "close":
