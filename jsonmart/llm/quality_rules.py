@@ -107,7 +107,10 @@ def with_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFra
     score = (col(out["char_distance"]) + F.coalesce(col(out["word_distance"]), col(out["char_distance"]))) / 2
     limit = rules.distance + rules.noise / F.sqrt(F.greatest(n, F.lit(1)).cast("double"))
     df = df.withColumn(out["kept"], ~col(out["base_failed"]) & F.coalesce(score <= limit, F.lit(False)))
-    return df.drop(*tmp.values())
+    # Always true, but not known to be: a filter on these columns stays above them, where it reads values. Pushed
+    # below, it would hold the whole computation once for every mention of a column.
+    here = F.monotonically_increasing_id() >= 0
+    return df.select(*[f"`{c}`" for c in docs.columns], *[F.when(here, col(c)).alias(c) for c in out.values()])
 
 
 def _with_repeat_words(df: DataFrame, name: str, words: Column, n: Column, tmp: dict[str, str]) -> DataFrame:
