@@ -10,7 +10,8 @@ proposed only against a few pivots per round, and only between documents that ea
 connected; what is still apart after that is proposed in full, and no pair is counted twice. So no link between
 components is lost, and a group of m near copies costs some m pairs instead of m * m / 2.
 
-Counting. Only the documents of a round's pairs are cut into segments. Within a fragment 32 bits stand for an
+Counting. The overlap of the prefixes themselves, the first partial count, already rules out pairs that share no more
+than a passage. Only the documents of the pairs that are left are cut into segments. Within a fragment 32 bits stand for an
 n-gram; a pair that reaches the bound by so little that equal bits could matter is counted again with all 63.
 
 Order. N-grams are counted over all documents in 65,536 hash buckets; a bucket's rank by count, then
@@ -198,8 +199,25 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, spec: Jacc
     return total.select("a", "b", "n_a", "n_b", (100 * F.col("shared") - spec.percent * union).alias("spare"))
 
 
+def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose prefixes share as many n-grams as those of linked documents must.
+
+    Sets that share ``need`` n-grams share k of their first size - need + k; the prefixes are so long for the k below.
+    """
+    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
+    prefixes = classes.join(checked_broadcast(saved(ends, "ends")), "cid", "left_semi").select("cid", "prefix")
+    met = pairs
+    for end in ("a", "b"):
+        met = met.join(prefixes.select(F.col("cid").alias(end), F.col("prefix").alias(f"prefix_{end}")), end)
+    need = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100.0 + percent) - 1e-9)
+    spare = [F.size(f"prefix_{e}") - F.col(f"n_{e}") + need for e in ("a", "b")]
+    shared = F.size(F.array_intersect("prefix_a", "prefix_b"))
+    return saved(met.where(shared >= F.least(*spare)).select("a", "b", "n_a", "n_b"), "promising")
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, spec: JaccardJoin, ranks) -> DataFrame:
     """The pairs that link."""
+    pairs = _promising(pairs, classes, spec.percent)
     near = saved(_overlaps(pairs, texts, classes, spec, ranks, wide=False).where("spare >= 0"), "near")
     # equal bits of different n-grams can add to a count, never take from it; each adds 100 + percent
     sure, close = near.where(f"spare >= {2 * (100 + spec.percent)}"), near.where(f"spare < {2 * (100 + spec.percent)}")
