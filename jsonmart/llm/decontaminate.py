@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, saved
+from .common import checked_broadcast, free_name, saved
 from .shingles import window_hashes, word_hashes
 
 _WORD = re.compile(r"[^\W_]+")
@@ -132,6 +132,7 @@ def _scanner(rows, spec: Containment):
 
 def keep_uncontaminated(docs: DataFrame, items: DataFrame, spec: Containment = Containment()) -> DataFrame:  # noqa: B008
     """The rows of ``docs`` that contain no test item."""
-    found = saved(leaks(docs, items, spec).select("doc_id", "text_hash").distinct().toDF("leak_id", "leak_hash"), "leaks")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("leak_id")) & (F.xxhash64(docs["text"]) == F.col("leak_hash"))
+    names = [free_name(docs, "leak_id"), free_name(docs, "leak_hash")]
+    found = saved(leaks(docs, items, spec).select("doc_id", "text_hash").distinct().toDF(*names), "leaks")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(names[0])) & (F.xxhash64(docs["text"]) == F.col(names[1]))
     return docs.join(checked_broadcast(found), same, "left_anti")

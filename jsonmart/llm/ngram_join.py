@@ -330,13 +330,14 @@ def keep_one(docs: DataFrame, spec: JaccardJoin = JaccardJoin()) -> DataFrame:
     marked = docs.withColumn(mark, F.xxhash64(F.col("text")))
     is_head = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("component_text"))
     gone = saved(linked.where(~is_head).select("doc_id", "text_hash").distinct(), "gone")
-    gone = checked_broadcast(gone.toDF("gone_id", "gone_hash"))
-    same = marked["doc_id"].cast("long").eqNullSafe(F.col("gone_id")) & (marked[mark] == F.col("gone_hash"))
+    id_name, hash_name = free_name(marked, "gone_id"), free_name(marked, "gone_hash")
+    gone = checked_broadcast(gone.toDF(id_name, hash_name))
+    same = marked["doc_id"].cast("long").eqNullSafe(F.col(id_name)) & (marked[mark] == F.col(hash_name))
     kept = marked.join(gone, same, "left_anti")
     twice = linked.where(is_head & (F.col("n_shingles") > 0)).groupBy("doc_id", "text_hash").count().where("count > 1")
-    twice = saved(twice.select("doc_id", "text_hash").toDF("twice_id", "twice_hash"), "twice")
+    twice = saved(twice.select("doc_id", "text_hash").toDF(id_name, hash_name), "twice")
     if not twice.isEmpty():
-        again = kept["doc_id"].cast("long").eqNullSafe(F.col("twice_id")) & (kept[mark] == F.col("twice_hash"))
+        again = kept["doc_id"].cast("long").eqNullSafe(F.col(id_name)) & (kept[mark] == F.col(hash_name))
         twice = checked_broadcast(twice)
         once = kept.join(twice, again, "left_semi").dropDuplicates(["doc_id", mark])
         kept = kept.join(twice, again, "left_anti").unionByName(once)
