@@ -7,6 +7,11 @@ mark furniture (menus, adverts, forms, notices, comments, ...). An element of fu
 its words, so a region may reach across it, and its text is left out. Where a page names its article, words outside of
 it score negative.
 
+A name is no proof: the whole page may stand in <form> or in class="site". What holds <main> is no furniture. Where
+furniture holds more words than the best region has score, times a factor, the page is scanned again with those names
+(or, for names that mark furniture on their own, that element) taken as plain; the reading that scores more by the
+factor holds. The factor is low for names seen only beside others and for elements with a first-level heading.
+
 The text of the region comes in blocks: text between block-level tags, character references decoded, white
 space folded to one space, trimmed; empty blocks vanish; blocks are joined by two line feeds.
 
@@ -50,12 +55,29 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_HIDDEN_ATTRIBUTE = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ANY_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_NOT_DISPLAYED = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 WORD_SCORE, OUTSIDE_SCORE, FURNITURE_SCORE = 1.0, -1.0, -3.0
 #: What closing tags cost, and all tags and furniture inside an article that the page names.
 INSIDE_COST = 0.1
+#: How much more a page must score without some furniture: names seen only beside others or with a heading, all others.
+WRAPPER_GAIN, NAMED_GAIN, LEAST_SCORE = 2.0, 20.0, 10.0
+
+#: Open elements that a tag ends without an end tag, and those beyond which it ends nothing.
+_CELLS = (frozenset(("td", "th")), frozenset(("table",)))
+_ROWS = (frozenset(("td", "th", "tr")), frozenset(("table",)))
+_PARTS = (frozenset("td th tr tbody thead tfoot caption colgroup".split()), frozenset(("table",)))
+_TERMS = (frozenset(("dt", "dd")), frozenset(("dl",)))
+IMPLIED_ENDS = {
+    "td": _CELLS, "th": _CELLS, "tr": _ROWS, "tbody": _PARTS, "thead": _PARTS, "tfoot": _PARTS, "dt": _TERMS, "dd": _TERMS,
+    "li": (frozenset(("li",)), frozenset("ul ol menu dir".split())),
+    "option": (frozenset(("option",)), frozenset(("select", "datalist"))),
+    "optgroup": (frozenset(("option", "optgroup")), frozenset(("select",))),
+}
+#: Elements that a head may hold; any other ends it.
+_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 
 
 def hints(name: str, attributes: str) -> list[str]:
@@ -67,6 +89,20 @@ def hints(name: str, attributes: str) -> list[str]:
     return out
 
 
+def not_shown(attributes: str) -> bool:
+    """Whether an element's own attributes hide it."""
+    low = attributes.lower()
+    if "hidden" not in low and "display" not in low:
+        return False
+    for m in _ANY_ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or "").strip("\"'").strip()
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            return True
+        if name == "style" and _NOT_DISPLAYED.search(value):
+            return True
+    return False
+
+
 def tokens(page: str):
     """('text', run), ('open', name, attributes) and ('close', name) in page order; scripts and comments are gone."""
     at = 0
@@ -86,13 +122,25 @@ def tokens(page: str):
 
 
 class Stack:
-    """Open elements; an element closes those inside it, and a block closes an open paragraph."""
+    """Open elements; an element closes those inside it, a block an open paragraph, and cells, rows and items their like."""
 
     def __init__(self):
         self.names: list[str] = []
         self.marks: list[object] = []
 
     def open(self, name: str, mark: object) -> None:
+        if "head" in self.names and name not in _HEAD and not _HEAD.intersection(self.names):
+            at = self.names.index("head")
+            del self.names[at:], self.marks[at:]
+        if name in IMPLIED_ENDS:
+            ends, beyond = IMPLIED_ENDS[name]
+            at = len(self.names)
+            for k in range(len(self.names) - 1, -1, -1):
+                if self.names[k] in beyond:
+                    break
+                if self.names[k] in ends:
+                    at = k
+            del self.names[at:], self.marks[at:]
         if name in BLOCKS and "p" in self.names:
             at = len(self.names) - 1 - self.names[::-1].index("p")
             if not BLOCKS.intersection(self.names[at + 1 :]):
@@ -112,6 +160,7 @@ class Weights:
 
     def __init__(self, pages):
         inside, outside, own, furniture = Counter(), Counter(), Counter(), Counter()
+        heads: list[set[str]] = []
         for page in pages:
             stack = Stack()
             for kind, value, attributes in tokens(page):
@@ -121,21 +170,27 @@ class Weights:
                     names = hints(value, attributes.replace("data-main", ""))
                     holds = main or value in ("html", "body", "table", "tr", "tbody")
                     (own if holds else furniture).update(set(names))
+                    if not holds:
+                        called = (w for m in _ATTRIBUTE.finditer(attributes) for w in m[2].strip("\"'").split())
+                        heads.append({found[-1].lower() for w in called if (found := _NAME.findall(w))})
                     stack.open(value, main)
                 elif kind == "close":
                     stack.close(value)
         self.cost = {t: 0.25 + max(0.0, math.log((outside[t] + 1) / (inside[t] + 1))) for t in {*inside, *outside}}
         self.furniture = {h for h in furniture if not own[h] and h not in _NEUTRAL and not _plain(h)}
+        #: Names that mark furniture on their own: the last words of an element's only name for it, and sections.
+        self.alone = {"<nav>", "<aside>", "<footer>", "<header>"} & self.furniture
+        for found in heads:
+            if len(found & self.furniture) == 1:
+                self.alone |= found & self.furniture
 
-    def is_furniture(self, name: str, attributes: str, in_article: bool) -> bool:
-        if name in HIDDEN or (attributes and _HIDDEN_ATTRIBUTE.search(attributes)):
-            return True
+    def furniture_names(self, name: str, attributes: str, in_article: bool) -> frozenset[str]:
         if name in ("article", "main", "body", "html"):
-            return False
+            return frozenset()
         found = hints(name, attributes)
         if in_article and name == "header":  # the headline's own container
             found = found[1:]
-        return any(h in self.furniture for h in found)
+        return frozenset(self.furniture.intersection(found))
 
 
 #: Names that say nothing about an element's part in the page.
@@ -147,46 +202,140 @@ def _plain(hint: str) -> bool:
     return hint.startswith("<") and hint.strip("<>") not in {"nav", "aside", "footer", "header", "form", "noscript", "dialog"}
 
 
+class _Element:
+    """An element's end in the stream, the names that make it furniture, and what it holds."""
+
+    def __init__(self, name: str, at: int, called: frozenset[str], unseen: bool):
+        self.name, self.at, self.end, self.called, self.unseen = name, at, 0, called, unseen
+        self.headed = self.main = False
+
+
+class _Page:
+    """A page's tokens and elements, and its best region in one reading."""
+
+    def __init__(self, page: str, weights: Weights):
+        self.stream, self.weights = list(tokens(page)), weights
+        self.elements: dict[int, _Element] = {}
+        self.articles: list[bool] = []  # whether a token is inside an article
+        self.words = [0]
+        stack, article, last = Stack(), 0, []
+        for i, (kind, value, attributes) in enumerate(self.stream):
+            if kind == "text":
+                self.words.append(self.words[-1] + len(value.split()))
+                self.articles.append(article > 0)
+                continue
+            self.words.append(self.words[-1])
+            if kind == "open":
+                element = _Element(value, i, frozenset(), value in HIDDEN or not_shown(attributes))
+                stack.open(value, element)
+                article -= self._ended(last, stack.marks, i)
+                article += value in ARTICLE and value not in VOID
+                if value not in VOID:
+                    element.called = weights.furniture_names(value, attributes, article > 0)
+                    self.elements[i] = element
+                    last.append(element)
+                    if value in ("h1", "main"):
+                        for outer in stack.marks:
+                            outer.headed |= value == "h1"
+                            outer.main |= value == "main"
+            else:
+                stack.close(value)
+                article -= self._ended(last, stack.marks, i)
+            self.articles.append(article > 0)
+        self._ended(last, [], len(self.stream))
+
+    @staticmethod
+    def _ended(last: list[_Element], now: list, at: int) -> int:
+        """Ends the elements of ``last`` that are open no more; the number of articles among them."""
+        keep = len(now)
+        if keep and (keep > len(last) or now[keep - 1] is not last[keep - 1]):
+            keep -= 1  # the last one has just opened
+        n = 0
+        for element in last[keep:]:
+            element.end = at
+            n += element.name in ARTICLE
+        del last[keep:]
+        return n
+
+    def read(self, plain: set) -> tuple[float, tuple[int, int], list[tuple[int, int]]]:
+        """Score and range of the best region and the hidden stretches, with the names and elements in ``plain`` no furniture."""
+        stretches, until = [], 0
+        for i, e in self.elements.items():
+            if i >= until and (e.unseen or (not e.main and i not in plain and not e.called <= plain)):
+                until = e.end
+                stretches.append((i, e.end))
+        hidden = dict(stretches)
+        until, named = 0, False
+        for i, e in self.elements.items():
+            until = max(until, hidden.get(i, 0))
+            named = named or (i >= until and e.name in ARTICLE)
+        best, best_range, total, start, until = 0.0, (0, 0), 0.0, 0, 0
+        for i, (kind, value, _) in enumerate(self.stream):
+            article, score = self.articles[i], 0.0
+            if i in hidden:
+                until = hidden[i]
+                score = -INSIDE_COST if named and article else FURNITURE_SCORE
+            elif i < until or (i == until and kind == "close" and i > 0):
+                score = 0.0
+            elif kind == "open":
+                score = -INSIDE_COST if named and article else -self.weights.cost.get(value, 0.25)
+            elif kind == "close":
+                score = -INSIDE_COST
+            else:
+                score = (self.words[i + 1] - self.words[i]) * (WORD_SCORE if article or not named else OUTSIDE_SCORE)
+            if total <= 0:
+                total, start = 0.0, i
+            total += score
+            if total > best:
+                best, best_range = total, (start, i + 1)
+        return best, best_range, stretches
+
+    def _wrappers(self, stretches, plain: set, rejected: set, gain: float, score: float) -> tuple | None:
+        """What holds the most words of ``stretches``, if enough: (words, factor, names or element), not among ``rejected``."""
+        held_back: Counter = Counter()
+        for i, end in stretches:
+            e = self.elements[i]
+            if not e.unseen:
+                alone = self.weights.alone & e.called
+                factor = NAMED_GAIN if alone and not e.headed else WRAPPER_GAIN
+                held_back[i if alone else e.called - plain, factor] += self.words[end] - self.words[i]
+        found = [
+            (n, f, what) for (what, f), n in held_back.items()
+            if what not in rejected and n > max(f, gain) * max(score, LEAST_SCORE)
+        ]
+        return max(found, key=lambda x: x[0], default=None)
+
+    def best(self) -> tuple[tuple[int, int], list[tuple[int, int]]]:
+        """Range and hidden stretches of the reading that holds."""
+        score, region, stretches = self.read(set())
+        plain, rejected = set(), set()
+        while (first := self._wrappers(stretches, plain, rejected, 0.0, score)) is not None:
+            trial, gain, wrapper = set(plain), 0.0, first
+            while wrapper is not None:  # also what stands inside of it
+                _, factor, what = wrapper
+                trial |= what if isinstance(what, frozenset) else {what}
+                gain = max(gain, factor)
+                new, new_region, new_stretches = self.read(trial)
+                if new > gain * max(score, LEAST_SCORE):
+                    score, region, stretches, plain = new, new_region, new_stretches, trial
+                    break
+                inner = set(new_stretches) - set(stretches)
+                wrapper = self._wrappers(inner, trial, rejected, gain, score)
+            else:
+                rejected.add(first[2])
+        return region, stretches
+
+
 def extract(page: str | None, weights: Weights | None = None) -> str:
     """The main text of one page."""
     if not page:
         return ""
-    weights = weights or Weights(PAGES)
-    stream = list(tokens(page))
-    named = any(kind == "open" and value in ARTICLE for kind, value, _ in stream)
-    stack = Stack()
-    hidden_at: int | None = None  # depth of the outermost open element of furniture
-    article = 0
-    best, best_range, total, start = 0.0, (0, 0), 0.0, 0
-    shown = [False] * len(stream)
-    for i, (kind, value, attributes) in enumerate(stream):
-        score = 0.0
-        if kind == "open":
-            stack.open(value, value in ARTICLE)
-            if hidden_at is not None and len(stack.names) <= hidden_at:
-                hidden_at = None
-            article = sum(map(bool, stack.marks))
-            if hidden_at is None:
-                if value not in VOID and weights.is_furniture(value, attributes, article > 0):
-                    hidden_at = len(stack.names) - 1
-                    score = -INSIDE_COST if named and article else FURNITURE_SCORE
-                else:
-                    score = -INSIDE_COST if named and article else -weights.cost.get(value, 0.25)
-        elif kind == "close":
-            stack.close(value)
-            article = sum(map(bool, stack.marks))
-            if hidden_at is not None and len(stack.names) <= hidden_at:
-                hidden_at = None
-            elif hidden_at is None:
-                score = -INSIDE_COST
-        elif hidden_at is None:
-            shown[i] = True
-            score = len(value.split()) * (WORD_SCORE if article or not named else OUTSIDE_SCORE)
-        if total <= 0:
-            total, start = 0.0, i
-        total += score
-        if total > best:
-            best, best_range = total, (start, i + 1)
+    read = _Page(page, weights or Weights(PAGES))
+    stream = read.stream
+    best_range, stretches = read.best()
+    shown = [True] * len(stream)
+    for i, end in stretches:
+        shown[i:end] = [False] * (end - i)
 
     blocks, current = [], []
     for i in range(*best_range):

@@ -80,3 +80,35 @@ def test_rows(spark):
     got = sorted(tuple(r) for r in h.main_text(pages).collect() if r.page_id)
     assert got == [(1, "u", "a b", 3), (1, "u", "a b", 3), (2, None, "", 0)] or len(got) == 3
     assert h.main_text(pages).count() == 4 and h.main_text(pages.limit(0)).count() == 0
+
+
+PROSE = [f"Paragraph {k} tells how the miller of the valley kept the old wheel turning through a dry summer." for k in range(6)]
+BODY = "".join(f"<p>{p}</p>" for p in PROSE)
+MENU = '<nav class="menu"><a href="/">Home</a> <a href="/a">About</a></nav>'
+COMMENTS = '<section class="comments" id="comments"><h3>Comments</h3>' + "<p>I like the wheel and the miller too.</p>" * 40 + "</section>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<body><div id="page" class="hfeed site"><header class="site-header"><p>Claim</p></header>{MENU}<div class="entry-content">{BODY}</div>'
+    f"{COMMENTS}</div></body>",
+    f'<body><div id="page" class="site"><div><article>{BODY}</article>{COMMENTS}</div></div></body>',
+    f'<body><div class="has-sidebar"><main>{BODY}</main><div class="sidebar"><p>Popular</p></div></div></body>',
+    f'<body><form id="aspnetForm" method="post">{MENU}<div>{BODY}</div><footer><p>Imprint</p></footer></form></body>',
+    f'<body><form>{MENU}<div class="site"><div>{BODY}</div></div></form></body>',
+    "<body>" + MENU + "".join(f'<div class="elementor-widget"><div class="elementor-widget-container"><p>{p}</p></div></div>' for p in PROSE),
+    f"<html><head><title>Mill</title><meta name=a><body><div>{BODY}</div></body></html>",
+    f"<html><head><title>Mill</title><div>{BODY}</div></html>",
+    f'<table><tr><td class="menu"><a href="/">Home</a><td>{BODY}</table>',
+    f'<table><tr><td class="menu"><a href="/">Home</a><tr><td>{BODY}</table>',
+    f"<body><div><select><option>One<option>Two</select>{BODY}</div></body>",
+    "<body><div>" + "".join(f'<p title="a hidden gem">{p}</p>' for p in PROSE) + "</div></body>",
+    f'<body><div class="relative hidden md:block">{BODY}</div></body>',
+    f'<body><div data-css="display: none">{BODY}<p hidden>not seen</p><p style="color:red;display : none">nor this</p>'
+    '<p aria-hidden="true">nor that</p></div></body>',
+])
+def test_wrappers_named_like_furniture(page):
+    assert h.extract(page) == "\n\n".join(PROSE)
+
+
+def test_long_comments_are_no_article():
+    assert h.extract(f"<body><div><h1>Mill</h1>{BODY}</div>{COMMENTS}</body>") == "\n\n".join(["Mill", *PROSE])
