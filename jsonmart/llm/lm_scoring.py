@@ -11,8 +11,9 @@ corpus and meet in Spark aggregates; the driver sees one row per common word and
 Copies are added as whole numbers, so the order in which tasks finish does not matter.
 
 Defined cases. Null or wordless text: 0 tokens, score 0, null mean. Repeated rows are scored each, with equal
-scores. Places beyond the ends of a text hold a class of their own. Texts are taken whole; training takes every
-``stride``-th window of each. Other columns are ignored. On an empty table the model stays as it began.
+scores. Places beyond the ends of a text hold a class of their own. Texts are taken whole; round k trains on the
+windows of each text whose place is k modulo ``stride``, and there are at least ``stride`` rounds, so every window is
+a target. Other columns are ignored. On an empty table the model stays as it began.
 """
 
 from __future__ import annotations
@@ -37,11 +38,15 @@ class WindowModel:
     hash_classes: int = 32
     width: int = 16
     rounds: int = 2
-    stride: int = 16
+    stride: int = 2
     batch: int = 256
     rate: float = 0.1
     seed: int = 7
 
+    def __post_init__(self):
+        if self.rounds < self.stride:
+            raise ValueError("fewer rounds than stride leave windows untrained")
+
     @property
     def classes(self) -> int:
         return 1 + self.words + self.hash_classes  # class 0 stands beyond the ends
@@ -103,33 +108,50 @@ def _shaped(values: np.ndarray, spec: WindowModel) -> list[np.ndarray]:
     return out
 
 
-def _forward(model, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden values and log-probabilities of all classes at ``places``."""
+def _logits(model, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hidden values, and logits of all classes that exp() can take, at ``places``."""
     tables, bias, out, out_bias = model
     hidden = np.tanh(sum(tables[k][ids[places + side]] for k, side in enumerate(_SIDES)) + bias)
     logits = hidden @ out
     logits += out_bias
-    logits -= logits.max(axis=1, keepdims=True)
+    if np.abs(out).sum(axis=0).max() + np.abs(out_bias).max() > 60:  # hidden values are at most 1
+        logits -= logits.max(axis=1, keepdims=True)
+    return hidden, logits
+
+
+def _forward(model, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hidden values and log-probabilities of all classes at ``places``."""
+    hidden, logits = _logits(model, ids, places)
     logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
     return hidden, logits
 
 
+def _windows(places: np.ndarray, owners: np.ndarray, offset: int, stride: int) -> np.ndarray:
+    """The places that are ``offset`` modulo ``stride`` in their own text."""
+    if stride == 1 or not len(places):
+        return places
+    first = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
+    inside = places - np.repeat(places[first], np.diff(np.r_[first, len(places)]))
+    return places[inside % stride == offset % stride]
+
+
 def train_on(model: list[np.ndarray], memory: list[np.ndarray], ids: np.ndarray, places: np.ndarray, spec: WindowModel) -> None:
     """Steps of adaptive gradient descent over the windows at ``places``; changes ``model`` and ``memory``."""
     tables, _, out, _ = model
+    sides, column = np.arange(len(_SIDES))[:, None] * spec.classes, np.arange(spec.width)
     for at in range(0, len(places), spec.batch):
         part = places[at : at + spec.batch]
         n = len(part)
-        hidden, logs = _forward(model, ids, part)
-        error = np.exp(logs)
+        hidden, error = _logits(model, ids, part)
+        np.exp(error, out=error)
+        error /= error.sum(axis=1, keepdims=True)
         error[np.arange(n), ids[part]] -= 1
         error /= n
         back = (error @ out.T) * (1 - hidden**2)
-        slopes = [np.empty_like(tables), back.sum(axis=0), hidden.T @ error, error.sum(axis=0)]
-        for k, side in enumerate(_SIDES):
-            met = np.zeros((n, spec.classes), dtype=np.float32)
-            met[np.arange(n), ids[part + side]] = 1
-            slopes[0][k] = met.T @ back
+        met = sides + ids[part + np.array(_SIDES)[:, None]]  # (side, window): row of the tables
+        met = (met[:, :, None] * spec.width + column).ravel()
+        moved = np.bincount(met, np.broadcast_to(back, (len(_SIDES), *back.shape)).ravel(), tables.size)
+        slopes = [moved.reshape(tables.shape).astype(tables.dtype), back.sum(axis=0), hidden.T @ error, error.sum(axis=0)]
         for p, m, g in zip(model, memory, slopes, strict=True):
             m += g * g
             p -= spec.rate * g / (np.sqrt(m) + 1e-6)
@@ -160,7 +182,7 @@ def _counted(total: Counter) -> pa.RecordBatch:
     )
 
 
-def _round(docs: DataFrame, common: list[bytes], model: list[np.ndarray], spec: WindowModel) -> list[np.ndarray]:
+def _round(docs: DataFrame, common: list[bytes], model: list[np.ndarray], spec: WindowModel, offset: int) -> list[np.ndarray]:
     """One round: every task trains its copy, the copies are averaged by their number of windows."""
     shared = docs.sparkSession.sparkContext.broadcast((common, model))
 
@@ -169,8 +191,8 @@ def _round(docs: DataFrame, common: list[bytes], model: list[np.ndarray], spec:
         classes, own = _Classes(words, spec), [p.copy() for p in begun]
         memory, seen = [np.full_like(p, 1e-3) for p in own], 0
         for batch in batches:
-            ids, places, _ = _padded(batch.column(0).to_pylist(), classes)
-            places = places[::  spec.stride]
+            ids, places, owners = _padded(batch.column(0).to_pylist(), classes)
+            places = _windows(places, owners, offset, spec.stride)
             train_on(own, memory, ids, places, spec)
             seen += len(places)
         if seen:
@@ -189,8 +211,8 @@ def _round(docs: DataFrame, common: list[bytes], model: list[np.ndarray], spec:
 def fit(docs: DataFrame, spec: WindowModel = WindowModel()) -> tuple[list[bytes], list[np.ndarray]]:  # noqa: B008
     """Common words and the trained parameters."""
     common, model = common_words(docs, spec), _start(spec)
-    for _ in range(spec.rounds):
-        model = _round(docs, common, model, spec)
+    for k in range(spec.rounds):
+        model = _round(docs, common, model, spec, k)
     return common, model
 
 
@@ -198,10 +220,11 @@ def _sums(texts: list[bytes | None], classes: _Classes, model: list[np.ndarray])
     """Tokens and summed log-probabilities of each text."""
     ids, places, owners = _padded(texts, classes)
     sums = np.zeros(len(texts))
-    for at in range(0, len(places), 8192):
-        part = places[at : at + 8192]
-        _, logs = _forward(model, ids, part)
-        sums += np.bincount(owners[at : at + 8192], logs[np.arange(len(part)), ids[part]], len(texts))
+    for at in range(0, len(places), 1024):
+        part = places[at : at + 1024]
+        _, logits = _logits(model, ids, part)
+        logs = logits[np.arange(len(part)), ids[part]] - np.log(np.exp(logits, out=logits).sum(axis=1))
+        sums += np.bincount(owners[at : at + 1024], logs, len(texts))
     return np.bincount(owners, minlength=len(texts)), sums
 
 

@@ -99,3 +99,18 @@ def test_odd_rows(clashing, odd_rows, nothing):
     same = [r.log_prob for r in rows if r.doc_id == 2]
     assert same[0] == same[1]
     assert lm.scores(nothing, spec=SPEC).count() == 0
+
+
+def test_every_window_is_trained_on_with_the_values_of_the_query(spark, monkeypatch):
+    spec = lm.WindowModel()
+    texts = [b"one", b"one two", b"", None, b" ".join(b"w%d" % i for i in range(301)), b"a b c"]
+    ids, places, owners = lm._padded(texts, lm._Classes([], spec))
+    taken = np.concatenate([lm._windows(places, owners, k, spec.stride) for k in range(spec.rounds)])
+    assert set(taken) == set(places)
+    assert len(lm._windows(places, owners, 0, spec.stride)) > 0
+    offsets = []
+    monkeypatch.setattr(lm, "_round", lambda docs, common, model, spec, offset: offsets.append(offset) or model)
+    lm.fit(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spec)
+    assert {k % spec.stride for k in offsets} == set(range(spec.stride))
+    with pytest.raises(ValueError):
+        lm.WindowModel(rounds=1, stride=2)
