@@ -4,11 +4,16 @@ A small network predicts every token of a document from a window on both of its
 two words before and the two after, each with its own table, are added, squashed, and mapped to a softmax over
 word classes. The sum of the log-probabilities of all tokens, each given its neighbours, scores the document.
 
-Classes are the most common words of the corpus, counted over all documents, and hash classes for all others.
+Classes are the most common words of the corpus, counted over all documents, and hash classes for all others. A word of a
+hash class has the probability of its class times its own within the class: (n + 1) / (N + V + 1), for a word
+counted n times in a class of V words and N tokens; the 1 that is left is for all words never counted. The counts of all
+words stay a written table. Tasks hold a bounded number of the most frequent, the tokens of all others are joined.
+
 Training is data-parallel: each task trains a copy of the model in numpy on windows of every document it reads,
 and copies are averaged, weighted by their windows, after every round. Word counts and copies grow with the
-corpus and meet in Spark aggregates; the driver sees one row per common word and per parameter, a fixed number.
-Copies are added as whole numbers, so the order in which tasks finish does not matter.
+corpus and meet in Spark aggregates; the driver sees one row per common or held word, per hash class and per
+parameter, a fixed number. Copies and logarithms are added as whole numbers, so the order in which tasks finish does not
+matter.
 
 Defined cases. Null or wordless text: 0 tokens, score 0, null mean. Repeated rows are scored each, with equal
 scores. Places beyond the ends of a text hold a class of their own. Texts are taken whole; round k trains on the
@@ -26,10 +31,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
+
+from .common import saved
 
 _SIDES = (-2, -1, 1, 2)
 _FIXED = 1 << 20  # parameters are added in units of one millionth
 _HELD_WORDS = 200_000
+_FREQUENT_WORDS = 16_384  # words whose counts tasks hold; those of others are joined
+_BINS = 16  # of counts, a natural logarithm
+_LOG_UNIT = 10**9  # logarithms are added in billionths
 
 
 @dataclass(frozen=True)
@@ -157,8 +168,8 @@ def train_on(model: list[np.ndarray], memory: list[np.ndarray], ids: np.ndarray,
             p -= spec.rate * g / (np.sqrt(m) + 1e-6)
 
 
-def common_words(docs: DataFrame, spec: WindowModel) -> list[bytes]:
-    """The most common words of all documents; ties go to the smaller word."""
+def word_counts(docs: DataFrame, spec: WindowModel) -> DataFrame:
+    """word, place of its hash class, n: the words of all documents and how often each occurs."""
 
     def count(batches):
         total: Counter = Counter()
@@ -166,20 +177,55 @@ def common_words(docs: DataFrame, spec: WindowModel) -> list[bytes]:
             for text in batch.column(0).to_pylist():
                 total.update(_words(text))
             if len(total) > _HELD_WORDS:
-                yield _counted(total)
+                yield _counted(total, spec)
                 total.clear()
-        yield _counted(total)
+        yield _counted(total, spec)
 
-    counts = docs.select(F.col("text").cast("binary")).mapInArrow(count, "word binary, n long")
-    counts = counts.groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(spec.words).collect()
-    return [bytes(r.word) for r in top]
+    counts = docs.select(F.col("text").cast("binary")).mapInArrow(count, "word binary, place int, n long")
+    return counts.groupBy("word", "place").agg(F.sum("n").alias("n"))
 
 
-def _counted(total: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], ["word", "n"]
-    )
+def _counted(total: Counter, spec: WindowModel) -> pa.RecordBatch:
+    places = (xxhash.xxh3_64_intdigest(w) % spec.hash_classes for w in total)
+    columns = [pa.array(list(total), pa.binary()), pa.array(places, pa.int32()), pa.array(list(total.values()), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["word", "place", "n"])
+
+
+def _top(counts: DataFrame, spec: WindowModel) -> list[tuple[bytes, int, int]]:
+    """Word, place and count of the most common words; ties go to the smaller word."""
+    return [(bytes(r.word), r.place, r.n) for r in counts.orderBy(F.desc("n"), "word").limit(spec.words).collect()]
+
+
+def common_words(docs: DataFrame, spec: WindowModel) -> list[bytes]:
+    """The most common words of all documents; ties go to the smaller word."""
+    return [word for word, _, _ in _top(word_counts(docs, spec), spec)]
+
+
+class Fitted(tuple):
+    """(common words, trained parameters), with the counts behind a word's probability within its class."""
+
+    counts: DataFrame  # word, n of all words
+    frequent: dict[bytes, int]  # n of the words that tasks hold
+    totals: np.ndarray  # tokens and words of each hash class
+
+
+def _within(fitted: Fitted, counts: DataFrame, top: list[tuple[bytes, int, int]], spec: WindowModel) -> Fitted:
+    totals = np.zeros(spec.hash_classes, dtype=np.int64)
+    for r in counts.groupBy("place").agg((F.sum("n") + F.count("*")).alias("total")).collect():
+        totals[r.place] = r.total
+    for _, place, n in top:  # these have classes of their own
+        totals[place] -= n + 1
+    level = F.floor(F.log("n") * _BINS)
+    least, room = 1 << 30, _FREQUENT_WORDS
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):  # one row per bin
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r.level
+    held = counts.where(level >= least).select("word", "n")
+    fitted.counts, fitted.totals = counts.select("word", "n"), totals
+    fitted.frequent = {bytes(r.word): r.n for r in held.collect()} if least < 1 << 30 else {}
+    return fitted
 
 
 def _round(docs: DataFrame, common: list[bytes], model: list[np.ndarray], spec: WindowModel, offset: int) -> list[np.ndarray]:
@@ -208,38 +254,104 @@ def _round(docs: DataFrame, common: list[bytes], model: list[np.ndarray], spec:
     return _shaped(values, spec)
 
 
-def fit(docs: DataFrame, spec: WindowModel = WindowModel()) -> tuple[list[bytes], list[np.ndarray]]:  # noqa: B008
+def fit(docs: DataFrame, spec: WindowModel = WindowModel()) -> Fitted:  # noqa: B008
     """Common words and the trained parameters."""
-    common, model = common_words(docs, spec), _start(spec)
+    counts = saved(word_counts(docs, spec), "lm-words")
+    top = _top(counts, spec)
+    common, model = [word for word, _, _ in top], _start(spec)
     for k in range(spec.rounds):
         model = _round(docs, common, model, spec, k)
-    return common, model
+    return _within(Fitted((common, model)), counts, top, spec)
 
 
-def _sums(texts: list[bytes | None], classes: _Classes, model: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and summed log-probabilities of each text."""
-    ids, places, owners = _padded(texts, classes)
-    sums = np.zeros(len(texts))
-    for at in range(0, len(places), 1024):
-        part = places[at : at + 1024]
-        _, logits = _logits(model, ids, part)
-        logs = logits[np.arange(len(part)), ids[part]] - np.log(np.exp(logits, out=logits).sum(axis=1))
-        sums += np.bincount(owners[at : at + 1024], logs, len(texts))
-    return np.bincount(owners, minlength=len(texts)), sums
+class _Codes(_Classes):
+    """Word to class; of words that are neither common nor held, less by all classes."""
 
+    def __init__(self, common: list[bytes], frequent: dict[bytes, int], spec: WindowModel):
+        super().__init__(common, spec)
+        self.offset = spec.classes
+        #: Class of each code, and the logarithm of the word's part in its class.
+        self.classes = [*range(spec.classes)]
+        self.parts = [0.0] * spec.classes
+        for word, n in frequent.items():
+            if word not in self:
+                self.classes.append(1 + spec.words + xxhash.xxh3_64_intdigest(word) % spec.hash_classes)
+                self.parts.append(float(np.log(n + 1)))
+                self[word] = len(self.classes) - 1
+        self.bound = len(self) + _HELD_WORDS
 
-def scores(docs: DataFrame, fitted=None, spec: WindowModel = WindowModel()) -> DataFrame:  # noqa: B008
+    def __missing__(self, word: bytes) -> int:
+        out = 1 + self.spec.words + xxhash.xxh3_64_intdigest(word) % self.spec.hash_classes - self.offset
+        if len(self) < self.bound:
+            self[word] = out
+        return out
+
+
+class _Scorer:
+    """Tokens, summed log-probabilities, and the tokens whose counts are to be joined."""
+
+    def __init__(self, fitted: tuple, spec: WindowModel):
+        common, self.model, frequent, totals = fitted
+        self.codes = _Codes(common, frequent, spec)
+        # by code; negative codes, of words that are not held, count from the end
+        self.classes = np.array([*self.codes.classes, *range(spec.classes)], dtype=np.int32)
+        base = np.zeros(spec.classes)
+        base[1 + spec.words :] = np.log(totals + 1.0)
+        self.parts = np.array([*self.codes.parts, *[0.0] * spec.classes]) - base[self.classes]
+
+    def sums(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        codes, places, owners = _padded(texts, self.codes)
+        ids, own = self.classes[codes], self.parts[codes]
+        sums = np.zeros(len(texts))
+        for at in range(0, len(places), 1024):
+            part = places[at : at + 1024]
+            _, logits = _logits(self.model, ids, part)
+            logs = logits[np.arange(len(part)), ids[part]] - np.log(np.exp(logits, out=logits).sum(axis=1))
+            sums += np.bincount(owners[at : at + 1024], logs + own[part], len(texts))
+        rare = np.flatnonzero(codes[places] < 0)
+        of = owners[rare]
+        inside = rare - np.searchsorted(owners, of)
+        words, last, split = [], -1, []
+        for k, i in zip(of.tolist(), inside.tolist(), strict=True):
+            if k != last:
+                last, split = k, _words(texts[k])
+            words.append(split[i])
+        return np.bincount(owners, minlength=len(texts)), sums, of, words
+
+
+def scores(docs: DataFrame, fitted: Fitted | None = None, spec: WindowModel = WindowModel()) -> DataFrame:  # noqa: B008
     """One row per row of ``docs`` (doc_id, text): doc_id, n_tokens, log_prob, mean_log_prob."""
-    shared = docs.sparkSession.sparkContext.broadcast(fitted or fit(docs, spec))
+    fitted = fitted or fit(docs, spec)
+    shared = docs.sparkSession.sparkContext.broadcast((*fitted, fitted.frequent, fitted.totals))
 
     def run(batches):
-        common, model = shared.value
-        classes = _Classes(common, spec)
+        scorer, first = _Scorer(shared.value, spec), TaskContext.get().partitionId() << 40
         for batch in batches:
-            n, sums = _sums(batch.column("text").to_pylist(), classes, model)
-            arrays = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(np.round(sums, 4))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "log_prob"])
+            n, sums, of, words = scorer.sums(batch.column("text").to_pylist())
+            rows, empty = np.arange(first, first + len(n)), len(words)
+            first += len(n)
+            # a text's own row has a key that is no word, as it holds a space, and differs from all others
+            keys = [b" %d" % r for r in rows.tolist()]
+            fixed = np.rint(sums * _LOG_UNIT).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([rows, rows[of]])),
+                    pa.array(keys + words, pa.binary()),
+                    pa.concat_arrays([batch.column("doc_id"), pa.nulls(empty, pa.int64())]),
+                    pa.array(np.concatenate([n, np.zeros(empty, dtype=np.int64)]), pa.int64()),
+                    pa.array(np.concatenate([fixed, np.zeros(empty, dtype=np.int64)])),
+                ],
+                ["row", "word", "doc_id", "n_tokens", "value"],
+            )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    scored = rows.mapInArrow(run, "doc_id long, n_tokens long, log_prob double")
-    return scored.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.round(F.col("log_prob") / F.col("n_tokens"), 6)))
+    parts = rows.mapInArrow(run, "row long, word binary, doc_id long, n_tokens long, value long")
+    joined = parts.join(fitted.counts, "word", "left")
+    log = F.coalesce(F.round(F.log(F.col("n") + 1) * _LOG_UNIT).cast("long"), F.lit(0))
+    scored = joined.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"),
+        F.sum("n_tokens").alias("n_tokens"),
+        F.round(F.sum(F.col("value") + log) / _LOG_UNIT, 4).alias("log_prob"),
+    )
+    mean = F.when(F.col("n_tokens") > 0, F.round(F.col("log_prob") / F.col("n_tokens"), 6))
+    return scored.drop("row").withColumn("mean_log_prob", mean)

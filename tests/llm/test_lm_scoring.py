@@ -114,3 +114,37 @@ def test_every_window_is_trained_on_with_the_values_of_the_query(spark, monkeypa
     assert {k % spec.stride for k in offsets} == set(range(spec.stride))
     with pytest.raises(ValueError):
         lm.WindowModel(rounds=1, stride=2)
+
+
+@pytest.mark.parametrize("held", [16_384, 3, 0])
+def test_words_of_a_class_have_their_own_probabilities(spark, monkeypatch, held):
+    """Against sums by hand, with all, some and none of the counts in the tasks."""
+    from collections import Counter
+
+    monkeypatch.setattr(lm, "_FREQUENT_WORDS", held)
+    spec = lm.WindowModel(words=2, hash_classes=2, width=4, rounds=1, stride=1)
+    texts = ["a b a b a b rare rare rare seldom", "a b once Rare a b seldom", "b invented a", "b uncounted a", ""]
+    docs = spark.createDataFrame(list(enumerate(texts[:2])), "doc_id long, text string")
+    fitted = lm.fit(docs, spec)
+    count = Counter(w for t in texts[:2] for w in t.lower().split())
+    classes = lm._Classes(fitted[0], spec)
+    assert sorted(fitted[0]) == [b"a", b"b"]
+    got = {r.doc_id: r for r in lm.scores(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), fitted, spec).collect()}
+    assert len(got) == 5 and got[4].log_prob == 0 and got[4].n_tokens == 0 and got[4].mean_log_prob is None
+    for k, t in enumerate(texts):
+        words = [w.encode() for w in t.lower().split()]
+        ids, places, _ = lm._padded([t.encode()], classes)
+        want = lm._forward(fitted[1], ids, places)[1][np.arange(len(places)), ids[places]].astype(float).sum() if words else 0.0
+        for w in words:
+            if w not in fitted[0]:
+                others = [n for v, n in count.items() if v.encode() not in fitted[0] and classes[v.encode()] == classes[w]]
+                want += np.log((count[w.decode()] + 1) / (sum(others) + len(others) + 1))
+        assert got[k].log_prob == pytest.approx(want, abs=2e-3) and got[k].n_tokens == len(words)
+
+
+def test_a_rare_word_for_another_changes_the_score(spark):
+    spec = lm.WindowModel(words=2, hash_classes=1, width=4, rounds=1, stride=1)
+    docs = spark.createDataFrame([(0, "a b a b a b rare rare rare seldom")], "doc_id long, text string")
+    rows = [(1, "a rare b"), (2, "a seldom b"), (3, "a invented b")]
+    got = {r.doc_id: r.log_prob for r in lm.scores(spark.createDataFrame(rows, docs.schema), lm.fit(docs, spec), spec).collect()}
+    assert got[1] > got[2] > got[3]
