@@ -2,7 +2,7 @@
 
 A text is scanned for three kinds of secrets. Then every way in which a secret may be wrapped is undone, one
 layer at a time: percent escapes, Unicode escapes and character references over the whole layer, and runs of
-base64 that hold text or a compressed text. Each new layer goes on the worklist and is scanned and unwrapped
+base64 that hold text or a compressed text, also wrapped over lines. Each new layer goes on the worklist and is scanned and unwrapped
 like the first, until nothing new appears. A layer that was seen before at the same place of the original is a cycle
 and is dropped. Every layer maps its characters to the original text, so each finding has a span there: exact for
 escapes, to the base64 character for base64, the whole run for compressed text.
@@ -46,6 +46,9 @@ _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}(?:\\u[0-9A-Fa-f]{4})*|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|&[A-Za-z]{2,8};")
 #: A wrapped secret has 16 base64 characters at least: a keyword, a sign and six characters are twelve bytes.
 _BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+#: Lines of base64 of a wrapped run: full lines of one length, 16 at least, then a last one that is no longer.
+_LINE_BREAK = re.compile(r"[ \t]*\r?\n[ \t]*")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _UNPRINTABLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
 MAX_LAYER_BYTES = 64 << 20
@@ -162,12 +165,45 @@ def _decompressor(data: bytes):
     return None
 
 
-def _expand(data: bytes, limit: int) -> bytes | None:
-    """The content of a compressed run (None: not one); raises OverflowError beyond ``limit`` bytes."""
+def _members(data: bytes, limit: int) -> bytes | None:
+    """All members of a compressed run, up to what is no member; None if the first one has no end."""
+    parts, size, rest = [], 0, data
+    while rest:
+        opener = zstandard.ZstdDecompressor().decompressobj() if rest[:4] == b"\x28\xb5\x2f\xfd" else _decompressor(rest)
+        if opener is None:
+            break
+        try:
+            if rest[:4] == b"\x28\xb5\x2f\xfd":
+                part = _zstd(rest, limit + 1 - size)
+                if size + len(part) <= limit:
+                    opener.decompress(rest)  # within the limit: finds the end of the frame
+            else:
+                part = opener.decompress(rest, limit + 1 - size)
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+            break
+        size += len(part)
+        if size > limit:
+            raise OverflowError
+        if not opener.eof:
+            break
+        parts.append(part)
+        rest = opener.unused_data.lstrip(b"\0")
+    return b"".join(parts) if parts else None
+
+
+def _zstd(data: bytes, limit: int) -> bytes:
+    with zstandard.ZstdDecompressor().stream_reader(data) as reader:
+        return reader.read(limit)
+
+
+def _expand(data: bytes, limit: int) -> tuple[bytes, bool] | None:
+    """The content of a compressed run and whether it has its end (None: not one); raises OverflowError beyond ``limit`` bytes."""
+    whole = _members(data, limit)
+    if whole is not None:
+        return whole, True
     try:
         if data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(limit + 1)
+            out = _zstd(data, limit + 1)
         elif (opener := _decompressor(data)) is not None:
             out = opener.decompress(data, limit + 1)
         else:
@@ -176,13 +212,39 @@ def _expand(data: bytes, limit: int) -> bytes | None:
         return None
     if len(out) > limit:
         raise OverflowError
-    return out
+    return out, False
+
+
+def _runs(text: str) -> Iterator[np.ndarray]:
+    """Places of the characters of each base64 run: of lines that are wrapped, then of one line."""
+    until = 0  # runs before it are lines of a wrapped run that was given
+    for m in _BASE64.finditer(text):
+        if m.start() < until or m[0][-1] == "=":
+            yield np.arange(m.start(), m.end())
+            continue
+        places, width, at = [np.arange(m.start(), m.end())], m.end() - m.start(), m.end()
+        while (gap := _LINE_BREAK.match(text, at)) and (line := _LINE.match(text, gap.end())):
+            if line.end() - line.start() > width:
+                break
+            places.append(np.arange(line.start(), line.end()))
+            at = line.end()
+            if line.end() - line.start() < width or line[0][-1] == "=":
+                break
+        if len(places) > 1:
+            until = at
+            yield np.concatenate(places)
+            if len(places[-1]) < width and text[at - 1] != "=":
+                yield np.concatenate(places[:-1])  # the last line may be a word of what follows
+        if len(places) != 2 or until != at or text[at - 1] == "=" or len(places[-1]) == width:
+            yield places[0]
 
 
 def _unwrapped_runs(layer: _Layer, limit: int) -> Iterator[_Layer | None]:
     """A layer for each base64 run that holds text, compressed or not; None for a refused run."""
-    for m in _BASE64.finditer(layer.text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+    opened = 0  # up to here a compressed run was opened, of which others are parts
+    for run in _runs(layer.text):
+        raw = "".join(layer.text[a : b + 1] for a, b in _stretches(run))
+        body = raw.rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
             body = body[:-1]
         try:
@@ -192,24 +254,39 @@ def _unwrapped_runs(layer: _Layer, limit: int) -> Iterator[_Layer | None]:
         text = _readable(data)
         if text is not None:
             chars = _characters(data)
-            places = [layer.place(m.start() + a * 4 // 3, m.start() + min(-(-b * 4 // 3), len(m[0]))) for _, a, b in chars]
+            places = [layer.place(int(run[a * 4 // 3]), int(run[min(-(-b * 4 // 3), len(run)) - 1]) + 1) for _, a, b in chars]
             yield _Layer(text, np.array([p[0] for p in places]), np.array([p[1] for p in places]))
             continue
-        depth_data: bytes | None = data
+        depth_data: bytes | None = data if run[0] >= opened else None
         while depth_data is not None:  # compressed more than once
             try:
-                depth_data = _expand(depth_data, limit)
+                found = _expand(depth_data, limit)
             except OverflowError:
                 yield None
                 break
-            if depth_data is not None and (text := _readable(depth_data)) is not None:
-                start, end = layer.place(m.start(), m.end())
+            depth_data = found and found[0]
+            if depth_data is not None and (text := _readable(depth_data) or _cut(depth_data, found[1])) is not None:
+                start, end = layer.place(int(run[0]), int(run[-1]) + 1)
+                opened = int(run[-1]) + 1
                 yield _Layer(text, np.full(len(text), start), np.full(len(text), end))
                 break
             if depth_data == data:
                 break
 
 
+def _stretches(places: np.ndarray) -> list[tuple[int, int]]:
+    """First and last of each row of neighbours among ``places``."""
+    cuts = np.flatnonzero(np.diff(places) != 1)
+    return list(zip(places[np.r_[0, cuts + 1]].tolist(), places[np.r_[cuts, len(places) - 1]].tolist(), strict=True))
+
+
+def _cut(data: bytes, ended: bool) -> str | None:
+    """Readable text of a stream without its end, whose last character may be cut."""
+    if ended:
+        return None
+    return next((t for k in (1, 2, 3) if (t := _readable(data[:-k])) is not None), None)
+
+
 def scan(text: str | None, limit: int = MAX_LAYER_BYTES) -> tuple[list[Span], list[Span], int]:
     """Base findings, all findings, and the number of refused runs of one text."""
     base = find(text) if text else []

@@ -95,3 +95,32 @@ def test_documents(documents):
     for r in s.secrets(documents).collect():
         base, spans, _ = s.scan(texts[r.doc_id])
         assert (r.n_assign + r.n_access + r.n_hex, r.spans) == (len(base), s.written(spans))
+
+
+def lines(data, width=76, sep="\n"):
+    text = b64(data)
+    return sep.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+@pytest.mark.parametrize("sep", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("squeeze", [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_wrapped_over_lines(sep, squeeze):
+    filler = " ".join(hashlib.md5(b"%d" % k).hexdigest()[:20] for k in range(40))
+    for before in range(4):
+        wrapped = lines(squeeze(f"{'x' * before}{filler} {SECRET} {filler}".encode()), sep=sep)
+        spans = [x for x in s.scan(f"see:\n{wrapped}\nend of it")[1] if x[1] == 0]
+        assert len(spans) == 1 and 5 <= spans[0][0] < spans[0][2] <= 5 + len(wrapped)
+        if squeeze is bytes:
+            a, _, b = spans[0]
+            assert b - a < 80 and a - 5 > 1000
+
+
+def test_later_members_are_read():
+    for squeeze in (gzip.compress, bz2.compress, lzma.compress, zstandard.compress):
+        wrapped = b64(squeeze(b"first part ") + squeeze(SECRET.encode()))
+        assert s.scan(wrapped)[1] == [(0, 0, len(wrapped))]
+
+
+def test_stream_without_its_end_gives_what_there_is():
+    data = gzip.compress((SECRET + " " + "".join(hashlib.md5(b"%d" % k).hexdigest()[:20] + " " for k in range(99))).encode())
+    assert [k for _, k, _ in s.scan(b64(data[:600]))[1]] == [0]
