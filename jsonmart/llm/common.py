@@ -43,3 +43,23 @@ BROADCAST_ROWS = 1_000_000
 def checked_broadcast(df: DataFrame) -> DataFrame:
     """``df``, a written table of few narrow columns, with a broadcast hint if it is small enough; else as it is."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+#: Texts of at most so many bytes are worked on at a time in a task; a longer one goes alone.
+SLICE_BYTES = 4 << 20
+
+
+def text_slices(batches, column: str = "text", limit: int = SLICE_BYTES):
+    """The rows of Arrow ``batches`` in their order, cut where the bytes of the text ``column`` would exceed ``limit``."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        total = np.cumsum(sizes.astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = total[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(total, before + limit, side="right")))
+            yield batch.slice(start, end - start)
+            start = end

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import fresh_dir
-from . import decontaminate, html_extract, lm_scoring, mixing, ngram_join, oracles, quality_rules, secrets_scan, sharding
+from . import decontaminate, fill_middle, html_extract, lm_scoring, mixing, ngram_join, oracles, periodic_runs, quality_gam
+from . import quality_rules, secrets_scan, sharding, warc
 from . import token_counts as tokens
-from . import warc
 from .common import table
 from .recipes import MIX
 
@@ -73,6 +73,40 @@ def _ngram_join(spark, sf):
     return linked.select("doc_id", "n_shingles", "component_id")
 
 
+def _quality_classifier(spark, sf):
+    return quality_gam.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def _fill_in_middle(spark, sf):
+    made = fill_middle.fill_in_middle(table(spark, sf, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def _periodic_runs(spark, sf):
+    found = periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf, "documents")))
+    line = lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", line), "")
+    best = found.withColumn("best", periodic_runs.strongest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": _secrets,
     "op2_token_counts": _token_counts,
@@ -84,6 +118,9 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": _mixing,
     "op9_ngram_join": _ngram_join,
     "op10_warc": _warc,
+    "op11_quality_classifier": _quality_classifier,
+    "op12_fill_in_middle": _fill_in_middle,
+    "op13_periodic_runs": _periodic_runs,
 }
 
 ORACLES: dict[str, str] = {

@@ -23,7 +23,7 @@ def test_matches_duckdb(spark, name, sf):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 CONTRACT = {
@@ -34,6 +34,11 @@ CONTRACT = {
                           "n_repeat_words bigint", "base_failed boolean", "kept boolean"],
     "op9_ngram_join": ["doc_id bigint", "n_shingles bigint", "component_id bigint"],
     "op10_warc": ["page_id bigint", "payload_bytes bigint", "payload_digest string", "record_type string", "refers_to bigint"],
+    "op11_quality_classifier": ["doc_id bigint", "held_out boolean", "score double", "predicted int"],
+    "op12_fill_in_middle": ["doc_id bigint", "n bigint", "form string", "prefix_chars bigint", "middle_chars bigint",
+                            "output_sha256 string", "restored_sha256 string"],
+    "op13_periodic_runs": ["doc_id bigint", "n_runs bigint", "start bigint", "length bigint", "period bigint",
+                           "exponent_milli bigint", "runs_sha256 string", "collapsed_sha256 string"],
 }
 
 
