@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, NumericType, TimestampNTZType, TimestampType
 
 REPORT_COLUMNS = ("model", "test", "target", "failures")
 
@@ -34,130 +35,118 @@ class ModelChecks:
         return len(self.not_null) + bool(self.unique) + len(self.parents)
 
 
-def column_checks(df: DataFrame, model: str, not_null: Sequence[str] = (), unique: Sequence[str] = ()) -> DataFrame:
-    """Null and duplicate counts of one table in one pass.
-
-    The rows are first folded to one per key value (before and after the shuffle), which keeps a
-    hot duplicate from landing in one task; the folded rows are then summed. A key with a null
-    part is not a duplicate.
-    """
-    others = [c for c in not_null if c not in unique]
-    folded = df.groupBy(*unique).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in others]
-    )
-    entries, sums = [], []
-    for c in not_null:
-        count = F.sum(F.when(F.col(c).isNull(), F.col("_rows"))) if c in unique else F.sum(f"_null_{c}")
-        entries.append(("not_null", c))
-        sums.append(F.coalesce(count, F.lit(0)))
-    if unique:
-        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in unique])
-        entries.append(("unique", "-".join(unique)))
-        sums.append(F.count_if(whole & (F.col("_rows") > 1)))
-    totals = folded.agg(*[s.cast("bigint").alias(f"_f{i}") for i, s in enumerate(sums)])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(model).alias("model"),
-                F.lit(test).alias("test"),
-                F.lit(target).alias("target"),
-                F.col(f"_f{i}").alias("failures"),
-            )
-            for i, (test, target) in enumerate(entries)
-        ]
-    )
-    return totals.select(F.inline(rows))
-
-
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child key values without a parent, with their row counts; null children pass.
 
     Child rows are folded to one per key value before the join, so a hot key joins as one row.
     """
-    keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    return keys.join(parent.select(F.col(parent_column).alias("key")), "key", "left_anti")
+    kind = _common([child.schema[column].dataType, parent.schema[parent_column].dataType])
+    key, known = (F.col(c) if kind is None else F.col(c).cast(kind) for c in (column, parent_column))
+    keys = child.where(F.col(column).isNotNull()).groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    return keys.join(parent.select(known.alias("key")), "key", "left_anti")
 
 
-def relationship(child: DataFrame, model: str, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    orphans = orphan_keys(child, column, parent, parent_column)
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failures")).select(
-        F.lit(model).alias("model"), F.lit("relationships").alias("test"), F.lit(column).alias("target"), "failures"
-    )
+def _common(kinds: Sequence[DataType]) -> str | None:
+    """The type to compare such keys in; None where Spark's own widening does it without loss of meaning."""
+    numbers = all(isinstance(k, NumericType) for k in kinds)
+    times = all(isinstance(k, (DateType, TimestampType, TimestampNTZType)) for k in kinds)
+    return None if len(set(kinds)) == 1 or numbers or times else "string"
 
 
-def _entry(space: int, key, slot: int):
-    return F.struct(F.lit(space).alias("space"), key.alias("key"), F.lit(slot).alias("slot"))
+@dataclass
+class _KeySpace:
+    """A key of a table, with the checks that one count of its values decides."""
 
-
-def _key_text(columns: Sequence[str]):
-    """The key as text; null if any part of it is."""
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    return known, F.concat_ws("\x1f", *[F.col(c).cast("string") for c in columns])
+    model: str
+    columns: tuple[str, ...]
+    unique: int | None = None
+    nulls: list[tuple[int, int]] = field(default_factory=list)  # (column of the key, check)
+    children: list[tuple[str, str, int, int | None]] = field(default_factory=list)  # (model, column, check, null check)
+
+    def entries(self, tables: Mapping[str, DataFrame], number: int) -> DataFrame:
+        """(space, slot, k0, ...): the key of every own row as slot 0, of every row of a child as a slot of its own."""
+        sides = [(tables[self.model], self.columns)] + [(tables[m], (c,)) for m, c, _, _ in self.children]
+        kinds = [_common([df.schema[columns[i]].dataType for df, columns in sides]) for i in range(len(self.columns))]
+        parts = []
+        for slot, (df, columns) in enumerate(sides):
+            key = [F.col(c) if kind is None else F.col(c).cast(kind) for c, kind in zip(columns, kinds, strict=True)]
+            named = [k.alias(f"k{i}") for i, k in enumerate(key)]
+            parts.append(df.select(F.lit(number).alias("space"), F.lit(slot).alias("slot"), *named))
+        return reduce(DataFrame.union, parts)
+
+    def failures(self, number: int) -> list[Column]:
+        keys = [F.col(f"k{i}") for i in range(len(self.columns))]
+        here = F.col("space") == number
+        known = reduce(lambda a, b: a & b, [k.isNotNull() for k in keys])
+        found = [F.when(here & keys[i].isNull(), _failed(check, F.col("n0"))) for i, check in self.nulls]
+        if self.unique is not None:
+            found.append(F.when(here & known & (F.col("n0") > 1), _failed(self.unique, F.lit(1))))
+        for slot, (_, _, check, null_check) in enumerate(self.children, start=1):
+            n = F.col(f"n{slot}")
+            found.append(F.when(here & known & (F.col("n0") == 0) & (n > 0), _failed(check, n)))
+            if null_check is not None:
+                found.append(F.when(here & ~known & (n > 0), _failed(null_check, n)))
+        return found
+
+
+def _counted(entries: DataFrame, slots: int) -> DataFrame:
+    keys = [c for c in entries.columns if c != "slot"]
+    return entries.groupBy(*keys).agg(*[F.count_if(F.col("slot") == s).alias(f"n{s}") for s in range(slots)])
+
+
+def _failed(check: int, n: Column) -> Column:
+    return F.struct(F.lit(check).alias("check"), n.cast("bigint").alias("failures"))
+
+
+def _listed(df: DataFrame, found: Sequence[Column]) -> DataFrame:
+    return df.select(F.explode(F.array_compact(F.array(*found))).alias("f")).select("f.*")
 
 
 def dq_report(tables: Mapping[str, DataFrame], checks: Iterable[ModelChecks]) -> DataFrame:
     """One row per declared check with its number of failures.
 
-    Every table is read once and every key shuffled once: a table's rows become entries (key space, key,
-    role), for its own key, for each parent it points to and for each null. One aggregate over all entries, with
-    partial counts before the shuffle, then knows how often each key has an owner and how many children.
+    Each key space (the unique key of a table, or a column that others point to) is counted in the type common to
+    both sides: its own rows and those of all its children are folded to one row per value and task before the shuffle,
+    so a hot key sends a row per task. Spaces with keys of one type share the aggregate and its shuffle. The counts give
+    the duplicates, the children without a parent and the nulls of all these columns; the other columns are
+    looked at without a shuffle. Numbers are compared as numbers, times as times; where one side is a text, both are.
     """
     declared: list[tuple[str, str, str]] = []
-    spaces: dict[tuple[str, tuple[str, ...]], int] = {}
-    entries: dict[str, list] = {}
-    duplicate: dict[int, int] = {}  # key space -> its unique check
-    children: dict[int, list[int]] = {}  # key space -> its relationship checks, by slot
-
-    def space_of(model: str, columns: tuple[str, ...]) -> int:
-        if (model, columns) not in spaces:
-            spaces[model, columns] = len(spaces)
-            known, key = _key_text(columns)
-            entries.setdefault(model, []).append(F.when(known, _entry(spaces[model, columns], key, -1)))
-        return spaces[model, columns]
+    spaces: dict[tuple[str, tuple[str, ...]], _KeySpace] = {}
+    checks = list(checks)
+
+    def declare(*check: str) -> int:
+        declared.append(check)
+        return len(declared) - 1
 
+    def space(model: str, columns: tuple[str, ...]) -> _KeySpace:
+        return spaces.setdefault((model, columns), _KeySpace(model, columns))
+
+    failed = []
     for c in checks:
-        for column in c.not_null:
-            entries.setdefault(c.model, []).append(
-                F.when(F.col(column).isNull(), _entry(-1, F.lit(str(len(declared))), -1))
-            )
-            declared.append((c.model, "not_null", column))
+        nulls = {column: declare(c.model, "not_null", column) for column in c.not_null}
         if c.unique:
-            duplicate[space_of(c.model, tuple(c.unique))] = len(declared)
-            declared.append((c.model, "unique", "-".join(c.unique)))
+            own = space(c.model, tuple(c.unique))
+            own.unique = declare(c.model, "unique", "-".join(c.unique))
+            own.nulls += [(i, nulls.pop(k)) for i, k in enumerate(c.unique) if k in nulls]
         for column, parent, parent_column in c.parents:
-            space = space_of(parent, (parent_column,))
-            known, key = _key_text((column,))
-            slots = children.setdefault(space, [])
-            entries.setdefault(c.model, []).append(F.when(known, _entry(space, key, len(slots))))
-            slots.append(len(declared))
-            declared.append((c.model, "relationships", column))
-
-    rows = [
-        tables[model].select(F.explode(F.array_compact(F.array(*parts))).alias("e")).select("e.*")
-        for model, parts in entries.items()
-    ]
-    width = max((len(x) for x in children.values()), default=0)
-    counted = reduce(DataFrame.unionByName, rows).groupBy("space", "key").agg(
-        F.count_if(F.col("slot") == -1).alias("owners"),
-        F.array(*[F.count_if(F.col("slot") == k) for k in range(width)]).cast("array<bigint>").alias("children"),
-    )
-
-    def failure(check: int, n):
-        return F.struct(F.lit(check).alias("check"), n.alias("failures"))
-
-    space, owners = F.col("space"), F.col("owners")
-    found = [F.when(space == -1, F.struct(F.when(space == -1, F.col("key")).try_cast("int").alias("check"), owners.alias("failures")))]
-    found += [F.when((space == k) & (owners > 1), failure(check, F.lit(1).cast("bigint"))) for k, check in duplicate.items()]
-    for k, slots in children.items():
-        for slot, check in enumerate(slots):
-            lost = (space == k) & (owners == 0) & (F.col("children")[slot] > 0)
-            found.append(F.when(lost, failure(check, F.col("children")[slot])))
-    failed = counted.select(F.explode(F.array_compact(F.array(*found))).alias("f")).select("f.*")
-    failed = failed.groupBy("check").agg(F.sum("failures").alias("failures"))
+            check = declare(c.model, "relationships", column)
+            space(parent, (parent_column,)).children.append((c.model, column, check, nulls.pop(column, None)))
+        if nulls:
+            failed.append(_listed(tables[c.model], [F.when(F.col(k).isNull(), _failed(n, F.lit(1))) for k, n in nulls.items()]))
+    alike: dict[tuple, list[tuple[int, _KeySpace, DataFrame]]] = {}
+    for number, space_ in enumerate(spaces.values()):
+        entries = space_.entries(tables, number)
+        alike.setdefault(tuple(f.dataType for f in entries.schema), []).append((number, space_, entries))
+    for group in alike.values():
+        slots = 1 + max(len(s.children) for _, s, _ in group)
+        counted = _counted(reduce(DataFrame.union, [e for _, _, e in group]), slots)
+        failed.append(_listed(counted, [f for n, s, _ in group for f in s.failures(n)]))
+    totals = reduce(DataFrame.union, failed).groupBy("check").agg(F.sum("failures").alias("failures"))
     listed = F.array(*[F.struct(F.lit(k).alias("check"), F.lit(m).alias("model"), F.lit(t).alias("test"), F.lit(c).alias("target"))
                        for k, (m, t, c) in enumerate(declared)])
-    report = failed.sparkSession.range(1).select(F.inline(listed))
-    return report.join(failed, "check", "left").select(
+    report = totals.sparkSession.range(1).select(F.inline(listed))
+    return report.join(totals, "check", "left").select(
         "model", "test", "target", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")
     )
 

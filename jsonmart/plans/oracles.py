@@ -539,6 +539,25 @@ ORACLES: dict[str, str] = {
         SELECT ingest_date, run_id, TIMESTAMP '2024-02-01' AS extracted_at, name, n FROM ({_COUNTS})
         UNPIVOT (n FOR name IN (ingest_objects, raw_payloads, skipped_manifests, listed))
     """,
+    "observed_run_counts": _LANDED
+    + "".join(
+        f"""{union}SELECT '{run}' AS run, sum(ingest_objects)::BIGINT AS ingest_objects, sum(raw_payloads)::BIGINT AS raw_payloads,
+                   sum(skipped_manifests)::BIGINT AS skipped_manifests, sum(listed)::BIGINT AS listed
+            FROM ({_COUNTS}) WHERE {days}"""
+        for union, run, days in (("", "even days", "day(ingest_date) % 2 = 0"), (" UNION ALL ", "all days", "true"))
+    ),
+    "object_registry": """
+        SELECT 'person' AS resource, DATE '2024-01-01' + CAST(s_suppkey % 3 AS INT) AS ingest_date,
+               'run-' || s_suppkey % 2 AS dag_run_id, CAST(strlen(payload) AS BIGINT) AS bytes, sha256(payload) AS etag,
+               TIMESTAMP '2024-02-01' AS loaded_at, count(*) OVER () AS listed_1, CAST(0 AS BIGINT) AS listed_2
+        FROM (SELECT s_suppkey, '{"id":' || s_suppkey || ',"name":"' || s_name || ' é"}' || chr(10) AS payload FROM supplier)
+    """,
+    "one_key_upsert": """
+        SELECT count(*) AS events, CAST(1 AS BIGINT) AS changed, true AS grown, 256 AS parts, 1 AS rewritten FROM events
+    """,
+    "distinct_users_sketched": """
+        SELECT event_type, count(DISTINCT user_id) AS users, true AS close, true AS same FROM events GROUP BY event_type
+    """,
     "run_scan": _LANDED
     + """
         SELECT key, filename, CAST(strlen(payload) AS BIGINT) AS bytes

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import keys
 from ..functions.jsonx import as_int
 from ..functions.values import LISTING_PAGES, PEOPLE_CAP
+from ..operators import sketch
 from ..operators.conform import bridge, explode_array, ordered_list
 from ..operators.dates import date_dim
 from ..operators.pick import latest_by
@@ -37,6 +38,7 @@ table = star_tables.table
 _layers: dict[tuple[str, str], Layers] = {}
 _landings: dict[tuple[str, str], str] = {}
 _streams: dict[tuple[str, str], catalog.Catalog] = {}
+_objects: dict[tuple[str, str], str] = {}
 
 RUN_TS = "2024-02-01 00:00:00"
 
@@ -161,6 +163,21 @@ def _event_types_per_user(spark, sf):
     return ordered_list(kinds, "user_id", "event_type", ["event_type"], "event_types")
 
 
+def _distinct_users_sketched(spark, sf):
+    """Users per event type from states by day, loaded in two increments with a day in both; exact beside it."""
+    events = table(spark, sf, "events")
+    by_day = ["event_type", "day"]
+    states = sketch.sketched(events.withColumn("day", col("ts").cast("date")), by_day, "user_id")
+    stored = KeyedTable(spark, fresh_dir(spark, "states"), "event_type STRING, day DATE, state BINARY", by_day)
+    stored.upsert(states.where(F.dayofmonth("day") <= 15))
+    stored.upsert(states.where(F.dayofmonth("day") >= 15))
+    loaded, whole = (sketch.united(x, ["event_type"], n) for x, n in ((stored.read(), "loaded"), (states, "whole")))
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    close = F.abs(col("loaded") - col("users")) <= 4 * sketch.STANDARD_ERROR * col("users")
+    both = exact.join(loaded, "event_type").join(whole, "event_type")
+    return both.select("event_type", "users", close.alias("close"), (col("loaded") == col("whole")).alias("same"))
+
+
 def _order_dates(spark, sf):
     return date_dim(table(spark, sf, "orders").select(col("o_orderdate").cast("date").alias("d")), "d")
 
@@ -183,6 +200,24 @@ def _upsert_events(spark, sf):
     return target.read()
 
 
+def _one_key_upsert(spark, sf):
+    """A table of 256 parts that grew to them; a new value for one key rewrites one directory, the rest stays as it is."""
+    events = _events(spark, sf)
+    rows = events.count()
+    target = KeyedTable(spark, fresh_dir(spark, "events"), _EVENT_SCHEMA, ["event_id"], part_rows=max(1, rows // 200))
+    target.upsert(events.where("event_id % 50 = 0"))
+    first = target.parts()
+    target.upsert(events)
+    before = set(target.files().collect())  # some 256 names
+    one = events.agg(F.min_by(F.struct(*events.columns), "event_id").alias("e")).select("e.*")
+    target.upsert(one.withColumn("value", F.lit(-1.0)))
+    rewritten = {f.directory for f in before ^ set(target.files().collect())}
+    grown = F.lit(target.parts() > first).alias("grown")
+    return target.read().agg(F.count(F.lit(1)).alias("events"), F.count_if(col("value") == -1.0).alias("changed")).select(
+        "events", "changed", grown, F.lit(target.parts()).alias("parts"), F.lit(len(rewritten)).alias("rewritten")
+    )
+
+
 def _replace_events(spark, sf):
     """A full refresh leaves nothing of the rows before it."""
     events = _events(spark, sf)
@@ -235,8 +270,8 @@ def _incremental_person(spark, sf):
     """People are recomputed in full and merged by id."""
     full = layers(spark, sf).plan_silver("person")
     target = KeyedTable(spark, fresh_dir(spark, "person"), full.schema, ["person_id"])
-    target.upsert(full.withColumn("name", F.lit("stale")))
-    target.upsert(full)
+    target.upsert(full.withColumn("name", F.when(col("person_id") % 3 == 0, "stale").otherwise(col("name"))))
+    target.upsert(full, changed_only=True)
     return present(target.read())
 
 
@@ -278,15 +313,24 @@ def _audit(spark, sf):
 
 
 def _run_manifests(spark, sf):
-    """Appended to the audit table, one half of the days after the other, and read back."""
+    """Stored for one half of the days, then again for all with a later count; one manifest per run stays."""
     manifests, path = catalog.run_manifests(_landed(spark, sf), _run_ts()), fresh_dir(spark, "manifests")
     even = F.dayofmonth("ingest_date") % 2 == 0
-    catalog.append_manifests(manifests.where(even), path)
-    catalog.append_manifests(manifests.where(~even), path)
-    stored = spark.read.schema(manifests.schema).json(path)
+    catalog.write_manifests(manifests.where(even).withColumn("counts", F.create_map(F.lit("listed"), F.lit(-1).cast("bigint"))), path)
+    catalog.write_manifests(manifests, path)
+    stored = catalog.read_manifests(spark, path, manifests.schema)
     return present(stored.select("ingest_date", "run_id", "extracted_at", F.explode("counts").alias("name", "n")))
 
 
+def _observed_run_counts(spark, sf):
+    """Two catalog runs, the even days and then all; each returns what it saw while it wrote."""
+    landed, cat = _landed(spark, sf), catalog.Catalog(spark, fresh_dir(spark, "observed"))
+    even = landed.where(F.dayofmonth("ingest_date") % 2 == 0)
+    counts = [(run, cat.add(rows, _run_ts())) for run, rows in (("even days", even), ("all days", landed))]
+    values = [(run, *[c[n] for n in catalog.COUNT_NAMES]) for run, c in counts]
+    return spark.createDataFrame(values, "run STRING, " + ", ".join(f"{n} BIGINT" for n in catalog.COUNT_NAMES))
+
+
 def _landed_texts(spark, sf):
     """The texts inside the payloads are those of the table, in every character and byte."""
     title = F.get_json_object("payload", "$.title")
@@ -295,22 +339,38 @@ def _landed_texts(spark, sf):
     )
 
 
+def _supplier_objects(spark, sf) -> str:
+    """Folder with suppliers as one JSON document per file, written once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _objects:
+        number = col("s_suppkey")
+        rows = table(spark, sf, "supplier").select(
+            number.alias("id"),
+            F.concat("s_name", F.lit(" é")).alias("name"),
+            F.date_add(F.lit("2024-01-01").cast("date"), (number % 3).cast("int")).alias("ingest_date"),
+            F.concat(F.lit("run-"), number % 2).alias("run_id"),
+        )
+        root = fresh_dir(spark, "objects")
+        one_each = rows.write.option("maxRecordsPerFile", 1).partitionBy("ingest_date", "run_id")
+        one_each.json(f"{root}/tmdb/person")
+        _objects[key] = root
+    return _objects[key]
+
+
 def _object_files(spark, sf):
-    """Suppliers as one JSON document per file, read back whole."""
-    key = col("s_suppkey")
-    rows = table(spark, sf, "supplier").select(
-        key.alias("id"),
-        F.concat("s_name", F.lit(" é")).alias("name"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (key % 3).cast("int")).alias("ingest_date"),
-        F.concat(F.lit("run-"), key % 2).alias("run_id"),
-    )
-    root = fresh_dir(spark, "objects")
-    one_each = rows.write.option("maxRecordsPerFile", 1).partitionBy("ingest_date", "run_id")
-    one_each.json(f"{root}/tmdb/person")
-    objects = landing.read_objects(spark, root).where(col("filename").startswith("part-"))
+    """The supplier objects, read back whole."""
+    objects = landing.read_objects(spark, _supplier_objects(spark, sf)).where(col("filename").startswith("part-"))
     return objects.select("resource", "ingest_date", "run_id", "payload", "bytes", "etag")
 
 
+def _object_registry(spark, sf):
+    """The supplier objects by a listing; a second run finds nothing to read and changes nothing."""
+    root, cat = _supplier_objects(spark, sf), catalog.Catalog(spark, fresh_dir(spark, "listed"))
+    counts = [cat.add_objects(root, _run_ts()) for _ in range(2)]
+    rows = cat.ingest_objects.read().select("resource", "ingest_date", "dag_run_id", "bytes", "etag", "loaded_at")
+    return present(rows.withColumns({f"listed_{k}": F.lit(c["listed"]).cast("bigint") for k, c in enumerate(counts, start=1)}))
+
+
 def _run_scan(spark, sf):
     run = {"ingest_date": "2024-01-04", "run_id": "manual__2024-01-04T00:00:00+00:00"}
     return _landed(spark, sf, **run).select("key", "filename", "bytes")
@@ -540,6 +600,10 @@ QUERIES: dict[str, Query] = {
     "object_files": _object_files,
     "run_counts": _run_counts,
     "run_manifests": _run_manifests,
+    "observed_run_counts": _observed_run_counts,
+    "object_registry": _object_registry,
+    "one_key_upsert": _one_key_upsert,
+    "distinct_users_sketched": _distinct_users_sketched,
     "run_scan": _run_scan,
     "key_roundtrip": _key_roundtrip,
     "key_rejects": _key_rejects,

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import keys
-from ..functions.values import PAYLOAD_RESOURCES
+from ..functions.values import KEY_ROOT, PAYLOAD_RESOURCES
 from ..operators.quality import ModelChecks
 from ..operators.upsert import KeyedTable
-from .landing import documents
+from .landing import changed_objects, documents
 
 REGISTRY_SCHEMA = (
     "bucket STRING, key STRING, resource STRING, ingest_date DATE, dag_run_id STRING, "
@@ -20,6 +21,8 @@ REGISTRY_SCHEMA = (
 PAYLOAD_SCHEMA = (
     "resource STRING, tmdb_id BIGINT, payload STRING, source_key STRING, extracted_at TIMESTAMP, dag_run_id STRING"
 )
+LISTING_SCHEMA = "key STRING, bytes BIGINT, last_modified TIMESTAMP"
+COUNT_NAMES = ("ingest_objects", "raw_payloads", "skipped_manifests", "listed")
 REGISTRY_KEYS = ("bucket", "key")
 PAYLOAD_KEYS = ("resource", "tmdb_id", "source_key")
 
@@ -113,9 +116,8 @@ def run_counts(landing: DataFrame) -> DataFrame:
 
 
 def run_manifests(landing: DataFrame, run_ts: Column, extra: dict[str, Column] | None = None) -> DataFrame:
-    """One manifest row per run, ready to be appended to an audit table."""
-    names = ("ingest_objects", "raw_payloads", "skipped_manifests", "listed")
-    pairs = [p for n in names for p in (F.lit(n), F.col(n))]
+    """One manifest row per run, ready for ``write_manifests``."""
+    pairs = [p for n in COUNT_NAMES for p in (F.lit(n), F.col(n))]
     return run_counts(landing).select(
         "ingest_date",
         "run_id",
@@ -125,9 +127,15 @@ def run_manifests(landing: DataFrame, run_ts: Column, extra: dict[str, Column] |
     )
 
 
-def append_manifests(manifests: DataFrame, path: str) -> None:
-    """Append manifest rows to the audit table at ``path``, one JSON document per run."""
-    manifests.write.mode("append").option("ignoreNullFields", False).json(path)
+def write_manifests(manifests: DataFrame, path: str) -> None:
+    """Store manifest rows, one directory per run: a run that is stored again replaces its manifest."""
+    by_run = manifests.write.mode("overwrite").partitionBy("ingest_date", "run_id")
+    by_run.options(ignoreNullFields=False, partitionOverwriteMode="dynamic").json(path)
+
+
+def read_manifests(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Stored manifests, with the ``schema`` of ``run_manifests``."""
+    return spark.read.schema(schema).json(path).select(*schema.names)
 
 
 def _key_directories(column: str) -> dict[str, Column]:
@@ -136,9 +144,10 @@ def _key_directories(column: str) -> dict[str, Column]:
 
 
 class Catalog:
-    """The two catalog tables, upserted by key."""
+    """The two catalog tables, upserted by key, and the objects that were read for them."""
 
     def __init__(self, spark: SparkSession, root: str, bucket: str = "landing"):
+        self.spark = spark
         self.bucket = bucket
         # an object key names its resource and day, so a run touches the directories of its day only
         self.ingest_objects = KeyedTable(
@@ -147,12 +156,40 @@ class Catalog:
         self.raw_payloads = KeyedTable(
             spark, f"{root}/raw_payloads", PAYLOAD_SCHEMA, PAYLOAD_KEYS, _key_directories("source_key")
         )
+        self.seen_objects = KeyedTable(spark, f"{root}/seen_objects", LISTING_SCHEMA, ("key",), _key_directories("key"))
 
-    def add(self, landing: DataFrame, run_ts: Column) -> None:
+    def add(self, landing: DataFrame, run_ts: Column) -> dict[str, int]:
         """Register a scan. Both writes are keyed, so a repeat of the same scan changes nothing.
 
-        Of a document that was landed more than once, the last landing wins.
+        Of a document that was landed more than once, the last landing wins. Returns the counts of the scan by the
+        names of ``run_counts``; they are observed while the rows are written, not counted in a scan of their own. A task
+        that Spark has to run again may be observed twice: where counts must survive that, take ``run_counts``.
         """
         last = ("last_modified", "position")
-        self.ingest_objects.upsert(registry(landing, self.bucket, run_ts, last), latest_by=last)
-        self.raw_payloads.upsert(raw_payloads(landing, run_ts, last), latest_by=last)
+        if landing.isEmpty():  # Spark drops an observation of nothing along with its stage
+            return dict.fromkeys(COUNT_NAMES, 0)
+        scan, kept = Observation(), Observation()
+        known, manifest = F.col("resource").isNotNull(), keys.is_manifest(F.col("key"))
+        scanned = landing.observe(
+            scan,
+            F.count_if(known & ~manifest).alias("ingest_objects"),
+            F.count_if(known & manifest).alias("skipped_manifests"),
+            F.count_if(known).alias("listed"),
+        )
+        self.ingest_objects.upsert(registry(scanned, self.bucket, run_ts, last), latest_by=last)
+        payloads = raw_payloads(landing, run_ts, last).observe(kept, F.count(F.lit(1)).alias("raw_payloads"))
+        self.raw_payloads.upsert(payloads, latest_by=last)
+        counts = scan.get | kept.get
+        return {name: counts[name] for name in COUNT_NAMES}
+
+    def add_objects(self, root: str, run_ts: Column, key_root: str = KEY_ROOT) -> dict[str, int]:
+        """Register the objects under ``root`` that are new or have another size or time than when they were read.
+
+        The objects are listed without opening them; only those are read. A run that dies before its end is to be
+        run again and then reads the same objects.
+        """
+        changed = changed_objects(self.spark, root, self.seen_objects.read(), key_root)
+        counts = self.add(changed, run_ts)
+        listed = changed.where(F.col("resource").isNotNull()).select(*self.seen_objects.schema.names)
+        self.seen_objects.upsert(listed)
+        return counts

@@ -101,18 +101,27 @@ def _object_source(reader, path: str) -> DataFrame:
     return reader.schema("value STRING").option("recursiveFileLookup", True).text(path, wholetext=True)
 
 
+def _key_of_path(path: Column, key_root: str) -> Column:
+    return F.regexp_extract(path, f"(?s)({key_root}/.*)$", 1)
+
+
 def _object_columns(df: DataFrame, key_root: str) -> DataFrame:
-    key = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))),
-                           f"(?s)({key_root}/.*)$", 1)
-    parts = keys.key_parts(F.col("key"), key_root)
-    return (
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return _landing_columns(
         df.select(
-            key.alias("key"),
+            _key_of_path(path, key_root).alias("key"),
             F.col("value").alias("payload"),
             F.col("_metadata.file_size").alias("bytes"),
             F.col("_metadata.file_modification_time").alias("last_modified"),
-        )
-        .withColumn("_parts", parts)
+        ),
+        key_root,
+    )
+
+
+def _landing_columns(objects: DataFrame, key_root: str) -> DataFrame:
+    """The landing's columns from key, payload, bytes and last_modified."""
+    return (
+        objects.withColumn("_parts", keys.key_parts(F.col("key"), key_root))
         .select(
             "key",
             F.col("_parts.resource").alias("resource"),
@@ -160,6 +169,28 @@ def read_objects_stream(spark: SparkSession, root: str, key_root: str = KEY_ROOT
     return _object_columns(_object_source(reader, f"{root.rstrip('/')}/{key_root}/*"), key_root)
 
 
+def changed_objects(spark: SparkSession, root: str, seen: DataFrame, key_root: str = KEY_ROOT) -> DataFrame:
+    """Documents of the ``objects`` layout that ``seen`` (key, bytes, last_modified) does not have as they are now.
+
+    The objects are listed as binary files without their content, which Spark does not open for that. The two
+    ends of the time range of what is new go to the scan as filters on the file times, so of the older objects
+    no byte is read either; without anything new there is no scan at all.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root.rstrip('/')}/{key_root}/*")
+    named = listed.select(
+        _key_of_path(F.col("path"), key_root).alias("key"),
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("last_modified"),
+        F.col("content").cast("string").alias("payload"),
+    )
+    same = ["key", "bytes", "last_modified"]
+    new = named.join(seen.select(*same), same, "left_anti")
+    first, last = new.agg(F.min("last_modified"), F.max("last_modified")).first()
+    if first is None:
+        return spark.createDataFrame([], _LANDING_SCHEMA)
+    return _landing_columns(new.where(F.col("last_modified").between(F.lit(first), F.lit(last))), key_root)
+
+
 def bad_keys(landing: DataFrame) -> DataFrame:
     return landing.where(F.col("resource").isNull())
 

@@ -154,3 +154,73 @@ def test_catalog_tables_converge(spark, tmp_path, landed):
     assert cat.raw_payloads.read().count() == 4
     times = tuples(cat.ingest_objects.read().groupBy("loaded_at").count(), "count")
     assert times == [(3,), (5,)]
+
+
+def test_a_manifest_is_replaced_by_its_run(spark, tmp_path, landed):
+    path = str(tmp_path / "manifests")
+    rows = catalog.run_manifests(landed, ts(), {"dag": F.lit(None).cast("string")})
+    catalog.write_manifests(rows, path)
+    later = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    catalog.write_manifests(catalog.run_manifests(landed, later, {"dag": F.lit("d")}).where("run_id = '001'"), path)
+    stored = catalog.read_manifests(spark, path, rows.schema)
+    assert tuples(stored, "run_id", "dag") == [("001", "d"), ("x=y", None)]
+    assert {r.run_id: r.counts["listed"] for r in stored.collect()} == {"001": 7, "x=y": 3}
+
+
+def test_counts_of_a_catalog_run_are_observed(spark, tmp_path, landed):
+    cat = catalog.Catalog(spark, str(tmp_path / "catalog"))
+    want = catalog.run_counts(landed).agg(*[F.sum(n).alias(n) for n in catalog.COUNT_NAMES]).first().asDict()
+    for _ in range(2):
+        assert cat.add(landed, ts()) == want
+    nothing = dict.fromkeys(catalog.COUNT_NAMES, 0)
+    assert cat.add(landed.where("false"), ts()) == nothing
+    only = cat.add(landed.where(F.endswith("key", F.lit("manifest.json"))), ts())
+    assert only["raw_payloads"] == 0 and only["ingest_objects"] == 0 and only["listed"] == only["skipped_manifests"] > 0
+
+
+def test_a_second_run_reads_no_unchanged_object(spark, tmp_path):
+    root, cat = objects(tmp_path), catalog.Catalog(spark, str(tmp_path / "catalog"))
+    first = cat.add_objects(root, ts())
+    assert first["listed"] == 10 and cat.ingest_objects.read().count() == 8
+    stored = tuples(cat.ingest_objects.read(), "key", "etag")
+    # the contents turn unreadable behind unchanged names, sizes and times
+    files = [os.path.join(d, f) for d, _, names in os.walk(f"{root}/tmdb") for f in names]
+    for path in files:
+        seen = os.stat(path)
+        with open(path, "r+b") as file:
+            file.write(b"\xff" * seen.st_size)
+        os.utime(path, ns=(seen.st_atime_ns, seen.st_mtime_ns))
+    later = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    assert set(cat.add_objects(root, later).values()) == {0}
+    assert tuples(cat.ingest_objects.read(), "key", "etag") == stored
+
+
+def test_changed_and_new_objects_are_read(spark, tmp_path):
+    root, cat = objects(tmp_path), catalog.Catalog(spark, str(tmp_path / "catalog"))
+    cat.add_objects(root, ts())
+    folder = f"{root}/tmdb/movie/ingest_date=2024-01-01/run_id=001"
+    with open(f"{folder}/550.json", "w") as file:
+        file.write('{"id":550,"title":"changed"}')
+    with open(f"{folder}/551.json", "w") as file:
+        file.write('{"id":551}')
+    later = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    counts = cat.add_objects(root, later)
+    assert counts["listed"] == 2 and counts["raw_payloads"] == 2
+    new = cat.raw_payloads.read().where(F.col("extracted_at") > ts())
+    assert tuples(new, "tmdb_id", "payload") == [(550, '{"id":550,"title":"changed"}'), (551, '{"id":551}')]
+    assert cat.add_objects(root, later)["listed"] == 0
+
+
+def test_the_listing_does_not_open_objects(spark, tmp_path):
+    root = objects(tmp_path)
+    seen = spark.createDataFrame([], catalog.LISTING_SCHEMA)
+    text = landing.changed_objects(spark, root, seen).select("key", "bytes", "last_modified")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in text
+    assert "GreaterThanOrEqual(modificationTime" in text
+
+
+def test_both_object_readers_agree(spark, tmp_path):
+    root = objects(tmp_path)
+    seen = spark.createDataFrame([], catalog.LISTING_SCHEMA)
+    names = ["key", "resource", "ingest_date", "run_id", "filename", "payload", "bytes", "etag"]
+    assert tuples(landing.changed_objects(spark, root, seen), *names) == tuples(landing.read_objects(spark, root), *names)

@@ -70,10 +70,22 @@ def test_wide_mart_shuffles_each_list_once_for_the_joins(spark):
     assert len(by_movie) == 4
 
 
-def test_upsert_scans_only_touched_directories(spark, tmp_path):
-    t = KeyedTable(spark, str(tmp_path), "k BIGINT, v STRING", ["k"])
+@pytest.mark.parametrize("directories", [None, {"day": F.lit("x")}], ids=["hash parts", "given directories"])
+def test_upsert_scans_only_touched_directories(spark, tmp_path, monkeypatch, directories):
+    """The plan that an upsert writes, taken from the upsert itself."""
+    if directories:
+        directories = {"day": F.when(F.col("k") % 9 != 0, F.col("k") % 9), "half": F.col("k") < 25}
+    plans, real = [], KeyedTable._write
+    t = KeyedTable(spark, str(tmp_path), "k BIGINT, v STRING", ["k"], directories)
     t.upsert(spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("v")))
-    touched = spark.createDataFrame([(3,)], "d INT")
-    text = plan(t._rows().join(F.broadcast(touched), F.col("key_part") == F.col("d"), "left_semi"))
-    assert re.search(r"PartitionFilters: \[[^\]]*key_part[^\]]*dynamicpruning", text)
+    monkeypatch.setattr(KeyedTable, "_write", lambda self, df, *rest: plans.append(df) or real(self, df, *rest))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        t.upsert(spark.createDataFrame([(3, "b")], "k BIGINT, v STRING"))
+        text = plan(plans[0])
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for name in t._directories(1):
+        assert re.search(rf"PartitionFilters: \[[^\n]*dynamicpruningexpression\({name}#", text), name
     assert "EqualTo(v,b)" in plan(t.read().where("v = 'b'"))
+    assert t.read().where("v = 'b'").count() == 1 and t.read().count() == 50

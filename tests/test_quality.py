@@ -4,7 +4,7 @@ import pytest
 from payloads import raw
 from pyspark.sql import functions as F
 
-from jsonmart.operators.quality import CheckFailed, column_checks, dq_report, gate, relationship
+from jsonmart.operators.quality import CheckFailed, ModelChecks, dq_report, gate, orphan_keys
 from jsonmart.plans.checks import GOLD_CHECKS, SILVER_CHECKS
 from jsonmart.plans.gold import GOLD
 from jsonmart.plans.layers import Layers
@@ -78,25 +78,90 @@ def test_every_check_fires(layers, layer):
         assert not silent, f"{c.model}: {silent}"
 
 
+def failures(tables, *checks):
+    return {(r.test, r.target): r.failures for r in dq_report(tables, checks).collect()}
+
+
 def test_failure_counts(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (None, "b"), (None, "c"), (2, None), (3, "x"), (3, "x")], "k INT, v STRING")
-    got = {(r.test, r.target): r.failures for r in column_checks(df, "m", ["k", "v"], ["k"]).collect()}
+    got = failures({"m": df}, ModelChecks("m", ("k", "v"), ("k",)))
     assert got == {("not_null", "k"): 2, ("not_null", "v"): 2, ("unique", "k"): 2}
-    pair = {(r.test, r.target): r.failures for r in column_checks(df, "m", ["v"], ["k", "v"]).collect()}
+    pair = failures({"m": df}, ModelChecks("m", ("v",), ("k", "v")))
     assert pair == {("not_null", "v"): 2, ("unique", "k-v"): 1}
-    assert [r.failures for r in column_checks(df, "m", ["v"]).collect()] == [2]
+    assert failures({"m": df}, ModelChecks("m", ("v",))) == {("not_null", "v"): 2}
+
+
+def related(child, parent, not_null=()):
+    checks = ModelChecks("m", not_null, (), (("fk", "p", "pk"),))
+    got = failures({"m": child, "p": parent}, checks)
+    if not not_null:
+        assert orphan_keys(child, "fk", parent, "pk").agg(F.sum("n")).first()[0] in (got[("relationships", "fk")], None)
+    return got
 
 
 def test_relationship_counts_rows_and_passes_nulls(spark):
     child = spark.createDataFrame([(1,), (9,), (9,), (None,)], "fk INT")
-    parent = spark.createDataFrame([(1,), (1,), (2,)], "pk INT")
-    assert relationship(child, "m", "fk", parent, "pk").first().failures == 2
+    parent = spark.createDataFrame([(1,), (1,), (2,), (None,)], "pk INT")
+    assert related(child, parent) == {("relationships", "fk"): 2}
+    assert related(child, parent, ("fk",)) == {("not_null", "fk"): 1, ("relationships", "fk"): 2}
 
 
 def test_checks_on_empty_tables(spark):
     df = spark.createDataFrame([], "k INT, v STRING")
-    assert [r.failures for r in column_checks(df, "m", ["k", "v"], ["k"]).collect()] == [0, 0, 0]
-    assert relationship(df, "m", "k", df, "k").first().failures == 0
+    checks = ModelChecks("m", ("k", "v"), ("k",), (("k", "m", "k"),))
+    assert set(failures({"m": df}, checks).values()) == {0}
+
+
+@pytest.mark.parametrize(
+    "child, parent, orphans",
+    [
+        (("INT", ["1", "2", "3"]), ("DECIMAL(10,2)", ["1.00", "2.00"]), 1),
+        (("DECIMAL(12,4)", ["1.0000", "2.5"]), ("BIGINT", ["1", "2"]), 1),
+        (("BIGINT", ["9007199254740993"]), ("BIGINT", ["9007199254740992", "9007199254740993"]), 0),
+        (("BIGINT", ["9007199254740993"]), ("BIGINT", ["9007199254740992"]), 1),
+        (("STRING", ["1", "x"]), ("INT", ["1"]), 1),
+        (("DATE", ["2024-01-01", "2024-01-02"]), ("TIMESTAMP", ["2024-01-01 00:00:00"]), 1),
+        (("DOUBLE", ["-0.0", "NaN"]), ("DOUBLE", ["0.0", "NaN"]), 0),
+    ],
+)
+def test_keys_of_other_types(spark, child, parent, orphans):
+    def column(name, kind, values):
+        return spark.createDataFrame([(v,) for v in values], "v STRING").select(F.col("v").cast(kind).alias(name))
+
+    assert related(column("fk", *child), column("pk", *parent)) == {("relationships", "fk"): orphans}
+
+
+def test_parts_of_a_key_do_not_run_together(spark):
+    rows = [("a\x1fb", "c"), ("a", "b\x1fc"), ("", "x"), (None, "x"), (None, "x"), ("ab", "c"), ("a", "bc")]
+    df = spark.createDataFrame(rows, "a STRING, b STRING")
+    assert failures({"m": df}, ModelChecks("m", (), ("a", "b"))) == {("unique", "a-b"): 0}
+    assert failures({"m": df.union(df.limit(1))}, ModelChecks("m", (), ("a", "b"))) == {("unique", "a-b"): 1}
+
+
+def test_a_table_that_is_its_own_parent_and_shared_parents(spark):
+    df = spark.createDataFrame([(1, None), (2, 1), (3, 9), (3, 1)], "id INT, boss INT")
+    other = spark.createDataFrame([(2,), (7,)], "who BIGINT")
+    got = dq_report(
+        {"m": df, "o": other},
+        [ModelChecks("m", ("id", "boss"), ("id",), (("boss", "m", "id"),)), ModelChecks("o", (), (), (("who", "m", "id"),))],
+    )
+    assert {(r.model, r.test, r.target): r.failures for r in got.collect()} == {
+        ("m", "not_null", "id"): 0,
+        ("m", "not_null", "boss"): 1,
+        ("m", "unique", "id"): 1,
+        ("m", "relationships", "boss"): 1,
+        ("o", "relationships", "who"): 1,
+    }
+
+
+def test_each_key_is_shuffled_once_and_folded_before(spark):
+    parent = spark.range(100).select(F.col("id").alias("pk"))
+    child = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 100).alias("fk"))
+    report = dq_report({"m": child, "p": parent}, [ModelChecks("m", ("fk",), (), (("fk", "p", "pk"),)), ModelChecks("p", ("pk",), ("pk",))])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    exchange = "Exchange hashpartitioning(space"
+    assert plan.count(exchange) == 1 and "SortMergeJoin" not in plan
+    assert plan.index("HashAggregate(keys=[space") < plan.index(exchange) < plan.rindex("HashAggregate(keys=[space")
 
 
 def test_gate_stops_before_gold(spark, tmp_path):

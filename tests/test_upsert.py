@@ -58,13 +58,13 @@ def test_hash_parts_are_the_default(spark, tmp_path):
     t.upsert(spark.range(300).select(F.col("id").alias("k"), F.lit("a").alias("v")))
     t.upsert(spark.range(250, 350).select(F.col("id").alias("k"), F.lit("b").alias("v")))
     assert t.read().groupBy("v").count().orderBy("v").collect() == [("a", 250), ("b", 100)]
-    assert len([d for d in os.listdir(tmp_path / "data") if d.startswith("key_part=")]) == 8
+    assert len([d for d in os.listdir(tmp_path / "data-8") if d.startswith("key_part=")]) == 8
 
 
 def test_a_hot_key_is_cut_before_the_shuffle(spark, tmp_path, monkeypatch):
     """A third of the updates are versions of one key; the newest wins, and one row per task is shuffled."""
     plans, real = [], KeyedTable._stage
-    monkeypatch.setattr(KeyedTable, "_stage", lambda self, df: plans.append(df) or real(self, df))
+    monkeypatch.setattr(KeyedTable, "_stage", lambda self, df, *rest: plans.append(df) or real(self, df, *rest))
     updates = spark.range(3000).select(
         F.lit("p").alias("part"),
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
@@ -132,3 +132,97 @@ def test_refresh_may_read_the_table_itself(spark, tmp_path):
     t.upsert(rows(spark, ("p", 1, "a"), ("p", 2, "b")))
     t.replace(t.read().withColumn("v", F.upper("v")))
     assert tuples(t.read()) == [("p", 1, "A"), ("p", 2, "B")]
+
+
+def parted(spark, path, **options):
+    return KeyedTable(spark, str(path), "k BIGINT, v STRING", ["k"], **options)
+
+
+def numbered(spark, n, v="a"):
+    return spark.range(n).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+
+
+def test_parts_grow_with_the_table(spark, tmp_path):
+    t = parted(spark, tmp_path, part_rows=20)
+    seen = []
+    for n in (50, 400, 1500):
+        t.upsert(numbered(spark, n, str(n)))
+        seen.append(t.parts())
+        assert t.read().count() == n and t.read().where(F.col("v") != str(n)).count() == 0
+    assert seen[0] == 8 and seen[0] < seen[1] < seen[2] <= 256
+    assert parted(spark, tmp_path, part_rows=20).parts() == seen[2]  # kept with the table
+    assert t._rows(t.parts()).groupBy("key_part").count().agg(F.max("count")).first()[0] <= 2 * 20
+
+
+def test_one_key_touches_less_than_a_hundredth(spark, tmp_path):
+    t = parted(spark, tmp_path, part_rows=10)
+    t.upsert(numbered(spark, 2000))
+    before = set(t.files().collect())
+    t.upsert(spark.createDataFrame([(7, "b")], "k BIGINT, v STRING"))
+    after = set(t.files().collect())
+    assert len({f.directory for f in before ^ after}) == 1 and t.parts() == 256
+    assert t.read().where("v = 'b'").collect() == [(7, "b")] and t.read().count() == 2000
+
+
+def test_replace_lays_out_anew(spark, tmp_path):
+    t = parted(spark, tmp_path, part_rows=20)
+    t.replace(numbered(spark, 1000))
+    assert t.parts() == 64 and t.read().count() == 1000
+    t.replace(numbered(spark, 5, "b"))
+    assert tuples(t.read()) == [(k, "b") for k in range(5)]
+
+
+def test_a_growth_that_dies_leaves_the_old_layout(spark, tmp_path, monkeypatch):
+    t = parted(spark, tmp_path, part_rows=20)
+    t.upsert(numbered(spark, 100))
+    real = KeyedTable._write
+
+    def die(self, df, parts, mode):
+        if mode == "static":
+            raise RuntimeError("driver lost")
+        return real(self, df, parts, mode)
+
+    with monkeypatch.context() as m:
+        m.setattr(KeyedTable, "_write", die)
+        with pytest.raises(RuntimeError):
+            t.upsert(numbered(spark, 1000, "b"))
+    assert t.parts() == 8 and t.read().where("v = 'b'").count() == 1000
+    t.upsert(numbered(spark, 1000, "c"))
+    assert t.parts() > 8 and t.read().where("v = 'c'").count() == 1000
+
+
+def test_parts_are_a_power_of_two(spark, tmp_path):
+    for parts in (0, 12):
+        with pytest.raises(ValueError):
+            parted(spark, tmp_path, parts=parts)
+    t = parted(spark, tmp_path, parts=32)
+    t.upsert(numbered(spark, 300))
+    assert len([d for d in os.listdir(tmp_path / "data-32") if d.startswith("key_part=")]) == 32
+
+
+def test_a_full_recompute_rewrites_changed_directories_only(spark, tmp_path):
+    t = parted(spark, tmp_path, parts=64)
+    t.upsert(numbered(spark, 1000))
+    before = set(t.files().collect())
+    t.upsert(numbered(spark, 1000), changed_only=True)
+    assert set(t.files().collect()) == before
+    one = numbered(spark, 1001).withColumn("v", F.when(F.col("k") != 5, F.col("v")))  # a value to null, and a new key
+    t.upsert(one, changed_only=True)
+    assert len({f.directory for f in before ^ set(t.files().collect())}) == 2
+    assert t.read().where("v IS NULL").collect() == [(5, None)] and t.read().count() == 1001
+
+
+def test_the_hash_of_a_row_knows_where_its_nulls_are(spark, tmp_path):
+    schema = "k INT, a STRING, b STRING, c ARRAY<INT>"
+    t = KeyedTable(spark, str(tmp_path), schema, ["k"])
+    t.upsert(spark.createDataFrame([(1, None, "x", [1]), (2, "", None, None), (3, "a", "bc", [])], schema))
+    later = [(1, "x", None, [1]), (2, None, "", None), (3, "ab", "c", None)]
+    t.upsert(spark.createDataFrame(later, schema), changed_only=True)
+    assert sorted(map(tuple, t.read().collect())) == later
+
+
+def test_keys_without_a_directory_are_kept_and_replaced(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path), SCHEMA, ["part", "k"], {"dir": F.nullif(F.col("part"), F.lit("none"))})
+    t.upsert(rows(spark, ("none", 1, "a"), ("p", 1, "b")))
+    t.upsert(rows(spark, ("none", 1, "c"), ("none", 2, "d")))
+    assert tuples(t.read()) == [("none", 1, "c"), ("none", 2, "d"), ("p", 1, "b")]
