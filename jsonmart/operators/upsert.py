@@ -82,11 +82,10 @@ class KeyedTable:
     def exists(self) -> bool:
         return not self._rows(self.parts()).isEmpty()
 
-    def files(self) -> DataFrame:
-        """(directory, file) of the stored rows; an upsert gives new files to the directories that it rewrites."""
-        path = F.col("_metadata.file_path")
-        names = [F.concat(F.lit(f"{d}="), F.col(d)) for d in self._directories(1)]
-        return self._rows(self.parts()).select(F.concat_ws("/", *names).alias("directory"), path.alias("file")).distinct()
+    def files(self) -> dict[str, str]:
+        """The stored files with their directories, by Spark's own listing; an upsert gives new files to what it rewrites."""
+        below = f"/{self._data(self.parts())}/"
+        return {f: f.rsplit(below, 1)[-1].rpartition("/")[0] for f in self._rows(self.parts()).inputFiles()}
 
     def parts(self) -> int:
         """Number of hash parts at present; 0 if the directories are given by expressions."""

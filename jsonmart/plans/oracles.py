@@ -553,7 +553,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT s_suppkey, '{"id":' || s_suppkey || ',"name":"' || s_name || ' é"}' || chr(10) AS payload FROM supplier)
     """,
     "one_key_upsert": """
-        SELECT count(*) AS events, CAST(1 AS BIGINT) AS changed, true AS grown, 256 AS parts, 1 AS rewritten FROM events
+        SELECT count(*) AS events, CAST(1 AS BIGINT) AS changed, true AS grown, 128 AS parts, 1 AS rewritten FROM events
     """,
     "distinct_users_sketched": """
         SELECT event_type, count(DISTINCT user_id) AS users, true AS close, true AS same FROM events GROUP BY event_type

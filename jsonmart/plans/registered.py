@@ -201,17 +201,18 @@ def _upsert_events(spark, sf):
 
 
 def _one_key_upsert(spark, sf):
-    """A table of 256 parts that grew to them; a new value for one key rewrites one directory, the rest stays as it is."""
+    """A table of 128 parts that grew to them; a new value for one key rewrites one directory, the rest stays as it is."""
     events = _events(spark, sf)
     rows = events.count()
-    target = KeyedTable(spark, fresh_dir(spark, "events"), _EVENT_SCHEMA, ["event_id"], part_rows=max(1, rows // 200))
+    target = KeyedTable(spark, fresh_dir(spark, "events"), _EVENT_SCHEMA, ["event_id"], part_rows=max(1, rows // 100))
     target.upsert(events.where("event_id % 50 = 0"))
     first = target.parts()
     target.upsert(events)
-    before = set(target.files().collect())  # some 256 names
+    before = target.files()
     one = events.agg(F.min_by(F.struct(*events.columns), "event_id").alias("e")).select("e.*")
     target.upsert(one.withColumn("value", F.lit(-1.0)))
-    rewritten = {f.directory for f in before ^ set(target.files().collect())}
+    after = target.files()
+    rewritten = {(before | after)[f] for f in before.keys() ^ after.keys()}
     grown = F.lit(target.parts() > first).alias("grown")
     return target.read().agg(F.count(F.lit(1)).alias("events"), F.count_if(col("value") == -1.0).alias("changed")).select(
         "events", "changed", grown, F.lit(target.parts()).alias("parts"), F.lit(len(rewritten)).alias("rewritten")

@@ -70,10 +70,11 @@ def test_wide_mart_shuffles_each_list_once_for_the_joins(spark):
     assert len(by_movie) == 4
 
 
-@pytest.mark.parametrize("directories", [None, {"day": F.lit("x")}], ids=["hash parts", "given directories"])
-def test_upsert_scans_only_touched_directories(spark, tmp_path, monkeypatch, directories):
+@pytest.mark.parametrize("given", [False, True])
+def test_upsert_scans_only_touched_directories(spark, tmp_path, monkeypatch, given):
     """The plan that an upsert writes, taken from the upsert itself."""
-    if directories:
+    directories = None
+    if given:
         directories = {"day": F.when(F.col("k") % 9 != 0, F.col("k") % 9), "half": F.col("k") < 25}
     plans, real = [], KeyedTable._write
     t = KeyedTable(spark, str(tmp_path), "k BIGINT, v STRING", ["k"], directories)
