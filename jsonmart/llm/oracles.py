@@ -27,7 +27,7 @@ def _distance(counts: str, total: str, shares: str) -> str:
     ).format(t=f"{total}::DOUBLE")
     pairs = f"list_transform(range(1, len({shares}) + 1), lambda i: [({counts})[i]::DOUBLE, ({shares})[i]::DOUBLE])"
     return (
-        f"CASE WHEN {total} > 0 THEN sqrt(greatest(0, list_sum(list_transform({pairs}, lambda x: {part})) / 2)) END"
+        f"CASE WHEN {total} > 0 AND {shares} IS NOT NULL THEN sqrt(greatest(0, list_sum(list_transform({pairs}, lambda x: {part})) / 2)) END"
     )
 
 
@@ -56,7 +56,7 @@ def quality_rules(spec: rules.QualityRules = rules.QualityRules()) -> str:  # no
                    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
                    coalesce(covered.n, 0) AS n_repeat_words,
                    length(regexp_replace(text, '\P{{Lu}}+', '', 'g')) AS upper,
-                   length(regexp_replace(text, '\P{{L}}+', '', 'g')) AS letters,
+                   length(regexp_replace(text, '[^\p{{L}}\p{{M}}]+', '', 'g')) AS letters,
                    length(regexp_replace(text, '[^0-9]+', '', 'g')) AS digits,
                    length(regexp_replace(text, '{space}+', '', 'g')) AS solid,
                    length(regexp_replace(text, '[^.,;:!?''"()-]+', '', 'g')) AS points,
@@ -69,10 +69,12 @@ def quality_rules(spec: rules.QualityRules = rules.QualityRules()) -> str:  # no
                    n_words < {spec.min_words} OR 100 * n_repeat_words > {spec.max_repeat_percent} * n_words AS base_failed,
                    [upper, letters - upper, digits, length(text) - solid, points, n_symbols,
                     length(text) - letters - digits - (length(text) - solid) - points - n_symbols] AS chars,
+                   CASE WHEN upper > 0 OR common IS NOT NULL THEN {listed(spec.char_shares)}
+                        ELSE {listed(rules.without_capitals(spec.char_shares))} END AS char_shares,
                    list_transform(common, lambda k: len(list_filter(plain, lambda x: x = k))) AS hits
             FROM counted),
         measured AS (
-            SELECT *, {_distance("chars", "length(text)", listed(spec.char_shares))} AS char_distance,
+            SELECT *, {_distance("chars", "length(text)", "char_shares")} AS char_distance,
                    {_distance("list_append(hits, n_words - list_sum(hits)::BIGINT)", "n_words", "shares")} AS word_distance
             FROM classed)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

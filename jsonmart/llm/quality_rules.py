@@ -5,8 +5,9 @@ classes, and shares of the language's most common words. Both distances are Jens
 distances (square root of the divergence, base 2), so they lie in [0, 1] and need no smoothing.
 Only JVM expressions are used; each document is judged alone, in one narrow pass without a shuffle.
 
-Defined cases. Null or empty text: all counts 0, ``base_failed``. Unknown or null language: only the
-character classes are compared. Repeated rows and equal ids: each row is judged on its own. Very long
+Defined cases. Null or empty text: all counts 0, ``base_failed``. A language without a reference, or null: only the
+character classes are compared; without any capital, as in scripts that have none, the reference's capitals count as
+letters. Marks (vowel signs, accents of their own) are letters. Repeated rows and equal ids: each row is judged on its own. Very long
 texts are taken whole. Other columns are passed through; on a clash the new column gets a longer name.
 """
 
@@ -72,7 +73,7 @@ def with_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFra
     length = col(tmp["length"])
     df = df.withColumn(tmp["length"], F.length(text).cast("long"))
     df = df.withColumn(out["word_chars"], F.length(F.array_join(words, "")).cast("long"))
-    df = df.withColumn(tmp["rest"], F.regexp_replace(text, r"\p{L}+", ""))
+    df = df.withColumn(tmp["rest"], F.regexp_replace(text, r"[\p{L}\p{M}]+", ""))
     df = df.withColumn(out["n_symbols"], F.length(F.regexp_replace(rest, NO_SYMBOLS, "")).cast("long"))
     upper = F.length(F.regexp_replace(text, r"\P{Lu}+", "")).cast("long")
     df = df.withColumn(
@@ -93,7 +94,10 @@ def with_rules(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFra
         out["base_failed"], (n < rules.min_words) | (100 * col(out["n_repeat_words"]) > rules.max_repeat_percent * n)
     )
 
-    df = df.withColumn(out["char_distance"], _js_distance(chars, length, _doubles(rules.char_shares)))
+    known = F.coalesce(col("lang").isin(*rules.common_words), F.lit(False))
+    char_shares = F.when(known | (F.get(chars, F.lit(0)) > 0), _doubles(rules.char_shares))
+    char_shares = char_shares.otherwise(_doubles(without_capitals(rules.char_shares)))
+    df = df.withColumn(out["char_distance"], _js_distance(chars, length, char_shares))
     df = df.withColumn(tmp["found"], _by_language(col("lang"), rules, lambda shares: _occurrences(text, shares)))
     count = lambda w: (F.size(found) - F.size(F.array_remove(found, w))).cast("long")
     df = df.withColumn(
@@ -166,6 +170,11 @@ def _occurrences(text: Column, shares: dict[str, float]) -> Column:
     return F.regexp_extract_all(F.concat(F.lit(" "), F.lower(text)), F.lit(pattern), F.lit(1))
 
 
+def without_capitals(shares) -> tuple[float, ...]:
+    """Shares of the character classes with the capitals among the letters."""
+    return (0.0, shares[0] + shares[1], *shares[2:])
+
+
 def _js_distance(counts: Column, total: Column, shares: Column) -> Column:
     """Jensen-Shannon distance of ``counts`` from ``shares``; null without any count or reference."""
 
@@ -176,7 +185,8 @@ def _js_distance(counts: Column, total: Column, shares: Column) -> Column:
         return left + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)
 
     divergence = F.aggregate(F.zip_with(counts, shares, part), F.lit(0.0), lambda a, x: a + x) / 2
-    return F.when(total > 0, F.sqrt(F.greatest(divergence, F.lit(0.0))))
+    # greatest() passes over nulls, so the bound against rounding below 0 must be null itself without a reference
+    return F.when(total > 0, F.sqrt(F.greatest(divergence, F.when(shares.isNotNull(), 0.0))))
 
 
 def keep_good(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:  # noqa: B008

@@ -1,3 +1,6 @@
+import random
+import unicodedata
+
 import pytest
 from brute import js_distance, quality_counts, words
 
@@ -11,12 +14,15 @@ def expected(row, rules=q.QualityRules()):
     chars = [0] * 7
     for c in text:
         kind = (
-            0 if c.isupper() else 1 if c.isalpha() else 2 if c in "0123456789" else 3 if c in " \t\n\v\f\r"
+            0 if unicodedata.category(c) == "Lu" else 1 if unicodedata.category(c)[0] in "LM" else 2 if c in "0123456789" else 3 if c in " \t\n\v\f\r"
             else 4 if c in ".,;:!?'\"()-" else 5 if c in "#*$%&|<>" else 6
         )
         chars[kind] += 1
-    first = js_distance(chars, rules.char_shares)
     shares = rules.common_words.get(row["lang"])
+    usual = list(rules.char_shares)
+    if not shares and not chars[0]:
+        usual[:2] = [0.0, usual[0] + usual[1]]
+    first = js_distance(chars, usual)
     second = first
     if shares and counts["n_words"]:
         plain = [w.lower().rstrip(".,;:!?") for w in words(text)]
@@ -60,3 +66,47 @@ def test_empty_table(nothing):
 def test_no_python_in_the_plan(documents):
     plan = q.with_rules(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+LISTS = {
+    "it": "il di che la e un per non sono con una nella questa Quando anche casa giorno acqua Stato tempo".split(),
+    "hi": "और के में है की यह से को पर नहीं था हम भारत दिन पानी समय लोग बहुत किया गया".split(),
+    "ru": "и в не на я быть он с что а по это она этот к но они мы весь Который".split(),
+}
+
+
+def mixed(rnd, words_, junk, n=150):
+    return " ".join("12345" if rnd.random() < junk else rnd.choice(words_) for _ in range(n)) + "."
+
+
+def test_languages_without_a_reference(spark):
+    """Shares of digits around the limit; the character classes alone decide."""
+    rnd = random.Random(2)
+    rows = [
+        (k, mixed(rnd, LISTS[lang], junk / 100), lang if k % 3 else None)
+        for k, (lang, junk) in enumerate((lang, junk) for lang in LISTS for junk in range(0, 40, 2))
+    ]
+    got = {r.doc_id: r for r in q.with_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for doc_id, text, lang in rows:
+        r = got[doc_id]
+        assert r.word_distance is None
+        assert r.kept == expected({"text": text, "lang": lang})["kept"], (doc_id, lang, r.char_distance)
+    clean, spoiled = ([got[k].kept for k, *_ in rows if (k % 20) in part] for part in ((0,), (16, 17, 18, 19)))
+    assert all(clean) and not any(spoiled)
+
+
+def test_sql_agrees_on_other_languages(spark):
+    import duckdb
+
+    from jsonmart.llm import oracles
+
+    rnd = random.Random(3)
+    rows = [(k, mixed(rnd, LISTS[lang], k % 20 / 50), [lang, None, "en"][k % 3]) for k, lang in enumerate([*LISTS] * 25)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    names = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({oracles.quality_rules()})").fetchall()
+    got = q.with_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert {r[-1] for r in want} == {True, False}
