@@ -7,16 +7,19 @@ word classes. The sum of the log-probabilities of all tokens, each given its nei
 Classes are the most common words of the corpus, counted over all documents, and hash classes for all others. A word of a
 hash class has the probability of its class times its own within the class: (n + 1) / (N + V + 1), for a word
 counted n times in a class of V words and N tokens; the 1 that is left is for all words never counted. The counts of all
-words stay a written table. Tasks hold a bounded number of the most frequent, the tokens of all others are joined.
+words stay a written table. Tasks hold a bounded number of the most frequent, as arrays of hashes and logarithms; the other
+words of a document are joined with the table, one narrow row for each of them, with the times it occurs. Words
+are told apart by 64 bits there.
 
 Training is data-parallel: each task trains a copy of the model in numpy on windows of every document it reads,
 and copies are averaged, weighted by their windows, after every round. Word counts and copies grow with the
 corpus and meet in Spark aggregates; the driver sees one row per common or held word, per hash class and per
-parameter, a fixed number. Copies and logarithms are added as whole numbers, so the order in which tasks finish does not
-matter.
+parameter, and the held words, a fixed number. Copies and logarithms are added as whole numbers, so the order in which tasks
+finish does not matter. How the input is dealt out to tasks does: other partitions train other copies, which moves the scores
+somewhat, as another seed would. For equal scores on another cluster, keep the fitted model.
 
-Defined cases. Null or wordless text: 0 tokens, score 0, null mean. Repeated rows are scored each, with equal
-scores. Places beyond the ends of a text hold a class of their own. Texts are taken whole; round k trains on the
+Defined cases. Null or wordless text: 0 tokens, score 0, null mean. Repeated rows are scored each, with scores
+that are equal up to the rounding of 32-bit sums, some 1e-6 a token. Places beyond the ends of a text hold a class of their own. Texts are taken whole; round k trains on the
 windows of each text whose place is k modulo ``stride``, and there are at least ``stride`` rounds, so every window is
 a target. Other columns are ignored. On an empty table the model stays as it began.
 """
@@ -28,17 +31,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from .common import saved
+from .common import saved, text_slices
+from .shingles import word_hashes
 
 _SIDES = (-2, -1, 1, 2)
 _FIXED = 1 << 20  # parameters are added in units of one millionth
 _HELD_WORDS = 200_000
-_FREQUENT_WORDS = 16_384  # words whose counts tasks hold; those of others are joined
+_FREQUENT_WORDS = 1 << 19  # words whose counts tasks hold (8 MB); those of others are joined
 _BINS = 16  # of counts, a natural logarithm
 _LOG_UNIT = 10**9  # logarithms are added in billionths
 
@@ -63,38 +66,40 @@ class WindowModel:
         return 1 + self.words + self.hash_classes  # class 0 stands beyond the ends
 
 
-class _Classes(dict):
-    """Word to class; unknown words get a hash class, which is remembered up to a bound."""
+class _Classes:
+    """Class of each word by its hash: common words have their own, others that of their hash."""
 
     def __init__(self, common: list[bytes], spec: WindowModel):
-        super().__init__((w, k + 1) for k, w in enumerate(common))
+        hashes = word_hashes(common)
+        self.order = np.argsort(hashes)
+        self.sorted = hashes[self.order]
         self.spec = spec
 
-    def __missing__(self, word: bytes) -> int:
-        out = 1 + self.spec.words + xxhash.xxh3_64_intdigest(word) % self.spec.hash_classes
-        if len(self) < _HELD_WORDS:
-            self[word] = out
-        return out
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        out = 1 + self.spec.words + (hashes % np.uint64(self.spec.hash_classes)).astype(np.int32)
+        if len(self.sorted):
+            at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
+            out = np.where(self.sorted[at] == hashes, 1 + self.order[at].astype(np.int32), out)
+        return out.astype(np.int32)
 
 
 def _words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def _padded(texts: list[bytes | None], classes: _Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hashed(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and the number of words of each."""
+    words = [_words(text) for text in texts]
+    return word_hashes([w for part in words for w in part]), np.array([len(part) for part in words], dtype=np.int64)
+
+
+def _padded(hashes: np.ndarray, sizes: np.ndarray, classes: _Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class numbers of all texts with two empty places around each; places and text number of each token."""
-    parts, places, owners, at = [], [], [], 2
-    gap = np.zeros(2, dtype=np.int32)
-    for k, text in enumerate(texts):
-        words = _words(text)
-        if words:
-            parts += [gap, np.fromiter(map(classes.__getitem__, words), dtype=np.int32, count=len(words))]
-            places.append(np.arange(at, at + len(words)))
-            owners.append(np.full(len(words), k))
-            at += len(words) + 2
-    if not parts:
-        return np.zeros(2, dtype=np.int32), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    return np.concatenate([*parts, gap]), np.concatenate(places), np.concatenate(owners)
+    owners = np.repeat(np.arange(len(sizes)), sizes)
+    places = np.arange(len(hashes)) + 2 * (owners + 1)
+    ids = np.zeros(len(hashes) + 2 * len(sizes) + 2, dtype=np.int32)
+    ids[places] = classes.of(hashes)
+    return ids, places, owners
 
 
 def _shapes(spec: WindowModel) -> list[tuple[int, ...]]:
@@ -173,22 +178,25 @@ def word_counts(docs: DataFrame, spec: WindowModel) -> DataFrame:
 
     def count(batches):
         total: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
+        for part in text_slices(batches):
+            for text in part.column("text").to_pylist():
                 total.update(_words(text))
             if len(total) > _HELD_WORDS:
                 yield _counted(total, spec)
                 total.clear()
         yield _counted(total, spec)
 
-    counts = docs.select(F.col("text").cast("binary")).mapInArrow(count, "word binary, place int, n long")
-    return counts.groupBy("word", "place").agg(F.sum("n").alias("n"))
+    texts = docs.select(F.col("text").cast("binary").alias("text"))
+    counts = texts.mapInArrow(count, "word binary, hash long, place int, n long")
+    return counts.groupBy("word", "hash", "place").agg(F.sum("n").alias("n"))
 
 
 def _counted(total: Counter, spec: WindowModel) -> pa.RecordBatch:
-    places = (xxhash.xxh3_64_intdigest(w) % spec.hash_classes for w in total)
-    columns = [pa.array(list(total), pa.binary()), pa.array(places, pa.int32()), pa.array(list(total.values()), pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["word", "place", "n"])
+    words = list(total)
+    hashes = word_hashes(words)
+    places = (hashes % np.uint64(spec.hash_classes)).astype(np.int32)
+    columns = [pa.array(words, pa.binary()), pa.array(hashes.view(np.int64)), pa.array(places), pa.array(list(total.values()), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["word", "hash", "place", "n"])
 
 
 def _top(counts: DataFrame, spec: WindowModel) -> list[tuple[bytes, int, int]]:
@@ -204,8 +212,8 @@ def common_words(docs: DataFrame, spec: WindowModel) -> list[bytes]:
 class Fitted(tuple):
     """(common words, trained parameters), with the counts behind a word's probability within its class."""
 
-    counts: DataFrame  # word, n of all words
-    frequent: dict[bytes, int]  # n of the words that tasks hold
+    counts: DataFrame  # hash, n of all words
+    frequent: tuple[np.ndarray, np.ndarray]  # sorted hashes of the words that tasks hold, n of each
     totals: np.ndarray  # tokens and words of each hash class
 
 
@@ -222,9 +230,11 @@ def _within(fitted: Fitted, counts: DataFrame, top: list[tuple[bytes, int, int]]
         if room < 0:
             break
         least = r.level
-    held = counts.where(level >= least).select("word", "n")
-    fitted.counts, fitted.totals = counts.select("word", "n"), totals
-    fitted.frequent = {bytes(r.word): r.n for r in held.collect()} if least < 1 << 30 else {}
+    held = counts.where(level >= least).select("hash", "n").toArrow()  # no rows if even the highest level has too many
+    hashes, n = (held.column(c).to_numpy() for c in ("hash", "n"))
+    order = np.argsort(hashes.view(np.uint64))
+    fitted.counts, fitted.totals = counts.select("hash", "n"), totals
+    fitted.frequent = hashes.view(np.uint64)[order], n[order]
     return fitted
 
 
@@ -236,8 +246,8 @@ def _round(docs: DataFrame, common: list[bytes], model: list[np.ndarray], spec:
         words, begun = shared.value
         classes, own = _Classes(words, spec), [p.copy() for p in begun]
         memory, seen = [np.full_like(p, 1e-3) for p in own], 0
-        for batch in batches:
-            ids, places, owners = _padded(batch.column(0).to_pylist(), classes)
+        for part in text_slices(batches):
+            ids, places, owners = _padded(*_hashed(part.column("text").to_pylist()), classes)
             places = _windows(places, owners, offset, spec.stride)
             train_on(own, memory, ids, places, spec)
             seen += len(places)
@@ -246,7 +256,7 @@ def _round(docs: DataFrame, common: list[bytes], model: list[np.ndarray], spec:
             place = pa.array(np.arange(len(values)), pa.int32())
             yield pa.RecordBatch.from_arrays([place, pa.array(values), pa.array(np.full(len(values), seen))], ["place", "value", "n"])
 
-    copies = docs.select(F.col("text").cast("binary")).mapInArrow(train, "place int, value long, n long")
+    copies = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(train, "place int, value long, n long")
     total = copies.groupBy("place").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value"), F.sum("n").alias("n"))
     values = _flat(model).astype(np.float64)
     for row in total.collect():  # one row per parameter
@@ -264,59 +274,42 @@ def fit(docs: DataFrame, spec: WindowModel = WindowModel()) -> Fitted:  # noqa:
     return _within(Fitted((common, model)), counts, top, spec)
 
 
-class _Codes(_Classes):
-    """Word to class; of words that are neither common nor held, less by all classes."""
-
-    def __init__(self, common: list[bytes], frequent: dict[bytes, int], spec: WindowModel):
-        super().__init__(common, spec)
-        self.offset = spec.classes
-        #: Class of each code, and the logarithm of the word's part in its class.
-        self.classes = [*range(spec.classes)]
-        self.parts = [0.0] * spec.classes
-        for word, n in frequent.items():
-            if word not in self:
-                self.classes.append(1 + spec.words + xxhash.xxh3_64_intdigest(word) % spec.hash_classes)
-                self.parts.append(float(np.log(n + 1)))
-                self[word] = len(self.classes) - 1
-        self.bound = len(self) + _HELD_WORDS
-
-    def __missing__(self, word: bytes) -> int:
-        out = 1 + self.spec.words + xxhash.xxh3_64_intdigest(word) % self.spec.hash_classes - self.offset
-        if len(self) < self.bound:
-            self[word] = out
-        return out
-
-
 class _Scorer:
-    """Tokens, summed log-probabilities, and the tokens whose counts are to be joined."""
+    """Tokens, summed log-probabilities, and the words whose counts are to be joined."""
 
     def __init__(self, fitted: tuple, spec: WindowModel):
-        common, self.model, frequent, totals = fitted
-        self.codes = _Codes(common, frequent, spec)
-        # by code; negative codes, of words that are not held, count from the end
-        self.classes = np.array([*self.codes.classes, *range(spec.classes)], dtype=np.int32)
-        base = np.zeros(spec.classes)
-        base[1 + spec.words :] = np.log(totals + 1.0)
-        self.parts = np.array([*self.codes.parts, *[0.0] * spec.classes]) - base[self.classes]
-
-    def sums(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-        codes, places, owners = _padded(texts, self.codes)
-        ids, own = self.classes[codes], self.parts[codes]
+        common, self.model, (self.held, counts), totals = fitted
+        self.classes = _Classes(common, spec)
+        self.first = 1 + spec.words  # of the hash classes
+        self.logs = np.log(counts + 1.0)
+        self.base = np.zeros(spec.classes)
+        self.base[self.first :] = np.log(totals + 1.0)
+
+    def parts(self, hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each token's logarithm within its class, as far as it is known here, and whether it is not."""
+        out, rare = -self.base[ids], ids >= self.first
+        if len(self.held):
+            at = np.minimum(np.searchsorted(self.held, hashes), len(self.held) - 1)
+            held = rare & (self.held[at] == hashes)
+            out[held] += self.logs[at[held]]
+            rare &= ~held
+        return out, rare
+
+    def sums(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+        """Tokens and sum of each text; text, hash and times of the words to be joined."""
+        hashes, sizes = _hashed(texts)
+        ids, places, owners = _padded(hashes, sizes, self.classes)
+        own, rare = self.parts(hashes, ids[places])
         sums = np.zeros(len(texts))
         for at in range(0, len(places), 1024):
             part = places[at : at + 1024]
             _, logits = _logits(self.model, ids, part)
             logs = logits[np.arange(len(part)), ids[part]] - np.log(np.exp(logits, out=logits).sum(axis=1))
-            sums += np.bincount(owners[at : at + 1024], logs + own[part], len(texts))
-        rare = np.flatnonzero(codes[places] < 0)
-        of = owners[rare]
-        inside = rare - np.searchsorted(owners, of)
-        words, last, split = [], -1, []
-        for k, i in zip(of.tolist(), inside.tolist(), strict=True):
-            if k != last:
-                last, split = k, _words(texts[k])
-            words.append(split[i])
-        return np.bincount(owners, minlength=len(texts)), sums, of, words
+            sums += np.bincount(owners[at : at + 1024], logs + own[at : at + 1024], len(texts))
+        order = np.lexsort((hashes[rare], owners[rare]))
+        of, words = owners[rare][order], hashes[rare][order]
+        new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (words[1:] != words[:-1])]) if len(of) else np.empty(0, np.int64)
+        return sizes, sums, (of[new], words[new], np.diff(np.r_[new, len(of)]))
 
 
 def scores(docs: DataFrame, fitted: Fitted | None = None, spec: WindowModel = WindowModel()) -> DataFrame:  # noqa: B008
@@ -326,32 +319,35 @@ def scores(docs: DataFrame, fitted: Fitted | None = None, spec: WindowModel = Wi
 
     def run(batches):
         scorer, first = _Scorer(shared.value, spec), TaskContext.get().partitionId() << 40
-        for batch in batches:
-            n, sums, of, words = scorer.sums(batch.column("text").to_pylist())
-            rows, empty = np.arange(first, first + len(n)), len(words)
+        for part in text_slices(batches):
+            n, sums, (of, words, times) = scorer.sums(part.column("text").to_pylist())
+            rows, more = np.arange(first, first + len(n)), len(words)
             first += len(n)
-            # a text's own row has a key that is no word, as it holds a space, and differs from all others
-            keys = [b" %d" % r for r in rows.tolist()]
             fixed = np.rint(sums * _LOG_UNIT).astype(np.int64)
+            # a text's own row has no hash; its words' rows have no sum yet
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([rows, rows[of]])),
-                    pa.array(keys + words, pa.binary()),
-                    pa.concat_arrays([batch.column("doc_id"), pa.nulls(empty, pa.int64())]),
-                    pa.array(np.concatenate([n, np.zeros(empty, dtype=np.int64)]), pa.int64()),
-                    pa.array(np.concatenate([fixed, np.zeros(empty, dtype=np.int64)])),
+                    pa.concat_arrays([pa.nulls(len(n), pa.int64()), pa.array(words.view(np.int64))]),
+                    pa.concat_arrays([part.column("doc_id"), pa.nulls(more, pa.int64())]),
+                    pa.array(np.concatenate([n, times])),
+                    pa.concat_arrays([pa.array(fixed), pa.nulls(more, pa.int64())]),
                 ],
-                ["row", "word", "doc_id", "n_tokens", "value"],
+                ["row", "hash", "doc_id", "n", "value"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    parts = rows.mapInArrow(run, "row long, word binary, doc_id long, n_tokens long, value long")
-    joined = parts.join(fitted.counts, "word", "left")
-    log = F.coalesce(F.round(F.log(F.col("n") + 1) * _LOG_UNIT).cast("long"), F.lit(0))
-    scored = joined.groupBy("row").agg(
+    parts = saved(rows.mapInArrow(run, "row long, hash long, doc_id long, n long, value long"), "lm-parts")
+    log = F.round(F.log(F.col("n") + 1) * _LOG_UNIT).cast("long").alias("log")
+    logs = fitted.counts.groupBy("hash").agg(F.max("n").alias("n")).select("hash", log)
+    words = parts.where("hash IS NOT NULL").select("row", "hash", F.col("n").alias("times")).join(logs, "hash")
+    none = F.lit(None).cast("long")
+    words = words.select("row", none.alias("doc_id"), F.lit(0).cast("long").alias("n"), (F.col("times") * F.col("log")).alias("value"))
+    scored = parts.where("hash IS NULL").select("row", "doc_id", "n", "value").union(words).groupBy("row")
+    scored = scored.agg(
         F.max("doc_id").alias("doc_id"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.round(F.sum(F.col("value") + log) / _LOG_UNIT, 4).alias("log_prob"),
+        F.sum("n").alias("n_tokens"),
+        F.round(F.sum("value") / _LOG_UNIT, 4).alias("log_prob"),
     )
     mean = F.when(F.col("n_tokens") > 0, F.round(F.col("log_prob") / F.col("n_tokens"), 6))
     return scored.drop("row").withColumn("mean_log_prob", mean)
