@@ -11,6 +11,9 @@ words stay a written table. Tasks hold a bounded number of the most frequent, as
 words of a document are joined with the table, one narrow row for each of them, with the times it occurs. Words
 are told apart by 64 bits there.
 
+Texts are read twice, to count their words and to encode them: the class of each word (a byte), the sum of what is known
+within classes, and the words to be joined. Training and scoring read the written codes.
+
 Training is data-parallel: each task trains a copy of the model in numpy on windows of every document it reads,
 and copies are averaged, weighted by their windows, after every round. Word counts and copies grow with the
 corpus and meet in Spark aggregates; the driver sees one row per common or held word, per hash class and per
@@ -93,12 +96,12 @@ def _hashed(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes([w for part in words for w in part]), np.array([len(part) for part in words], dtype=np.int64)
 
 
-def _padded(hashes: np.ndarray, sizes: np.ndarray, classes: _Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class numbers of all texts with two empty places around each; places and text number of each token."""
+def _padded(codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes of all texts with two empty places around each; places and text number of each token."""
     owners = np.repeat(np.arange(len(sizes)), sizes)
-    places = np.arange(len(hashes)) + 2 * (owners + 1)
-    ids = np.zeros(len(hashes) + 2 * len(sizes) + 2, dtype=np.int32)
-    ids[places] = classes.of(hashes)
+    places = np.arange(len(codes)) + 2 * (owners + 1)
+    ids = np.zeros(len(codes) + 2 * len(sizes) + 2, dtype=np.int32)
+    ids[places] = codes
     return ids, places, owners
 
 
@@ -238,16 +241,26 @@ def _within(fitted: Fitted, counts: DataFrame, top: list[tuple[bytes, int, int]]
     return fitted
 
 
-def _round(docs: DataFrame, common: list[bytes], model: list[np.ndarray], spec: WindowModel, offset: int) -> list[np.ndarray]:
+def _code_type(spec: WindowModel) -> np.dtype:
+    return np.min_scalar_type(spec.classes)
+
+
+def _read_codes(part: pa.RecordBatch, spec: WindowModel) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all texts of a batch of the encoded rows, and the number of words of each."""
+    codes = np.frombuffer(b"".join(part.column("codes").to_pylist()), dtype=_code_type(spec))
+    return codes, part.column("n").to_numpy()
+
+
+def _round(encoded: DataFrame, model: list[np.ndarray], spec: WindowModel, offset: int) -> list[np.ndarray]:
     """One round: every task trains its copy, the copies are averaged by their number of windows."""
-    shared = docs.sparkSession.sparkContext.broadcast((common, model))
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
 
     def train(batches):
-        words, begun = shared.value
-        classes, own = _Classes(words, spec), [p.copy() for p in begun]
+        begun = shared.value
+        own = [p.copy() for p in begun]
         memory, seen = [np.full_like(p, 1e-3) for p in own], 0
-        for part in text_slices(batches):
-            ids, places, owners = _padded(*_hashed(part.column("text").to_pylist()), classes)
+        for part in text_slices(batches, "codes"):
+            ids, places, owners = _padded(*_read_codes(part, spec))
             places = _windows(places, owners, offset, spec.stride)
             train_on(own, memory, ids, places, spec)
             seen += len(places)
@@ -256,7 +269,7 @@ def _round(docs: DataFrame, common: list[bytes], model: list[np.ndarray], spec:
             place = pa.array(np.arange(len(values)), pa.int32())
             yield pa.RecordBatch.from_arrays([place, pa.array(values), pa.array(np.full(len(values), seen))], ["place", "value", "n"])
 
-    copies = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(train, "place int, value long, n long")
+    copies = encoded.where("hash IS NULL").select("codes", "n").mapInArrow(train, "place int, value long, n long")
     total = copies.groupBy("place").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value"), F.sum("n").alias("n"))
     values = _flat(model).astype(np.float64)
     for row in total.collect():  # one row per parameter
@@ -264,29 +277,41 @@ def _round(docs: DataFrame, common: list[bytes], model: list[np.ndarray], spec:
     return _shaped(values, spec)
 
 
-def fit(docs: DataFrame, spec: WindowModel = WindowModel()) -> Fitted:  # noqa: B008
-    """Common words and the trained parameters."""
+def _begun(docs: DataFrame, spec: WindowModel) -> Fitted:
+    """The common words and the counts, with a model that has not been trained."""
     counts = saved(word_counts(docs, spec), "lm-words")
     top = _top(counts, spec)
-    common, model = [word for word, _, _ in top], _start(spec)
+    return _within(Fitted(([word for word, _, _ in top], _start(spec))), counts, top, spec)
+
+
+def _trained(begun: Fitted, encoded: DataFrame, spec: WindowModel) -> Fitted:
+    common, model = begun
     for k in range(spec.rounds):
-        model = _round(docs, common, model, spec, k)
-    return _within(Fitted((common, model)), counts, top, spec)
+        model = _round(encoded, model, spec, k)
+    out = Fitted((common, model))
+    out.counts, out.frequent, out.totals = begun.counts, begun.frequent, begun.totals
+    return out
+
+
+def fit(docs: DataFrame, spec: WindowModel = WindowModel()) -> Fitted:  # noqa: B008
+    """Common words and the trained parameters."""
+    begun = _begun(docs, spec)
+    return _trained(begun, _encoded(docs, begun, spec), spec)
 
 
-class _Scorer:
-    """Tokens, summed log-probabilities, and the words whose counts are to be joined."""
+class _Encoder:
+    """Classes of words, their logarithms within the class as far as they are known here, and the other words."""
 
-    def __init__(self, fitted: tuple, spec: WindowModel):
-        common, self.model, (self.held, counts), totals = fitted
+    def __init__(self, common: list[bytes], frequent: tuple, totals: np.ndarray, spec: WindowModel):
         self.classes = _Classes(common, spec)
+        self.held, counts = frequent
         self.first = 1 + spec.words  # of the hash classes
         self.logs = np.log(counts + 1.0)
         self.base = np.zeros(spec.classes)
         self.base[self.first :] = np.log(totals + 1.0)
 
     def parts(self, hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each token's logarithm within its class, as far as it is known here, and whether it is not."""
+        """Each token's logarithm, and whether the count of its word is not known here."""
         out, rare = -self.base[ids], ids >= self.first
         if len(self.held):
             at = np.minimum(np.searchsorted(self.held, hashes), len(self.held) - 1)
@@ -295,36 +320,32 @@ class _Scorer:
             rare &= ~held
         return out, rare
 
-    def sums(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
-        """Tokens and sum of each text; text, hash and times of the words to be joined."""
+    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+        """Codes of all words, words and sum of each text; text, hash and times of the words to be joined."""
         hashes, sizes = _hashed(texts)
-        ids, places, owners = _padded(hashes, sizes, self.classes)
-        own, rare = self.parts(hashes, ids[places])
-        sums = np.zeros(len(texts))
-        for at in range(0, len(places), 1024):
-            part = places[at : at + 1024]
-            _, logits = _logits(self.model, ids, part)
-            logs = logits[np.arange(len(part)), ids[part]] - np.log(np.exp(logits, out=logits).sum(axis=1))
-            sums += np.bincount(owners[at : at + 1024], logs + own[at : at + 1024], len(texts))
+        codes = self.classes.of(hashes)
+        own, rare = self.parts(hashes, codes)
+        owners = np.repeat(np.arange(len(sizes)), sizes)
+        sums = np.bincount(owners, own, len(texts))
         order = np.lexsort((hashes[rare], owners[rare]))
         of, words = owners[rare][order], hashes[rare][order]
         new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (words[1:] != words[:-1])]) if len(of) else np.empty(0, np.int64)
-        return sizes, sums, (of[new], words[new], np.diff(np.r_[new, len(of)]))
+        return codes, sizes, sums, (of[new], words[new], np.diff(np.r_[new, len(of)]))
 
 
-def scores(docs: DataFrame, fitted: Fitted | None = None, spec: WindowModel = WindowModel()) -> DataFrame:  # noqa: B008
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_tokens, log_prob, mean_log_prob."""
-    fitted = fitted or fit(docs, spec)
-    shared = docs.sparkSession.sparkContext.broadcast((*fitted, fitted.frequent, fitted.totals))
+def _encoded(docs: DataFrame, fitted: Fitted, spec: WindowModel) -> DataFrame:
+    """Rows of two kinds by their number ``row``, written: without a hash, a text's codes, words and sum; with one, a word
+    of it whose count is to be joined and the times it occurs."""
+    shared = docs.sparkSession.sparkContext.broadcast((fitted[0], fitted.frequent, fitted.totals))
 
     def run(batches):
-        scorer, first = _Scorer(shared.value, spec), TaskContext.get().partitionId() << 40
+        encoder, first = _Encoder(*shared.value, spec), TaskContext.get().partitionId() << 40
         for part in text_slices(batches):
-            n, sums, (of, words, times) = scorer.sums(part.column("text").to_pylist())
+            codes, n, sums, (of, words, times) = encoder.encode(part.column("text").to_pylist())
             rows, more = np.arange(first, first + len(n)), len(words)
             first += len(n)
+            codes = [c.tobytes() for c in np.split(codes.astype(_code_type(spec)), np.cumsum(n)[:-1])]
             fixed = np.rint(sums * _LOG_UNIT).astype(np.int64)
-            # a text's own row has no hash; its words' rows have no sum yet
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([rows, rows[of]])),
@@ -332,19 +353,48 @@ def scores(docs: DataFrame, fitted: Fitted | None = None, spec: WindowModel = Wi
                     pa.concat_arrays([part.column("doc_id"), pa.nulls(more, pa.int64())]),
                     pa.array(np.concatenate([n, times])),
                     pa.concat_arrays([pa.array(fixed), pa.nulls(more, pa.int64())]),
+                    pa.concat_arrays([pa.array(codes, pa.binary()), pa.nulls(more, pa.binary())]),
                 ],
-                ["row", "hash", "doc_id", "n", "value"],
+                ["row", "hash", "doc_id", "n", "value", "codes"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    parts = saved(rows.mapInArrow(run, "row long, hash long, doc_id long, n long, value long"), "lm-parts")
+    return saved(rows.mapInArrow(run, "row long, hash long, doc_id long, n long, value long, codes binary"), "lm-codes")
+
+
+def _sums(model: list[np.ndarray], codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of each text, the sum of the log-probabilities of its classes."""
+    ids, places, owners = _padded(codes, sizes)
+    sums = np.zeros(len(sizes))
+    for at in range(0, len(places), 1024):
+        part = places[at : at + 1024]
+        _, logits = _logits(model, ids, part)
+        logs = logits[np.arange(len(part)), ids[part]] - np.log(np.exp(logits, out=logits).sum(axis=1))
+        sums += np.bincount(owners[at : at + 1024], logs, len(sizes))
+    return sums
+
+
+def scores(docs: DataFrame, fitted: Fitted | None = None, spec: WindowModel = WindowModel()) -> DataFrame:  # noqa: B008
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_tokens, log_prob, mean_log_prob."""
+    begun = fitted or _begun(docs, spec)
+    encoded = _encoded(docs, begun, spec)
+    fitted = fitted or _trained(begun, encoded, spec)
+    shared = docs.sparkSession.sparkContext.broadcast(fitted[1])
+
+    def run(batches):
+        for part in text_slices(batches, "codes"):
+            fixed = np.rint(_sums(shared.value, *_read_codes(part, spec)) * _LOG_UNIT).astype(np.int64)
+            value = pa.array(fixed + part.column("value").to_numpy())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("row", "doc_id", "n")), value], ["row", "doc_id", "n", "value"])
+
+    own = encoded.where("hash IS NULL").select("row", "doc_id", "n", "value", "codes")
+    own = own.mapInArrow(run, "row long, doc_id long, n long, value long")
     log = F.round(F.log(F.col("n") + 1) * _LOG_UNIT).cast("long").alias("log")
     logs = fitted.counts.groupBy("hash").agg(F.max("n").alias("n")).select("hash", log)
-    words = parts.where("hash IS NOT NULL").select("row", "hash", F.col("n").alias("times")).join(logs, "hash")
+    words = encoded.where("hash IS NOT NULL").select("row", "hash", F.col("n").alias("times")).join(logs, "hash")
     none = F.lit(None).cast("long")
     words = words.select("row", none.alias("doc_id"), F.lit(0).cast("long").alias("n"), (F.col("times") * F.col("log")).alias("value"))
-    scored = parts.where("hash IS NULL").select("row", "doc_id", "n", "value").union(words).groupBy("row")
-    scored = scored.agg(
+    scored = own.union(words).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
         F.sum("n").alias("n_tokens"),
         F.round(F.sum("value") / _LOG_UNIT, 4).alias("log_prob"),

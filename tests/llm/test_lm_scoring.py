@@ -10,6 +10,11 @@ SPEC = lm.WindowModel(words=20, hash_classes=4, width=8, rounds=3, stride=1)
 CYCLE = "the red fox ran over the old hill and saw a small bird in a tall tree by the river".split()
 
 
+def padded(texts, classes):
+    hashes, sizes = lm._hashed(texts)
+    return lm._padded(classes.of(hashes), sizes)
+
+
 def text(rnd, n=120):
     at = rnd.randrange(len(CYCLE))
     return " ".join(CYCLE[(at + i) % len(CYCLE)] for i in range(n))
@@ -104,12 +109,12 @@ def test_odd_rows(clashing, odd_rows, nothing):
 def test_every_window_is_trained_on_with_the_values_of_the_query(spark, monkeypatch):
     spec = lm.WindowModel()
     texts = [b"one", b"one two", b"", None, b" ".join(b"w%d" % i for i in range(301)), b"a b c"]
-    ids, places, owners = lm._padded(*lm._hashed(texts), lm._Classes([], spec))
+    ids, places, owners = padded(texts, lm._Classes([], spec))
     taken = np.concatenate([lm._windows(places, owners, k, spec.stride) for k in range(spec.rounds)])
     assert set(taken) == set(places)
     assert len(lm._windows(places, owners, 0, spec.stride)) > 0
     offsets = []
-    monkeypatch.setattr(lm, "_round", lambda docs, common, model, spec, offset: offsets.append(offset) or model)
+    monkeypatch.setattr(lm, "_round", lambda encoded, model, spec, offset: offsets.append(offset) or model)
     lm.fit(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spec)
     assert {k % spec.stride for k in offsets} == set(range(spec.stride))
     with pytest.raises(ValueError):
@@ -133,7 +138,7 @@ def test_words_of_a_class_have_their_own_probabilities(spark, monkeypatch, held)
     assert len(got) == 5 and got[4].log_prob == 0 and got[4].n_tokens == 0 and got[4].mean_log_prob is None
     for k, t in enumerate(texts):
         words = [w.encode() for w in t.lower().split()]
-        ids, places, _ = lm._padded(*lm._hashed([t.encode()]), classes)
+        ids, places, _ = padded([t.encode()], classes)
         want = lm._forward(fitted[1], ids, places)[1][np.arange(len(places)), ids[places]].astype(float).sum() if words else 0.0
         for w in words:
             if w not in fitted[0]:
