@@ -12,7 +12,8 @@ components is lost, and a group of m near copies costs some m pairs instead of m
 
 Counting. The overlap of the prefixes themselves, the first partial count, already rules out pairs that share no more
 than a passage. Only the documents of the pairs that are left are cut into segments. Within a fragment 32 bits stand for an
-n-gram; a pair that reaches the bound by so little that equal bits could matter is counted again with all 63.
+n-gram. Equal bits of different n-grams can add to a count, or, within one set, take from it; a pair so near the bound, on
+either side, that this could matter is counted again with all 63. The margin grows with the fragments.
 
 Order. N-grams are counted over all documents in 65,536 hash buckets; a bucket's rank by count, then
 the hash, is the place of an n-gram. Any fixed order gives the same links; this one keeps common passages
@@ -114,7 +115,7 @@ def _members(texts: DataFrame, spec: JaccardJoin, ranks) -> DataFrame:
 
 
 def _segments(texts: DataFrame, wanted: DataFrame, spec: JaccardJoin, ranks, wide: bool) -> DataFrame:
-    """(cid, fragment, places) of the wanted classes; ``wanted`` has cid, print, doc_id of one copy.
+    """(cid, fragment, places) of the wanted classes; ``wanted`` has cid, print, doc_id and text_hash of one copy.
 
     A class may come more than once, if its text does.
     """
@@ -140,7 +141,12 @@ def _segments(texts: DataFrame, wanted: DataFrame, spec: JaccardJoin, ranks, wid
                 ["cid", "fragment", "places"],
             )
 
-    found = texts.join(checked_broadcast(wanted), "doc_id").select("cid", "print", "text")
+    found = texts.join(checked_broadcast(wanted.drop("text_hash")), "doc_id").select("cid", "print", "text")
+    nameless = wanted.where("doc_id IS NULL").select("cid", "print", "text_hash")
+    if not nameless.isEmpty():
+        # such a text may be repeated without end, so one of its rows is picked before it is cut
+        rows = texts.where("doc_id IS NULL").join(checked_broadcast(nameless), "text_hash")
+        found = found.union(rows.groupBy("cid", "print").agg(F.first("text").alias("text")))
     return found.mapInArrow(cut, f"cid long, fragment int, places array<{'long' if wide else 'int'}>")
 
 
@@ -175,7 +181,7 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, spec: Jacc
     """
     ends = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid")))
     times = saved(ends.groupBy("cid").count(), "ends")
-    wanted = saved(classes.join(times, "cid").select("cid", "print", "doc_id"), "wanted")
+    wanted = saved(classes.join(times, "cid").select("cid", "print", "doc_id", "text_hash"), "wanted")
     segments = saved(_segments(texts, wanted, spec, ranks, wide), "segments")
     times = checked_broadcast(times)
     known = pairs
@@ -218,9 +224,12 @@ def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, spec: JaccardJoin, ranks) -> DataFrame:
     """The pairs that link."""
     pairs = _promising(pairs, classes, spec.percent)
-    near = saved(_overlaps(pairs, texts, classes, spec, ranks, wide=False).where("spare >= 0"), "near")
-    # equal bits of different n-grams can add to a count, never take from it; each adds 100 + percent
-    sure, close = near.where(f"spare >= {2 * (100 + spec.percent)}"), near.where(f"spare < {2 * (100 + spec.percent)}")
+    # two n-grams by which a count may be off, and as many again as two sets of this size have by chance in all fragments
+    chance = (F.col("n_a") + F.col("n_b")) * (F.col("n_a") + F.col("n_b")) / float(spec.fragments << 31)
+    margin = (100 + spec.percent) * (2 + F.ceil(4 * chance))
+    near = _overlaps(pairs, texts, classes, spec, ranks, wide=False).withColumn("margin", margin)
+    near = saved(near.where("spare >= -margin"), "near")
+    sure, close = near.where("spare >= margin"), near.where("spare < margin").drop("margin")
     links = sure.select("a", "b")
     if not close.isEmpty():
         again = _overlaps(close.drop("spare"), texts, classes, spec, ranks, wide=True)
@@ -263,7 +272,7 @@ def linked_documents(docs: DataFrame, spec: JaccardJoin = JaccardJoin()) -> Data
     members = saved(_members(texts, spec, ranks), "members")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     classes = members.where("print is not null").groupBy("print")
-    classes = classes.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
+    classes = classes.agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
     classes = saved(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     # shared prefix n-grams first, then again with the size: sizes that may link share one of two size steps

@@ -93,3 +93,17 @@ def test_large_group_is_not_paired_in_full(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in g.linked_documents(spark.createDataFrame(rows, "doc_id long, text string"), spec).collect()}
     assert got == {i: c for (i, _), c in brute.components(rows, spec.n, spec.percent).items()}
     assert sum(counted) < 300 * 299 / 4
+
+
+def test_texts_without_an_id_link_with_near_copies(spark):
+    """A text under a null id, many times, beside a near copy with an id, and two near copies without any."""
+    base, other = ([f"{c}{i}" for i in range(300)] for c in "xy")
+    rows = [(None, " ".join(base))] * 40 + [(5, " ".join([*base, "tail"])), (6, "alone " * 9)]
+    rows += [(None, " ".join(other)), (None, " ".join([*other, "end"])), (7, " ".join([*other, "end", "more"]))]
+    for spec in SPECS:
+        got = g.linked_documents(spark.createDataFrame(rows, "doc_id long, text string"), spec).collect()
+        assert len(got) == len(rows)
+        assert {r.component_id for r in got if r.n_shingles and r.doc_id is None} == {5, 7}
+        assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == {5: 5, 6: 6, 7: 7}
+    kept = [r.doc_id for r in g.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(kept) == [5, 6, 7]
