@@ -10,17 +10,21 @@ ITEMS = "item_id long, text string"
 
 
 def brute(docs, items, n=5, percent=80):
-    def grams(text):
-        w = re.findall(r"[^\W_]+", (text or "").lower())
-        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+    def words(text):
+        return re.findall(r"[^\W_]+", (text or "").lower())
 
-    sets = {(i, t): grams(t) for i, t in items}
+    def grams(w, size):
+        return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if size else set()
+
+    lengths = {(i, t): min(n, len(words(t))) for i, t in items}
+    sets = {(i, t): grams(words(t), size) for (i, t), size in lengths.items()}
     out = set()
     for doc_id, text in docs:
-        own = grams(text)
-        for (item, _), want in sets.items():
-            if want and 100 * len(want & own) >= percent * len(want):
-                out.add((doc_id, item, len(want & own), len(want)))
+        own = {size: grams(words(text), size) for size in range(n + 1)}
+        for (item, t), want in sets.items():
+            own_grams = own[lengths[item, t]]
+            if want and 100 * len(want & own_grams) >= percent * len(want):
+                out.add((doc_id, item, len(want & own_grams), len(want)))
     return out
 
 
@@ -29,7 +33,8 @@ def found(docs, items, **spec):
     return sorted((r.doc_id, r.item_id, r.shared, r.item_size) for r in rows)
 
 
-@pytest.mark.parametrize("spec", [{}, {"percent": 30}, {"percent": 100}, {"n": 3, "percent": 50}, {"block_bytes": 2000}])
+@pytest.mark.parametrize("spec", [{}, {"percent": 30}, {"percent": 100}, {"n": 3, "percent": 50}, {"block_bytes": 2000},
+                                  {"block_bytes": 500, "scan_blocks": 1}])
 def test_documents(spark, documents, sf_dir, spec):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     want = brute([(r.doc_id, r.text) for r in documents.collect()], [(r.item_id, r.text) for r in items.collect()],
@@ -50,6 +55,35 @@ def test_partial_and_long(spark):
     assert len(d.leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()) == 9
 
 
+def test_short_items_are_looked_up_whole(spark):
+    docs = [(1, "The answer, he said, is forty-two today."), (2, "forty two days"), (3, "forty"), (4, "two forty today"), (5, None), (6, "")]
+    items = [(1, "Forty two today"), (2, "is forty two today"), (3, "forty"), (4, "..."), (5, None), (6, "he said is forty two today")]
+    got = found(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS))
+    assert got == sorted(brute(docs, items))
+    assert {(d, i) for d, i, *_ in got} == {(1, 1), (1, 2), (1, 3), (1, 6), (2, 3), (3, 3), (4, 3)}
+
+
+def test_copies_of_an_item_are_held_once(spark, documents, sf_dir, monkeypatch):
+    item = "one two three four five six seven"
+    rows = spark.range(20000).select(d.F.lit(1).cast("long").alias("item_id"), d.F.lit(item).alias("text"))
+    held = []
+    real = d._scanner
+    monkeypatch.setattr(d, "_scanner", lambda blocks, spec: held.extend(len(b.value) for b in blocks) or real(blocks, spec))
+    docs = spark.createDataFrame([(7, f"x {item} y")], "doc_id long, text string")
+    assert [tuple(r)[2:] for r in d.leaks(docs, rows).collect()] == [(1, 3, 3)]
+    assert held == [1]
+
+
+def test_sketches_are_built_once_per_worker():
+    class Block:
+        value = [(1, "a b c d e f")]
+
+    spec = d.Containment()
+    first = d._indexes("one", [Block], spec)
+    assert d._indexes("one", [Block], spec) is first
+    assert d._indexes("two", [Block, Block], spec) is not first and len(d._indexes("two", [], spec)) == 2
+
+
 def test_clean_rows_stay(spark, clashing, odd_rows):
     items = spark.createDataFrame([(1, odd_rows[0][1][:60])], ITEMS)
     kept = d.keep_uncontaminated(clashing, items)
