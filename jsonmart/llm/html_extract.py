@@ -9,8 +9,9 @@ it score negative.
 
 A name is no proof: the whole page may stand in <form> or in class="site". What holds <main> is no furniture. Where
 furniture holds more words than the best region has score, times a factor, the page is scanned again with those names
-(or, for names that mark furniture on their own, that element) taken as plain; the reading that scores more by the
-factor holds. The factor is low for names seen only beside others and for elements with a first-level heading.
+taken as plain; the reading that scores more by the factor holds. This is done for names seen only beside others and
+for single elements that hold a first-level heading. A name that marks furniture on its own (comments, menu, sidebar)
+holds at any length, also on a page without other words.
 
 The text of the region comes in blocks: text between block-level tags, character references decoded, white
 space folded to one space, trimmed; empty blocks vanish; blocks are joined by two line feeds.
@@ -25,7 +26,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,7 +44,7 @@ BLOCKS = frozenset(
 #: Elements that never have content of their own.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never shown as prose.
-HIDDEN = frozenset("head title noscript template button select textarea option label iframe object svg math canvas".split())
+HIDDEN = frozenset("head title noscript template button select textarea option label iframe object svg canvas".split())
 #: Elements that name the article; furniture names inside do not count for these and for headings' containers.
 ARTICLE = frozenset(("article", "main"))
 
@@ -62,8 +64,8 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 WORD_SCORE, OUTSIDE_SCORE, FURNITURE_SCORE = 1.0, -1.0, -3.0
 #: What closing tags cost, and all tags and furniture inside an article that the page names.
 INSIDE_COST = 0.1
-#: How much more a page must score without some furniture: names seen only beside others or with a heading, all others.
-WRAPPER_GAIN, NAMED_GAIN, LEAST_SCORE = 2.0, 20.0, 10.0
+#: How much more a page must score with some furniture taken as plain, and the score from which this counts.
+WRAPPER_GAIN, LEAST_SCORE = 2.0, 10.0
 
 #: Open elements that a tag ends without an end tag, and those beyond which it ends nothing.
 _CELLS = (frozenset(("td", "th")), frozenset(("table",)))
@@ -122,37 +124,49 @@ def tokens(page: str):
 
 
 class Stack:
-    """Open elements; an element closes those inside it, a block an open paragraph, and cells, rows and items their like."""
+    """Open elements; an element closes those inside it, a block an open paragraph, and cells, rows and items their like.
+
+    The places of each name are kept, so a tag costs the same at any depth.
+    """
 
     def __init__(self):
         self.names: list[str] = []
         self.marks: list[object] = []
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+
+    def _cut(self, at: int) -> None:
+        for name in self.names[at:]:
+            self.places[name].pop()
+        while self.blocks and self.blocks[-1] >= at:
+            self.blocks.pop()
+        del self.names[at:], self.marks[at:]
+
+    def _is_open(self, names) -> bool:
+        return any(self.places.get(name) for name in names)
 
     def open(self, name: str, mark: object) -> None:
-        if "head" in self.names and name not in _HEAD and not _HEAD.intersection(self.names):
-            at = self.names.index("head")
-            del self.names[at:], self.marks[at:]
+        if self._is_open(("head",)) and name not in _HEAD and not self._is_open(_HEAD):
+            self._cut(self.places["head"][0])
         if name in IMPLIED_ENDS:
             ends, beyond = IMPLIED_ENDS[name]
-            at = len(self.names)
-            for k in range(len(self.names) - 1, -1, -1):
-                if self.names[k] in beyond:
-                    break
-                if self.names[k] in ends:
-                    at = k
-            del self.names[at:], self.marks[at:]
-        if name in BLOCKS and "p" in self.names:
-            at = len(self.names) - 1 - self.names[::-1].index("p")
-            if not BLOCKS.intersection(self.names[at + 1 :]):
-                del self.names[at:], self.marks[at:]
+            bound = max((p[-1] for x in beyond if (p := self.places.get(x))), default=-1)
+            inner = [p[k] for x in ends if (p := self.places.get(x)) and (k := bisect_right(p, bound)) < len(p)]
+            if inner:
+                self._cut(min(inner))
+        if name in BLOCKS and (paragraphs := self.places.get("p")) and self.blocks[-1] == paragraphs[-1]:
+            self._cut(paragraphs[-1])
         if name not in VOID:
+            at = len(self.names)
+            self.places[name].append(at)
+            if name in BLOCKS:
+                self.blocks.append(at)
             self.names.append(name)
             self.marks.append(mark)
 
     def close(self, name: str) -> None:
-        if name in self.names:
-            at = len(self.names) - 1 - self.names[::-1].index(name)
-            del self.names[at:], self.marks[at:]
+        if places := self.places.get(name):
+            self._cut(places[-1])
 
 
 class Weights:
@@ -235,9 +249,11 @@ class _Page:
                     self.elements[i] = element
                     last.append(element)
                     if value in ("h1", "main"):
-                        for outer in stack.marks:
-                            outer.headed |= value == "h1"
-                            outer.main |= value == "main"
+                        about = "headed" if value == "h1" else "main"
+                        for outer in reversed(stack.marks):
+                            if getattr(outer, about):  # and so are all around it
+                                break
+                            setattr(outer, about, True)
             else:
                 stack.close(value)
                 article -= self._ended(last, stack.marks, i)
@@ -290,39 +306,35 @@ class _Page:
                 best, best_range = total, (start, i + 1)
         return best, best_range, stretches
 
-    def _wrappers(self, stretches, plain: set, rejected: set, gain: float, score: float) -> tuple | None:
-        """What holds the most words of ``stretches``, if enough: (words, factor, names or element), not among ``rejected``."""
+    def _wrappers(self, stretches, plain: set, rejected: set, score: float) -> tuple | None:
+        """What holds the most words of ``stretches``, if enough: (words, names or element), not among ``rejected``."""
         held_back: Counter = Counter()
         for i, end in stretches:
             e = self.elements[i]
-            if not e.unseen:
-                alone = self.weights.alone & e.called
-                factor = NAMED_GAIN if alone and not e.headed else WRAPPER_GAIN
-                held_back[i if alone else e.called - plain, factor] += self.words[end] - self.words[i]
-        found = [
-            (n, f, what) for (what, f), n in held_back.items()
-            if what not in rejected and n > max(f, gain) * max(score, LEAST_SCORE)
-        ]
+            alone = self.weights.alone & e.called
+            if not e.unseen and (e.headed or not alone):
+                held_back[i if alone else e.called - plain] += self.words[end] - self.words[i]
+        least = WRAPPER_GAIN * max(score, LEAST_SCORE)
+        found = [(n, what) for what, n in held_back.items() if what not in rejected and n > least]
         return max(found, key=lambda x: x[0], default=None)
 
     def best(self) -> tuple[tuple[int, int], list[tuple[int, int]]]:
         """Range and hidden stretches of the reading that holds."""
         score, region, stretches = self.read(set())
         plain, rejected = set(), set()
-        while (first := self._wrappers(stretches, plain, rejected, 0.0, score)) is not None:
-            trial, gain, wrapper = set(plain), 0.0, first
+        while (first := self._wrappers(stretches, plain, rejected, score)) is not None:
+            trial, wrapper = set(plain), first
             while wrapper is not None:  # also what stands inside of it
-                _, factor, what = wrapper
+                what = wrapper[1]
                 trial |= what if isinstance(what, frozenset) else {what}
-                gain = max(gain, factor)
                 new, new_region, new_stretches = self.read(trial)
-                if new > gain * max(score, LEAST_SCORE):
+                if new > WRAPPER_GAIN * max(score, LEAST_SCORE):
                     score, region, stretches, plain = new, new_region, new_stretches, trial
                     break
                 inner = set(new_stretches) - set(stretches)
-                wrapper = self._wrappers(inner, trial, rejected, gain, score)
+                wrapper = self._wrappers(inner, trial, rejected, score)
             else:
-                rejected.add(first[2])
+                rejected.add(first[1])
         return region, stretches
 
 
