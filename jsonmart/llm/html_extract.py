@@ -169,6 +169,15 @@ class Stack:
             self._cut(places[-1])
 
 
+class _Labelled:
+    """An element of a labelled page: whether it is in the marked content, and whether it is or holds some of it."""
+
+    def __init__(self, name: str, attributes: str, inside: bool):
+        self.name, self.attributes = name, attributes.replace("data-main", "")
+        self.main = inside or "data-main" in attributes
+        self.holds = self.main or name in ("html", "body", "table", "tr", "tbody")
+
+
 class Weights:
     """Costs of tags and the names of furniture, counted from labelled pages."""
 
@@ -176,20 +185,23 @@ class Weights:
         inside, outside, own, furniture = Counter(), Counter(), Counter(), Counter()
         heads: list[set[str]] = []
         for page in pages:
-            stack = Stack()
+            stack, elements = Stack(), []
             for kind, value, attributes in tokens(page):
                 if kind == "open":
-                    main = "data-main" in attributes or any(stack.marks)
-                    (inside if main else outside)[value] += 1
-                    names = hints(value, attributes.replace("data-main", ""))
-                    holds = main or value in ("html", "body", "table", "tr", "tbody")
-                    (own if holds else furniture).update(set(names))
-                    if not holds:
-                        called = (w for m in _ATTRIBUTE.finditer(attributes) for w in m[2].strip("\"'").split())
-                        heads.append({found[-1].lower() for w in called if (found := _NAME.findall(w))})
-                    stack.open(value, main)
+                    element = _Labelled(value, attributes, any(e.main for e in stack.marks))
+                    (inside if element.main else outside)[value] += 1
+                    if element.main:  # what is around it is no furniture either
+                        for outer in stack.marks:
+                            outer.holds = True
+                    elements.append(element)
+                    stack.open(value, element)
                 elif kind == "close":
                     stack.close(value)
+            for element in elements:
+                (own if element.holds else furniture).update(set(hints(element.name, element.attributes)))
+                if not element.holds:
+                    called = (w for m in _ATTRIBUTE.finditer(element.attributes) for w in m[2].strip("\"'").split())
+                    heads.append({found[-1].lower() for w in called if (found := _NAME.findall(w))})
         self.cost = {t: 0.25 + max(0.0, math.log((outside[t] + 1) / (inside[t] + 1))) for t in {*inside, *outside}}
         self.furniture = {h for h in furniture if not own[h] and h not in _NEUTRAL and not _plain(h)}
         #: Names that mark furniture on their own: the last words of an element's only name for it, and sections.

@@ -40,9 +40,9 @@ PAGES = (
     <form role="search" class="search login"><input><button>Find</button></form><div class="pagination pager"><a href="2">Next</a>
     </div><div class="tags taglist"><a href="t">autumn</a></div><noscript>Please enable scripts.</noscript></body></html>""",
     """<html><body><div class="nav"><a href="1">Start</a> <a href="2">Archive</a> <a href="3">Imprint</a></div>
-    <div class="container"><div class="row"><div class="story text" data-main><div class="title"><h1>The ferry stops at noon</h1></div>
+    <div class="container"><div class="row"><section class="story text" data-main><div class="title"><h1>The ferry stops at noon</h1></div>
     <div class="inner"><p>For ninety years the ferry has crossed the lake at every full hour of the day.</p><p>From May on the
-    last boat leaves at noon, as the company finds no second captain.</p></div></div></div></div>
+    last boat leaves at noon, as the company finds no second captain.</p></div></section></div></div>
     <div class="sidebar"><h3>Popular</h3><p>Ten lakes to see</p></div>
     <div class="comments"><div class="comment"><p>My uncle was captain there.</p></div><div class="comment"><p>A pity.</p></div></div>
     <div class="footer"><p>Printed in the valley since long ago</p></div></body></html>""",
