@@ -4,17 +4,17 @@ Hierarchical budgeting. A token budget starts at the root. Every node hands its
 their weights, but no child gets more than its whole subtree can give (its tokens times ``max_epochs``). What a
 full child can't take goes to its siblings by their weights; only when a whole subtree is full does the rest go
 to the siblings of its parent. Each leaf turns its quota into whole epochs plus the token-prefix of one more
-epoch, whose order comes from a hash of seed, epoch and document id.
+epoch, whose order comes from a hash of seed, epoch, document id and text.
 
 Everything is aggregates, windows over the few nodes of one parent, and joins. A leaf may hold any share of the
 rows: its prefix is found from sums of hash buckets of some 4,096 documents, and documents are put in order only
-inside the one bucket where the quota ends. The selection is then a comparison of each document with the cut
+inside the one bucket where the quota ends, after equal places are summed up. The selection is then a comparison of each document with the cut
 of its leaf, so texts are never shuffled.
 
 Defined cases. Null level values form the node '' of their level. Null or empty texts count 0 tokens; they
 are taken where the prefix passes them. Nodes without a given weight weigh ``default_weight``; weight 0 gives
-nothing. Rows with the same id in one leaf share a place in the order and are taken together or not at all. An
-empty table gives no rows. Tokens are words. Other columns pass through; ``copies`` gets a longer name on a clash.
+nothing. Rows with the same id and text in one leaf share a place in the order and are taken together or not at all;
+rows with one id, or none, and different texts have places of their own. An empty table gives no rows. Tokens are words. Other columns pass through; ``copies`` gets a longer name on a clash.
 """
 
 from __future__ import annotations
@@ -48,10 +48,15 @@ def source_domain(source: Column) -> Column:
     return F.when(source == "src0", "crawl").when(source.isin(books), "books").otherwise("forums")
 
 
+def _text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def _narrow(docs: DataFrame, domain) -> DataFrame:
     empty = F.lit("")
     return docs.select(
         F.coalesce(F.col("doc_id").cast("string"), empty).alias("id"),
+        _text_key(F.col("text")).alias("text_key"),
         F.coalesce(domain(F.col("source")), empty).alias("domain"),
         F.coalesce(F.col("lang").cast("string"), empty).alias("lang"),
         F.coalesce(F.col("source").cast("string"), empty).alias("source"),
@@ -111,8 +116,8 @@ def leaf_quotas(leaves: DataFrame, mix: Mix) -> DataFrame:
     )
 
 
-def _order_key(mix: Mix, epoch: Column, id_: Column) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(mix.seed)), epoch.cast("string"), id_).cast("binary"))
+def _order_key(mix: Mix, epoch: Column, id_: Column, text_key: Column) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(mix.seed)), epoch.cast("string"), id_, text_key).cast("binary"))
 
 
 def _bucket(key: Column, buckets: Column) -> Column:
@@ -129,7 +134,7 @@ def leaf_plan(narrow: DataFrame, mix: Mix) -> DataFrame:
     quotas = saved(quotas.withColumn("buckets", F.floor(F.col("n_docs") / _BUCKET_DOCS) + 1), "quotas")
 
     part = checked_broadcast(quotas.where("rest > 0").select(*LEVELS, "whole", "rest", "buckets"))
-    placed = narrow.join(part, list(LEVELS)).withColumn("key", _order_key(mix, F.col("whole") + 1, F.col("id")))
+    placed = narrow.join(part, list(LEVELS)).withColumn("key", _order_key(mix, F.col("whole") + 1, F.col("id"), F.col("text_key")))
     placed = placed.withColumn("bucket", _bucket(F.col("key"), F.col("buckets")))
     sums = placed.groupBy(*LEVELS, "rest", "bucket").agg(F.sum("n_tokens").alias("n_tokens"))
     running = Window.partitionBy(*LEVELS).orderBy("bucket")
@@ -140,17 +145,18 @@ def leaf_plan(narrow: DataFrame, mix: Mix) -> DataFrame:
     )
     edge = saved(edge.select(*LEVELS, "bucket", F.col("at.before").alias("before")), "edges")
     last = placed.join(checked_broadcast(edge), [*LEVELS, "bucket"])
-    inside = F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("key"))  # equal keys share a sum
+    last = last.groupBy(*LEVELS, "rest", "before", "key").agg(F.sum("n_tokens").alias("n_tokens"))  # one row per place
+    inside = F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("key"))
     last = last.withColumn("through", F.col("before") + inside)
     cut = last.where("through <= rest").groupBy(*LEVELS).agg(F.max("key").alias("cut"))
     plan = quotas.join(edge, list(LEVELS), "left").join(cut, list(LEVELS), "left")
     return saved(plan.select(*LEVELS, "quota", "whole", "buckets", F.col("bucket").alias("edge"), "cut"), "plan")
 
 
-def _copies(mix: Mix, id_: Column, plan: dict[str, str]) -> Column:
+def _copies(mix: Mix, id_: Column, text_key: Column, plan: dict[str, str]) -> Column:
     """How often a document is taken; ``plan`` names the columns of its leaf's plan."""
     whole, buckets, edge, cut = (F.col(plan[c]) for c in ("whole", "buckets", "edge", "cut"))
-    key = _order_key(mix, whole + 1, id_)
+    key = _order_key(mix, whole + 1, id_, text_key)
     bucket = _bucket(key, buckets)
     inside = (bucket < edge) | ((bucket == edge) & (key <= cut))
     return whole + F.coalesce(inside, F.lit(False)).cast("long")
@@ -161,7 +167,7 @@ def selection(docs: DataFrame, mix: Mix, domain=source_domain) -> DataFrame:
     narrow = saved(_narrow(docs, domain), "narrow")
     plan = leaf_plan(narrow, mix)
     taken = narrow.join(checked_broadcast(plan), list(LEVELS))
-    taken = taken.withColumn("copies", _copies(mix, F.col("id"), {c: c for c in plan.columns}))
+    taken = taken.withColumn("copies", _copies(mix, F.col("id"), F.col("text_key"), {c: c for c in plan.columns}))
     return taken.where("copies > 0").select("id", *LEVELS, "n_tokens", "copies")
 
 
@@ -175,7 +181,8 @@ def mixed(docs: DataFrame, mix: Mix, domain=source_domain) -> DataFrame:
     of["domain"] = F.coalesce(domain(docs["source"]), empty)
     plan = checked_broadcast(plan.toDF(*names.values()))
     same = [of[c] == plan[names[c]] for c in LEVELS]
-    rows = docs.join(plan, same).withColumn(copies, _copies(mix, of["doc_id"], names)).where(F.col(copies) > 0)
+    taken = _copies(mix, of["doc_id"], _text_key(docs["text"]), names)
+    rows = docs.join(plan, same).withColumn(copies, taken).where(F.col(copies) > 0)
     if mix.max_epochs > 1:
         rows = rows.withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
     return rows.select(*[docs[c] for c in docs.columns])

@@ -95,7 +95,7 @@ def mixing(mix: Mix) -> str:
     budget = mix.budget_tokens if mix.budget_tokens is not None else f"floor(sum(n_tokens) * {mix.budget_percent} / 100)"
     sql = f"""
         WITH narrow AS (
-            SELECT coalesce(doc_id::VARCHAR, '') AS id,
+            SELECT coalesce(doc_id::VARCHAR, '') AS id, md5(coalesce(text, '')) AS text_key,
                    CASE WHEN source = 'src0' THEN 'crawl'
                         WHEN regexp_full_match(source, 'src[1-9]') THEN 'books' ELSE 'forums' END AS domain,
                    coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -131,7 +131,7 @@ def mixing(mix: Mix) -> str:
         ordered AS (
             SELECT narrow.*, whole, quota - whole * quotas.n_tokens AS rest,
                    sum(narrow.n_tokens) OVER (PARTITION BY {", ".join(LEVELS)}
-                       ORDER BY md5('{mix.seed}|' || (whole + 1)::VARCHAR || '|' || id)) AS through
+                       ORDER BY md5('{mix.seed}|' || (whole + 1)::VARCHAR || '|' || id || '|' || text_key)) AS through
             FROM narrow JOIN quotas USING ({", ".join(LEVELS)}))
         SELECT id::BIGINT AS doc_id, domain, lang, source, n_tokens,
                (whole + CASE WHEN rest > 0 AND through <= rest THEN 1 ELSE 0 END)::BIGINT AS copies

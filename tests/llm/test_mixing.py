@@ -47,20 +47,20 @@ def chosen(rows, mix):
     for doc_id, text, lang, source in rows:
         path = (domain(source), lang or "", source or "")
         leaves[path] += len(words(text))
-        members[path].append(("" if doc_id is None else str(doc_id), len(words(text))))
+        members[path].append(("" if doc_id is None else str(doc_id), hashlib.md5((text or "").encode()).hexdigest(), len(words(text))))
     out = []
     for path, quota in quotas(leaves, mix).items():
         whole, rest = divmod(quota, leaves[path]) if leaves[path] else (0, 0)
         sums = defaultdict(int)
-        for i, n in members[path]:
-            sums[hashlib.md5(f"{mix.seed}|{whole + 1}|{i}".encode()).hexdigest()] += n
+        for i, t, n in members[path]:
+            sums[hashlib.md5(f"{mix.seed}|{whole + 1}|{i}|{t}".encode()).hexdigest()] += n
         total, inside = 0, set()
         for key in sorted(sums):
             total += sums[key]
             if rest and total <= rest:
                 inside.add(key)
-        for i, n in members[path]:
-            copies = whole + (hashlib.md5(f"{mix.seed}|{whole + 1}|{i}".encode()).hexdigest() in inside)
+        for i, t, n in members[path]:
+            copies = whole + (hashlib.md5(f"{mix.seed}|{whole + 1}|{i}|{t}".encode()).hexdigest() in inside)
             if copies:
                 out.append((i, *path, n, copies))
     return sorted(out)
@@ -100,6 +100,15 @@ def test_targets_are_met_where_there_is_enough(spark):
     assert got["crawl"] == pytest.approx(0.5 * 48000, rel=0.02) and got["books"] == pytest.approx(got["forums"], rel=0.02)
 
 
+def test_rows_with_one_id_are_taken_one_by_one(spark):
+    rows = [(None, f"a b c {k}", "en", "src0", 1) for k in range(50)] + [(1, "d e f g", "en", "src0", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mix = m.Mix(budget_percent=50)
+    got = sorted(tuple(r) for r in m.selection(docs, mix).collect())
+    assert got == chosen([r[:4] for r in rows], mix) and sum(r[-2] for r in got) == 100  # of 204 tokens, 4 a row
+    assert m.mixed(docs, mix).count() == len(got) == 25
+
+
 def test_rows_keep_their_columns(clashing, odd_rows):
     mix = m.Mix(budget_percent=150, max_epochs=2)
     out = m.mixed(clashing, mix)
