@@ -6,9 +6,10 @@ tokenizer's vocabulary, counted by the library itself. It has no more entries th
 broadcast. Misses are encoded by the library once and kept in the worker's cache, the second tier. So each document
 is one narrow row of work and no pre-token is ever shuffled.
 
-The cutting rule is repeated here only for the characters for which it is the same beyond doubt (Latin
-letters and ASCII, without control characters); any other text, and any text that holds a special token's
-string, goes through the library whole. Hence the counts are the library's for every text.
+The cutting rule is repeated here for texts of characters for which it is the same beyond doubt (Latin letters
+and ASCII, without control characters); any other text is normalized and cut by the library's own stages, and its
+pre-tokens are looked up all the same. Strings of special tokens are one token each and part the text. Hence the counts
+are the library's for every text.
 
 Defined cases. Null text: 0 bytes, 0 tokens. Texts are taken whole, repeated rows are counted each. Other columns are
 ignored. A cache that reaches its bound starts again from the table.
@@ -36,6 +37,9 @@ _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-\xb1\xb4-\xb8\xba\xbb\xbf-į
 #: Fixed value: the pre-token rule of the vocabulary, for such texts.
 _PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 
+#: Marks a key that is in byte letters already; no pre-token begins with it.
+_MAPPED = "\0"
+
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -83,12 +87,23 @@ class Counter:
         self.cache = dict(table)
         self.model = self.tokenizer.model
         self.bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
 
     def count(self, text: str) -> int:
-        if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
-            return _lengths(self.tokenizer, [text])[0]
-        pretokens = _PRETOKEN.findall(text.lower())
+        """Tokens of a text; a special token's string is one and parts the text, as the vocabulary marks these as not normalized."""
+        parts = self.special.split(text)
+        return len(parts) - 1 + sum(map(self.looked_up, parts))
+
+    def pretokens(self, text: str) -> list[str]:
+        """Pre-tokens as keys of the cache: ASCII or plain ones as they are, others as the library's byte letters."""
+        if _PLAIN.fullmatch(text):
+            return _PRETOKEN.findall(text.lower())
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))
+        return [w if w.isascii() else _MAPPED + w for w, _ in cut]
+
+    def looked_up(self, text: str) -> int:
+        pretokens = self.pretokens(text)
         try:
             return sum(map(self.cache.__getitem__, pretokens))
         except KeyError:
@@ -100,6 +115,8 @@ class Counter:
 
     def merged(self, word: str) -> int:
         """Length of one pre-token, by the library's byte mapping and merges."""
+        if word[0] == _MAPPED:
+            return len(self.model.tokenize(word[1:]))
         letters = word if word.isascii() else self.bytewise.pre_tokenize_str(word)[0][0]
         return len(self.model.tokenize(letters))
 

@@ -36,6 +36,24 @@ def test_any_characters(table, library):
     assert len(counter.cache) <= len(table) + 50 + 40
 
 
+def test_no_text_goes_whole_through_the_library(table, library, monkeypatch):
+    counter = t.Counter(PATH, table)
+    texts = ["“Quoted” — it’s … done", "Привет, мир! 漢字かな 한국어 हिन्दी", "e\u0301 \u00bd \u0130stanbul \u1e9e \u2028x\x1cy\x85z\u00a0 \u200b",
+             "<|endoftext|>", "a<|endoftext|>b <|startoftext|><|endoftext|> <|ENDOFTEXT|>", "âģª \u206a \u2061", "\0 a\0b"]
+    want = [len(library.encode(x, add_special_tokens=False).ids) for x in texts]
+    monkeypatch.setattr(t, "_lengths", None)
+    assert [counter.count(x) for x in texts] == want == [counter.count(x) for x in texts]
+
+
+def test_all_kinds_of_characters(table, library):
+    counter = t.Counter(PATH, table)
+    rnd = random.Random(5)
+    ranges = [(0x20, 0x7F), (0xA0, 0x600), (0x900, 0xE00), (0x1E00, 0x2400), (0x3000, 0x3200), (0x4E00, 0x5000), (0xAC00, 0xAD00), (0x1F300, 0x1F700)]
+    for _ in range(1500):
+        text = "".join(" " if rnd.random() < 0.2 else chr(rnd.randrange(*rnd.choice(ranges))) for _ in range(40))
+        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids), repr(text)
+
+
 def test_odd_rows(clashing, odd_rows, nothing, library):
     rows = t.token_counts(clashing).collect()
     want = sorted((len((x or "").encode()), len(library.encode(x or "", add_special_tokens=False).ids)) for _, x, *_ in odd_rows)
