@@ -53,7 +53,7 @@ def _records(pages: DataFrame, min_bytes: int) -> DataFrame:
     equal = equal.where("n > 1 AND keeper IS NOT NULL").select("digest", "keeper")
     salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
     equal = checked_broadcast(saved(equal.withColumn("salt", salts), "copies"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(_SALTS)).cast("int"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(_SALTS)).cast("int"))
     return rows.join(equal, ["digest", "salt"], "left")
 
 
@@ -266,15 +266,28 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: A file is cut into stretches of so many bytes, on which pieces and the records around them are joined.
+_STRETCH_BYTES = 1 << 16
+
+
+def _stretch(position: Column) -> Column:
+    return F.floor(position / F.lit(_STRETCH_BYTES)).cast("long")
+
+
 def _mended(spark: SparkSession, path: str, placed: DataFrame, broken: DataFrame) -> DataFrame:
     """Records whose payload holds the magic, put together again from their pieces and measured."""
-    spans = checked_broadcast(saved(broken.select("path", F.col("start").alias("head"), "next"), "broken"))
+    ends = placed.groupBy("path").agg(F.max("start").alias("last"))  # a length may reach beyond its file
+    spans = broken.select("path", F.col("start").alias("head"), "next").join(checked_broadcast(saved(ends, "ends")), "path")
+    stretch = F.sequence(_stretch(F.col("head")), _stretch(F.least(F.col("next") - 1, F.greatest("head", "last"))))
+    spans = spans.withColumn("stretch", F.explode(stretch)).drop("last")
+    spans = checked_broadcast(saved(spans, "broken"))
     base = placed.groupBy("path", "split").agg(F.min("start").alias("base"))
     pieces = _pieces(spark, path).mapInArrow(_positions, "path string, split long, start long, value binary")
     pieces = pieces.join(checked_broadcast(saved(base, "bases")), ["path", "split"])
     pieces = pieces.select("path", (F.col("start") + F.col("base")).alias("start"), "value")
     inside = (F.col("start") >= F.col("head")) & (F.col("start") < F.col("next"))
-    parts = pieces.join(spans, "path").where(inside)
+    pieces = pieces.withColumn("stretch", _stretch(F.col("start")))
+    parts = pieces.join(spans, ["path", "stretch"]).where(inside).drop("stretch")
 
     def join(frame):
         frame = frame.sort_values("start")

@@ -102,3 +102,21 @@ def test_large_group_of_copies(spark):
     path = fresh_dir(spark, "warc")
     warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
     assert read(spark, path) == expected(rows)
+
+
+@pytest.mark.parametrize("stretch", [1 << 16, 100])
+def test_many_pages_of_one_file_quote_the_magic(spark, tmp_path, monkeypatch, stretch):
+    monkeypatch.setattr(warc, "_STRETCH_BYTES", stretch)
+    quoted = [(k, None, f"page {k} " + "WARC/1.0\r\n" * (k % 4) + "x" * (k % 7 * 300)) for k in range(300)]
+    warc.write_archive(spark.createDataFrame(quoted, "page_id long, url string, html string").coalesce(1), str(tmp_path / "a"))
+    got = {r.record_id: (r.payload_bytes, r.payload_digest) for r in warc.read_records(spark, str(tmp_path / "a")).collect()}
+    want = {f"<urn:page:{k}>": (len(h), base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()) for k, _, h in quoted}
+    assert got == want
+
+
+def test_a_length_beyond_the_file_ends(spark, tmp_path):
+    head = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nContent-Length: 900000000000000\r\n\r\nHTTP/1.1 200 OK\r\n\r\nabc"
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "one.warc").write_bytes(head.encode())
+    rows = warc.read_records(spark, str(tmp_path / "b")).collect()
+    assert [(r.record_id, r.payload_bytes, r.payload_digest) for r in rows] == [("<urn:page:1>", None, None)]
