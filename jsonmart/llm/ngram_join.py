@@ -10,8 +10,11 @@ proposed only against a few pivots per round, and only between documents that ea
 connected; what is still apart after that is proposed in full, and no pair is counted twice. So no link between
 components is lost, and a group of m near copies costs some m pairs instead of m * m / 2.
 
-Counting. The overlap of the prefixes themselves, the first partial count, already rules out pairs that share no more
-than a passage. Only the documents of the pairs that are left are cut into segments. Within a fragment 32 bits stand for an
+Counting. Two exact bounds rule out pairs before any set is fetched. The overlap of the prefixes, the first partial
+count, rules out pairs that share no more than a passage. Parities rule out most of the rest: every set has one bit for each of
+some buckets, telling whether it holds an odd number of the bucket's n-grams. Where the bits of two sets differ, the sets differ in
+at least one n-gram, and linked sets differ in few. A longer row of bits folds onto a shorter one, so each set has bits
+by its own size. Only the documents of the pairs that are left are cut into segments. Within a fragment 32 bits stand for an
 n-gram. Equal bits of different n-grams can add to a count, or, within one set, take from it; a pair so near the bound, on
 either side, that this could matter is counted again with all 63. The margin grows with the fragments.
 
@@ -21,8 +24,8 @@ out of the prefixes. The table of ranks is the only thing the driver gathers, an
 
 Defined cases. Null or wordless text: 0 shingles, linked with nothing. Fewer than n words: the whole
 sequence is the only shingle. Repeated rows and repeated ids: each distinct text is a document of its own
-and ``component_id`` is the smallest id in the component; texts known only under a null id link
-through their equals, not through near copies. Hash values stand for n-grams (63 bits).
+and ``component_id`` is the smallest id in the component; texts known only under a null id are found
+by their hash. Hash values stand for n-grams (63 bits).
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checked_broadcast, free_name, saved
@@ -85,6 +88,18 @@ def _places(text: bytes | None, n: int, ranks: np.ndarray) -> np.ndarray:
     return np.sort(((ranks[low.astype(np.int64)] << np.uint64(47)) | (hashes >> np.uint64(17))).astype(np.int64))
 
 
+def _parities(places: np.ndarray) -> np.ndarray:
+    """For each bucket, by the low bits of a place, whether it holds an odd number of places; 64 buckets in each long.
+
+    The buckets are a power of two, at least 64 and no fewer than the places.
+    """
+    buckets = max(64, 1 << (len(places) - 1).bit_length()) if len(places) else 64
+    low = places & np.int64(buckets - 1)
+    bits = np.zeros(buckets // 64, dtype=np.uint64)
+    np.bitwise_xor.at(bits, low >> 6, np.uint64(1) << (low & 63).astype(np.uint64))
+    return bits.view(np.int64)
+
+
 def _list_array(parts: list[np.ndarray], width=np.int64) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
     values = np.concatenate(parts) if parts else np.empty(0, dtype=width)
@@ -92,11 +107,11 @@ def _list_array(parts: list[np.ndarray], width=np.int64) -> pa.Array:
 
 
 def _members(texts: DataFrame, spec: JaccardJoin, ranks) -> DataFrame:
-    """One row per document: size of its set, the set's fingerprint (null: no words) and its prefix."""
+    """One row per document: size of its set, the set's fingerprint (null: no words), its prefix and parities."""
 
     def describe(batches):
         for batch in batches:
-            sizes, prints, prefixes = [], [], []
+            sizes, prints, prefixes, parities = [], [], [], []
             for text in batch.column("text").to_pylist():
                 places = _places(text, spec.n, ranks.value)
                 size = len(places)
@@ -104,13 +119,14 @@ def _members(texts: DataFrame, spec: JaccardJoin, ranks) -> DataFrame:
                 prints.append(xxhash.xxh3_128_digest(places.tobytes()) if size else None)
                 # a partner shares at least ceil(percent * size / 100), so one of the first that may be missing + 1
                 prefixes.append(places[: size - -(-spec.percent * size // 100) + 1])
+                parities.append(_parities(places))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
-                 pa.array(prints, pa.binary()), _list_array(prefixes)],
-                ["doc_id", "text_hash", "n_shingles", "print", "prefix"],
+                 pa.array(prints, pa.binary()), _list_array(prefixes), _list_array(parities)],
+                ["doc_id", "text_hash", "n_shingles", "print", "prefix", "parities"],
             )
 
-    schema = "doc_id long, text_hash long, n_shingles long, print binary, prefix array<long>"
+    schema = "doc_id long, text_hash long, n_shingles long, print binary, prefix array<long>, parities array<long>"
     return texts.mapInArrow(describe, schema)
 
 
@@ -205,20 +221,40 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, classes: DataFrame, spec: Jacc
     return total.select("a", "b", "n_a", "n_b", (100 * F.col("shared") - spec.percent * union).alias("spare"))
 
 
+def _least_difference(one: str, two: str) -> Column:
+    """In how many n-grams two sets differ at least, by their parities.
+
+    Sizes of linked sets differ by less than two times, so one of the two is folded once at most; others
+    give no pair.
+    """
+
+    def folded(bits: Column, other: Column) -> Column:
+        half = (F.size(bits) / 2).cast("int")
+        halves = F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half)
+        return F.when(F.size(bits) > F.size(other), F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))).otherwise(bits)
+
+    a, b = F.col(one), F.col(two)
+    differing = F.zip_with(folded(a, b), folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(differing, F.lit(0), lambda total, bits: total + bits)
+
+
 def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose prefixes share as many n-grams as those of linked documents must.
+    """The pairs whose prefixes share as many n-grams, and whose parities differ as little, as those of linked documents must.
 
     Sets that share ``need`` n-grams share k of their first size - need + k; the prefixes are so long for the k below.
+    They differ in n_a + n_b - 2 * need n-grams at most.
     """
     ends = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-    prefixes = classes.join(checked_broadcast(saved(ends, "ends")), "cid", "left_semi").select("cid", "prefix")
+    prefixes = classes.join(checked_broadcast(saved(ends, "ends")), "cid", "left_semi").select("cid", "prefix", "parities")
     met = pairs
     for end in ("a", "b"):
-        met = met.join(prefixes.select(F.col("cid").alias(end), F.col("prefix").alias(f"prefix_{end}")), end)
+        columns = [F.col(c).alias(f"{c}_{end}") for c in ("prefix", "parities")]
+        met = met.join(prefixes.select(F.col("cid").alias(end), *columns), end)
     need = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100.0 + percent) - 1e-9)
     spare = [F.size(f"prefix_{e}") - F.col(f"n_{e}") + need for e in ("a", "b")]
     shared = F.size(F.array_intersect("prefix_a", "prefix_b"))
-    return saved(met.where(shared >= F.least(*spare)).select("a", "b", "n_a", "n_b"), "promising")
+    alike = _least_difference("parities_a", "parities_b") <= F.col("n_a") + F.col("n_b") - 2 * need
+    return saved(met.where(alike & (shared >= F.least(*spare))).select("a", "b", "n_a", "n_b"), "promising")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, spec: JaccardJoin, ranks) -> DataFrame:
@@ -272,7 +308,7 @@ def linked_documents(docs: DataFrame, spec: JaccardJoin = JaccardJoin()) -> Data
     members = saved(_members(texts, spec, ranks), "members")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     classes = members.where("print is not null").groupBy("print")
-    classes = classes.agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
+    classes = classes.agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("parities").alias("parities"))
     classes = saved(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     # shared prefix n-grams first, then again with the size: sizes that may link share one of two size steps

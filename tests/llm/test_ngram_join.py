@@ -1,6 +1,7 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 
 from jsonmart.llm import ngram_join as g
@@ -73,6 +74,42 @@ def test_one_of_each_group_stays(clashing):
     assert {3, 4, 5, 8, 10, 11} <= {i for i, _ in ids}
 
 
+def test_parities_never_exceed_the_difference(spark):
+    """Sets of many sizes, folded or not: the bound holds, is 0 for equal sets and tight for small differences."""
+    rnd = np.random.default_rng(5)
+    rows, differences = [], []
+    for size in (1, 3, 63, 64, 65, 120, 130, 1000, 1030, 5000):
+        for changed in (0, 1, size // 20, size // 3, size):
+            one = rnd.integers(0, 1 << 62, size)
+            two = np.concatenate([one[changed:], rnd.integers(0, 1 << 62, changed + size // 20)])
+            rows.append((len(rows), g._parities(one).tolist(), g._parities(two).tolist()))
+            differences.append(len(set(one.tolist()) ^ set(two.tolist())))
+    table = spark.createDataFrame(rows, "k int, a array<long>, b array<long>")
+    got = table.select("k", g._least_difference("a", "b").alias("least")).orderBy("k").collect()
+    for r, real in zip(got, differences, strict=True):
+        assert r.least <= real and (real - r.least) % 2 == 0
+        assert real > 1 or r.least == real
+    assert sum(r.least for r in got) > 0.3 * sum(differences)
+
+
+def test_lookalikes_are_ruled_out_before_their_sets_are_fetched(spark, monkeypatch):
+    """Copies of one text with every twelfth word changed: alike, but below the bound; no set of theirs is cut."""
+    rnd = random.Random(8)
+    base = [f"b{i}" for i in range(240)]
+    rows = []
+    for k in range(120):
+        text = list(base)
+        for place in range(rnd.randrange(12), 240, 12):
+            text[place] = f"n{k}.{place}"
+        rows.append((k, " ".join(text)))
+    counted = []
+    real = g._overlaps
+    monkeypatch.setattr(g, "_overlaps", lambda pairs, *a, **b: counted.append(pairs.count()) or real(pairs, *a, **b))
+    got = g.linked_documents(spark.createDataFrame(rows, "doc_id long, text string"), SPECS[0]).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: c for (i, _), c in brute.components(rows, 3, 90).items()}
+    assert sum(counted) < 12
+
+
 def test_empty_table(nothing):
     assert g.linked_documents(nothing).count() == 0 == g.keep_one(nothing).count()
 
