@@ -450,6 +450,7 @@ ORACLES: dict[str, str] = {
     ),
     "rebuilt_movie_analytics": GOLD["movie_analytics"],
     **{f"silver_{n}": sql for n, sql in SILVER.items()},
+    **{f"variant_silver_{n}": sql for n, sql in SILVER.items()},
     "silver_movie_genre_current": f"""
         SELECT DISTINCT l_orderkey AS movie_id, brand AS genre_id FROM ({_LINES})
         WHERE l_orderkey % 3 <> 0 OR (brand + l_orderkey) % 4 <> 0

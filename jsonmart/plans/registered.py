@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import keys
 from ..functions.jsonx import as_int
 from ..functions.values import LISTING_PAGES, PEOPLE_CAP
+from ..functions.variants import with_variant
 from ..operators import sketch
 from ..operators.conform import bridge, explode_array, ordered_list
 from ..operators.dates import date_dim
@@ -36,6 +37,7 @@ col = F.col
 table = star_tables.table
 
 _layers: dict[tuple[str, str], Layers] = {}
+_variant_layers: dict[tuple[str, str], Layers] = {}
 _landings: dict[tuple[str, str], str] = {}
 _streams: dict[tuple[str, str], catalog.Catalog] = {}
 _objects: dict[tuple[str, str], str] = {}
@@ -51,6 +53,18 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
     return _layers[key]
 
 
+def variant_layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """The layers on payloads that are stored as VARIANT: each document is parsed once, when it is stored."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _variant_layers:
+        path = fresh_dir(spark, "variants")
+        for build in star_tables.RAW.values():
+            with_variant(build(spark, sf_dir)).write.mode("append").partitionBy("resource").parquet(path)
+        stored = spark.read.parquet(path)
+        _variant_layers[key] = Layers(spark, fresh_dir(spark, "variant-layers"), lambda resource: stored)
+    return _variant_layers[key]
+
+
 def landing_root(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the text documents, landed once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -78,6 +92,10 @@ def _silver(name: str) -> Query:
     return lambda spark, sf: present(layers(spark, sf).plan_silver(name))
 
 
+def _variant_silver(name: str) -> Query:
+    return lambda spark, sf: present(variant_layers(spark, sf).plan_silver(name))
+
+
 def _gold(name: str) -> Query:
     return lambda spark, sf: present(layers(spark, sf).plan_gold(name))
 
@@ -575,6 +593,7 @@ def _payload_keywords(spark, sf):
 
 QUERIES: dict[str, Query] = {
     **{f"silver_{n}": _silver(n) for n in SILVER},
+    **{f"variant_silver_{n}": _variant_silver(n) for n in SILVER},
     "silver_movie_genre_current": _movie_genre_current,
     "cast_rejects": _cast_rejects,
     **{n: _gold(n) for n in GOLD},
