@@ -14,7 +14,7 @@ Counting. Two exact bounds rule out pairs before any set is fetched. The overlap
 count, rules out pairs that share no more than a passage. Parities rule out most of the rest: every set has one bit for each of
 some buckets, telling whether it holds an odd number of the bucket's n-grams. Where the bits of two sets differ, the sets differ in
 at least one n-gram, and linked sets differ in few. A longer row of bits folds onto a shorter one, so each set has bits
-by its own size. Only the documents of the pairs that are left are cut into segments. Within a fragment 32 bits stand for an
+by its own size, and after the first round the bits folded onto 256 buckets already keep pairs from being proposed. Only the documents of the pairs that are left are cut into segments. Within a fragment 32 bits stand for an
 n-gram. Equal bits of different n-grams can add to a count, or, within one set, take from it; a pair so near the bound, on
 either side, that this could matter is counted again with all 63. The margin grows with the fragments.
 
@@ -43,6 +43,7 @@ from .components import connected_components
 from .shingles import shingle_set
 
 _BUCKETS = 1 << 16
+_SIGNS = 4  # longs that the parities of every set fold onto
 
 
 @dataclass(frozen=True)
@@ -91,9 +92,9 @@ def _places(text: bytes | None, n: int, ranks: np.ndarray) -> np.ndarray:
 def _parities(places: np.ndarray) -> np.ndarray:
     """For each bucket, by the low bits of a place, whether it holds an odd number of places; 64 buckets in each long.
 
-    The buckets are a power of two, at least 64 and no fewer than the places.
+    The buckets are a power of two, at least 256 and no fewer than the places.
     """
-    buckets = max(64, 1 << (len(places) - 1).bit_length()) if len(places) else 64
+    buckets = max(64 * _SIGNS, 1 << max(0, len(places) - 1).bit_length())
     low = places & np.int64(buckets - 1)
     bits = np.zeros(buckets // 64, dtype=np.uint64)
     np.bitwise_xor.at(bits, low >> 6, np.uint64(1) << (low & 63).astype(np.uint64))
@@ -166,20 +167,40 @@ def _segments(texts: DataFrame, wanted: DataFrame, spec: JaccardJoin, ranks, wid
     return found.mapInArrow(cut, f"cid long, fragment int, places array<{'long' if wide else 'int'}>")
 
 
+def _need(percent: int) -> Column:
+    """How many n-grams linked sets of n_a and n_b share at least."""
+    return F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100.0 + percent) - 1e-9)
+
+
+def _signs() -> list[Column]:
+    """The parities folded onto 256 buckets, in four columns; read where pairs are proposed."""
+
+    def fold(k: int) -> Column:
+        every_fourth = F.filter("parities", lambda bits, i: i % _SIGNS == k)
+        return F.aggregate(every_fourth, F.lit(0).cast("long"), lambda total, bits: total.bitwiseXOR(bits))
+
+    return [fold(k).alias(f"sign{k}") for k in range(_SIGNS)]
+
+
 def _compatible(percent: int):
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     return 100 * small >= percent * large
 
 
 def _side(rows: DataFrame, name: str) -> DataFrame:
-    columns = [F.col(c).alias(f"{c}_{name}") for c in ("cid", "n", "root")]
-    return rows.select("grp", *columns)
+    return rows.select("grp", *[F.col(c).alias(f"{c}_{name}") for c in rows.columns if c != "grp"])
 
 
 def _apart(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one group that are not connected yet, once each, the smaller class number first."""
+    """Pairs of one group that are not connected yet, once each, the smaller class number first.
+
+    Where the rows have signs, pairs go whose signs differ in more n-grams than linked sets do.
+    """
     met = _side(left, "a").join(_side(right, "b"), "grp").where(F.col("root_a") != F.col("root_b"))
     met = met.where(_compatible(percent))
+    if "sign0" in left.columns:
+        differing = [F.bit_count(F.col(f"sign{k}_a").bitwiseXOR(F.col(f"sign{k}_b"))) for k in range(_SIGNS)]
+        met = met.where(sum(differing[1:], differing[0]) <= F.col("n_a") + F.col("n_b") - 2 * _need(percent))
     first = F.col("cid_a") < F.col("cid_b")
     return met.select(
         F.least("cid_a", "cid_b").alias("a"),
@@ -250,7 +271,7 @@ def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     for end in ("a", "b"):
         columns = [F.col(c).alias(f"{c}_{end}") for c in ("prefix", "parities")]
         met = met.join(prefixes.select(F.col("cid").alias(end), *columns), end)
-    need = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100.0 + percent) - 1e-9)
+    need = _need(percent)
     spare = [F.size(f"prefix_{e}") - F.col(f"n_{e}") + need for e in ("a", "b")]
     shared = F.size(F.array_intersect("prefix_a", "prefix_b"))
     alike = _least_difference("parities_a", "parities_b") <= F.col("n_a") + F.col("n_b") - 2 * need
@@ -332,11 +353,12 @@ def linked_documents(docs: DataFrame, spec: JaccardJoin = JaccardJoin()) -> Data
         else:
             rows = rows.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
             rows = saved(_still_open(rows), "open")
+            rows = rows.join(classes.select("cid", *_signs()), "cid")
         others = rows
         if turn < spec.pivot_rounds:
             order = F.xxhash64("cid", F.lit(turn))
             chosen = rows.groupBy("grp").agg(F.min(order).alias("order"))
-            others = rows.withColumn("order", order).join(chosen, ["grp", "order"]).drop("order")
+            others = rows.withColumn("order", order).join(chosen, ["grp", "order"]).drop("order").select(rows.columns)
         pairs = _apart(others, rows, spec.percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
