@@ -29,6 +29,20 @@ def exchanges(df):
     return re.findall(r"Exchange hashpartitioning\((.*?)\), (\w+)", executed(df))
 
 
+def test_variants_are_stored_for_the_resources_asked_for(spark, own_tables):
+    registered.QUERIES["variant_silver_country"](spark, own_tables).collect()
+    assert _variant_folders(spark, own_tables) == {"movie"}
+    registered.QUERIES["variant_silver_genre"](spark, own_tables).collect()
+    assert _variant_folders(spark, own_tables) == {"movie", "genre"}
+    root = registered.variant_layers(spark, own_tables).root.removeprefix("file:")
+    assert not os.path.exists(root)  # the staged tables are views
+
+
+def _variant_folders(spark, sf_dir):
+    file = registered.variant_layers(spark, sf_dir).raw("movie").inputFiles()[0].removeprefix("file://")
+    return set(os.listdir(file.rsplit("/", 2)[0]))
+
+
 @pytest.mark.parametrize("build", [star_tables.movies, star_tables.credits, star_tables.keywords])
 def test_lines_are_shuffled_once_by_document(spark, build):
     by_order = [how for keys, how in exchanges(build(spark, SF_DIR)) if keys.startswith("l_orderkey")]
