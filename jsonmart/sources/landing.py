@@ -49,7 +49,7 @@ def write_landing(df: DataFrame, root: str, mode: str = "append") -> None:
         "resource",
         F.col("ingest_date").cast("date").alias("ingest_date"),
         keys.safe_run_id(F.col("run_id")).alias("run_id"),
-    ).hint("rebalance", *[F.col(c) for c in _PARTITIONS]).write.partitionBy(*_PARTITIONS).mode(mode).json(root)
+    ).hint("rebalance", *[F.col(c) for c in _PARTITIONS]).write.option("compression", "gzip").partitionBy(*_PARTITIONS).mode(mode).json(root)
 
 
 def _known_response(df: DataFrame) -> list[Column]:

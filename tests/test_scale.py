@@ -60,3 +60,12 @@ def test_documents_of_a_large_table_are_gathered_by_more_tasks(spark, monkeypatc
     lines = star_tables.table(spark, SF_DIR, "lineitem").count()
     assert [keys for keys, how in exchanges(split) if how == "REPARTITION_BY_NUM"][0].endswith(f", {-(-lines // 300)}")
     assert sums(split) == before
+
+
+def test_landed_texts_are_compressed(spark, tmp_path):
+    text = '{"id":1,"title":"ä' + "word " * 1000 + '"}'
+    rows = spark.createDataFrame([("movie", "2024-01-01", "r", "1", text)], "resource STRING, ingest_date STRING, run_id STRING, name STRING, payload STRING")
+    landing.write_landing(rows, str(tmp_path / "landing"))
+    files = list((tmp_path / "landing").glob("resource=movie/*/*/part-*"))
+    assert len(files) == 1 and files[0].stat().st_size < len(text) / 10
+    assert [r.payload for r in landing.read_landing(spark, str(tmp_path / "landing")).collect()] == [text]
