@@ -45,6 +45,9 @@ _objects: dict[tuple[str, str], str] = {}
 
 RUN_TS = "2024-02-01 00:00:00"
 
+#: Objects that one task writes, a file each.
+OBJECTS_PER_TASK = 500
+
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -380,8 +383,11 @@ def _supplier_objects(spark, sf) -> str:
             F.concat(F.lit("run-"), number % 2).alias("run_id"),
         )
         root = fresh_dir(spark, "objects")
-        one_each = rows.write.option("maxRecordsPerFile", 1).partitionBy("ingest_date", "run_id")
-        one_each.json(f"{root}/tmdb/person")
+        # A file takes far longer than a row to write, and the table is one split: the rows are dealt out first, and
+        # each task moves its files into place itself, where the default leaves all of them to the driver.
+        dealt = rows.repartition(max(1, -(-rows.count() // OBJECTS_PER_TASK)))
+        one_each = dealt.write.option("maxRecordsPerFile", 1).partitionBy("ingest_date", "run_id")
+        one_each.option("mapreduce.fileoutputcommitter.algorithm.version", "2").json(f"{root}/tmdb/person")
         _objects[key] = root
     return _objects[key]
 

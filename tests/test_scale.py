@@ -29,6 +29,14 @@ def exchanges(df):
     return re.findall(r"Exchange hashpartitioning\((.*?)\), (\w+)", executed(df))
 
 
+def test_objects_are_written_by_many_tasks(spark, own_tables, monkeypatch):
+    monkeypatch.setattr(registered, "OBJECTS_PER_TASK", 3)
+    root = registered._supplier_objects(spark, own_tables).removeprefix("file:")
+    names = [f for _, _, files in os.walk(root) for f in files if f.startswith("part-")]
+    assert len(names) == registered.table(spark, SF_DIR, "supplier").count()
+    assert len({n.split("-")[1] for n in names}) > 2
+
+
 def test_variants_are_stored_for_the_resources_asked_for(spark, own_tables):
     registered.QUERIES["variant_silver_country"](spark, own_tables).collect()
     assert _variant_folders(spark, own_tables) == {"movie"}
