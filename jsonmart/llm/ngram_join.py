@@ -7,8 +7,13 @@ on its own, and the partial counts are summed per pair and compared with the exa
 
 Groups of copies stay small: equal sets are one class from the start. In a group of near copies pairs are
 proposed only against a few pivots per round, and only between documents that earlier rounds have not
-connected; what is still apart after that is proposed in full, and no pair is counted twice. So no link between
-components is lost, and a group of m near copies costs some m pairs instead of m * m / 2.
+connected; what is still apart after that is proposed in full, and no pair is counted twice. Of those, each
+component's closest pair is counted first, in two waves, and then the pairs that are still between components. So no
+link between components is lost, and a group of m near copies costs some m pairs instead of m * m / 2.
+
+Proposing. Linked sets share not one n-gram of their prefixes but many. Within the prefixes, n-grams are put in order
+once more, by the exact number of prefixes that hold them. The first one that two prefixes share must have as many n-grams
+from it on, in either, as linked prefixes share; where it has fewer, the pair is not proposed.
 
 Counting. Two exact bounds rule out pairs before any set is fetched. The overlap of the prefixes, the first partial
 count, rules out pairs that share no more than a passage. Parities rule out most of the rest: every set has one bit for each of
@@ -35,7 +40,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checked_broadcast, free_name, saved
@@ -44,6 +49,7 @@ from .shingles import shingle_set
 
 _BUCKETS = 1 << 16
 _SIGNS = 4  # longs that the parities of every set fold onto
+_WAVES = 2  # times that components are joined by their closest pairs before all others are counted
 
 
 @dataclass(frozen=True)
@@ -172,6 +178,14 @@ def _need(percent: int) -> Column:
     return F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100.0 + percent) - 1e-9)
 
 
+def _prefix_need(percent: int) -> Column:
+    """How many n-grams the prefixes of linked sets share at least.
+
+    Sets that share ``need`` n-grams share k of their first size - need + k; the prefixes are so long for this k.
+    """
+    return _need(percent) + 1 - F.ceil(percent * F.greatest("n_a", "n_b") / 100)
+
+
 def _signs() -> list[Column]:
     """The parities folded onto 256 buckets, in four columns; read where pairs are proposed."""
 
@@ -194,19 +208,28 @@ def _side(rows: DataFrame, name: str) -> DataFrame:
 def _apart(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     """Pairs of one group that are not connected yet, once each, the smaller class number first.
 
-    Where the rows have signs, pairs go whose signs differ in more n-grams than linked sets do.
+    The first n-gram that the prefixes of linked sets share is followed, in either prefix, by as many as they must
+    share. Two sets that both come with the next size step have met with their own. Where the rows have signs, pairs
+    go whose signs differ in more n-grams than linked sets do. Where they have ``main``, only rows inside the main
+    component are not on the left.
     """
     met = _side(left, "a").join(_side(right, "b"), "grp").where(F.col("root_a") != F.col("root_b"))
-    met = met.where(_compatible(percent))
+    met = met.where(_compatible(percent)).where(~(F.col("up_a") & F.col("up_b")))
+    met = met.where(F.least("left_a", "left_b") >= _prefix_need(percent))
+    if "main" in left.columns:
+        met = met.where(F.col("main_b") | (F.col("cid_a") < F.col("cid_b")))
+    distance = F.lit(0)
     if "sign0" in left.columns:
         differing = [F.bit_count(F.col(f"sign{k}_a").bitwiseXOR(F.col(f"sign{k}_b"))) for k in range(_SIGNS)]
-        met = met.where(sum(differing[1:], differing[0]) <= F.col("n_a") + F.col("n_b") - 2 * _need(percent))
+        distance = sum(differing[1:], differing[0])
+        met = met.where(distance <= F.col("n_a") + F.col("n_b") - 2 * _need(percent))
     first = F.col("cid_a") < F.col("cid_b")
     return met.select(
         F.least("cid_a", "cid_b").alias("a"),
         F.greatest("cid_a", "cid_b").alias("b"),
         F.when(first, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
         F.when(first, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"),
+        distance.alias("distance"),
     ).distinct()
 
 
@@ -294,10 +317,17 @@ def _linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, spec: Jaccar
     return saved(links, "links")
 
 
+def _pivot_order(turn: int) -> Column:
+    """Pivots are first the sets with most common n-grams in their prefixes, then any."""
+    return F.struct(F.lit(0) if turn else -F.col("left"), F.xxhash64("cid", F.lit(turn)))
+
+
 def _still_open(rows: DataFrame) -> DataFrame:
-    """Rows of the groups that hold more than one component."""
-    roots = rows.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return rows.join(roots.where("low != high").select("grp"), "grp")
+    """Rows of the groups that hold more than one component; ``main``: the row is of its group's first pivot's."""
+    first = F.min_by("root", _pivot_order(0)).alias("first")
+    roots = rows.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"), first)
+    rows = rows.join(roots.where("low != high").select("grp", "first"), "grp")
+    return rows.withColumn("main", F.col("root") == F.col("first")).drop("first")
 
 
 def _merge(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
@@ -317,6 +347,24 @@ def _merge(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
     return saved(moved.union(new), "roots")
 
 
+def _between(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The pairs of different components, with ``root_a`` and ``root_b``."""
+    for end in ("a", "b"):
+        if roots is None:
+            pairs = pairs.withColumn(f"root_{end}", F.col(end))
+        else:
+            known = roots.select(F.col("cid").alias(end), F.col("root").alias(f"root_{end}"))
+            pairs = pairs.join(known, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    return pairs.where("root_a != root_b")
+
+
+def _closest(pairs: DataFrame) -> DataFrame:
+    """For each component the one of its pairs whose parities differ least: a pair for each component at most."""
+    pair = F.struct("distance", F.xxhash64("a", "b"), "a", "b", "n_a", "n_b").alias("pair")
+    ends = pairs.select(F.col("root_a").alias("root"), pair).union(pairs.select(F.col("root_b").alias("root"), pair))
+    return ends.groupBy("root").agg(F.min("pair").alias("pair")).select("pair.a", "pair.b", "pair.n_a", "pair.n_b").distinct()
+
+
 def linked_documents(docs: DataFrame, spec: JaccardJoin = JaccardJoin()) -> DataFrame:  # noqa: B008
     """One row per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component_id, component_text.
 
@@ -334,12 +382,13 @@ def linked_documents(docs: DataFrame, spec: JaccardJoin = JaccardJoin()) -> Data
 
     # shared prefix n-grams first, then again with the size: sizes that may link share one of two size steps
     postings = classes.select("cid", "n", F.explode("prefix").alias("place"))
-    shared = postings.groupBy("place").count().where("count > 1").select("place")
+    shared = postings.groupBy("place").count().where("count > 1")
+    common_first = Window.partitionBy("cid").orderBy(F.desc("count"), F.desc("place"))
+    postings = postings.join(shared, "place").withColumn("left", F.row_number().over(common_first))
     step = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / spec.percent) + 1e-9)).cast("long")
-    postings = postings.join(shared, "place").select(
-        "cid", "n", F.explode(F.array(step, step + 1)).alias("step"), "place"
-    )
-    postings = saved(postings.select("cid", "n", F.xxhash64("place", "step").alias("grp")), "postings")
+    postings = postings.select("cid", "n", "left", "place", F.posexplode(F.array(step, step + 1)).alias("up", "step"))
+    grp, up = F.xxhash64("place", "step").alias("grp"), (F.col("up") == 1).alias("up")
+    postings = saved(postings.select("cid", "n", "left", up, grp), "postings")
     groups = postings.groupBy("grp").agg(F.min("cid").alias("low"), F.max("cid").alias("high"))
     postings = saved(postings.join(groups.where("low != high").select("grp"), "grp"), "postings")
 
@@ -347,22 +396,30 @@ def linked_documents(docs: DataFrame, spec: JaccardJoin = JaccardJoin()) -> Data
     tested: DataFrame | None = None
     rows = postings
     for turn in range(spec.pivot_rounds + 1):
-        rows = rows.select("grp", "cid", "n")
+        rows = rows.select("grp", "cid", "n", "left", "up")
         if roots is None:
-            rows = rows.withColumn("root", F.col("cid"))
+            rows = rows.withColumn("root", F.col("cid")).withColumn("main", F.lit(False))
         else:
             rows = rows.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
             rows = saved(_still_open(rows), "open")
             rows = rows.join(classes.select("cid", *_signs()), "cid")
-        others = rows
         if turn < spec.pivot_rounds:
-            order = F.xxhash64("cid", F.lit(turn))
-            chosen = rows.groupBy("grp").agg(F.min(order).alias("order"))
-            others = rows.withColumn("order", order).join(chosen, ["grp", "order"]).drop("order").select(rows.columns)
+            rows = rows.drop("main")
+            chosen = rows.groupBy("grp").agg(F.min_by("cid", _pivot_order(turn)).alias("cid"))
+            others = rows.join(chosen, ["grp", "cid"]).select(rows.columns)
+        else:
+            others = rows.where(~F.col("main"))
         pairs = _apart(others, rows, spec.percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
+        for _ in range(_WAVES if turn == spec.pivot_rounds else 0):
+            if pairs.isEmpty():
+                break
+            closest = saved(_closest(_between(pairs, roots)), "closest")
+            roots = _merge(roots, _linked(closest, texts, classes, spec, ranks))
+            pairs = pairs.join(closest.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = saved(_between(pairs, roots).select("a", "b", "n_a", "n_b", "distance"), "pairs")
         if not pairs.isEmpty():
             roots = _merge(roots, _linked(pairs, texts, classes, spec, ranks))
             tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))

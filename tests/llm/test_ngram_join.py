@@ -144,3 +144,46 @@ def test_texts_without_an_id_link_with_near_copies(spark):
         assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == {5: 5, 6: 6, 7: 7}
     kept = [r.doc_id for r in g.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert sorted(kept) == [5, 6, 7]
+
+
+def scattered(documents, edits, words=150, seed=4):
+    """Copies of one text, each with some words of its own: some pairs link, most come close."""
+    rnd = random.Random(seed)
+    rows = []
+    for k in range(documents):
+        text = [f"b{i}" for i in range(words)]
+        for place in rnd.sample(range(words), rnd.randrange(1, edits)):
+            text[place] = f"n{k}.{place}"
+        rows.append((k, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("spec, edits", [(SPECS[0], 4), (SPECS[1], 5)])
+def test_few_pairs_of_a_group_of_lookalikes_are_counted(spark, monkeypatch, spec, edits):
+    """Components are joined by their closest pairs, and the many other pairs of theirs are not counted."""
+    rows = scattered(300, edits)
+    counted = []
+    real = g._overlaps
+    monkeypatch.setattr(g, "_overlaps", lambda pairs, *a, **b: counted.append(pairs.count()) or real(pairs, *a, **b))
+    got = g.linked_documents(spark.createDataFrame(rows, "doc_id long, text string"), spec).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: c for (i, _), c in brute.components(rows, spec.n, spec.percent).items()}
+    assert sum(counted) < 4 * len(rows)
+
+
+@pytest.mark.parametrize("spec", SPECS)
+@pytest.mark.parametrize("seed", range(2))
+def test_short_and_long_sets_with_common_shingles(spark, spec, seed):
+    """Sets of many sizes, up to the last that may link, whose prefixes share common n-grams."""
+    rnd = random.Random(seed)
+    rows = []
+    for family in range(12):
+        words = [f"f{family % 4}w{i}" for i in range(rnd.choice([5, 9, 14, 25, 60, 120]))]
+        for _ in range(14):
+            text = words[rnd.randrange(2) : len(words) - rnd.randrange(1 + len(words) // 8)]
+            for _ in range(rnd.randrange(1 + len(words) // 24)):
+                text[rnd.randrange(len(text))] = f"x{rnd.randrange(5)}"
+            rows.append((len(rows), " ".join(text + [f"t{i}" for i in range(rnd.randrange(1 + len(words) // 8))])))
+    got = g.linked_documents(spark.createDataFrame(rows, "doc_id long, text string"), spec).collect()
+    want = {i: c for (i, _), c in brute.components(rows, spec.n, spec.percent).items()}
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert 12 < len(set(want.values())) < len(rows)
