@@ -1,5 +1,8 @@
 """Builds: what is published, what stays, and that documents may be cut anywhere."""
 
+from threading import Barrier
+
+import pyarrow.parquet as pq
 import pytest
 from compare import connect, duckdb_rows, spark_rows
 from payloads import raw
@@ -54,6 +57,29 @@ def test_payload_text_is_not_copied(spark, tmp_path):
     assert not list(tmp_path.glob("**/raw/**")) and list(tmp_path.glob("builds/*/staged/movie/*.parquet"))
 
 
+def test_tables_that_a_mart_reads_are_built_side_by_side(spark, tmp_path):
+    together = Barrier(2, timeout=60)
+
+    def source(resource):
+        if resource in ("movie", "credits"):
+            together.wait()
+        return raw(spark, GOOD).where(F.col("resource") == resource)
+
+    assert Layers(spark, str(tmp_path), source).question("q1_top_rated").collect() == []  # no movie has the votes
+
+
+def test_staged_texts_have_no_dictionary(spark, tmp_path):
+    warehouse = Layers(spark, str(tmp_path), Source(spark, GOOD))
+    assert warehouse.silver("movie").count() == 1
+
+    def encodings(folder):
+        files = [pq.read_metadata(f) for f in tmp_path.glob(f"builds/*/{folder}/*.parquet")]
+        groups = [f.row_group(g) for f in files for g in range(f.num_row_groups)]
+        return {e for g in groups for i in range(g.num_columns) for e in g.column(i).encodings}
+
+    assert "PLAIN_DICTIONARY" in encodings("silver/movie") and "PLAIN_DICTIONARY" not in encodings("staged/movie")
+
+
 @pytest.fixture(scope="module")
 def two_line_documents():
     before, star_tables.DOCUMENT_LINES = star_tables.DOCUMENT_LINES, 2
