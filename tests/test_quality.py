@@ -1,5 +1,7 @@
 """Data checks: the declarations, the gate, and that every single check can fire."""
 
+import re
+
 import pytest
 from payloads import raw
 from pyspark.sql import functions as F
@@ -175,3 +177,14 @@ def test_gate_stops_before_gold(spark, tmp_path):
 
 def test_gate_passes_clean_report(spark):
     gate(spark.createDataFrame([("m", "unique", "k", 0)], "model STRING, test STRING, target STRING, failures BIGINT"))
+
+
+def test_failures_are_listed_only_for_rows_that_fail(spark):
+    child = spark.createDataFrame([(1, "a"), (1, None), (3, "c")], "id INT, name STRING")
+    parent = spark.createDataFrame([(1,), (2,)], "id INT")
+    checks = (ModelChecks("parent", ("id",), ("id",)), ModelChecks("child", ("id", "name"), ("id",), (("id", "parent", "id"),)))
+    report = dq_report({"child": child, "parent": parent}, checks)
+    failed = {(r.model, r.test, r.target): r.failures for r in report.where("failures > 0").collect()}
+    assert failed == {("child", "not_null", "name"): 1, ("child", "unique", "id"): 1, ("child", "relationships", "id"): 1}
+    nodes = re.findall(r"Generate explode|Filter|Aggregate|LogicalRDD", report._jdf.queryExecution().optimizedPlan().toString())
+    assert {after for node, after in zip(nodes, nodes[1:]) if node == "Generate explode"} == {"Filter"}
