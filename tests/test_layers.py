@@ -93,3 +93,15 @@ def two_line_documents():
 )
 def test_size_of_documents_changes_nothing(spark, two_line_documents, name):
     assert spark_rows(registered.QUERIES[name](spark, SF_DIR)) == duckdb_rows(connect(SF_DIR), ORACLES[name])
+
+
+def test_both_builds_read_payloads_that_are_made_once(spark, monkeypatch):
+    made = []
+
+    def builder(resource):
+        return lambda spark, sf: made.append(resource) or raw(spark, GOOD).where(F.col("resource") == resource)
+
+    monkeypatch.setattr(star_tables, "RAW", {r: builder(r) for r in star_tables.RAW})
+    rows = registered.QUERIES["rebuilt_movie_analytics"](spark, "no tables").collect()
+    assert [(r.movie_id, r.genre_list, r.top_3_cast, r.primary_company) for r in rows] == [(10, "Drama", "P", "C")]
+    assert sorted(made) == ["credits", "genre", "keywords", "movie", "person"]
