@@ -226,26 +226,36 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     number = col("l_linenumber")
     odd = F.when((col("l_orderkey") % 5 == 0) & (number == 1), F.array(F.lit(0), F.lit(1), F.lit(2)))
-    seen = F.when((col("l_orderkey") % 4 == 0) & (number % 3 != 0), F.array(F.lit(0), F.lit(1)))
     lines = _by_document(spark, sf_dir, lines).withColumn("odd", F.explode(F.coalesce(odd, F.array(F.lit(0)))))
-    lines = lines.withColumn("s", F.explode(F.coalesce(seen, F.array(F.lit(0)))))
     credit_id = F.concat_ws("-", col("l_orderkey").cast("string"), number.cast("string"))
     alias = F.concat("s_name", F.lit(" "), number.cast("string"))
     fame = F.when(number % 3 == 1, col("s_acctbal") + number).when(number % 3 == 2, col("s_acctbal"))
-    who = [
-        F.when(col("odd") == 1, "").otherwise(credit_id).alias("credit_id"),
-        F.when(col("odd") != 2, col("l_suppkey")).alias("id"),
-        F.when(number % 3 == 1, alias).otherwise(col("s_name")).alias("name"),
-        (col("l_suppkey") % 3).alias("gender"),
-        F.lit("").alias("known_for_department"),
-        F.coalesce(fame.cast("decimal(12,2)").cast("string"), F.lit("")).alias("popularity"),
-    ]
-    changed = F.when(col("s") == 1, " II").otherwise("")
-    actor = F.struct(*who, F.concat("p_name", changed).alias("character"), (number - 1).alias("order"))
-    helper = F.struct(*who, col("p_type").alias("department"), F.concat("l_returnflag", changed).alias("job"))
-    docs = lines.groupBy("l_orderkey", "page", "s").agg(
-        F.sort_array(F.collect_list(F.when(col("l_linestatus") == "F", actor))).alias("cast"),
-        F.sort_array(F.collect_list(F.when(col("l_linestatus") == "O", helper))).alias("crew"),
+    who = {
+        "credit_id": F.when(col("odd") == 1, "").otherwise(credit_id),
+        "id": F.when(col("odd") != 2, col("l_suppkey")),
+        "name": F.when(number % 3 == 1, alias).otherwise(col("s_name")),
+        "gender": col("l_suppkey") % 3,
+        "known_for_department": F.lit(""),
+        "popularity": F.coalesce(fame.cast("decimal(12,2)").cast("string"), F.lit("")),
+    }
+    lines = lines.select(
+        "l_orderkey", "page", "l_linenumber", "l_linestatus", "l_returnflag", "p_name", "p_type", *[c.alias(n) for n, c in who.items()]
+    )
+
+    def snapshot(s: int, changed: str) -> Column:
+        actor = F.struct(*who, F.concat("p_name", F.lit(changed)).alias("character"), (number - 1).alias("order"))
+        helper = F.struct(*who, col("p_type").alias("department"), F.concat("l_returnflag", F.lit(changed)).alias("job"))
+        return F.struct(
+            F.lit(s).alias("s"),
+            F.when(col("l_linestatus") == "F", actor).alias("actor"),
+            F.when(col("l_linestatus") == "O", helper).alias("helper"),
+        )
+
+    # The items are made where rows are expanded, in generated code; an aggregate evaluates its arguments without.
+    first, later = snapshot(0, ""), snapshot(1, " II")
+    seen = F.when((col("l_orderkey") % 4 == 0) & (number % 3 != 0), F.array(first, later)).otherwise(F.array(first))
+    docs = lines.select("l_orderkey", "page", F.inline(seen)).groupBy("l_orderkey", "page", "s").agg(
+        F.sort_array(F.collect_list("actor")).alias("cast"), F.sort_array(F.collect_list("helper")).alias("crew")
     )
     key = col("l_orderkey")
     fields = [key.alias("id"), col("cast"), col("crew")]

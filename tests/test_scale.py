@@ -77,3 +77,9 @@ def test_landed_texts_are_compressed(spark, tmp_path):
     files = list((tmp_path / "landing").glob("resource=movie/*/*/part-*"))
     assert len(files) == 1 and files[0].stat().st_size < len(text) / 10
     assert [r.payload for r in landing.read_landing(spark, str(tmp_path / "landing")).collect()] == [text]
+
+
+def test_credits_are_made_before_they_are_gathered(spark):
+    """An aggregate evaluates its arguments without generated code, so they are plain columns."""
+    gathered = re.findall(r"collect_list\((\w+)", executed(star_tables.credits(spark, SF_DIR)))
+    assert gathered and set(gathered) == {"actor", "helper"}
